@@ -158,14 +158,17 @@ def is_sportive(mode: Column | str, modes: Iterable[str]) -> Column:
 def duration_minutes(start: Column | str, end: Column | str) -> Column:
     """max(1, floor(seconds / 60)); null when either side does not parse (D-16)."""
     micros = F.unix_micros(parse_ts(end)) - F.unix_micros(parse_ts(start))
-    return F.greatest(F.lit(1).cast("long"), F.floor(micros / F.lit(60_000_000)))
+    # greatest() skips nulls, so keep an unparseable date null explicitly
+    return F.when(micros.isNotNull(),
+                  F.greatest(F.lit(1).cast("long"), F.floor(micros / F.lit(60_000_000))))
 
 
 # F-17 ----------------------------------------------------------------------
 def km_label(meters: Column | str) -> Column:
     """One decimal (half-even on the double, like Python's format), decimal comma."""
     m = F.col(meters) if isinstance(meters, str) else meters
-    return F.regexp_replace(F.format_number(m.cast("double") / F.lit(1000.0), "0.0"), r"\.", ",")
+    return F.regexp_replace(
+        F.call_function("format_number", m.cast("double") / F.lit(1000.0), F.lit("0.0")), r"\.", ",")
 
 
 # F-18 ----------------------------------------------------------------------
