@@ -18,7 +18,7 @@ __all__ = [
     "travel_mode", "max_allowed_km", "meters_to_km", "commute_anomaly",
     "clean_salary", "parse_ts", "activity_year", "sport_declared", "is_sportive",
     "duration_minutes", "km_label", "sport_label", "message_text", "as_text",
-    "map_literal",
+    "map_literal", "evaluate_once",
 ]
 
 # ---------------------------------------------------------------------------
@@ -70,6 +70,16 @@ def map_literal(mapping: dict) -> Column:
     return F.create_map(*items)
 
 
+def evaluate_once(expr: Column) -> Column:
+    """``explode(array(expr))``: a Generate that computes ``expr`` once per row.
+
+    Filters on an expensive value (e.g. a ``from_json`` result) are otherwise
+    pushed below the projection that computes it, and the optimizer inlines
+    the expression into every reference of the filter condition.
+    """
+    return F.explode(F.array(expr))
+
+
 def as_text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strivelake.functions.expressions import duration_minutes, message_text, strip_ws
+from strivelake.functions.expressions import (
+    duration_minutes, evaluate_once, message_text, strip_ws,
+)
 from strivelake.schemas import ACTIVITY_COLUMNS, UNION_ENVELOPE
 
 DEFAULT_FIRST, DEFAULT_LAST = "Un", "collègue"
@@ -19,7 +21,7 @@ def creates(log: DataFrame, *, value: str = "value", partition: str = "partition
     """P-8: payload = ``payload`` when present else the root; keep op = 'c' with an ``after`` image."""
     e = F.from_json(F.col(value).cast("string"), UNION_ENVELOPE)
     df = log.select(F.col(partition).cast("int").alias("kafka_partition"),
-                    F.col(offset).cast("long").alias("kafka_offset"), e.alias("e"))
+                    F.col(offset).cast("long").alias("kafka_offset"), evaluate_once(e).alias("e"))
     wrapped = F.col("e.payload").isNotNull()
     op = F.when(wrapped, F.col("e.payload.op")).otherwise(F.col("e.op"))
     after = F.when(wrapped, F.col("e.payload.after")).otherwise(F.col("e.after"))

@@ -102,7 +102,11 @@ def gold_job(spark: SparkSession, activities: DataFrame, enriched: DataFrame,
     A failed check raises before the previous output is touched.
     """
     quality.assert_unique(enriched, ["employee_id"], "silver/rh_enriched")
-    result = gold.benefits(enriched, sport_ref, activities, rules, as_of)
+    # one scan of the activities: the per-year counts feed both the year list and the join
+    by_year = gold.activities_by_year(activities).persist(StorageLevel.MEMORY_AND_DISK)
+    years = gold.year_list(gold.activity_years(by_year, as_of))
+    result = gold.benefits(enriched, sport_ref, activities, rules, as_of, years=years,
+                           by_year=by_year)
     result = result.persist(StorageLevel.MEMORY_AND_DISK)
     checks = result.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -115,6 +119,7 @@ def gold_job(spark: SparkSession, activities: DataFrame, enriched: DataFrame,
     quality.assert_unique(result, ["employee_id", "year"], "gold/benefits_employee_year")
     if out:
         write_table(result, out)
+    by_year.unpersist()
     return result
 
 

@@ -37,6 +37,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer splits than cores.
+
+    The driver tables are single-row-group files (one scan task); on real
+    inputs with many splits this is a no-op, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _case(key: Column, mapping: dict) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -48,7 +60,7 @@ def _case(key: Column, mapping: dict) -> Column:
 # --------------------------------------------------------------------- activities
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operational activities in change-row shape (timestamps as ISO text) from orders."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     k = F.col("o_orderkey")
     start_ts = F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate"))
     end_ts = F.when(k % 199 == 0, F.timestamp_add("MINUTE", F.lit(-1), start_ts)).otherwise(
@@ -80,7 +92,8 @@ def _salary_text(key: Column, acctbal: Column) -> Column:
 
 def employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The RH workbook with its raw headers (spaces, accents) from customer."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    c = spread(table(spark, sf_dir, "customer")
+               .select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
     k = F.col("c_custkey")
     return c.select(
         k.alias(COL_ID),
@@ -133,7 +146,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wrapped envelopes for even offsets, flat for odd ones; every 97th record is
     malformed text and every 101st has a null value.
     """
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     uid = F.col("user_id")
     op = _case(F.col("event_type"), EVENT_TO_OP)

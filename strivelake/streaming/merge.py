@@ -51,8 +51,6 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     done = {"n": 0}
 
     def body(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
         merge_batch(spark, df, batch_id, table)
         done["n"] += 1
 
