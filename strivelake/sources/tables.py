@@ -57,9 +57,22 @@ def write_table(df: DataFrame, path: str, *, version: int | None = None,
     return write_version(df, path, version)
 
 
-def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet",
+def _is_delta(spark: SparkSession, path: str) -> bool:
+    try:
+        from delta.tables import DeltaTable
+    except ImportError:
+        return False
+    return DeltaTable.isDeltaTable(spark, path)
+
+
+def read_table(spark: SparkSession, path: str, *, fmt: str | None = None,
                version: int | None = None) -> DataFrame:
-    """S-5: the newest committed version of a table (or a given one)."""
+    """S-5: the newest committed version of a table (or a given one).
+
+    ``fmt=None`` reads a Delta table when the folder is one, else the versioned Parquet layout.
+    """
+    if fmt is None:
+        fmt = "delta" if version is None and _is_delta(spark, path) else "parquet"
     if fmt == "delta":
         return spark.read.format("delta").load(path)
     if version is None:
