@@ -94,6 +94,47 @@ def merge_state(target: DataFrame, changes: DataFrame, key: str = "id", *,
                       for c in STATE_COLUMNS]))
 
 
+# Above this many changed keys a micro-batch is merged with the shuffle join.
+MERGE_BROADCAST_ROWS = 2_000_000
+
+
+def merge_state_broadcast(target: DataFrame, changes: DataFrame, key: str = "id", *,
+                          guard: bool = True) -> DataFrame:
+    """The same MERGE for a change set of checked, bounded size: the state is
+    streamed through two broadcast joins and is never shuffled.
+
+    A left join (build side: the changes) resolves updates and deletes of
+    existing rows; a semi join (build side: the change keys) finds the matched
+    keys, so the remaining upserts are inserted. Only change-sized data moves.
+    """
+    s = to_state_rows(changes).select(*[F.col(c).alias(f"s_{c}") for c in STATE_COLUMNS])
+    t = target.select(*STATE_COLUMNS)
+    j = t.join(F.broadcast(s), F.col(key) == F.col(f"s_{key}"), "left")
+    has_s = F.col(f"s_{key}").isNotNull()
+    apply = has_s
+    if guard:
+        apply = has_s & _newer(F.col("s_kafka_partition"), F.col("s_kafka_offset"),
+                               F.col("kafka_partition"), F.col("kafka_offset"))
+    is_delete = F.col("s_last_op") == F.lit("d")
+    resolved = (j.filter(F.when(apply, ~is_delete).otherwise(F.lit(True)))
+                .select(*[F.when(apply, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c)
+                          for c in STATE_COLUMNS]))
+    matched = t.select(key).join(F.broadcast(s.select(F.col(f"s_{key}").alias(key))), key,
+                                 "left_semi")
+    # matched keys are a subset of the change keys: bounded by the same size check
+    inserts = (to_state_rows(changes).filter(F.col("last_op") != F.lit("d"))
+               .join(F.broadcast(matched), key, "left_anti"))
+    return resolved.unionByName(inserts)
+
+
+def merge_changes(target: DataFrame, changes: DataFrame, key: str = "id", *,
+                  guard: bool = True, broadcast_rows: int = MERGE_BROADCAST_ROWS) -> DataFrame:
+    """Pick the merge plan behind a size check of the (deduplicated) change set."""
+    if changes.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return merge_state_broadcast(target, changes, key, guard=guard)
+    return merge_state(target, changes, key, guard=guard)
+
+
 def merge_state_anti_union(target: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     """The same MERGE without the ordering guard: untouched target rows plus upserts."""
     ch = to_state_rows(changes)

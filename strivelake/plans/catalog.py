@@ -224,6 +224,13 @@ def cdc_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.merge_state(cdc.initial_state(_latest(i, 0)), _latest(i, 1, 2))
 
 
+@query("cdc_merge_state_broadcast")
+def cdc_merge_state_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 for a size-checked change set: the state is not shuffled."""
+    i = Inputs(spark, sf_dir)
+    return cdc.merge_changes(cdc.initial_state(_latest(i, 0)), _latest(i, 1, 2))
+
+
 @query("cdc_merge_anti_union")
 def cdc_merge_anti_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-3 without the ordering guard (anti join + union form)."""

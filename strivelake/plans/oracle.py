@@ -323,7 +323,7 @@ SELECT CAST(user_id % 4 AS INTEGER) AS kafka_partition, count(*) AS records,
   CAST(count_if(event_id % 101 = 0) AS BIGINT) AS null_values
 FROM events GROUP BY CAST(user_id % 4 AS INTEGER)""")
 for _k in ("src_cdc_empty_batch", "stream_incremental_merge", "stream_reset_replay",
-           "cdc_merge_state", "cdc_merge_anti_union"):
+           "cdc_merge_state", "cdc_merge_anti_union", "cdc_merge_state_broadcast"):
     oracle(_k, "SELECT * FROM f_state_all", "f_state_all")
 oracle("src_reference_load", "SELECT * FROM f_employees", "f_employees")
 oracle("src_state_scan", "SELECT * FROM f_state_b01", "f_state_b01")

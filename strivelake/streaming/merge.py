@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strivelake.operators.cdc import (
-    initial_state, latest_per_key, merge_state, parse_changes, to_state_rows,
+    initial_state, latest_per_key, merge_changes, parse_changes, to_state_rows,
 )
 from strivelake.sources.changes import read_changes
 from strivelake.sources.tables import latest_version, read_table, write_version
@@ -74,7 +74,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
             if state.isEmpty():
                 raise ValueError("first load of the state table: no upsert event")
         else:
-            state = merge_state(read_table(spark, table, version=prev), latest)
+            state = merge_changes(read_table(spark, table, version=prev), latest)
         write_version(state, table, batch_id)
     finally:
         latest.unpersist()

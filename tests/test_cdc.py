@@ -79,12 +79,26 @@ def test_merge_cases(spark):
     anti = {r.id: (r.distance_m, r.last_op)
             for r in cdc.merge_state_anti_union(target, changes).collect()}
     assert anti == got
+    bc = {r.id: (r.distance_m, r.last_op)
+          for r in cdc.merge_state_broadcast(target, changes).collect()}
+    assert bc == got
+
+
+def test_broadcast_merge_never_shuffles_the_state(spark):
+    target = state_rows(spark, [srow(i, "c", 0, i) for i in range(50)])
+    changes = state_rows(spark, [srow(1, "d", 0, 100), srow(77, "c", 0, 101)])
+    plan = cdc.merge_state_broadcast(target, changes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r.id for r in cdc.merge_changes(target, changes).collect()} == set(range(50)) - {1} | {77}
+    assert {r.id for r in cdc.merge_changes(target, changes, broadcast_rows=1).collect()} == \
+        set(range(50)) - {1} | {77}
 
 
 def test_merge_guard_ignores_stale_change(spark):
     target = state_rows(spark, [srow(1, "u", 0, 50, dist=7)])
     stale = state_rows(spark, [srow(1, "u", 0, 20, dist=1)])
     assert cdc.merge_state(target, stale).first().distance_m == 7
+    assert cdc.merge_state_broadcast(target, stale).first().distance_m == 7
     assert cdc.merge_state(target, stale, guard=False).first().distance_m == 1
 
 
