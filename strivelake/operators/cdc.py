@@ -128,9 +128,15 @@ def merge_state_broadcast(target: DataFrame, changes: DataFrame, key: str = "id"
 
 
 def merge_changes(target: DataFrame, changes: DataFrame, key: str = "id", *,
-                  guard: bool = True, broadcast_rows: int = MERGE_BROADCAST_ROWS) -> DataFrame:
-    """Pick the merge plan behind a size check of the (deduplicated) change set."""
-    if changes.limit(broadcast_rows + 1).count() <= broadcast_rows:
+                  guard: bool = True, broadcast_rows: int = MERGE_BROADCAST_ROWS,
+                  n_changes: int | None = None) -> DataFrame:
+    """Pick the merge plan behind a size check of the (deduplicated) change set.
+
+    ``n_changes`` is the known row count of ``changes`` (saves the probe job).
+    """
+    if n_changes is None:
+        n_changes = changes.limit(broadcast_rows + 1).count()
+    if n_changes <= broadcast_rows:
         return merge_state_broadcast(target, changes, key, guard=guard)
     return merge_state(target, changes, key, guard=guard)
 

@@ -59,23 +59,32 @@ def merge_batch_delta(spark: SparkSession, latest: DataFrame, table: str) -> Non
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                fmt: str = "parquet") -> None:
-    """The foreachBatch body: parse, keep the latest event per id, merge, write version."""
+                fmt: str = "parquet", versions: dict | None = None) -> None:
+    """The foreachBatch body: parse, keep the latest event per id, merge, write version.
+
+    ``versions`` carries the newest committed version across the micro-batches
+    of one run (read from the table's version log at the first batch only).
+    """
     latest = latest_per_key(parse_changes(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if latest.isEmpty():  # nothing parsed: no new version, like the reference's exit 0
+        n = latest.count()
+        if n == 0:  # nothing parsed: no new version, like the reference's exit 0
             return
         if fmt == "delta":
             merge_batch_delta(spark, latest, table)
             return
-        prev = latest_version(spark, table, below=batch_id)
+        known = versions if versions is not None else {}
+        prev = known.get("latest", -1)
+        if prev == -1 or prev is None or prev >= batch_id:
+            prev = latest_version(spark, table, below=batch_id)
         if prev is None:
             state = initial_state(latest)
             if state.isEmpty():
                 raise ValueError("first load of the state table: no upsert event")
         else:
-            state = merge_changes(read_table(spark, table, version=prev), latest)
+            state = merge_changes(read_table(spark, table, version=prev), latest, n_changes=n)
         write_version(state, table, batch_id)
+        known["latest"] = batch_id
     finally:
         latest.unpersist()
 
@@ -89,10 +98,11 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     ``delta`` when Delta is on the class path (default), else versioned Parquet.
     """
     done = {"n": 0}
+    versions: dict = {}
     tfmt = table_format or ("delta" if delta_available() else "parquet")
 
     def body(df: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, df, batch_id, table, tfmt)
+        merge_batch(spark, df, batch_id, table, tfmt, versions)
         done["n"] += 1
 
     log = read_changes(spark, source, fmt=fmt, options=options)
