@@ -8,10 +8,11 @@ rewrites the same version from the same input, so the result is exactly-once.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strivelake.operators.cdc import (
     initial_state, latest_per_key, merge_changes, parse_changes, to_state_rows,
@@ -25,6 +26,7 @@ class MergeRun:
     table: str
     checkpoint: str
     batches: int
+    metrics: list = field(default_factory=list)
 
 
 # MERGE condition of the Delta path: the same semantics and ordering guard as merge_state.
@@ -65,14 +67,18 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
     ``versions`` carries the newest committed version across the micro-batches
     of one run (read from the table's version log at the first batch only).
     """
-    latest = latest_per_key(parse_changes(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    read_obs, live_obs = Observation("events"), Observation("state")
+    parsed = parse_changes(batch).observe(read_obs, F.count(F.lit(1)).alias("events_read"))
+    latest = latest_per_key(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+    metrics = {"batch_id": int(batch_id)}
     try:
         n = latest.count()
+        metrics.update(read_obs.get, ids_touched=int(n))
         if n == 0:  # nothing parsed: no new version, like the reference's exit 0
-            return
+            return metrics
         if fmt == "delta":
             merge_batch_delta(spark, latest, table)
-            return
+            return metrics
         known = versions if versions is not None else {}
         prev = known.get("latest", -1)
         if prev == -1 or prev is None or prev >= batch_id:
@@ -83,8 +89,12 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
                 raise ValueError("first load of the state table: no upsert event")
         else:
             state = merge_changes(read_table(spark, table, version=prev), latest, n_changes=n)
-        write_version(state, table, batch_id)
+        # M-7: live rows counted while the version is written (same pass)
+        write_version(state.observe(live_obs, F.count(F.lit(1)).alias("live_rows")),
+                      table, batch_id)
+        metrics.update(live_obs.get)
         known["latest"] = batch_id
+        return metrics
     finally:
         latest.unpersist()
 
@@ -101,8 +111,10 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     versions: dict = {}
     tfmt = table_format or ("delta" if delta_available() else "parquet")
 
+    metrics: list = []
+
     def body(df: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, df, batch_id, table, tfmt, versions)
+        metrics.append(merge_batch(spark, df, batch_id, table, tfmt, versions))
         done["n"] += 1
 
     log = read_changes(spark, source, fmt=fmt, options=options)
@@ -113,7 +125,7 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise q.exception()
-    return MergeRun(table=table, checkpoint=checkpoint, batches=done["n"])
+    return MergeRun(table=table, checkpoint=checkpoint, batches=done["n"], metrics=metrics)
 
 
 def reset_and_replay(spark: SparkSession, source: str, table: str, checkpoint: str, *,

@@ -29,7 +29,10 @@ def parquet_sink(folder: str, rejects_folder: str | None = None) -> Sink:
 def notification_stream(spark: SparkSession, source: str, names: DataFrame, *,
                         fmt: str = "parquet", options: dict | None = None
                         ) -> tuple[DataFrame, DataFrame]:
-    log = read_changes(spark, source, fmt=fmt, options=options)
+    opts = dict(options or {})
+    if fmt == "kafka":  # a new consumer starts at the end of the topic
+        opts.setdefault("startingOffsets", "latest")
+    log = read_changes(spark, source, fmt=fmt, options=opts)
     return notifications(creates(log), names, keep=KEEP)
 
 

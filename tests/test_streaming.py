@@ -19,6 +19,10 @@ def test_incremental_equals_batch_and_restart_is_noop(spark):
     i = Inputs(spark, SF_SMALL)
     run = pipelines.incremental_bronze(spark, i)
     assert [r.batches for r in run.runs] == [1, 1, 1]
+    m = run.runs[0].metrics[0]
+    assert m["events_read"] >= m["ids_touched"] > 0 and m["live_rows"] > 0
+    # at this scale the later log files are empty: nothing parsed, no new version
+    assert all(x["ids_touched"] == 0 and "live_rows" not in x for x in run.runs[2].metrics)
     state = read_table(spark, run.table)
     expected = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log)))
     assert rows(state) == rows(expected)
