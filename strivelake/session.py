@@ -63,3 +63,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+# Target bytes per task for scans and shuffles on a cluster (fits executor memory
+# with room for sort/aggregation buffers; AQE coalesces smaller partitions).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_settings(input_bytes: int, *, target_bytes: int = TARGET_PARTITION_BYTES,
+                     broadcast_bytes: int = 64 * 1024 * 1024) -> dict[str, str]:
+    """Runtime SQL settings sized from the input volume.
+
+    The initial shuffle partition count covers the whole input at the target
+    size (an upper bound: partial aggregates and WindowGroupLimit shrink most
+    shuffles, and AQE coalesces the partitions that come out small); skewed
+    partitions are split by AQE skew join.
+    """
+    shuffle = max(200, -(-int(input_bytes) // target_bytes))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
+def apply_cluster_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
+    conf = cluster_settings(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

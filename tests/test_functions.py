@@ -120,3 +120,12 @@ def test_expected_distance_range(spark):
 
 def test_meters_to_km_exact():
     assert math.isclose(round(12345 / 1000.0, 3), 12.345)
+
+
+def test_cluster_settings_scale_with_input():
+    from strivelake.session import cluster_settings
+    small = cluster_settings(10 * 1024 ** 3)
+    big = cluster_settings(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
