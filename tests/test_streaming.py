@@ -54,3 +54,13 @@ def test_notification_stream_matches_batch(spark):
     assert key(streamed) == key(batch)
     assert streamed.count() > 0
     assert streamed.filter(F.col("message").isNull()).count() == 0
+
+
+def test_json_log_folder_source(spark, tmp_dir):
+    i = Inputs(spark, SF_SMALL)
+    log = f"{tmp_dir}/jsonlog"
+    write_log_files(i.log, log, fmt="json")
+    run = run_incremental_merge(spark, log, f"{tmp_dir}/state", f"{tmp_dir}/ckpt", fmt="json")
+    assert run.batches == 1
+    expected = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log)))
+    assert rows(read_table(spark, run.table)) == rows(expected)
