@@ -192,6 +192,7 @@ def message_text(full_name: Column, sport: Column, minutes: Column,
                  distance_m: Column, comment: Column) -> Column:
     """Notification text: four branches on sport and distance (0 counts as none),
     plus the optional quoted comment."""
+    sport = F.coalesce(sport, F.lit("sport"))
     has_distance = F.coalesce(distance_m != F.lit(0), F.lit(False))
     km = km_label(distance_m)
     mins = minutes.cast("string")

@@ -272,6 +272,7 @@ def duration_sql(start: str, end: str) -> str:
 
 
 def message_sql(name: str, sport: str, minutes: str, dist: str, comment: str) -> str:
+    sport = f"coalesce({sport}, 'sport')"
     has = f"coalesce({dist} <> 0, false)"
     km = km_sql(dist)
     mins = f"CAST({minutes} AS VARCHAR)"

@@ -129,3 +129,9 @@ def test_cluster_settings_scale_with_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_message_with_null_sport_uses_default_label(spark):
+    df = spark.createDataFrame([("Ana B", None, 5, None, None)], "n string, s string, m long, d long, c string")
+    got = df.select(X.message_text(F.col("n"), F.col("s"), F.col("m"), F.col("d"), F.col("c"))).first()[0]
+    assert got == "Bravo Ana B, tu viens de finir ton activité de sport qui t'a pris 5 min ! 🔥"
