@@ -4,6 +4,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from plan_text import plan_text
+
 from strivelake.operators import cdc
 from strivelake.schemas import STATE_COLUMNS
 
@@ -46,7 +48,7 @@ def test_latest_per_key_offset_then_partition(spark):
 def test_latest_per_key_plan_has_partial_window_group_limit(spark):
     recs = [(env("c", row(1)), 0, 0)]
     latest = cdc.latest_per_key(cdc.parse_changes(log_df(spark, recs)))
-    plan = latest._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(latest)
     assert "WindowGroupLimit" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 
@@ -87,7 +89,7 @@ def test_merge_cases(spark):
 def test_broadcast_merge_never_shuffles_the_state(spark):
     target = state_rows(spark, [srow(i, "c", 0, i) for i in range(50)])
     changes = state_rows(spark, [srow(1, "d", 0, 100), srow(77, "c", 0, 101)])
-    plan = cdc.merge_state_broadcast(target, changes)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(cdc.merge_state_broadcast(target, changes))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert {r.id for r in cdc.merge_changes(target, changes).collect()} == set(range(50)) - {1} | {77}
     assert {r.id for r in cdc.merge_changes(target, changes, broadcast_rows=1).collect()} == \

@@ -5,6 +5,8 @@ usage: python tools/plan_summary.py [sf_dir] > PLANS.md
 """
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -41,7 +43,10 @@ def main() -> None:
     for name in sorted(QUERIES):
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()  # after the run: the final adaptive plan
+        plan = buf.getvalue()
         print(f"## {name}\n\n```")
         print("\n".join(skeleton(plan)) or "(narrow scan/project only)")
         print("```\n")
