@@ -61,11 +61,12 @@ def merge_batch_delta(spark: SparkSession, latest: DataFrame, table: str) -> Non
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                fmt: str = "parquet", versions: dict | None = None) -> None:
+                fmt: str = "parquet", versions: dict | None = None) -> dict:
     """The foreachBatch body: parse, keep the latest event per id, merge, write version.
 
     ``versions`` carries the newest committed version across the micro-batches
     of one run (read from the table's version log at the first batch only).
+    Returns the batch counters: events_read, ids_touched and live_rows.
     """
     read_obs, live_obs = Observation("events"), Observation("state")
     parsed = parse_changes(batch).observe(read_obs, F.count(F.lit(1)).alias("events_read"))
@@ -74,14 +75,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
     try:
         n = latest.count()
         metrics.update(read_obs.get, ids_touched=int(n))
-        if n == 0:  # nothing parsed: no new version, like the reference's exit 0
+        if n == 0:  # nothing parsed: no new version, the state stays as it was
             return metrics
         if fmt == "delta":
             merge_batch_delta(spark, latest, table)
             return metrics
         known = versions if versions is not None else {}
-        prev = known.get("latest", -1)
-        if prev == -1 or prev is None or prev >= batch_id:
+        prev = known.get("latest")
+        if prev is None or prev >= batch_id:
             prev = latest_version(spark, table, below=batch_id)
         if prev is None:
             state = initial_state(latest)
@@ -107,15 +108,12 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     ``fmt`` is the log source (parquet/json folder or kafka); ``table_format`` is
     ``delta`` when Delta is on the class path (default), else versioned Parquet.
     """
-    done = {"n": 0}
     versions: dict = {}
-    tfmt = table_format or ("delta" if delta_available() else "parquet")
-
     metrics: list = []
+    tfmt = table_format or ("delta" if delta_available() else "parquet")
 
     def body(df: DataFrame, batch_id: int) -> None:
         metrics.append(merge_batch(spark, df, batch_id, table, tfmt, versions))
-        done["n"] += 1
 
     log = read_changes(spark, source, fmt=fmt, options=options)
     q = (log.writeStream.foreachBatch(body)
@@ -125,7 +123,7 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise q.exception()
-    return MergeRun(table=table, checkpoint=checkpoint, batches=done["n"], metrics=metrics)
+    return MergeRun(table=table, checkpoint=checkpoint, batches=len(metrics), metrics=metrics)
 
 
 def reset_and_replay(spark: SparkSession, source: str, table: str, checkpoint: str, *,
