@@ -42,17 +42,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder created and
     registered, so later lineage cuts and scratch tables land in one place.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         try:
-            root = sc.getCheckpointDir()
-        except Exception:  # pragma: no cover - older API
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="strivelake-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
