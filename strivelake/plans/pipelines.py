@@ -17,6 +17,7 @@ from strivelake.operators import commute, gold, quality
 from strivelake.plans.inputs import Inputs
 from strivelake.rules import Rules
 from strivelake.session import scratch_path
+from strivelake.sources import fixtures
 from strivelake.sources.changes import write_log_files
 from strivelake.sources.export import export_sorted
 from strivelake.sources.reference import read_reference
@@ -40,12 +41,21 @@ def incremental_bronze(spark: SparkSession, i: Inputs, batches=(0, 1, 2)) -> Bro
     base = scratch_path(spark, "bronze")
     run = BronzeRun(base=base, log=f"{base}/log", table=f"{base}/state",
                     checkpoint=f"{base}/_checkpoint", runs=[])
+    log = _staged_log(spark, i, base)
     for b in batches:
-        write_log_files(i.log_batch(b), run.log)
+        write_log_files(fixtures.log_batch(log, b), run.log)
         run.runs.append(run_incremental_merge(spark, run.log, run.table, run.checkpoint))
     return run
 
 
+def _staged_log(spark: SparkSession, i: Inputs, base: str) -> DataFrame:
+    """The log records built once and written to a staging table; the runs then
+    append one batch each from it (the JSON is not rebuilt per run)."""
+    staging = f"{base}/_log_all"
+    i.change_log.write.mode("overwrite").parquet(staging)
+    return spark.read.parquet(staging)
+
+
 def run_again(spark: SparkSession, run: BronzeRun) -> MergeRun:
     """Another run with the same checkpoint: nothing new, so no batch and no new version."""
     return run_incremental_merge(spark, run.log, run.table, run.checkpoint)
@@ -135,8 +145,9 @@ def export_job(spark: SparkSession, gold_path: str, out: str, *, single_file: bo
 def notification_run(spark: SparkSession, i: Inputs) -> DataFrame:
     base = scratch_path(spark, "notify")
     log, sink_dir, ckpt = f"{base}/log", f"{base}/messages", f"{base}/_checkpoint"
+    staged = _staged_log(spark, i, base)
     for b in (0, 1, 2):
-        write_log_files(i.log_batch(b), log)
+        write_log_files(fixtures.log_batch(staged, b), log)
         q = run_notifications(spark, log, i.names, parquet_sink(sink_dir), ckpt)
         q.awaitTermination()
     return spark.read.parquet(sink_dir).select("kafka_partition", "kafka_offset", "id",
