@@ -36,11 +36,20 @@ def notification_stream(spark: SparkSession, source: str, names: DataFrame, *,
     return notifications(creates(log), names, keep=KEEP)
 
 
-def run_notifications(spark: SparkSession, source: str, names: DataFrame, sink: Sink,
+def run_notifications(spark: SparkSession, source: str, names: DataFrame, sink: Sink | str,
                       checkpoint: str, *, fmt: str = "parquet", options: dict | None = None,
                       available_now: bool = True, muted: bool = False) -> StreamingQuery:
-    """Start the query; ``muted`` consumes the log without calling the sink."""
+    """Start the query; ``muted`` consumes the log without calling the sink.
+
+    ``sink`` is a ``foreachBatch`` function, or ``"memory:<name>"`` for Spark's
+    in-memory table sink (queryable as ``<name>``; for tests and notebooks).
+    """
     messages, _ = notification_stream(spark, source, names, fmt=fmt, options=options)
+    if isinstance(sink, str) and sink.startswith("memory:"):
+        w = (messages.writeStream.format("memory").queryName(sink.split(":", 1)[1])
+             .outputMode("append").option("checkpointLocation", checkpoint))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+        return w.start()
 
     def body(df: DataFrame, batch_id: int) -> None:
         if not muted:

@@ -64,3 +64,15 @@ def test_json_log_folder_source(spark, tmp_dir):
     assert run.batches == 1
     expected = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log)))
     assert rows(read_table(spark, run.table)) == rows(expected)
+
+
+def test_notifications_memory_sink(spark, tmp_dir):
+    from strivelake.streaming.notifications import run_notifications
+    i = Inputs(spark, SF_SMALL)
+    write_log_files(i.log, f"{tmp_dir}/log")
+    q = run_notifications(spark, f"{tmp_dir}/log", i.names, "memory:strivelake_test_messages",
+                          f"{tmp_dir}/ck")
+    q.awaitTermination()
+    got = spark.table("strivelake_test_messages")
+    assert got.count() == spark.read.parquet(f"{tmp_dir}/log").filter(
+        F.col("value").contains('"op":"c"')).count()
