@@ -456,6 +456,12 @@ def quality_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scan(quality.operational(Inputs(spark, sf_dir).activities))
 
 
+@query("quality_scan_change_rows")
+def quality_scan_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-1..Q-4 on the parsed change rows, where ids repeat (duplicate_count fails)."""
+    return quality.scan(quality.operational(_changes(Inputs(spark, sf_dir))))
+
+
 @query("quality_failed_rows")
 def quality_failed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.failed_rows(quality.operational(Inputs(spark, sf_dir).activities),

@@ -487,7 +487,8 @@ SELECT * FROM (
     END AS reason
   FROM f_activities) WHERE reason IS NOT NULL""", "f_activities")
 
-oracle("quality_scan", """
+def scan_sql(src: str) -> str:
+    return f"""
 , t AS (SELECT count(*) AS rows,
     CAST(count_if(id IS NULL) AS BIGINT) AS m_id,
     CAST(count_if(employee_id IS NULL) AS BIGINT) AS m_emp,
@@ -496,9 +497,9 @@ oracle("quality_scan", """
     CAST(count_if(activity_type IS NULL) AS BIGINT) AS m_type,
     CAST(count_if(created_at IS NULL) AS BIGINT) AS m_created,
     CAST(count_if(distance_m < 0) AS BIGINT) AS invalid,
-    (SELECT count(*) FROM (SELECT id FROM f_operational WHERE id IS NOT NULL
+    (SELECT count(*) FROM (SELECT id FROM {src} WHERE id IS NOT NULL
                            GROUP BY id HAVING count(*) > 1)) AS dups
-  FROM f_operational)
+  FROM {src})
 SELECT 'row_count > 0' AS "check", rows AS metric, CAST(0 AS BIGINT) AS threshold, rows > 0 AS passed FROM t
 UNION ALL SELECT 'missing_count(id) = 0', m_id, 0, m_id = 0 FROM t
 UNION ALL SELECT 'missing_count(employee_id) = 0', m_emp, 0, m_emp = 0 FROM t
@@ -507,8 +508,15 @@ UNION ALL SELECT 'missing_count(end_date) = 0', m_end, 0, m_end = 0 FROM t
 UNION ALL SELECT 'missing_count(activity_type) = 0', m_type, 0, m_type = 0 FROM t
 UNION ALL SELECT 'missing_count(created_at) = 0', m_created, 0, m_created = 0 FROM t
 UNION ALL SELECT 'duplicate_count(id) = 0', dups, 0, dups = 0 FROM t
-UNION ALL SELECT 'invalid_count(distance_m) = 0', invalid, 0, invalid = 0 FROM t""",
-       "f_operational")
+UNION ALL SELECT 'invalid_count(distance_m) = 0', invalid, 0, invalid = 0 FROM t"""
+
+
+cte("f_operational_changes", f"""
+SELECT id, employee_id, {parse('start_date')} AS start_date, activity_type, distance_m,
+  {parse('end_date')} AS end_date, comment, {parse('created_at')} AS created_at
+FROM f_changes""", "f_changes")
+oracle("quality_scan", scan_sql("f_operational"), "f_operational")
+oracle("quality_scan_change_rows", scan_sql("f_operational_changes"), "f_operational_changes")
 oracle("quality_failed_rows", """
 SELECT 'end_before_start' AS "check", id, employee_id, start_date, end_date, activity_type
 FROM f_operational WHERE end_date < start_date

@@ -78,3 +78,12 @@ def test_profile(spark):
     assert [tuple(r) for r in profile.value_counts(df, "m").collect()] == [("a", 2), ("b", 1)]
     assert [tuple(r) for r in profile.column_profile(df.withColumn("n", F.lit(1))).collect()] == [
         (1, "m", "string", 3), (2, "n", "int", 4)]
+
+
+def test_read_reference_csv_sheet(spark, tmp_dir):
+    df = spark.createDataFrame([("3", "Transports en commun"), ("4", "Cheval")],
+                               "`ID salarié` string, `Moyen de déplacement` string")
+    df.write.option("header", True).csv(f"{tmp_dir}/rh_csv")
+    rh = read_reference(spark, f"{tmp_dir}/rh_csv", fmt="csv", is_rh=True)
+    assert sorted((r.employee_id, r.commute_mode) for r in rh.collect()) == [
+        (3, "Transports en commun"), (4, None)]
