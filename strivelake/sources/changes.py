@@ -19,7 +19,9 @@ def read_changes(spark: SparkSession, source: str, *, fmt: str = "parquet",
     """Log records as (value, partition, offset).
 
     ``fmt="kafka"``: ``source`` is the topic; pass ``kafka.bootstrap.servers`` in
-    ``options``. Batch reads take earliest -> latest.
+    ``options``. Batch reads take earliest -> latest. ``minPartitions`` defaults to
+    the cluster parallelism so that one heavy topic partition is read by several
+    tasks. Folder sources are split by ``spark.sql.files.maxPartitionBytes``.
     """
     opts = dict(options or {})
     if fmt == "kafka":
@@ -28,6 +30,10 @@ def read_changes(spark: SparkSession, source: str, *, fmt: str = "parquet",
         opts.setdefault("startingOffsets", "earliest")
         if not streaming:
             opts.setdefault("endingOffsets", "latest")
+        # a hot topic partition is split over several tasks instead of one
+        parallelism = _default_parallelism(spark)
+        if parallelism:
+            opts.setdefault("minPartitions", str(parallelism))
         df = reader.options(**opts).load()
         return df.select(F.col("value").cast("string").alias("value"),
                          F.col("partition").cast("int").alias("partition"),
@@ -36,6 +42,13 @@ def read_changes(spark: SparkSession, source: str, *, fmt: str = "parquet",
     return reader.format(fmt).load(source).select("value", "partition", "offset")
 
 
+def _default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        return None
+
+
 def write_log_files(log: DataFrame, folder: str, *, fmt: str = "parquet") -> None:
     """Append log records to a folder read by :func:`read_changes` (one write = one run's input)."""
     log.select("value", "partition", "offset").write.mode("append").format(fmt).save(folder)
