@@ -20,7 +20,9 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strivelake-test-ckpt-"))
+    if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        # only when the environment names no shared checkpoint folder
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strivelake-test-ckpt-"))
     yield s
     s.stop()
 
