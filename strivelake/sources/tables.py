@@ -8,6 +8,8 @@ version (a retried micro-batch) is harmless. With Delta on the class path,
 """
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +20,25 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v={int(version)}"
 
 
+def _local_missing(path: str) -> bool:
+    """True for a local path that does not exist (remote stores are probed by the read)."""
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    elif "://" in path or ":" in path.split("/", 1)[0]:
+        return False
+    return not os.path.exists(path)
+
+
 def list_versions(spark: SparkSession, path: str) -> DataFrame:
     """All committed versions of a table as a DataFrame(version)."""
+    log = f"{path.rstrip('/')}/{VERSIONS}"
+    empty = spark.range(0).select(F.col("id").cast("long").alias("version"))
+    if _local_missing(log):
+        return empty
     try:
-        return spark.read.parquet(f"{path.rstrip('/')}/{VERSIONS}").select("version").distinct()
+        return spark.read.parquet(log).select("version").distinct()
     except Exception:  # noqa: BLE001 - no version yet
-        return spark.range(0).select(F.col("id").cast("long").alias("version"))
+        return empty
 
 
 def latest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
