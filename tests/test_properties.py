@@ -106,3 +106,25 @@ def test_quality_scan_equals_brute_force(spark, rows):
         "invalid_count(distance_m) = 0": sum(r[4] is not None and r[4] < 0 for r in data),
     }
     assert got == want
+
+
+sport = st.one_of(st.sampled_from(["Runing", "Randonnée", "Tennis", "Natation", "Voile", "Yoga"]),
+                  st.text(alphabet="abcXYZé ", min_size=1, max_size=8))
+distance = st.one_of(st.none(), st.just(0), st.integers(1, 120_000),
+                     st.sampled_from([50, 150, 1050, 1150, 2450, 9950, 99950]))
+comment = st.one_of(st.none(), st.just(""), st.text(alphabet="ab é!", max_size=6))
+
+
+@settings_
+@given(rows=st.lists(st.tuples(sport, st.integers(1, 600), distance, comment), min_size=1,
+                     max_size=20))
+def test_message_text_equals_the_rule(spark, rows):
+    from pyspark.sql import functions as F
+
+    from strivelake.functions import expressions as X
+    from test_functions import _expected_message
+    df = spark.createDataFrame([("P1 N", s, m, d, c) for s, m, d, c in rows],
+                               "n string, s string, m long, d long, c string")
+    got = [r[0] for r in df.select(X.message_text(F.col("n"), F.col("s"), F.col("m"),
+                                                  F.col("d"), F.col("c"))).collect()]
+    assert got == [_expected_message("P1 N", s, m, d, c) for s, m, d, c in rows]
