@@ -76,3 +76,19 @@ def test_notifications_memory_sink(spark, tmp_dir):
     got = spark.table("strivelake_test_messages")
     assert got.count() == spark.read.parquet(f"{tmp_dir}/log").filter(
         F.col("value").contains('"op":"c"')).count()
+
+
+def test_late_older_change_does_not_roll_back(spark, tmp_dir):
+    import json
+    r = {"id": 1, "employee_id": 1, "start_date": "2025-01-01T10:00:00Z", "activity_type": "Runing",
+         "distance_m": 9, "end_date": "2025-01-01T11:00:00Z", "comment": None, "created_at": None}
+    newer = json.dumps({"op": "u", "after": r, "ts_ms": 2})
+    older = json.dumps({"op": "u", "after": dict(r, distance_m=1), "ts_ms": 1})
+    schema = "value string, partition int, offset long"
+    log, table, ck = f"{tmp_dir}/log", f"{tmp_dir}/state", f"{tmp_dir}/ck"
+    write_log_files(spark.createDataFrame([(newer, 0, 10)], schema), log)
+    run_incremental_merge(spark, log, table, ck)
+    write_log_files(spark.createDataFrame([(older, 0, 5)], schema), log)   # arrives late
+    run = run_incremental_merge(spark, log, table, ck)
+    assert run.batches == 1
+    assert [x.distance_m for x in read_table(spark, table).collect()] == [9]
