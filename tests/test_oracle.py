@@ -5,8 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+import tools.check_oracle as checker
 from tools.check_oracle import TABLES, digest
 
+checker.EXACT = True  # doubles compared bit for bit
+
 from conftest import SF_SMALL
 
 
