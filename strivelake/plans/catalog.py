@@ -108,10 +108,13 @@ def src_state_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_export_readback")
 def src_export_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-7: a one-file export read back in full."""
+    """S-7: an export written as many range-partitioned part files, all read back (D-13)."""
     path = scratch_path(spark, "export") + "/gold"
-    export_sorted(_gold(Inputs(spark, sf_dir)), path, single_file=True)
-    return read_export(spark, path)
+    export_sorted(_gold(Inputs(spark, sf_dir)), path)
+    back = read_export(spark, path)
+    if not back.inputFiles():
+        raise FileNotFoundError(path)
+    return back
 
 
 @query("sink_overwrite_roundtrip")

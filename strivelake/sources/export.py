@@ -14,7 +14,8 @@ def export_sorted(df: DataFrame, path: str, keys: tuple[str, ...] = EXPORT_KEYS,
 
     Default: range-partitioned on the keys (sampled boundaries, parallel write)
     and sorted within each file, so the part files in name order are globally
-    sorted. ``single_file=True`` reproduces the one-file export.
+    sorted. ``single_file=True`` reproduces the one-file export for small
+    outputs only: it sends every row through one task.
     """
     if check_empty:
         assert_not_empty(df, "export input")
