@@ -122,6 +122,8 @@ def job_quality(spark, args) -> int:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strivelake")
+    p.add_argument("--input-bytes", type=int,
+                   help="input volume; sizes shuffle partitions, split size and AQE targets")
     sub = p.add_subparsers(dest="job", required=True)
 
     def log_args(sp):
@@ -179,6 +181,9 @@ JOBS = {"bronze": job_bronze, "ref": job_ref, "silver": job_silver, "gold": job_
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or _session()
+    if args.input_bytes:
+        from strivelake.session import apply_cluster_settings
+        apply_cluster_settings(spark, args.input_bytes)
     try:
         return JOBS[args.job](spark, args)
     except ValueError as exc:

@@ -39,3 +39,21 @@ def test_jobs_chain(spark, tmp_dir, capsys):
     assert run("quality", "--activities", f"{tmp_dir}/activities", "--now", "2002-01-01") == 1
     out = capsys.readouterr().out
     assert "FAIL missing_count(start_date) = 0" in out and "PASS row_count > 0" in out
+
+
+def test_input_bytes_applies_cluster_settings(spark):
+    from strivelake.__main__ import parser
+    from strivelake.session import apply_cluster_settings
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    args = parser().parse_args(["--input-bytes", str(1024 ** 4), "export", "--gold", "g",
+                                "--out", "o"])
+    assert args.input_bytes == 1024 ** 4
+    try:
+        apply_cluster_settings(spark, args.input_bytes)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4096"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
