@@ -168,3 +168,18 @@ def test_null_ids_are_rejected(spark):
     latest = cdc.latest_per_key(cdc.parse_changes(log_df(spark, recs)))
     assert [x.id for x in latest.collect()] == [1]
     assert latest.filter(F.col("id").isNull()).count() == 0
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=st.dictionaries(st.integers(0, 8), st.tuples(st.integers(0, 1), st.integers(0, 20)),
+                              max_size=8),
+       changes=st.dictionaries(st.integers(0, 10),
+                               st.tuples(st.sampled_from(["c", "u", "d"]), st.integers(0, 1),
+                                         st.integers(0, 20)), max_size=8))
+def test_broadcast_merge_equals_shuffle_merge(spark, target, changes):
+    t = state_rows(spark, [srow(k, "c", p, o, dist=o) for k, (p, o) in target.items()])
+    c = state_rows(spark, [srow(k, op, p, o, dist=100 + o) for k, (op, p, o) in changes.items()])
+    key = lambda df: sorted(tuple(r) for r in df.select(*STATE_COLUMNS).collect())
+    full = key(cdc.merge_state(t, c))
+    assert key(cdc.merge_state_broadcast(t, c)) == full
+    assert key(cdc.merge_changes(t, c, broadcast_rows=3)) == full
