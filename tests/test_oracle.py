@@ -41,6 +41,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_entry(spark):
+    from strivelake.schemas import GOLD_SCHEMA
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns[:2] == ["employee_id", "year"] and len(df.columns) == 17
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == \
+        [(f.name, f.dataType.simpleString()) for f in GOLD_SCHEMA.fields]
