@@ -1,7 +1,7 @@
 """Session helpers: UTC session, scratch folders under the shared checkpoint dir."""
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -39,36 +39,27 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created and
-    registered, so later lineage cuts and scratch tables land in one place.
+    Only a purely local session (tests) may do without the setting: it gets a private
+    folder, registered so later lineage cuts land in one place. On a cluster a
+    machine-local folder would scatter the files, so a missing setting is an error.
     """
-    root = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
-        sc = None
-    if sc is not None:
-        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir() \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="strivelake-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strivelake-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the checkpoint root for one run of one job."""
-    root = checkpoint_root(spark)
-    path = f"{root}/strivelake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A new, unique folder name under the checkpoint root for one run of one job.
+
+    Spark's writers create it in whichever file system the checkpoint folder lives.
+    """
+    return f"{checkpoint_root(spark)}/strivelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
 # Target bytes per task for scans and shuffles on a cluster (fits executor memory
