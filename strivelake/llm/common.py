@@ -61,3 +61,10 @@ def split_count(parts: Column) -> Column:
                   .otherwise((parts[0] == "").cast("long")
                              + (F.element_at(parts, -1) == "").cast("long")))
     return F.size(parts).cast("long") - empty_ends
+
+
+def python_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the rows of an Arrow batch, so a batch of long texts fits a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from strivelake.llm.common import read_table
 from strivelake.llm.decontaminate import decontaminate
+from strivelake.llm.line_dedup import dedup_lines
+from strivelake.llm.quality import with_quality
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +18,24 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = with_quality(docs.withColumnRenamed("text", "_text"), text_col="_text", out="q")
+    return scored.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines",
+                         "q.n_repeat_words", "q.base_failed", "q.kept", "q.p_good")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = dedup_lines(docs, removed_col="removed_units")
+    return found.select(
+        "doc_id", "text", F.coalesce(F.size("removed_units"), F.lit(0)).alias("n_removed"),
+        F.length("text").cast("long").alias("n_chars"), "removed_units")
+
+
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_quality_rules": op2_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
