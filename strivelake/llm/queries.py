@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from strivelake.llm.common import read_table
 from strivelake.llm.decontaminate import decontaminate
 from strivelake.llm.line_dedup import dedup_lines
+from strivelake.llm.mixing import mix
 from strivelake.llm.quality import with_quality
+from strivelake.llm.setsketch import near_duplicates
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,9 +35,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"), "removed_units")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op7_mixing": op7_mixing,
+    "op9_setsketch": op9_setsketch,
 }
 ORACLE_SQL: dict[str, str] = {}
