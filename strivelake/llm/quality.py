@@ -166,19 +166,20 @@ def _at_most(p: np.ndarray, k: int, high: float) -> None:
 
 
 def with_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KEEP_AT,
-                 out: str = "quality") -> DataFrame:
-    """``docs`` plus one struct column ``out``: the features, each rule's vote, base_failed,
-    p_good and kept."""
+                 out: str = "quality", carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (or only its columns ``carry``) plus one struct column ``out``: the features,
+    each rule's vote, base_failed, p_good and kept."""
     python_batches(docs.sparkSession)
     feature, code, p_good = (f"__{out}_{x}" for x in ("features", "code", "p"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
 
     def f(name: str) -> Column:
         return F.col(f"{feature}.{name}")
 
     votes = rules(f)
     stored = stage(docs.withColumn(feature, features_udf(F.col(text_col)))
-                   .withColumn(code, pattern_code(list(votes.values()))), "quality")
+                   .withColumn(code, pattern_code(list(votes.values())))
+                   .select(*own, feature, code), "quality")
     found = stored.groupBy(F.col(code).alias("code")).agg(F.count("*").alias("n")).collect()
     codes = np.array([r.code for r in found], dtype=np.int64)
     p = fit_votes(codes, np.array([r.n for r in found]), list(votes))

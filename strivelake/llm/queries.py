@@ -21,8 +21,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = with_quality(docs.withColumnRenamed("text", "_text"), text_col="_text", out="q")
+    scored = with_quality(read_table(spark, sf_dir, "documents"), out="q", carry=["doc_id"])
     return scored.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines",
                          "q.n_repeat_words", "q.base_failed", "q.kept", "q.p_good")
 
