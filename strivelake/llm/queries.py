@@ -9,6 +9,7 @@ from strivelake.llm.decontaminate import decontaminate
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
 from strivelake.llm.quality import with_quality
+from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
 
 
@@ -26,6 +27,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "q.n_repeat_words", "q.base_failed", "q.kept", "q.p_good")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = dedup_lines(docs, removed_col="removed_units")
@@ -46,6 +55,7 @@ def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
+    "op4_secret_scan": op4_secret_scan,
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
     "op9_setsketch": op9_setsketch,
