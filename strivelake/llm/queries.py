@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strivelake.llm.common import read_table
 from strivelake.llm.decontaminate import decontaminate
+from strivelake.llm.html_text import extract_pages
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
 from strivelake.llm.quality import with_quality
@@ -52,6 +53,10 @@ def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
@@ -59,5 +64,6 @@ TRAINING_QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
     "op9_setsketch": op9_setsketch,
+    "op10_html_text": op10_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}
