@@ -12,6 +12,7 @@ from strivelake.llm.mixing import mix
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
+from strivelake.llm.warc import round_trip
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "q.n_repeat_words", "q.base_failed", "q.kept", "q.p_good")
 
 
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages"))[0]
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(read_table(spark, sf_dir, "documents"))
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
@@ -60,6 +65,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_secret_scan": op4_secret_scan,
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
