@@ -12,6 +12,7 @@ from strivelake.llm.mixing import mix
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
+from strivelake.llm.tool_calls import calls_of_turns, link_calls, schema_table
 from strivelake.llm.warc import round_trip
 
 
@@ -54,6 +55,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_of_turns(read_table(spark, sf_dir, "conversations"))
+    return link_calls(calls, results, schema_table(spark))
+
+
 def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -69,6 +75,7 @@ TRAINING_QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
+    "op8_tool_calls": op8_tool_calls,
     "op9_setsketch": op9_setsketch,
     "op10_html_text": op10_html_text,
 }
