@@ -9,6 +9,7 @@ from strivelake.llm.decontaminate import decontaminate
 from strivelake.llm.html_text import extract_pages
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
+from strivelake.llm.perplexity import classify
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
@@ -50,6 +51,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"), "removed_units")
 
 
+def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return classify(read_table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -74,6 +80,7 @@ TRAINING_QUERIES = {
     "op3_warc_salvage": op3_warc_salvage,
     "op4_secret_scan": op4_secret_scan,
     "op5_line_dedup": op5_line_dedup,
+    "op6_perplexity": op6_perplexity,
     "op7_mixing": op7_mixing,
     "op8_tool_calls": op8_tool_calls,
     "op9_setsketch": op9_setsketch,
