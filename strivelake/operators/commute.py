@@ -44,7 +44,8 @@ def with_travel_mode(df: DataFrame) -> DataFrame:
 
 def dedupe_routes(routes: DataFrame) -> DataFrame:
     """One distance per (home_address, travel_mode); the shortest wins if several."""
-    return (routes.groupBy("home_address", "travel_mode")
+    return (routes.withColumn("home_address", strip_ws("home_address"))
+            .groupBy("home_address", "travel_mode")
             .agg(F.min("meters").alias("meters")))
 
 
@@ -65,13 +66,19 @@ def with_commute_distance(df: DataFrame, routes: DataFrame, *, home_col: str = C
     """
     if "google_travel_mode" not in df.columns:
         df = with_travel_mode(df)
-    keyed = df.withColumn("_home", _home_key(df, home_col))
+    home = _home_key(df, home_col)
+    asks = home.isNotNull() & F.col("google_travel_mode").isNotNull()
+    # rows without a key look nothing up: they get a spread key on the side that matches no
+    # route (_asks false), so they do not meet in one partition
+    keyed = (df.withColumn("_home", home).withColumn("_asks", asks)
+             .withColumn("_at", F.when(asks, F.col("_home")).otherwise(
+                 F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))))
     r = dedupe_routes(routes).select(
-        F.col("home_address").alias("_home"),
+        F.lit(True).alias("_asks"), F.col("home_address").alias("_at"),
         F.col("travel_mode").alias("google_travel_mode"),
         meters_to_km("meters").alias("_route_km"),
     )
-    out = (keyed.join(r, ["_home", "google_travel_mode"], "left")
+    out = (keyed.join(r, ["_at", "google_travel_mode", "_asks"], "left")
            .withColumn("distance_km", F.col("_route_km"))
            .withColumn("anomaly_commute", commute_anomaly(F.col("distance_km"),
                                                           F.col("max_allowed_km"))))
@@ -81,7 +88,7 @@ def with_commute_distance(df: DataFrame, routes: DataFrame, *, home_col: str = C
         if not missing.isEmpty():
             raise RuntimeError("routes: no distance for at least one employee "
                                "(see missing_routes)")
-    return out.drop("_home", "_route_km")
+    return out.drop("_home", "_at", "_asks", "_route_km")
 
 
 def enrich_employees(employees: DataFrame, routes: DataFrame, *, strict: bool = False) -> DataFrame:
@@ -104,7 +111,7 @@ def missing_routes(employees: DataFrame, routes: DataFrame, *, home_col: str = C
                       F.col("google_travel_mode").alias("travel_mode"))
             .filter(F.col("home_address").isNotNull() & F.col("travel_mode").isNotNull())
             .distinct())
-    return need.join(routes.select("home_address", "travel_mode"),
+    return need.join(routes.select(strip_ws("home_address").alias("home_address"), "travel_mode"),
                      ["home_address", "travel_mode"], "left_anti")
 
 

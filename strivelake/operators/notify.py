@@ -42,9 +42,11 @@ def names_table(names: DataFrame) -> DataFrame:
                     F.col("n.last").alias("last_name")))
 
 
-def with_names(df: DataFrame, names: DataFrame) -> DataFrame:
-    """J-5: left join on employee_id, default ("Un", "collègue") for unknown ids."""
-    return (df.join(names_table(names), "employee_id", "left")
+def with_names(df: DataFrame, names: DataFrame, *, looked_up: bool = False) -> DataFrame:
+    """J-5: left join on employee_id, default ("Un", "collègue") for unknown ids.
+
+    ``looked_up``: ``names`` is a (persisted) result of :func:`names_table` already."""
+    return (df.join(names if looked_up else names_table(names), "employee_id", "left")
             .withColumn("full_name", F.concat(
                 F.coalesce(F.col("first_name"), F.lit(DEFAULT_FIRST)), F.lit(" "),
                 F.coalesce(F.col("last_name"), F.lit(DEFAULT_LAST))))
@@ -63,11 +65,11 @@ def with_message(df: DataFrame) -> DataFrame:
         F.col("distance_m"), F.col("comment")))
 
 
-def notifications(created: DataFrame, names: DataFrame, *, keep: tuple[str, ...] = ("id", "employee_id")
-                  ) -> tuple[DataFrame, DataFrame]:
+def notifications(created: DataFrame, names: DataFrame, *, keep: tuple[str, ...] = ("id", "employee_id"),
+                  looked_up: bool = False) -> tuple[DataFrame, DataFrame]:
     """(messages, rejects): one message per create event; events whose dates do not
     parse go to ``rejects`` instead of stopping the consumer (D-16)."""
-    df = with_duration(with_names(created, names))
+    df = with_duration(with_names(created, names, looked_up=looked_up))
     ok = with_message(df.filter(F.col("duration_min").isNotNull()))
     rejects = df.filter(F.col("duration_min").isNull()).select(
         *keep, "start_date", "end_date", F.lit("unparseable date").alias("reason"))

@@ -33,13 +33,15 @@ def _check(name: str, metric: Column, threshold: int, passed: Column) -> Column:
 
 def scan(df: DataFrame, key: str = "id", required: tuple[str, ...] = REQUIRED,
          also_required: tuple[str, ...] = ("created_at",), min_col: str = "distance_m",
-         valid_min: int = 0) -> DataFrame:
-    """Q-1..Q-4, Q-12: one row per check (check, metric, threshold, passed)."""
+         valid_min: int = 0, now: dt.datetime | None = None) -> DataFrame:
+    """Q-1..Q-8, Q-12: one row per check (check, metric, threshold, passed)."""
+    broken = failed_row_rules(now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     cols = [c for c in required if c != key] + [c for c in also_required if c in df.columns]
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_miss_{c}") for c in cols],
         F.count_if(F.col(min_col) < F.lit(valid_min)).alias("_invalid"),
+        *[F.count_if(cond).alias(f"_{name}") for name, cond in broken.items()],
     )
     k = F.col(key)
     tot = per_key.agg(
@@ -48,6 +50,7 @@ def scan(df: DataFrame, key: str = "id", required: tuple[str, ...] = REQUIRED,
         *[F.coalesce(F.sum(f"_miss_{c}"), F.lit(0)).alias(f"miss_{c}") for c in cols],
         F.count_if(k.isNotNull() & (F.col("_n") > 1)).alias("dups"),
         F.coalesce(F.sum("_invalid"), F.lit(0)).alias("invalid"),
+        *[F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(name) for name in broken],
     )
     rows = F.coalesce(F.col("rows"), F.lit(0))
     checks = [_check("row_count > 0", rows, 0, rows > 0)]
@@ -57,6 +60,7 @@ def scan(df: DataFrame, key: str = "id", required: tuple[str, ...] = REQUIRED,
     checks.append(_check(f"duplicate_count({key}) = 0", F.col("dups"), 0, F.col("dups") == 0))
     checks.append(_check(f"invalid_count({min_col}) = 0", F.col("invalid"), 0,
                          F.col("invalid") == 0))
+    checks += [_check(f"failed_rows({name}) = 0", F.col(name), 0, F.col(name) == 0) for name in broken]
     return tot.select(F.inline(F.array(*checks)))
 
 
@@ -68,15 +72,20 @@ FAILED_ROW_RULES = (
 )
 
 
-def failed_rows(df: DataFrame, now: dt.datetime) -> DataFrame:
-    """Q-5..Q-8: every (rule, row) where the rule's fail condition holds."""
+def failed_row_rules(now: dt.datetime) -> dict[str, Column]:
+    """The fail conditions of Q-5..Q-8 by rule name."""
     limit = F.lit(now).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-    conds = {
+    return {
         "end_before_start": F.col("end_date") < F.col("start_date"),
         "duration_not_positive": F.col("end_date") <= F.col("start_date"),
         "blank_activity_type": F.trim(F.col("activity_type")) == F.lit(""),
         "start_in_far_future": F.col("start_date") > limit,
     }
+
+
+def failed_rows(df: DataFrame, now: dt.datetime) -> DataFrame:
+    """Q-5..Q-8: every (rule, row) where the rule's fail condition holds."""
+    conds = failed_row_rules(now)
     tags = F.filter(F.array(*[F.when(F.coalesce(conds[n], F.lit(False)), F.lit(n))
                               for n in FAILED_ROW_RULES]), lambda x: x.isNotNull())
     return (df.select(F.explode(tags).alias("check"), "id", "employee_id", "start_date",
@@ -108,15 +117,6 @@ def duplicate_sample(df: DataFrame, keys: list[str], size: int = 5) -> DataFrame
     return duplicate_keys(df, keys).orderBy(*keys).limit(size)
 
 
-def assert_unique(df: DataFrame, keys: list[str], label: str) -> None:
-    """Q-9: raise ValueError with a sample of 5 when the keys are not unique."""
-    dups = duplicate_keys(df, keys)
-    n = dups.count()
-    if n:
-        sample = [r.asDict() for r in dups.orderBy(*keys).limit(5).collect()]
-        raise ValueError(f"{label}: {n} duplicate key group(s), e.g. {sample}")
-
-
 def unique_key_report(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Q-9 as data: (table_name, key_columns, duplicate_groups, passed)."""
     n = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("duplicate_groups"))
@@ -124,6 +124,15 @@ def unique_key_report(df: DataFrame, keys: list[str], label: str) -> DataFrame:
                     "duplicate_groups", (F.col("duplicate_groups") == 0).alias("passed"))
 
 
+def assert_unique(df: DataFrame, keys: list[str], label: str, size: int = 5) -> None:
+    """Q-9: turn a failed uniqueness report into an error that shows ``size`` groups."""
+    found = unique_key_report(df, keys, label).first()
+    if not found["passed"]:
+        sample = [tuple(r) for r in duplicate_sample(df, keys, size).collect()]
+        raise ValueError(f"{label}: {found['duplicate_groups']} duplicate group(s) of "
+                         f"({found['key_columns']}), such as {sample}")
+
+
 def null_key_report(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Q-10 as data: rows with a null in any key column."""
     cond = F.lit(False)

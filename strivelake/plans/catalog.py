@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strivelake.functions.expressions import km_label, parse_ts
@@ -21,6 +21,7 @@ from strivelake.rules import FIXTURE_AS_OF, FIXTURE_RULES
 from strivelake.session import scratch_path
 from strivelake.sources.changes import read_changes, write_log_files
 from strivelake.sources.export import export_sorted, read_export
+from strivelake.sources.fixtures import sport_sheet
 from strivelake.sources.reference import (
     declared_sports, read_reference, sanitize_columns,
 )
@@ -57,7 +58,7 @@ def _latest(i: Inputs, *batches: int) -> DataFrame:
 
 def _spine(i: Inputs) -> DataFrame:
     by_year = gold.activities_by_year(i.activities)
-    years = gold.year_list(gold.activity_years(by_year, FIXTURE_AS_OF))
+    years = gold.year_array(gold.activity_years(by_year, FIXTURE_AS_OF))
     return gold.employee_year_spine(i.enriched.select("employee_id"), years)
 
 
@@ -97,12 +98,12 @@ def src_reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_state_scan")
 def src_state_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-5: two committed versions; a scan returns the newest one."""
+    """S-5: a version per log batch; a scan returns the newest one."""
     i = Inputs(spark, sf_dir)
     path = scratch_path(spark, "state") + "/bronze"
-    v0 = cdc.initial_state(_latest(i, 0))
-    write_table(v0, path)
-    write_table(cdc.merge_state(read_table(spark, path), _latest(i, 1)), path)
+    write_table(cdc.initial_state(_latest(i, 0)), path)
+    for b in (1, 2):
+        write_table(cdc.merge_state(read_table(spark, path), _latest(i, b)), path)
     return read_table(spark, path)
 
 
@@ -129,10 +130,52 @@ def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_sorted_export")
 def sink_sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-2/O-1: range-partitioned, sorted export; the read-back equals gold."""
+    """K-2/O-1: range-partitioned, sorted export: rows out of order inside a file, and files
+    (in name order) whose keys start before those of the file ahead end."""
     path = scratch_path(spark, "export") + "/gold"
     export_sorted(_gold(Inputs(spark, sf_dir)), path)
-    return read_export(spark, path)
+    key = F.struct("year", "employee_id")
+    rows = read_export(spark, path).select(
+        key.alias("key"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
+    inside = rows.select((before > F.col("key")).alias("bad")).agg(
+        F.count("*").alias("n_rows"), F.count_if("bad").alias("rows_out_of_order"))
+    files = rows.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    ahead = F.lag("high").over(Window.orderBy("file"))  # one row per file
+    overlaps = files.select((ahead > F.col("low")).alias("bad")).agg(F.count_if("bad")).scalar()
+    return inside.withColumn("files_out_of_order", overlaps)
+
+
+@query("job_export_stored_gold")
+def job_export_stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-5: the export job from the stored gold table, read back."""
+    i = Inputs(spark, sf_dir)
+    base = scratch_path(spark, "export-job")
+    pipelines.gold_job(spark, i.activities, i.enriched, i.sport_ref, FIXTURE_RULES, FIXTURE_AS_OF,
+                       out=f"{base}/gold").unpersist()
+    return read_export(spark, pipelines.export_job(spark, f"{base}/gold", f"{base}/export"))
+
+
+def _ref_job(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    base = scratch_path(spark, "ref-job")
+    i.employee_sheet.write.parquet(f"{base}/rh")
+    sport_sheet(spark, sf_dir).write.parquet(f"{base}/sport")
+    pipelines.ref_job(spark, f"{base}/rh", f"{base}/sport", base)
+    return read_table(spark, f"{base}/ref/{table}")
+
+
+@query("job_ref_rh")
+def job_ref_rh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-2: the reference job, RH sheet."""
+    return _ref_job(spark, sf_dir, "rh")
+
+
+@query("job_ref_sport")
+def job_ref_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-2: the reference job, sport sheet."""
+    return _ref_job(spark, sf_dir, "sport")
 
 
 # ============================================================ streaming
@@ -154,7 +197,13 @@ def stream_reset_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_notifications")
 def stream_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-2/K-6: the notification stream over the log into a Parquet sink, read back."""
-    return pipelines.notification_run(spark, Inputs(spark, sf_dir))
+    return pipelines.notification_run(spark, Inputs(spark, sf_dir))[0]
+
+
+@query("stream_notification_rejects")
+def stream_notification_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-6/D-16: the create events that the notification stream set aside."""
+    return pipelines.notification_run(spark, Inputs(spark, sf_dir))[1]
 
 
 # ============================================================ projections / filters
@@ -217,7 +266,7 @@ def cdc_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_initial_load")
 def cdc_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.initial_state(_latest(Inputs(spark, sf_dir), 0))
+    return cdc.initial_state(_latest(Inputs(spark, sf_dir)))
 
 
 @query("cdc_merge_state")
@@ -229,9 +278,10 @@ def cdc_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_merge_state_broadcast")
 def cdc_merge_state_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M-3 for a size-checked change set: the state is not shuffled."""
+    """M-3 batch by batch; whether a side is broadcast is left to the planner."""
     i = Inputs(spark, sf_dir)
-    return cdc.merge_changes(cdc.initial_state(_latest(i, 0)), _latest(i, 1, 2))
+    return cdc.merge_state(cdc.merge_state(cdc.initial_state(_latest(i, 0)), _latest(i, 1)),
+                           _latest(i, 2))
 
 
 @query("cdc_merge_anti_union")
@@ -248,10 +298,12 @@ def cdc_partition_max_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_next_offsets")
 def cdc_next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M-5: checkpoint after batch 0, advanced by the maxima of batch 1."""
+    """M-5: checkpoint after batch 0, advanced by the maxima of batches 1 and 2."""
     i = Inputs(spark, sf_dir)
-    prev = cdc.next_offsets(None, cdc.partition_max_offsets(_changes(i, 0)))
-    return cdc.next_offsets(prev, cdc.partition_max_offsets(_changes(i, 1)))
+    offsets = None
+    for b in (0, 1, 2):
+        offsets = cdc.next_offsets(offsets, cdc.partition_max_offsets(_changes(i, b)))
+    return offsets
 
 
 @query("cdc_op_histogram")
@@ -269,10 +321,10 @@ def cdc_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_insert_if_absent")
 def cdc_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M-8: batch-1 rows inserted only for ids absent from the batch-0 state."""
+    """M-8: rows of batches 1 and 2 inserted only for ids absent from the batch-0 state."""
     i = Inputs(spark, sf_dir)
     target = cdc.initial_state(_latest(i, 0))
-    source = cdc.to_state_rows(_changes(i, 1).withColumnRenamed("op", "last_op"))
+    source = cdc.to_state_rows(_changes(i, 1, 2).withColumnRenamed("op", "last_op"))
     return cdc.insert_if_absent(target, source)
 
 
@@ -365,7 +417,9 @@ def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_value_counts")
 def profile_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_counts(Inputs(spark, sf_dir).employees, "Moyen_de_déplacement")
+    """A-6/O-3: with the place of each value in the output order."""
+    counts = profile.value_counts(Inputs(spark, sf_dir).employees, "Moyen_de_déplacement")
+    return counts.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
 
 
 @query("profile_columns")
@@ -376,8 +430,11 @@ def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ============================================================ scalar functions
 @query("silver_commute_mode")
 def silver_commute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = commute.with_commute_mode(Inputs(spark, sf_dir).employees)
-    return e.select("employee_id", "Moyen_de_déplacement", "commute_mode")
+    """F-3: an existing mode wins over the raw one, blanks and nulls do not."""
+    k = F.col("employee_id")
+    given = Inputs(spark, sf_dir).employees.withColumn("commute_mode", F.when(
+        k % 3 == 0, F.lit("Marche/running")).when(k % 3 == 1, F.lit("")))
+    return commute.with_commute_mode(given).select("employee_id", "Moyen_de_déplacement", "commute_mode")
 
 
 @query("silver_commute_anomaly")
@@ -456,13 +513,13 @@ def quality_distance_plausible(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ============================================================ data quality
 @query("quality_scan")
 def quality_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.scan(quality.operational(Inputs(spark, sf_dir).activities))
+    return quality.scan(quality.operational(Inputs(spark, sf_dir).activities), now=QUALITY_NOW)
 
 
 @query("quality_scan_change_rows")
 def quality_scan_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-1..Q-4 on the parsed change rows, where ids repeat (duplicate_count fails)."""
-    return quality.scan(quality.operational(_changes(Inputs(spark, sf_dir))))
+    """Q-1..Q-8 on the parsed change rows, where ids repeat (duplicate_count fails)."""
+    return quality.scan(quality.operational(_changes(Inputs(spark, sf_dir))), now=QUALITY_NOW)
 
 
 @query("quality_failed_rows")

@@ -56,15 +56,18 @@ SELECT o_orderkey AS id, o_custkey AS employee_id,
   CASE WHEN o_orderkey % 211 = 0 THEN 'not-a-date' ELSE strftime(st, '{ISO_S}') END AS start_date,
   activity_type,
   CASE WHEN activity_type IN ('Tennis','Badminton','Escalade','Voile') THEN NULL
+       WHEN o_orderkey % 173 = 0 THEN -1000
        ELSE (o_orderkey * 37) % 17500 END AS distance_m,
   strftime(CASE WHEN o_orderkey % 199 = 0 THEN st - INTERVAL 1 MINUTE
                 ELSE st + to_minutes(CAST(20 + o_orderkey % 161 AS BIGINT)) END, '{ISO_S}') AS end_date,
   CASE o_orderkey % 4 WHEN 0 THEN 'Belle séance' WHEN 1 THEN '' ELSE NULL END AS comment,
   strftime(o_orderdate, '{ISO_S}') AS created_at
 FROM (SELECT o_orderkey, o_custkey, o_orderdate,
-             o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS st,
+             CASE WHEN o_orderkey % 227 = 0 THEN o_orderdate + INTERVAL 40 YEAR ELSE o_orderdate END
+               + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS st,
+             CASE WHEN o_orderkey % 181 = 0 THEN '  ' ELSE
              (['Runing','Randonnée','Tennis','Badminton','Escalade','Natation','Triathlon','Voile'])
-               [CAST(o_orderkey % 8 AS INTEGER) + 1] AS activity_type
+               [CAST(o_orderkey % 8 AS INTEGER) + 1] END AS activity_type
       FROM orders)""")
 
 cte("f_employee_sheet", """
@@ -96,8 +99,9 @@ SELECT "ID salarié" AS employee_id, "Nom", "Prénom", "Salaire brut" AS "Salair
 FROM f_employee_sheet""", "f_employee_sheet")
 
 cte("f_names", """
-SELECT "ID salarié" AS employee_id, "Prénom", "Nom" FROM f_employee_sheet
-WHERE "ID salarié" % 17 <> 0""", "f_employee_sheet")
+SELECT "ID salarié" AS employee_id,
+  CASE WHEN "ID salarié" % 19 = 0 THEN 'Q' || "Prénom" ELSE "Prénom" END AS "Prénom", "Nom"
+FROM f_employee_sheet WHERE "ID salarié" % 17 <> 0""", "f_employee_sheet")
 
 cte("f_sport_sheet", """
 SELECT c_custkey AS "ID salarié",
@@ -223,14 +227,15 @@ SELECT CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'r' WHEN 'vie
   CAST(user_id % 4 AS INTEGER) AS kafka_partition,
   event_id AS kafka_offset,
   user_id AS id, user_id AS employee_id,
-  strftime(ts, '{ISO_US}') AS start_date,
+  CASE WHEN event_id % 89 = 0 THEN 'not-a-date' ELSE strftime(ts, '{ISO_US}') END AS start_date,
   event_type AS activity_type,
   CAST(floor(value * 100) AS BIGINT) AS distance_m,
   strftime(ts + INTERVAL 30 MINUTE, '{ISO_US}') AS end_date,
   props AS comment,
   strftime(ts, '{ISO_US}') AS created_at,
-  CASE WHEN event_id < 3334 THEN 0 WHEN event_id < 6667 THEN 1 ELSE 2 END AS batch
-FROM events
+  least(2, CAST((event_id - lo) * 3 // (hi - lo + 1) AS INTEGER)
+           + CASE WHEN event_id % 53 = 0 THEN 1 ELSE 0 END) AS batch
+FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
 WHERE event_id % 101 <> 0 AND event_id % 97 <> 0
   AND event_type IN ('signup', 'purchase', 'view', 'click', 'error')""")
 
@@ -250,11 +255,31 @@ SELECT {ROW_COLS}, op AS last_op, last_event_ts_ms, kafka_partition, kafka_offse
 latest_cte("f_latest_all", None)
 latest_cte("f_latest_b0", (0,))
 latest_cte("f_latest_b1", (1,))
-latest_cte("f_latest_b01", (0, 1))
+latest_cte("f_latest_b2", (2,))
 latest_cte("f_latest_b12", (1, 2))
 cte("f_state_all", f"SELECT {STATE_COLS} FROM f_latest_all WHERE last_op <> 'd'", "f_latest_all")
 cte("f_state_b0", f"SELECT {STATE_COLS} FROM f_latest_b0 WHERE last_op <> 'd'", "f_latest_b0")
-cte("f_state_b01", f"SELECT {STATE_COLS} FROM f_latest_b01 WHERE last_op <> 'd'", "f_latest_b01")
+
+
+def merged_cte(name: str, target: str, latest: str) -> None:
+    """One MERGE: an older change of the same partition loses against the stored row."""
+    cols = ", ".join(f"CASE WHEN applies THEN s_{c} ELSE t_{c} END AS {c}" for c in STATE_COLS.split(", "))
+    sides = ", ".join(f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in STATE_COLS.split(", "))
+    cte(name, f"""
+SELECT {cols} FROM (
+  SELECT {sides}, s.id IS NOT NULL AND (t.id IS NULL OR s.kafka_partition <> t.kafka_partition
+                                        OR s.kafka_offset >= t.kafka_offset) AS applies
+  FROM {target} t FULL OUTER JOIN {latest} s ON t.id = s.id)
+WHERE CASE WHEN applies THEN s_last_op <> 'd' ELSE t_id IS NOT NULL END""", target, latest)
+
+
+# the state after the three batches, one after the other, and after batch 0 and the other two at once
+merged_cte("f_state_b01", "f_state_b0", "f_latest_b1")
+merged_cte("f_state_steps", "f_state_b01", "f_latest_b2")
+merged_cte("f_state_two", "f_state_b0", "f_latest_b12")
+cte("f_state_unguarded", f"""
+SELECT {STATE_COLS} FROM f_state_b0 WHERE id NOT IN (SELECT id FROM f_latest_b12)
+UNION ALL SELECT {STATE_COLS} FROM f_latest_b12 WHERE last_op <> 'd'""", "f_state_b0", "f_latest_b12")
 
 # ---------------------------------------------------------------- notifications
 SPORT_LABEL = """CASE {x} WHEN 'Runing' THEN 'course' WHEN 'Randonnée' THEN 'randonnée'
@@ -296,7 +321,7 @@ SELECT employee_id, CAST(year(ts) AS INTEGER) AS activity_year, count(*) AS phys
 FROM (SELECT employee_id, {parse('start_date')} AS ts FROM f_activities WHERE {parse('start_date')} IS NULL)
 WHERE ts IS NOT NULL GROUP BY employee_id, CAST(year(ts) AS INTEGER)""", "f_activities")
 years_cte("f_years_bad", "f_by_year_bad", FIXTURE_AS_OF)
-cte("f_e2e_acts", f"SELECT {ROW_COLS} FROM f_state_all", "f_state_all")
+cte("f_e2e_acts", f"SELECT {ROW_COLS} FROM f_state_steps", "f_state_steps")
 cte("f_by_year_e2e", f"""
 SELECT employee_id, CAST(year(ts) AS INTEGER) AS activity_year, count(*) AS physical_activities_count_year
 FROM (SELECT employee_id, {parse('start_date')} AS ts FROM f_e2e_acts)
@@ -323,13 +348,19 @@ SELECT CAST(user_id % 4 AS INTEGER) AS kafka_partition, count(*) AS records,
   min(event_id) AS min_offset, max(event_id) AS max_offset,
   CAST(count_if(event_id % 101 = 0) AS BIGINT) AS null_values
 FROM events GROUP BY CAST(user_id % 4 AS INTEGER)""")
-for _k in ("src_cdc_empty_batch", "stream_incremental_merge", "stream_reset_replay",
-           "cdc_merge_state", "cdc_merge_anti_union", "cdc_merge_state_broadcast"):
-    oracle(_k, "SELECT * FROM f_state_all", "f_state_all")
+for _k, _state in {"src_cdc_empty_batch": "f_state_steps", "stream_incremental_merge": "f_state_steps",
+                   "cdc_merge_state_broadcast": "f_state_steps", "src_state_scan": "f_state_steps",
+                   "stream_reset_replay": "f_state_all", "cdc_initial_load": "f_state_all",
+                   "cdc_merge_state": "f_state_two", "cdc_merge_anti_union": "f_state_unguarded"}.items():
+    oracle(_k, f"SELECT * FROM {_state}", _state)
+oracle("job_ref_rh", "SELECT * FROM f_employees", "f_employees")
+oracle("job_ref_sport", "SELECT * FROM f_sport", "f_sport")
+oracle("job_export_stored_gold", "SELECT * FROM f_gold", "f_gold")
 oracle("src_reference_load", "SELECT * FROM f_employees", "f_employees")
-oracle("src_state_scan", "SELECT * FROM f_state_b01", "f_state_b01")
 oracle("src_export_readback", "SELECT * FROM f_gold", "f_gold")
-oracle("sink_sorted_export", "SELECT * FROM f_gold", "f_gold")
+oracle("sink_sorted_export", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS rows_out_of_order, CAST(0 AS BIGINT) AS files_out_of_order
+FROM f_gold""", "f_gold")
 oracle("sink_overwrite_roundtrip", "SELECT * FROM f_enriched", "f_enriched")
 oracle("stream_notifications", f"""
 SELECT c.kafka_partition, c.kafka_offset, c.id, c.employee_id,
@@ -338,6 +369,10 @@ SELECT c.kafka_partition, c.kafka_offset, c.id, c.employee_id,
 FROM f_creates c LEFT JOIN f_names n ON n.employee_id = c.employee_id
 WHERE {duration_sql('c.start_date', 'c.end_date')} IS NOT NULL""", "f_creates", "f_names")
 
+oracle("stream_notification_rejects", f"""
+SELECT kafka_partition, kafka_offset, id, employee_id, start_date, end_date, 'unparseable date' AS reason
+FROM f_creates WHERE {duration_sql('start_date', 'end_date')} IS NULL""", "f_creates")
+
 oracle("cdc_parse_envelopes", f"SELECT {CHANGE_COLS} FROM f_changes", "f_changes")
 oracle("ref_sanitize_columns", """
 SELECT "ID salarié" AS "ID_salarié", "Nom", "Prénom", "Salaire brut" AS "Salaire_brut",
@@ -355,17 +390,13 @@ SELECT employee_id, {strip('"Pratique_dun_sport"')} AS "Pratique_dun_sport" FROM
 WHERE "Pratique_dun_sport" IS NOT NULL AND {strip('"Pratique_dun_sport"')} <> ''""", "f_sport")
 
 oracle("cdc_latest_per_key", f"SELECT {STATE_COLS} FROM f_latest_all", "f_latest_all")
-oracle("cdc_initial_load", "SELECT * FROM f_state_b0", "f_state_b0")
 oracle("cdc_partition_max_offsets", """
 SELECT kafka_partition, max(kafka_offset) AS max_offset FROM f_changes GROUP BY kafka_partition""",
        "f_changes")
 oracle("cdc_next_offsets", """
-SELECT coalesce(p.kafka_partition, b.kafka_partition) AS kafka_partition,
-  greatest(b.m + 1, p.next_offset) AS next_offset
-FROM (SELECT kafka_partition, max(kafka_offset) + 1 AS next_offset FROM f_changes WHERE batch = 0
-      GROUP BY kafka_partition) p
-FULL OUTER JOIN (SELECT kafka_partition, max(kafka_offset) AS m FROM f_changes WHERE batch = 1
-      GROUP BY kafka_partition) b ON p.kafka_partition = b.kafka_partition""", "f_changes")
+SELECT kafka_partition, max(m) + 1 AS next_offset
+FROM (SELECT kafka_partition, batch, max(kafka_offset) AS m FROM f_changes GROUP BY ALL)
+GROUP BY kafka_partition""", "f_changes")
 oracle("cdc_op_histogram", "SELECT last_op, count(*) AS n FROM f_latest_all GROUP BY last_op",
        "f_latest_all")
 oracle("cdc_run_metrics", """
@@ -377,7 +408,7 @@ SELECT {STATE_COLS} FROM f_state_b0
 UNION ALL
 SELECT {ROW_COLS}, op AS last_op, last_event_ts_ms, kafka_partition, kafka_offset FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY kafka_offset, kafka_partition) AS rn
-  FROM f_changes WHERE batch = 1) s
+  FROM f_changes WHERE batch IN (1, 2)) s
 WHERE rn = 1 AND id NOT IN (SELECT id FROM f_state_b0)""", "f_state_b0", "f_changes")
 
 oracle("gold_employee_year_spine", "SELECT * FROM f_spine", "f_spine")
@@ -394,8 +425,10 @@ SELECT c.kafka_offset, c.employee_id, {FULL_NAME} AS full_name
 FROM f_creates c LEFT JOIN f_names n ON n.employee_id = c.employee_id""", "f_creates", "f_names")
 oracle("ref_commute_mode", """SELECT employee_id, "Moyen_de_déplacement", commute_mode FROM f_employees""",
        "f_employees")
-oracle("silver_commute_mode", """SELECT employee_id, "Moyen_de_déplacement", commute_mode FROM f_employees""",
-       "f_employees")
+oracle("silver_commute_mode", """
+SELECT employee_id, "Moyen_de_déplacement",
+  CASE WHEN employee_id % 3 = 0 THEN 'Marche/running' ELSE commute_mode END AS commute_mode
+FROM f_employees""", "f_employees")
 oracle("silver_travel_mode", """
 SELECT e.employee_id, e.commute_mode, t.travel_mode AS google_travel_mode, t.max_km AS max_allowed_km
 FROM f_employees e LEFT JOIN f_travel t ON e.commute_mode = t.mode""", "f_employees", "f_travel")
@@ -424,8 +457,9 @@ SELECT count(*) AS total_rows,
   CAST(count_if(anomaly_commute) AS BIGINT) AS commute_anomaly_rows
 FROM f_gold""", "f_gold")
 oracle("profile_value_counts", """
-SELECT "Moyen_de_déplacement" AS value, count(*) AS n FROM f_employees
-WHERE "Moyen_de_déplacement" IS NOT NULL GROUP BY 1 ORDER BY n DESC, value""", "f_employees")
+SELECT value, n, row_number() OVER (ORDER BY n DESC, value) AS place FROM (
+  SELECT "Moyen_de_déplacement" AS value, count(*) AS n FROM f_employees
+  WHERE "Moyen_de_déplacement" IS NOT NULL GROUP BY 1)""", "f_employees")
 oracle("profile_columns", """
 SELECT 1 AS position, 'employee_id' AS column_name, 'bigint' AS data_type, count(employee_id) AS non_null FROM f_employees
 UNION ALL SELECT 2, 'Nom', 'string', count("Nom") FROM f_employees
@@ -497,6 +531,10 @@ def scan_sql(src: str) -> str:
     CAST(count_if(activity_type IS NULL) AS BIGINT) AS m_type,
     CAST(count_if(created_at IS NULL) AS BIGINT) AS m_created,
     CAST(count_if(distance_m < 0) AS BIGINT) AS invalid,
+    CAST(count_if(end_date < start_date) AS BIGINT) AS q5,
+    CAST(count_if(end_date <= start_date) AS BIGINT) AS q6,
+    CAST(count_if(trim(activity_type) = '') AS BIGINT) AS q7,
+    CAST(count_if(start_date > TIMESTAMP '2002-01-01 00:00:00' + INTERVAL 1 DAY) AS BIGINT) AS q8,
     (SELECT count(*) FROM (SELECT id FROM {src} WHERE id IS NOT NULL
                            GROUP BY id HAVING count(*) > 1)) AS dups
   FROM {src})
@@ -508,7 +546,11 @@ UNION ALL SELECT 'missing_count(end_date) = 0', m_end, 0, m_end = 0 FROM t
 UNION ALL SELECT 'missing_count(activity_type) = 0', m_type, 0, m_type = 0 FROM t
 UNION ALL SELECT 'missing_count(created_at) = 0', m_created, 0, m_created = 0 FROM t
 UNION ALL SELECT 'duplicate_count(id) = 0', dups, 0, dups = 0 FROM t
-UNION ALL SELECT 'invalid_count(distance_m) = 0', invalid, 0, invalid = 0 FROM t"""
+UNION ALL SELECT 'invalid_count(distance_m) = 0', invalid, 0, invalid = 0 FROM t
+UNION ALL SELECT 'failed_rows(end_before_start) = 0', q5, 0, q5 = 0 FROM t
+UNION ALL SELECT 'failed_rows(duration_not_positive) = 0', q6, 0, q6 = 0 FROM t
+UNION ALL SELECT 'failed_rows(blank_activity_type) = 0', q7, 0, q7 = 0 FROM t
+UNION ALL SELECT 'failed_rows(start_in_far_future) = 0', q8, 0, q8 = 0 FROM t"""
 
 
 cte("f_operational_changes", f"""

@@ -20,7 +20,7 @@ from strivelake.session import scratch_path
 from strivelake.sources.changes import write_log_files
 from strivelake.sources.export import export_sorted
 from strivelake.sources.reference import read_reference
-from strivelake.sources.tables import read_table, write_table
+from strivelake.sources.tables import default_format, read_table, write_table
 from strivelake.streaming.merge import MergeRun, reset_and_replay, run_incremental_merge
 from strivelake.streaming.notifications import parquet_sink, run_notifications
 
@@ -58,17 +58,21 @@ def replay(spark: SparkSession, run: BronzeRun) -> MergeRun:
 
 
 def bronze_job(spark: SparkSession, log: str, table: str, checkpoint: str, *,
-               fmt: str = "parquet", options: dict | None = None) -> MergeRun:
-    return run_incremental_merge(spark, log, table, checkpoint, fmt=fmt, options=options)
+               fmt: str = "parquet", options: dict | None = None,
+               table_format: str | None = None) -> MergeRun:
+    return run_incremental_merge(spark, log, table, checkpoint, fmt=fmt, options=options,
+                                 table_format=table_format)
 
 
 # ------------------------------------------------------------------ C-2 ref
 def ref_job(spark: SparkSession, rh_path: str, sport_path: str, out: str, *,
-            fmt: str = "parquet") -> tuple[str, str]:
-    """Load both sheets, normalise, write ref/rh and ref/sport."""
+            fmt: str = "parquet", table_format: str | None = None) -> tuple[str, str]:
+    """Load both sheets, normalise, write ref/rh and ref/sport (Delta tables when installed)."""
+    table = table_format or default_format()
     rh = read_reference(spark, rh_path, fmt=fmt, is_rh=True)
     sport = read_reference(spark, sport_path, fmt=fmt)
-    return write_table(rh, f"{out}/ref/rh"), write_table(sport, f"{out}/ref/sport")
+    return (write_table(rh, f"{out}/ref/rh", fmt=table),
+            write_table(sport, f"{out}/ref/sport", fmt=table))
 
 
 # ------------------------------------------------------------------ C-3 silver
@@ -78,9 +82,10 @@ def require_employee(employees: DataFrame, employee_id: int) -> None:
 
 
 def silver_job(spark: SparkSession, bronze: DataFrame, rh: DataFrame, routes: DataFrame,
-               out: str, *, only_employee: int | None = None, strict: bool = False
-               ) -> tuple[DataFrame, DataFrame]:
-    """silver/activities and silver/rh_enriched; the one-employee mode writes elsewhere (D-10)."""
+               out: str, *, only_employee: int | None = None, strict: bool = False,
+               table_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """silver/activities and silver/rh_enriched, read back from the tables written; the
+    one-employee mode writes elsewhere (D-10)."""
     acts = gold.silver_activities(bronze)
     if only_employee is not None:
         require_employee(rh, only_employee)
@@ -88,15 +93,15 @@ def silver_job(spark: SparkSession, bronze: DataFrame, rh: DataFrame, routes: Da
         rh = commute.only_employee(rh, only_employee)
         out = f"{out}/only_employee={int(only_employee)}"
     enriched = commute.enrich_employees(rh, routes, strict=strict)
-    write_table(acts, f"{out}/silver/activities")
-    write_table(enriched, f"{out}/silver/rh_enriched")
-    return acts, enriched
+    for df, name in ((acts, "activities"), (enriched, "rh_enriched")):
+        write_table(df, f"{out}/silver/{name}", fmt=table_format or default_format())
+    return read_table(spark, f"{out}/silver/activities"), read_table(spark, f"{out}/silver/rh_enriched")
 
 
 # ------------------------------------------------------------------ C-4 gold
 def gold_job(spark: SparkSession, activities: DataFrame, enriched: DataFrame,
-             sport_ref: DataFrame, rules: Rules, as_of: dt.date, out: str | None = None
-             ) -> DataFrame:
+             sport_ref: DataFrame, rules: Rules, as_of: dt.date, out: str | None = None, *,
+             table_format: str | None = None) -> DataFrame:
     """Compute gold, run the checks once on a persisted result, then write.
 
     A failed check raises before the previous output is touched.
@@ -104,10 +109,19 @@ def gold_job(spark: SparkSession, activities: DataFrame, enriched: DataFrame,
     quality.assert_unique(enriched, ["employee_id"], "silver/rh_enriched")
     # one scan of the activities: the per-year counts feed both the year list and the join
     by_year = gold.activities_by_year(activities).persist(StorageLevel.MEMORY_AND_DISK)
-    years = gold.year_list(gold.activity_years(by_year, as_of))
-    result = gold.benefits(enriched, sport_ref, activities, rules, as_of, years=years,
-                           by_year=by_year)
-    result = result.persist(StorageLevel.MEMORY_AND_DISK)
+    result = gold.benefits(enriched, sport_ref, activities, rules, as_of,
+                           by_year=by_year).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _check_and_write(result, out, table_format)
+    except BaseException:
+        result.unpersist()
+        raise
+    finally:
+        by_year.unpersist()
+    return result
+
+
+def _check_and_write(result: DataFrame, out: str | None, table_format: str | None) -> None:
     # Q-9 and Q-10 in one pass: per-key counts (partial aggregate), then one row
     per_key = result.groupBy("employee_id", "year").agg(F.count(F.lit(1)).alias("n"))
     checks = per_key.agg(
@@ -121,9 +135,7 @@ def gold_job(spark: SparkSession, activities: DataFrame, enriched: DataFrame,
     if checks["null_keys"]:
         raise ValueError(f"gold: {checks['null_keys']} row(s) with a null key")
     if out:
-        write_table(result, out)
-    by_year.unpersist()
-    return result
+        write_table(result, out, fmt=table_format or default_format())
 
 
 # ------------------------------------------------------------------ C-5 export
@@ -132,15 +144,16 @@ def export_job(spark: SparkSession, gold_path: str, out: str, *, single_file: bo
 
 
 # ------------------------------------------------------------------ notifications
-def notification_run(spark: SparkSession, i: Inputs) -> DataFrame:
+def notification_run(spark: SparkSession, i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """(messages, rejects) of the notification stream, read back from its sink folders."""
     base = scratch_path(spark, "notify")
     log, sink_dir, ckpt = f"{base}/log", f"{base}/messages", f"{base}/_checkpoint"
     for b in (0, 1, 2):
         write_log_files(i.log_batch(b), log)
-        q = run_notifications(spark, log, i.names, parquet_sink(sink_dir), ckpt)
+        q = run_notifications(spark, log, i.names, parquet_sink(sink_dir, f"{base}/rejects"), ckpt)
         q.awaitTermination()
-    return spark.read.parquet(sink_dir).select("kafka_partition", "kafka_offset", "id",
-                                               "employee_id", "message")
+    return (spark.read.parquet(sink_dir).drop("batch"),
+            spark.read.parquet(f"{base}/rejects").drop("batch"))
 
 
 # ------------------------------------------------------------------ C-6 end to end
@@ -148,9 +161,7 @@ def end_to_end(spark: SparkSession, i: Inputs, rules: Rules, as_of: dt.date) ->
     """Change log -> streaming bronze -> silver -> gold, through written tables."""
     run = incremental_bronze(spark, i)
     bronze = read_table(spark, run.table)
-    _, enriched = silver_job(spark, bronze, i.employees, i.routes, f"{run.base}/lake")
-    acts = read_table(spark, f"{run.base}/lake/silver/activities")
-    rh = read_table(spark, f"{run.base}/lake/silver/rh_enriched")
+    acts, rh = silver_job(spark, bronze, i.employees, i.routes, f"{run.base}/lake")
     gold_path = f"{run.base}/lake/gold"
     gold_job(spark, acts, rh, i.sport_ref, rules, as_of, out=gold_path).unpersist()
     return read_table(spark, gold_path)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference's canonical labels.
@@ -32,17 +33,16 @@ FIXTURE_AS_OF = dt.date(2002, 1, 1)
 
 
 def load_rules(path: str | None) -> Rules:
-    """Read ``gold:`` from a YAML file; missing file or keys keep the defaults."""
+    """Read ``gold:`` from a YAML file; missing keys keep the defaults, a missing file does so
+    with a warning, and a path without the YAML package is an error."""
     if not path:
         return DEFAULT_RULES
-    try:
-        import yaml
-    except ImportError:  # pragma: no cover - yaml is optional
-        return DEFAULT_RULES
+    import yaml
     try:
         with open(path, encoding="utf-8") as fh:
             data = yaml.safe_load(fh) or {}
     except FileNotFoundError:
+        warnings.warn(f"no rules file at {path}: the default rules apply", stacklevel=2)
         return DEFAULT_RULES
     gold = data.get("gold") if isinstance(data, dict) else None
     if not isinstance(gold, dict):

@@ -1,9 +1,11 @@
 """K-2 / O-1 / S-7: sorted Parquet export for BI and its read-back."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from strivelake.operators.quality import assert_not_empty
+from strivelake.sources.tables import is_missing
 
 EXPORT_KEYS = ("year", "employee_id")
 
@@ -31,5 +33,7 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     """All part files of an export (the reference read only the first one; D-13)."""
     try:
         return spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001 - AnalysisException: nothing there
-        raise FileNotFoundError(f"no Parquet file under {path}") from exc
+    except AnalysisException as exc:
+        if is_missing(exc):
+            raise FileNotFoundError(f"no Parquet file under {path}") from exc
+        raise

@@ -26,7 +26,7 @@ SPORT_BY_MOD5 = [None, "", "  ", "Tennis", "Runing"]
 EVENT_TO_OP = {"signup": "c", "purchase": "r", "view": "u", "click": "u", "error": "d"}
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-BATCH_BOUNDS = (3334, 6667)
+BATCHES = 3
 
 # Raw sheet headers, as in the workbooks.
 COL_ID = "ID salarié"
@@ -37,20 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer splits than cores.
-
-    The driver tables are single-row-group files (one scan task); on real
-    inputs with many splits this is a no-op, so no shuffle is added at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote (Connect) sessions expose neither
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def _case(key: Column, mapping: dict) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -62,12 +48,16 @@ def _case(key: Column, mapping: dict) -> Column:
 # --------------------------------------------------------------------- activities
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operational activities in change-row shape (timestamps as ISO text) from orders."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     k = F.col("o_orderkey")
-    start_ts = F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate"))
+    # one start in 227 lies far ahead of any order
+    start_ts = F.timestamp_add("SECOND", k % 86400, F.when(
+        k % 227 == 0, F.timestamp_add("YEAR", F.lit(40), F.col("o_orderdate")))
+        .otherwise(F.col("o_orderdate")))
     end_ts = F.when(k % 199 == 0, F.timestamp_add("MINUTE", F.lit(-1), start_ts)).otherwise(
         F.timestamp_add("MINUTE", F.lit(20) + k % 161, start_ts))
-    kind = F.element_at(F.array(*[F.lit(t) for t in ACTIVITY_TYPES]), (k % 8 + 1).cast("int"))
+    kind = F.when(k % 181 == 0, F.lit("  ")).otherwise(
+        F.element_at(F.array(*[F.lit(t) for t in ACTIVITY_TYPES]), (k % 8 + 1).cast("int")))
     return o.select(
         k.alias("id"),
         F.col("o_custkey").alias("employee_id"),
@@ -75,7 +65,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.date_format(start_ts, ISO_SECONDS)).alias("start_date"),
         kind.alias("activity_type"),
         F.when(kind.isin(TYPES_WITHOUT_DISTANCE), F.lit(None).cast("long"))
-         .otherwise((k * 37) % 17500).alias("distance_m"),
+         .when(k % 173 == 0, F.lit(-1000).cast("long")).otherwise((k * 37) % 17500).alias("distance_m"),
         F.date_format(end_ts, ISO_SECONDS).alias("end_date"),
         F.when(k % 4 == 0, F.lit("Belle séance")).when(k % 4 == 1, F.lit(""))
          .otherwise(F.lit(None).cast("string")).alias("comment"),
@@ -94,8 +84,7 @@ def _salary_text(key: Column, acctbal: Column) -> Column:
 
 def employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The RH workbook with its raw headers (spaces, accents) from customer."""
-    c = spread(table(spark, sf_dir, "customer")
-               .select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     k = F.col("c_custkey")
     return c.select(
         k.alias(COL_ID),
@@ -110,10 +99,13 @@ def employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def names_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ID salarié, Prénom, Nom) of the names file; keys % 17 = 0 are absent."""
+    """(ID salarié, Prénom, Nom) of the names file; keys % 17 = 0 are absent, keys % 19 = 0
+    have a second row with another first name."""
+    first = F.when(F.col(COL_ID) % 19 == 0, F.array(F.col("Prénom"), F.concat(F.lit("Q"), "Prénom"))) \
+        .otherwise(F.array("Prénom"))
     return (employee_sheet(spark, sf_dir)
             .filter(F.col(COL_ID) % 17 != 0)
-            .select(COL_ID, "Prénom", "Nom"))
+            .select(COL_ID, F.explode(first).alias("Prénom"), "Nom"))
 
 
 def sport_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +121,8 @@ def sport_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """routes(home_address, travel_mode, meters): one row per distinct pair; numbers % 41 = 0 missing."""
+    """routes(home_address, travel_mode, meters): numbers % 41 = 0 are missing, numbers % 7 = 0
+    have a second, longer route."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("c_custkey")
     number = k % 400
@@ -137,7 +130,9 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (c.filter((k % 23 != 0) & (k % 29 != 0) & (number % 41 != 0) & travel.isNotNull())
             .select(F.concat(F.lit("addr-"), number.cast("string")).alias("home_address"),
                     travel.alias("travel_mode"),
-                    ((number * 97) % 32000).alias("meters"))
+                    F.explode(F.when(number % 7 == 0, F.array((number * 97) % 32000,
+                                                              (number * 97) % 32000 + 5000))
+                              .otherwise(F.array((number * 97) % 32000))).alias("meters"))
             .distinct())
 
 
@@ -146,13 +141,16 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change-event log records (value, partition, offset, batch) from events.
 
     Wrapped envelopes for even offsets, flat for odd ones; every 97th record is
-    malformed text and every 101st has a null value.
+    malformed text, every 101st has a null value and every 89th start date does not
+    parse. The batches are thirds of the offset range at any size; every 53rd record
+    arrives one batch late, so offsets are out of order across batches.
     """
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     uid = F.col("user_id")
     op = _case(F.col("event_type"), EVENT_TO_OP)
-    start = F.date_format(F.col("ts"), ISO_MICROS)
+    created = F.date_format(F.col("ts"), ISO_MICROS)
+    start = F.when(eid % 89 == 0, F.lit("not-a-date")).otherwise(created)
     row = F.struct(
         uid.alias("id"),
         uid.alias("employee_id"),
@@ -161,7 +159,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * 100).cast("long").alias("distance_m"),
         F.date_format(F.timestamp_add("MINUTE", F.lit(30), F.col("ts")), ISO_MICROS).alias("end_date"),
         F.col("props").alias("comment"),
-        start.alias("created_at"),
+        created.alias("created_at"),
     )
     flat = F.struct(
         op.alias("op"),
@@ -174,8 +172,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            uid.cast("string")))
              .when(eid % 2 == 0, F.to_json(F.struct(flat.alias("payload"))))
              .otherwise(F.to_json(flat)))
-    batch = (F.when(eid < BATCH_BOUNDS[0], F.lit(0))
-             .when(eid < BATCH_BOUNDS[1], F.lit(1)).otherwise(F.lit(2)))
+    low, high = (e.select(f("event_id")).scalar() for f in (F.min, F.max))
+    third = F.floor((eid - low) * BATCHES / (high - low + 1)).cast("int")
+    batch = F.least(third + F.when(eid % 53 == 0, 1).otherwise(0), F.lit(BATCHES - 1))
     return e.select(
         value.alias("value"),
         (uid % 4).cast("int").alias("partition"),

@@ -1,10 +1,15 @@
 """T-1 / T-3 / K-5: incremental merge of the change log into the current-state table.
 
 ``readStream`` -> ``foreachBatch(merge)`` -> ``trigger(availableNow=True)``.
-Micro-batch *n* reads the newest committed state version below *n*, applies
-latest-per-key and the merge, and writes version *n*. The checkpoint advances
-only after the batch function returns (at-least-once), and a retried batch
-rewrites the same version from the same input, so the result is exactly-once.
+The state is laid out by hash buckets of the key. Micro-batch *n* keeps the latest event per
+key, reads the newest committed files below *n* of the buckets it touches, merges and writes
+those buckets as version *n*; all other buckets keep their files. The checkpoint advances
+only after the batch function returns (at-least-once), and a retried batch rewrites the same
+version from the same input, so the result is exactly-once.
+
+A version log that cannot be read stops the run, a first load needs an empty folder, and a
+checkpoint never writes below versions of another checkpoint: the state cannot be replaced by
+a single batch, nor a replay be hidden under newer versions.
 """
 from __future__ import annotations
 
@@ -15,10 +20,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strivelake.operators.cdc import (
-    initial_state, latest_per_key, merge_changes, parse_changes, to_state_rows,
+    initial_state, latest_per_key, merge_state, op_histogram, parse_changes, to_state_rows,
 )
 from strivelake.sources.changes import read_changes
-from strivelake.sources.tables import latest_version, read_table, write_version
+from strivelake.sources.tables import (
+    bucket_of, current_buckets, default_format, foreign_versions, holds_data, read_buckets,
+    write_buckets,
+)
+
+# Buckets of a new state table; an existing table keeps its own number.
+STATE_BUCKETS = 32
+KNOWN_OPS = ("c", "r", "u", "d")
 
 
 @dataclass
@@ -34,14 +46,6 @@ NEWER = ("(t.kafka_partition IS NULL OR s.kafka_partition <> t.kafka_partition "
          "OR s.kafka_offset >= t.kafka_offset)")
 
 
-def delta_available() -> bool:
-    try:
-        import delta.tables  # noqa: F401
-        return True
-    except ImportError:
-        return False
-
-
 def merge_batch_delta(spark: SparkSession, latest: DataFrame, table: str) -> None:
     """Delta MERGE: only files holding touched keys are rewritten (the choice at scale)."""
     from delta.tables import DeltaTable
@@ -61,45 +65,55 @@ def merge_batch_delta(spark: SparkSession, latest: DataFrame, table: str) -> Non
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                fmt: str = "parquet", versions: dict | None = None) -> dict:
+                fmt: str = "parquet", writer: str | None = None,
+                buckets: int = STATE_BUCKETS) -> dict:
     """The foreachBatch body: parse, keep the latest event per id, merge, write version.
 
-    ``versions`` carries the newest committed version across the micro-batches
-    of one run (read from the table's version log at the first batch only).
-    Returns the batch counters: events_read, ids_touched and live_rows.
+    ``writer`` identifies the checkpoint. Returns the batch counters: events_read,
+    ids_touched, by_op (changes per operation, deletes included) and live_rows.
     """
-    read_obs, live_obs = Observation("events"), Observation("state")
-    parsed = parse_changes(batch).observe(read_obs, F.count(F.lit(1)).alias("events_read"))
+    seen = Observation("events")
+    parsed = parse_changes(batch).observe(seen, F.count(F.lit(1)).alias("events_read"))
     latest = latest_per_key(parsed).persist(StorageLevel.MEMORY_AND_DISK)
     metrics = {"batch_id": int(batch_id)}
     try:
-        n = latest.count()
-        metrics.update(read_obs.get, ids_touched=int(n))
-        if n == 0:  # nothing parsed: no new version, the state stays as it was
+        known_op = F.when(F.col("last_op").isin(*KNOWN_OPS), F.col("last_op")).otherwise("other")
+        by_op = {r["last_op"]: r["n"]
+                 for r in op_histogram(latest.select(known_op.alias("last_op"))).collect()}
+        metrics.update(seen.get, ids_touched=sum(by_op.values()), by_op=by_op)
+        if not by_op:  # nothing parsed: no new version, the state stays as it was
             return metrics
         if fmt == "delta":
             merge_batch_delta(spark, latest, table)
             return metrics
-        known = versions if versions is not None else {}
-        prev = known.get("latest")
-        if prev is None or prev >= batch_id:
-            prev = latest_version(spark, table, below=batch_id)
-        if prev is None:
+        if foreign_versions(spark, table, batch_id, writer):
+            raise RuntimeError(f"{table} has versions from {batch_id} on that this checkpoint did not "
+                               "write; use a new table folder to replay")
+        stored = current_buckets(spark, table, below=batch_id)
+        if not stored and holds_data(spark, table, except_version=batch_id):
+            raise RuntimeError(f"{table} holds data but no committed version below {batch_id}")
+        n_buckets = stored[0]["buckets"] if stored else int(buckets)
+        touched = [r["b"] for r in latest.select(bucket_of("id", n_buckets).alias("b")).distinct().collect()]
+        if stored:
+            state = merge_state(read_buckets(spark, stored, table, only=touched), latest)
+        else:
             state = initial_state(latest)
             if state.isEmpty():
                 raise ValueError("first load of the state table: no upsert event")
-        else:
-            state = merge_changes(read_table(spark, table, version=prev), latest, n_changes=n)
-        # M-7: live rows counted while the version is written (same pass)
-        write_version(state.observe(live_obs, F.count(F.lit(1)).alias("live_rows")),
-                      table, batch_id)
-        metrics.update(live_obs.get)
-        known["latest"] = batch_id
+        write_buckets(state, table, batch_id, key="id", buckets=n_buckets, touched=touched, writer=writer)
+        # M-7: the version log holds the row count of every bucket
+        now = current_buckets(spark, table, below=batch_id + 1)
+        metrics["live_rows"] = sum(r["row_count"] for r in now)
         return metrics
     finally:
         latest.unpersist()
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The query id that Spark keeps in a checkpoint folder (another folder, another id)."""
+    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+
+
 def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoint: str, *,
                           fmt: str = "parquet", options: dict | None = None,
                           table_format: str | None = None) -> MergeRun:
@@ -108,12 +122,12 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
     ``fmt`` is the log source (parquet/json folder or kafka); ``table_format`` is
     ``delta`` when Delta is on the class path (default), else versioned Parquet.
     """
-    versions: dict = {}
     metrics: list = []
-    tfmt = table_format or ("delta" if delta_available() else "parquet")
+    table_fmt = table_format or default_format()
 
     def body(df: DataFrame, batch_id: int) -> None:
-        metrics.append(merge_batch(spark, df, batch_id, table, tfmt, versions))
+        metrics.append(merge_batch(spark, df, batch_id, table, table_fmt,
+                                   checkpoint_id(spark, checkpoint)))
 
     log = read_changes(spark, source, fmt=fmt, options=options)
     q = (log.writeStream.foreachBatch(body)
@@ -127,10 +141,12 @@ def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoi
 
 
 def reset_and_replay(spark: SparkSession, source: str, table: str, checkpoint: str, *,
-                     fmt: str = "parquet") -> MergeRun:
+                     fmt: str = "parquet", options: dict | None = None,
+                     table_format: str | None = None) -> MergeRun:
     """K-5 / T-3: forget progress by using a new checkpoint and a new table folder.
 
-    The caller picks fresh paths (nothing is deleted); the replay rebuilds the
-    state from the earliest record and equals the incremental result.
+    The caller picks fresh paths (nothing is deleted; a table that another checkpoint wrote
+    is refused); the replay rebuilds the state from the earliest record.
     """
-    return run_incremental_merge(spark, source, table, checkpoint, fmt=fmt)
+    return run_incremental_merge(spark, source, table, checkpoint, fmt=fmt, options=options,
+                                 table_format=table_format)

@@ -1,39 +1,42 @@
 """T-2 / K-6: continuous notifications, one message per create event.
 
-``readStream`` (log) -> create filter -> stream-static join with the names
-table -> message text -> ``writeStream.foreachBatch(sink)``. The shipped sinks
-append to a Parquet folder or to an in-memory table; an HTTP poster is a
-caller-supplied ``sink(df, batch_id)``.
+``readStream`` (log) -> create filter -> ``foreachBatch``: join with the names table (built
+and persisted once per run), message text, and one call of the sink with both frames,
+messages and rejects. The shipped sink appends both to Parquet folders; an HTTP poster is a
+caller-supplied ``sink(messages, rejects, batch_id)``.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strivelake.operators.notify import creates, notifications
+from strivelake.operators.notify import creates, names_table, notifications
 from strivelake.sources.changes import read_changes
 
-Sink = Callable[[DataFrame, int], None]
+Sink = Callable[[DataFrame, DataFrame, int], None]
 KEEP = ("kafka_partition", "kafka_offset", "id", "employee_id")
 
 
 def parquet_sink(folder: str, rejects_folder: str | None = None) -> Sink:
-    """Append each batch to ``folder`` (idempotent per batch id: one sub-folder per batch)."""
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch={int(batch_id)}")
+    """Write each batch (idempotent per batch id: one sub-folder per batch); rejects go to
+    ``rejects_folder``, by default ``<folder>_rejects``."""
+    rejects_folder = rejects_folder or f"{folder.rstrip('/')}_rejects"
+
+    def sink(messages: DataFrame, rejects: DataFrame, batch_id: int) -> None:
+        for df, out in ((messages, folder), (rejects, rejects_folder)):
+            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={int(batch_id)}")
     return sink
 
 
-def notification_stream(spark: SparkSession, source: str, names: DataFrame, *,
-                        fmt: str = "parquet", options: dict | None = None
-                        ) -> tuple[DataFrame, DataFrame]:
+def create_stream(spark: SparkSession, source: str, *, fmt: str = "parquet",
+                  options: dict | None = None) -> DataFrame:
     opts = dict(options or {})
     if fmt == "kafka":  # a new consumer starts at the end of the topic
         opts.setdefault("startingOffsets", "latest")
-    log = read_changes(spark, source, fmt=fmt, options=opts)
-    return notifications(creates(log), names, keep=KEEP)
+    return creates(read_changes(spark, source, fmt=fmt, options=opts))
 
 
 def run_notifications(spark: SparkSession, source: str, names: DataFrame, sink: Sink | str,
@@ -41,20 +44,26 @@ def run_notifications(spark: SparkSession, source: str, names: DataFrame, sink:
                       available_now: bool = True, muted: bool = False) -> StreamingQuery:
     """Start the query; ``muted`` consumes the log without calling the sink.
 
-    ``sink`` is a ``foreachBatch`` function, or ``"memory:<name>"`` for Spark's
-    in-memory table sink (queryable as ``<name>``; for tests and notebooks).
+    ``sink`` is a function, or ``"memory:<name>"`` for Spark's in-memory table sink (the
+    messages only, queryable as ``<name>``; for tests and notebooks).
     """
-    messages, _ = notification_stream(spark, source, names, fmt=fmt, options=options)
+    created = create_stream(spark, source, fmt=fmt, options=options)
+    lookup = names_table(names).persist(StorageLevel.MEMORY_AND_DISK)
     if isinstance(sink, str) and sink.startswith("memory:"):
+        messages, _ = notifications(created, lookup, keep=KEEP, looked_up=True)
         w = (messages.writeStream.format("memory").queryName(sink.split(":", 1)[1])
-             .outputMode("append").option("checkpointLocation", checkpoint))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-        return w.start()
-
-    def body(df: DataFrame, batch_id: int) -> None:
-        if not muted:
-            sink(df, batch_id)
+             .outputMode("append"))
+    else:
+        def body(df: DataFrame, batch_id: int) -> None:
+            if muted:
+                return
+            batch = df.persist(StorageLevel.MEMORY_AND_DISK)  # parsed once for both frames
+            try:
+                sink(*notifications(batch, lookup, keep=KEEP, looked_up=True), batch_id)
+            finally:
+                batch.unpersist()
 
-    w = messages.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+        w = created.writeStream.foreachBatch(body)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()

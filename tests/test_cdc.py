@@ -81,26 +81,25 @@ def test_merge_cases(spark):
     anti = {r.id: (r.distance_m, r.last_op)
             for r in cdc.merge_state_anti_union(target, changes).collect()}
     assert anti == got
-    bc = {r.id: (r.distance_m, r.last_op)
-          for r in cdc.merge_state_broadcast(target, changes).collect()}
-    assert bc == got
 
 
-def test_broadcast_merge_never_shuffles_the_state(spark):
-    target = state_rows(spark, [srow(i, "c", 0, i) for i in range(50)])
-    changes = state_rows(spark, [srow(1, "d", 0, 100), srow(77, "c", 0, 101)])
-    plan = plan_text(cdc.merge_state_broadcast(target, changes))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert {r.id for r in cdc.merge_changes(target, changes).collect()} == set(range(50)) - {1} | {77}
-    assert {r.id for r in cdc.merge_changes(target, changes, broadcast_rows=1).collect()} == \
-        set(range(50)) - {1} | {77}
+def test_merge_keeps_target_rows_without_a_key(spark):
+    target = state_rows(spark, [srow(1, "c", 0, 1), srow(None, "c", 0, 2)])
+    changes = state_rows(spark, [srow(1, "d", 0, 10), srow(3, "c", 0, 11)])
+    assert {r.id for r in cdc.merge_state(target, changes).collect()} == {None, 3}
+
+
+def test_merge_reads_each_side_once(spark, tmp_dir):
+    state_rows(spark, [srow(1, "c", 0, 1)]).write.parquet(f"{tmp_dir}/t")
+    state_rows(spark, [srow(1, "u", 0, 2)]).write.parquet(f"{tmp_dir}/c")
+    plan = plan_text(cdc.merge_state(spark.read.parquet(f"{tmp_dir}/t"), spark.read.parquet(f"{tmp_dir}/c")))
+    assert plan.count("Location: InMemoryFileIndex") == 2
 
 
 def test_merge_guard_ignores_stale_change(spark):
     target = state_rows(spark, [srow(1, "u", 0, 50, dist=7)])
     stale = state_rows(spark, [srow(1, "u", 0, 20, dist=1)])
     assert cdc.merge_state(target, stale).first().distance_m == 7
-    assert cdc.merge_state_broadcast(target, stale).first().distance_m == 7
     assert cdc.merge_state(target, stale, guard=False).first().distance_m == 1
 
 
@@ -168,18 +167,3 @@ def test_null_ids_are_rejected(spark):
     latest = cdc.latest_per_key(cdc.parse_changes(log_df(spark, recs)))
     assert [x.id for x in latest.collect()] == [1]
     assert latest.filter(F.col("id").isNull()).count() == 0
-
-
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(target=st.dictionaries(st.integers(0, 8), st.tuples(st.integers(0, 1), st.integers(0, 20)),
-                              max_size=8),
-       changes=st.dictionaries(st.integers(0, 10),
-                               st.tuples(st.sampled_from(["c", "u", "d"]), st.integers(0, 1),
-                                         st.integers(0, 20)), max_size=8))
-def test_broadcast_merge_equals_shuffle_merge(spark, target, changes):
-    t = state_rows(spark, [srow(k, "c", p, o, dist=o) for k, (p, o) in target.items()])
-    c = state_rows(spark, [srow(k, op, p, o, dist=100 + o) for k, (op, p, o) in changes.items()])
-    key = lambda df: sorted(tuple(r) for r in df.select(*STATE_COLUMNS).collect())
-    full = key(cdc.merge_state(t, c))
-    assert key(cdc.merge_state_broadcast(t, c)) == full
-    assert key(cdc.merge_changes(t, c, broadcast_rows=3)) == full

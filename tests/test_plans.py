@@ -34,7 +34,7 @@ def test_latest_per_key_uses_partial_window_limit(spark):
 
 
 def test_no_nested_loop_or_python_in_flagship_and_merges(spark):
-    for name in ("gold_benefits_employee_year", "gold_years", "cdc_merge_state_broadcast",
+    for name in ("gold_benefits_employee_year", "gold_years", "cdc_merge_state",
                  "notify_messages", "silver_employees_enriched"):
         p = plan(spark, name)
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",

@@ -92,7 +92,9 @@ def test_quality_scan_equals_brute_force(spark, rows):
     df = spark.createDataFrame(data, "id long, employee_id long, start_date timestamp_ntz, "
                                      "activity_type string, distance_m long, end_date timestamp_ntz, "
                                      "comment string, created_at timestamp_ntz")
-    got = {r.check: r.metric for r in quality.scan(df).collect()}
+    now = dt.datetime(2025, 1, 1)
+    both = lambda r: r[2] is not None and r[5] is not None
+    got = {r.check: r.metric for r in quality.scan(df, now=now).collect()}
     ids = Counter(r[0] for r in data if r[0] is not None)
     want = {
         "row_count > 0": len(data),
@@ -104,6 +106,11 @@ def test_quality_scan_equals_brute_force(spark, rows):
         "missing_count(created_at) = 0": sum(r[7] is None for r in data),
         "duplicate_count(id) = 0": sum(1 for v in ids.values() if v > 1),
         "invalid_count(distance_m) = 0": sum(r[4] is not None and r[4] < 0 for r in data),
+        "failed_rows(end_before_start) = 0": sum(both(r) and r[5] < r[2] for r in data),
+        "failed_rows(duration_not_positive) = 0": sum(both(r) and r[5] <= r[2] for r in data),
+        "failed_rows(blank_activity_type) = 0": sum(r[3] is not None and not r[3].strip(" ") for r in data),
+        "failed_rows(start_in_far_future) = 0": sum(
+            r[2] is not None and r[2] > now + dt.timedelta(days=1) for r in data),
     }
     assert got == want
 

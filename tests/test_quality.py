@@ -32,6 +32,9 @@ def test_scan_counts(spark):
     assert got["missing_count(created_at) = 0"] == (1, False)
     assert got["duplicate_count(id) = 0"] == (1, False)      # null ids are not duplicates
     assert got["invalid_count(distance_m) = 0"] == (1, False)
+    assert got["failed_rows(end_before_start) = 0"] == (0, True)
+    late = {r.check: r.metric for r in quality.scan(df, now=dt.datetime(2024, 1, 1)).collect()}
+    assert late["failed_rows(start_in_far_future) = 0"] == 4
     empty = {r.check: r.passed for r in quality.scan(df.limit(0)).collect()}
     assert empty["row_count > 0"] is False
 

@@ -87,3 +87,10 @@ def test_read_reference_csv_sheet(spark, tmp_dir):
     rh = read_reference(spark, f"{tmp_dir}/rh_csv", fmt="csv", is_rh=True)
     assert sorted((r.employee_id, r.commute_mode) for r in rh.collect()) == [
         (3, "Transports en commun"), (4, None)]
+
+
+def test_null_ids_raise(spark):
+    for df in (spark.createDataFrame([(1,), (None,)], "employee_id long"),
+               spark.createDataFrame([("1",), (None,)], "employee_id string")):
+        with pytest.raises(Exception, match="non-numeric employee_id: null"):
+            load_reference(df, check_empty=False).collect()

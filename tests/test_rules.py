@@ -1,3 +1,5 @@
+import pytest
+
 from strivelake.rules import DEFAULT_RULES, MARCHE, Rules, load_rules
 
 
@@ -13,7 +15,8 @@ def test_load_rules_from_yaml(tmp_path):
 
 def test_missing_file_or_section_keeps_defaults(tmp_path):
     assert load_rules(None) == DEFAULT_RULES
-    assert load_rules(str(tmp_path / "nope.yml")) == DEFAULT_RULES
+    with pytest.warns(UserWarning, match="default rules apply"):
+        assert load_rules(str(tmp_path / "nope.yml")) == DEFAULT_RULES
     p = tmp_path / "r.yml"
     p.write_text("other: 1\n", encoding="utf-8")
     assert load_rules(str(p)) == DEFAULT_RULES

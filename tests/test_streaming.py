@@ -1,16 +1,25 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from strivelake.operators import cdc
 from strivelake.plans import pipelines
 from strivelake.plans.inputs import Inputs
 from strivelake.schemas import STATE_COLUMNS
-from strivelake.sources.changes import write_log_files
-from strivelake.sources.tables import latest_version, read_table
-from strivelake.streaming.merge import run_incremental_merge
+from strivelake.sources.changes import read_changes, write_log_files
+from strivelake.sources.tables import current_buckets, latest_version, read_table
+from strivelake.streaming.merge import checkpoint_id, merge_batch, run_incremental_merge
 
 from conftest import SF_SMALL
 
 
+def event(k, dist):
+    row = {"id": k, "employee_id": k, "start_date": "2025-01-01T10:00:00Z", "activity_type": "Runing",
+           "distance_m": dist, "end_date": "2025-01-01T11:00:00Z", "comment": None, "created_at": None}
+    return json.dumps({"op": "u", "after": row, "ts_ms": 1})
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.select(*STATE_COLUMNS).collect())
 
@@ -21,16 +30,21 @@ def test_incremental_equals_batch_and_restart_is_noop(spark):
     assert [r.batches for r in run.runs] == [1, 1, 1]
     m = run.runs[0].metrics[0]
     assert m["events_read"] >= m["ids_touched"] > 0 and m["live_rows"] > 0
-    # at this scale the later log files are empty: nothing parsed, no new version
-    assert all(x["ids_touched"] == 0 and "live_rows" not in x for x in run.runs[2].metrics)
+    # the batches are thirds of the offsets at any size
+    assert all(x["ids_touched"] > 0 for r in run.runs for x in r.metrics)
+    assert sum(m["by_op"].values()) == m["ids_touched"] and set(m["by_op"]) <= {"c", "r", "u", "d"}
     state = read_table(spark, run.table)
-    expected = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log)))
+    expected = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log_batch(0))))
+    for b in (1, 2):
+        expected = cdc.merge_state(expected, cdc.latest_per_key(cdc.parse_changes(i.log_batch(b))))
     assert rows(state) == rows(expected)
+    assert run.runs[2].metrics[0]["live_rows"] == state.count()
     v = latest_version(spark, run.table)
     again = pipelines.run_again(spark, run)
     assert again.batches == 0 and latest_version(spark, run.table) == v   # S-2
     replay = pipelines.replay(spark, run)                                 # T-3 / K-5
-    assert rows(read_table(spark, replay.table)) == rows(state)
+    once = cdc.initial_state(cdc.latest_per_key(cdc.parse_changes(i.log)))
+    assert rows(read_table(spark, replay.table)) == rows(once)
 
 
 def test_retried_batch_rewrites_same_version(spark, tmp_dir):
@@ -39,20 +53,61 @@ def test_retried_batch_rewrites_same_version(spark, tmp_dir):
     write_log_files(i.log_batch(0), log)
     run_incremental_merge(spark, log, table, ckpt)
     first = rows(read_table(spark, table))
-    # a crash before the checkpoint commit replays batch 0 with a lost checkpoint
-    run_incremental_merge(spark, log, table, f"{tmp_dir}/ckpt2")
+    # a crash before the checkpoint commit replays batch 0 of the same checkpoint
+    batch = read_changes(spark, log, streaming=False)
+    merge_batch(spark, batch, 0, table, writer=checkpoint_id(spark, ckpt))
     assert rows(read_table(spark, table)) == first
+    # another checkpoint would hide its replay below the versions there: refused
+    with pytest.raises(Exception, match="this checkpoint did not write"):
+        run_incremental_merge(spark, log, table, f"{tmp_dir}/ckpt2")
+    assert rows(read_table(spark, table)) == first
+
+
+def test_state_is_never_replaced_by_one_batch(spark, tmp_dir):
+    i = Inputs(spark, SF_SMALL)
+    log, table, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/state", f"{tmp_dir}/ckpt"
+    write_log_files(i.log_batch(0), log)
+    run_incremental_merge(spark, log, table, ckpt)
+    first = rows(read_table(spark, table))
+    batch = read_changes(spark, log, streaming=False)
+    # data but no readable log: neither a later nor a first batch may write
+    spark.read.parquet(f"{table}/v=0").write.parquet(f"{tmp_dir}/lost/v=0")
+    with pytest.raises(RuntimeError, match="no committed version"):
+        merge_batch(spark, batch, 1, f"{tmp_dir}/lost", writer="x")
+    # a damaged log raises instead of counting as no version
+    spark.range(1).selectExpr("'x' AS other").write.mode("append").parquet(f"{table}/_versions")
+    with pytest.raises(Exception, match="damaged version log"):
+        merge_batch(spark, batch, 1, table, writer=checkpoint_id(spark, ckpt))
+    assert rows(spark.read.parquet(f"{table}/v=0")) == first
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_dir):
+    schema = "value string, partition int, offset long"
+    log, table, ck = f"{tmp_dir}/log", f"{tmp_dir}/state", f"{tmp_dir}/ck"
+    write_log_files(spark.createDataFrame([(event(k, k), 0, k) for k in range(40)], schema), log)
+    run_incremental_merge(spark, log, table, ck)
+    before = {r.bucket: r.version for r in current_buckets(spark, table)}
+    write_log_files(spark.createDataFrame([(event(7, 99), 0, 100)], schema), log)
+    run_incremental_merge(spark, log, table, ck)
+    after = {r.bucket: r.version for r in current_buckets(spark, table)}
+    changed = [b for b in after if after[b] != before.get(b)]
+    assert len(changed) == 1 and set(before) == set(after)
+    assert {r.id: r.distance_m for r in read_table(spark, table).collect()} == \
+        {k: (99 if k == 7 else k) for k in range(40)}
 
 
 def test_notification_stream_matches_batch(spark):
     from strivelake.operators import notify
     i = Inputs(spark, SF_SMALL)
-    streamed = pipelines.notification_run(spark, i)
-    batch, _ = notify.notifications(notify.creates(i.log), i.names,
+    streamed, rejects = pipelines.notification_run(spark, i)
+    created = notify.creates(i.log)
+    batch, bad = notify.notifications(notify.creates(i.log), i.names,
                                     keep=("kafka_partition", "kafka_offset", "id", "employee_id"))
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(streamed) == key(batch)
-    assert streamed.count() > 0
+    assert streamed.count() > 0 and rejects.count() > 0
+    assert key(rejects) == key(bad)
+    assert streamed.count() + rejects.count() == created.count()
     assert streamed.filter(F.col("message").isNull()).count() == 0
 
 
@@ -75,7 +130,7 @@ def test_notifications_memory_sink(spark, tmp_dir):
     q.awaitTermination()
     got = spark.table("strivelake_test_messages")
     assert got.count() == spark.read.parquet(f"{tmp_dir}/log").filter(
-        F.col("value").contains('"op":"c"')).count()
+        F.col("value").contains('"op":"c"') & ~F.col("value").contains("not-a-date")).count()
 
 
 def test_late_older_change_does_not_roll_back(spark, tmp_dir):
