@@ -58,8 +58,7 @@ def unit_table(docs: DataFrame, text_col: str, doc_col: str) -> DataFrame:
     cut = cut.select(F.xxhash64("doc_id", "_text").alias("key"), "doc_id",
                      units(F.col("_text")).alias("_units"))
     return cut.select("key", "doc_id",
-                      F.transform("_units", lambda u: F.xxhash64(F.trim(F.rtrim(
-                          F.regexp_replace(u, "\n", ""))))).alias("h"),
+                      F.transform("_units", lambda u: F.xxhash64(F.btrim(u, F.lit(" \n")))).alias("h"),
                       F.transform("_units", lambda u: F.length(u)).alias("size"))
 
 
@@ -78,53 +77,76 @@ def fingerprints(table: DataFrame, *, window: int = WINDOW) -> DataFrame:
 def alignments(prints: DataFrame) -> DataFrame:
     """(key, first_key, shift): distinct alignments of a document with an earlier place.
 
-    A short unit alone proves nothing: unless it is long, a neighbour must agree as well.
+    A unit too short to be a run by itself proves nothing alone: a neighbour must agree too.
+    Hashes that occur once are dropped by a plain count before anything wider is shuffled; the
+    joined sides are staged tables, so skewed hashes can be split.
     """
-    first = (prints.groupBy("hash")
-             .agg(F.min(F.struct("doc_id", "key", "pos", "before", "after")).alias("f"),
-                  F.count("*").alias("n")).filter("n > 1").select("hash", "f"))
-    later = prints.join(first, "hash").filter(
-        (F.col("key") != F.col("f.key")) | (F.col("pos") != F.col("f.pos")))
-    agrees = ((F.col("size") >= LONG_UNIT) | F.coalesce(F.col("before") == F.col("f.before"), F.lit(False))
-              | F.coalesce(F.col("after") == F.col("f.after"), F.lit(False)))
+    prints = stage(prints, "line-prints")
+    again = stage(prints.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
+                  "line-repeats")
+    repeats = stage(prints.join(again, "hash"), "line-repeats")
+    first = stage(repeats.groupBy("hash").agg(
+        F.min(F.struct("doc_id", "key", "pos", "before", "after")).alias("f"))
+        .select("hash", F.col("f.key").alias("first_key"), F.col("f.pos").alias("first_pos"),
+                F.col("f.before").alias("first_before"), F.col("f.after").alias("first_after")),
+        "line-first")
+    later = repeats.join(first, "hash").filter(
+        (F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
+    agrees = ((F.col("size") >= MIN_RUN)
+              | F.coalesce(F.col("before") == F.col("first_before"), F.lit(False))
+              | F.coalesce(F.col("after") == F.col("first_after"), F.lit(False)))
     return (later.filter(agrees)
-            .select("key", F.col("f.key").alias("first_key"),
-                    (F.col("pos") - F.col("f.pos")).alias("shift")).distinct())
+            .select("key", "first_key", (F.col("pos") - F.col("first_pos")).alias("shift")).distinct())
 
 
 def repeated_units(table: DataFrame, lines: DataFrame, *, min_run: int = MIN_RUN) -> DataFrame:
-    """(key, removed: array of positions): units inside repeated runs of ``min_run`` characters."""
+    """(key, runs: array of (start, end)): unit ranges, end exclusive, of the repeated runs of
+    at least ``min_run`` characters."""
     mine = table.select("key", "h", "size")
     other = table.select(F.col("key").alias("first_key"), F.col("h").alias("first_h"))
-    both = lines.join(mine, "key").join(other, "first_key")
-    span = F.sequence(F.greatest(F.col("shift"), F.lit(0)),
-                      F.least(F.size("h"), F.size("first_h") + F.col("shift")) - 1)
-    same = F.filter(span, lambda p: F.get("h", p) == F.get("first_h", p - F.col("shift")))
     # within one text only the later occurrence goes (shift > 0)
-    matched = (both.filter((F.col("key") != F.col("first_key")) | (F.col("shift") > 0))
-               .select("key", F.explode(same).alias("pos"), "size")
-               .select("key", "pos", F.get("size", F.col("pos")).alias("size")).distinct())
+    both = (lines.filter((F.col("key") != F.col("first_key")) | (F.col("shift") > 0))
+            .join(mine, "key").join(other, "first_key"))
+    low = F.greatest(F.col("shift"), F.lit(0))
+    count = F.least(F.size("h"), F.size("first_h") + F.col("shift")) - low
+    side_by_side = F.arrays_zip(
+        F.slice("h", low + 1, count).alias("a"),
+        F.slice("first_h", low - F.col("shift") + 1, count).alias("b"),
+        F.slice("size", low + 1, count).alias("size"))
+    matched = (both.select("key", low.alias("low"), F.posexplode(side_by_side).alias("i", "u"))
+               .filter("u.a = u.b")
+               .select("key", (F.col("low") + F.col("i")).alias("pos"), F.col("u.size").alias("size"))
+               .distinct())
     by_doc = W.partitionBy("key").orderBy("pos")
     return (matched.withColumn("run", F.col("pos") - F.row_number().over(by_doc))
-            .groupBy("key", "run").agg(F.sum("size").alias("chars"),
-                                       F.collect_list("pos").alias("pos"))
+            .groupBy("key", "run").agg(F.sum("size").alias("chars"), F.min("pos").alias("start"),
+                                       (F.max("pos") + 1).alias("end"))
             .filter(F.col("chars") >= min_run)
-            .groupBy("key").agg(F.flatten(F.collect_list("pos")).alias("removed")))
+            .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs")))
+
+
+def without_runs(text: Column, runs: Column) -> Column:
+    """The text without the unit ranges ``runs`` (sorted, disjoint)."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["end"]))
+    ends = F.concat(F.transform(runs, lambda r: r["start"]), F.array(F.lit(2 ** 30)))
+    # a one-element array binds the units, so the text is cut once
+    kept = F.transform(F.array(units(text)), lambda u: F.flatten(F.transform(
+        F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda r: F.slice(u, r["s"] + 1, r["e"] - r["s"]))))
+    return F.array_join(kept[0], "")
 
 
 def dedup_lines(docs: DataFrame, *, text_col: str = "text", doc_col: str = "doc_id",
                 removed_col: str | None = None) -> DataFrame:
-    """``docs`` with later repeated runs cut from the text; with ``removed_col`` also the
-    positions of the units that went (null: none)."""
+    """``docs`` with later repeated runs cut from the text; with ``removed_col`` also the unit
+    ranges (start, end) that went (null: none)."""
     table = stage(unit_table(docs, text_col, doc_col), "lines")
     lines = stage(alignments(fingerprints(table)), "line-alignments")
     removed = stage(repeated_units(table, lines).withColumnRenamed("key", "__key")
-                    .withColumnRenamed("removed", "__removed"), "lines-removed")
+                    .withColumnRenamed("runs", "__runs"), "lines-removed")
     text = F.col(f"`{text_col}`")
-    kept = F.array_join(F.filter(units(text), lambda u, i: ~F.array_contains(F.col("__removed"), i)), "")
-    out = [F.when(F.col("__removed").isNull(), text).otherwise(kept).alias(c) if c == text_col
-           else F.col(f"`{c}`") for c in docs.columns]
+    out = [F.when(F.col("__runs").isNull(), text).otherwise(without_runs(text, F.col("__runs"))).alias(c)
+           if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if removed_col:
-        out.append(F.array_sort("__removed").alias(removed_col))
+        out.append(F.col("__runs").alias(removed_col))
     keyed = docs.withColumn("__key", F.xxhash64(F.col(f"`{doc_col}`"), text))
     return keyed.join(removed.hint("shuffle_hash"), "__key", "left").select(*out)

@@ -45,10 +45,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = dedup_lines(docs, removed_col="removed_units")
-    return found.select(
-        "doc_id", "text", F.coalesce(F.size("removed_units"), F.lit(0)).alias("n_removed"),
-        F.length("text").cast("long").alias("n_chars"), "removed_units")
+    found = dedup_lines(docs, removed_col="runs")
+    n_removed = F.aggregate("runs", F.lit(0), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "text", F.coalesce(n_removed, F.lit(0)).alias("n_removed"),
+                        F.length("text").cast("long").alias("n_chars"), "runs")
 
 
 def op6_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
