@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strivelake.llm.common import read_table, stage
+from strivelake.llm.common import fresh, read_table, stage
 from strivelake.llm.decontaminate import decontaminate
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
@@ -39,8 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    dirty = stage(found.filter("contaminated").select(F.col("doc_id").alias("__dirty")), "dirty")
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty")), "left_anti")
+    name = fresh(docs, "__dirty")
+    dirty = stage(found.filter("contaminated").select(F.col("doc_id").alias(name)), "dirty")
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +54,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.max("target").alias("target"), F.max("taken").alias("taken"))
     plain = docs.select(*[c for c in docs.columns
                           if c not in ("size", "source_size", "target", "taken")])
-    drawn = stage(taken.withColumnRenamed("doc_id", "__doc_id"), "mixed")
-    return plain.join(drawn.hint("shuffle_hash"),
-                      F.col("doc_id").eqNullSafe(F.col("__doc_id"))).drop("__doc_id")
+    name = fresh(plain, "__doc_id")
+    drawn = stage(taken.withColumnRenamed("doc_id", name), "mixed")
+    return plain.join(drawn.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(name))).drop(name)
 
 
 STAGES = [

@@ -63,6 +63,14 @@ def split_count(parts: Column) -> Column:
     return F.size(parts).cast("long") - empty_ends
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def python_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows of an Arrow batch, so a batch of long texts fits a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strivelake.llm.common import stage
+from strivelake.llm.common import fresh, stage
 
 WINDOW = 3
 MIN_RUN = 150                            # characters of a run worth deleting (about 25 words)
@@ -62,6 +62,11 @@ def unit_table(docs: DataFrame, text_col: str, doc_col: str) -> DataFrame:
                       F.transform("_units", lambda u: F.length(u)).alias("size"))
 
 
+def _short(unit_hash: Column) -> Column:
+    """32 bits of a neighbour's hash: enough to skip most chance matches; extension compares all."""
+    return F.when(unit_hash.isNotNull(), F.hash(unit_hash))
+
+
 def fingerprints(table: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """(hash, doc_id, key, pos, before, after, size): selected units and their neighbours."""
     long_units = F.filter(F.sequence(F.lit(0), F.size("h") - 1),
@@ -69,8 +74,8 @@ def fingerprints(table: DataFrame, *, window: int = WINDOW) -> DataFrame:
     picked = F.array_union(window_minima(F.col("h"), window), long_units)
     return (table.select("key", "doc_id", "h", "size", F.explode(picked).alias("pos"))
             .select(F.get("h", F.col("pos")).alias("hash"), "doc_id", "key", "pos",
-                    F.get("h", F.col("pos") - 1).alias("before"),
-                    F.get("h", F.col("pos") + 1).alias("after"),
+                    _short(F.get("h", F.col("pos") - 1)).alias("before"),
+                    _short(F.get("h", F.col("pos") + 1)).alias("after"),
                     F.get("size", F.col("pos")).alias("size")))
 
 
@@ -78,10 +83,9 @@ def alignments(prints: DataFrame) -> DataFrame:
     """(key, first_key, shift): distinct alignments of a document with an earlier place.
 
     A unit too short to be a run by itself proves nothing alone: a neighbour must agree too.
-    Hashes that occur once are dropped by a plain count before anything wider is shuffled; the
-    joined sides are staged tables, so skewed hashes can be split.
+    Hashes that occur once are dropped by a plain count before anything wider is kept; the
+    fingerprints are taken twice, as they are larger on disk than the units they come from.
     """
-    prints = stage(prints, "line-prints")
     again = stage(prints.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
                   "line-repeats")
     repeats = stage(prints.join(again, "hash"), "line-repeats")
@@ -141,12 +145,13 @@ def dedup_lines(docs: DataFrame, *, text_col: str = "text", doc_col: str = "doc_
     ranges (start, end) that went (null: none)."""
     table = stage(unit_table(docs, text_col, doc_col), "lines")
     lines = stage(alignments(fingerprints(table)), "line-alignments")
-    removed = stage(repeated_units(table, lines).withColumnRenamed("key", "__key")
-                    .withColumnRenamed("runs", "__runs"), "lines-removed")
+    key, runs = fresh(docs, "__key"), fresh(docs, "__runs")
+    removed = stage(repeated_units(table, lines).withColumnRenamed("key", key)
+                    .withColumnRenamed("runs", runs), "lines-removed")
     text = F.col(f"`{text_col}`")
-    out = [F.when(F.col("__runs").isNull(), text).otherwise(without_runs(text, F.col("__runs"))).alias(c)
+    out = [F.when(F.col(runs).isNull(), text).otherwise(without_runs(text, F.col(runs))).alias(c)
            if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if removed_col:
-        out.append(F.col("__runs").alias(removed_col))
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(f"`{doc_col}`"), text))
-    return keyed.join(removed.hint("shuffle_hash"), "__key", "left").select(*out)
+        out.append(F.col(runs).alias(removed_col))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{doc_col}`"), text))
+    return keyed.join(removed.hint("shuffle_hash"), key, "left").select(*out)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strivelake.llm.common import python_batches, stage
+from strivelake.llm.common import fresh, python_batches, stage
 
 SYMBOLS = b"#*$%&|<>"
 GRAM = 5
@@ -170,7 +170,7 @@ def with_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KE
     """``docs`` (or only its columns ``carry``) plus one struct column ``out``: the features,
     each rule's vote, base_failed, p_good and kept."""
     python_batches(docs.sparkSession)
-    feature, code, p_good = (f"__{out}_{x}" for x in ("features", "code", "p"))
+    feature, code, p_good = (fresh(docs, f"__{out}_{x}") for x in ("features", "code", "p"))
     own = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
 
     def f(name: str) -> Column:
@@ -198,5 +198,6 @@ def with_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KE
 
 def filter_quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, columns as they were."""
-    return (with_quality(docs, text_col=text_col, out="__quality")
-            .filter("`__quality`.kept").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    verdict = fresh(docs, "__quality")
+    return (with_quality(docs, text_col=text_col, out=verdict)
+            .filter(F.col(f"{verdict}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -8,8 +8,9 @@ registers are likelier the more similar two sets are.
 
 1. Documents with equal sets collapse to one representative (the smallest doc_id).
 2. ``ROWS`` registers at a time form a band; representatives that agree on a band meet in a
-   bucket. Each links to the smallest member of its bucket, not to all others. With 40
-   bands of 5 a pair of similarity 0.8 fails to meet in any with probability below 2e-7.
+   bucket. Each links to the bucket's centre, not to all others: the member that shares most
+   buckets with other documents (an original rather than one of its edited copies). With 56
+   bands of 6 a pair of similarity 0.8 fails to meet in any with probability below 5e-8.
 3. A candidate pair's similarity is estimated jointly by maximum likelihood from the numbers
    of larger, smaller and equal registers; pairs whose estimate is far below the threshold
    (``SLACK``, over 7 standard errors) stop here. The others are verified on the full sets.
@@ -35,20 +36,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strivelake.llm.common import python_batches, stage
+from strivelake.llm.common import fresh, python_batches, stage
 
-ROWS, BANDS = 5, 40
+ROWS, BANDS = 6, 56
 REGISTERS = ROWS * BANDS
-BASE = 1.02
-LIMIT = 2 ** 15 - 2
+BASE = 1.1
+RATE = 20.0            # exponential rate of the hash values: sets of one shingle stay off the floor
+LIMIT = 254
 SHINGLE = 2
 THRESHOLD = 0.8
 SLACK = 0.2
 
-_seeds = np.random.default_rng(20)
-# Odd multipliers and offsets of the register hash functions (fixed by the seed).
-_MULTIPLY = _seeds.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _seeds.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64)
+# Odd multipliers of the register hash functions (fixed by the seed). Shingle hashes are
+# uniform 64-bit values, and multiplying by an odd number permutes them.
+_MULTIPLY = (np.random.default_rng(20).integers(0, 2 ** 63, REGISTERS, dtype=np.uint64)
+             * np.uint64(2) + np.uint64(1))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,19 +69,15 @@ def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """SetSketch registers (int16) of a set of 64-bit hashes; all 0 for the empty set."""
-    low = np.full(REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for part in np.array_split(hashes, max(1, len(hashes) // 4096)):
-        if len(part):
-            for i in range(REGISTERS):
-                x = part * _MULTIPLY[i] + _ADD[i]
-                x ^= x >> np.uint64(32)
-                low[i] = min(low[i], (x * _MIX).min())
+    """SetSketch registers (uint8) of a set of 64-bit hashes; all 0 for the empty set."""
     if not len(hashes):
-        return np.zeros(REGISTERS, dtype=np.int16)
-    smallest = -np.log1p(-np.minimum(low.astype(np.float64) / 2.0 ** 64, 1 - 2.0 ** -53))
+        return np.zeros(REGISTERS, dtype=np.uint8)
+    low = np.full(REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for start in range(0, len(hashes), 1024):
+        np.minimum(low, np.multiply.outer(_MULTIPLY, hashes[start:start + 1024]).min(axis=1), out=low)
+    smallest = -np.log1p(-np.minimum(low.astype(np.float64) / 2.0 ** 64, 1 - 2.0 ** -53)) / RATE
     k = np.floor(1 - np.log(np.maximum(smallest, 1e-300)) / math.log(BASE))
-    return np.clip(k, 0, LIMIT + 1).astype(np.int16)
+    return np.clip(k, 0, LIMIT + 1).astype(np.uint8)
 
 
 def merge_registers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -139,8 +137,8 @@ def similarity_udf(a, b, n_a, n_b):
     import pandas as pd
     out = []
     for s in range(0, len(a), 256):
-        x = np.frombuffer(b"".join(a[s:s + 256]), dtype=np.int16).reshape(-1, REGISTERS)
-        y = np.frombuffer(b"".join(b[s:s + 256]), dtype=np.int16).reshape(-1, REGISTERS)
+        x = np.frombuffer(b"".join(a[s:s + 256]), dtype=np.uint8).reshape(-1, REGISTERS)
+        y = np.frombuffer(b"".join(b[s:s + 256]), dtype=np.uint8).reshape(-1, REGISTERS)
         out.append(joint_similarity(x, y, n_a[s:s + 256].to_numpy(), n_b[s:s + 256].to_numpy()))
     return pd.Series(np.concatenate(out) if out else np.empty(0))
 
@@ -213,14 +211,18 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
         owner.filter(F.col("doc_id") == F.col("rep")).select("doc_id").distinct(), "doc_id",
         "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch")
     reps = stage(reps, "reps")
-    width = 2 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
-        k, F.col("sketch").substr(k * width + 1, F.lit(width))))
+        k, F.col("sketch").substr(k * ROWS + 1, F.lit(ROWS))))
     met = reps.select("doc_id", F.explode(bands).alias("bucket"))
-    smallest = met.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"))
-    buckets = stage(met.join(smallest.filter("n > 1").select("bucket", "a"), "bucket"), "buckets")
+    shared = stage(met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
+    buckets = stage(met.join(shared, "bucket"), "buckets")
+    score = buckets.groupBy("doc_id").agg(F.sum("n").alias("score"))
+    scored = buckets.join(score, "doc_id")
+    centre = stage(scored.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m"))
+                   .select("bucket", (-F.col("m.c")).alias("a")), "centres")
+    buckets = stage(buckets.join(centre, "bucket").select("bucket", "doc_id", "a"), "buckets")
     stars = buckets.filter(F.col("a") != F.col("doc_id")).select(
-        "a", F.col("doc_id").alias("b")).distinct()
+        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
     links = _verified(stars, reps, source, "stars")
     label = components(links)
     # buckets with several components left: pairs between components, not yet tried
@@ -258,5 +260,6 @@ def keep_representatives(docs: DataFrame, *, doc_col: str = "doc_id",
     """One document (the smallest doc_id) of every group of near-duplicates, columns as they
     were; rows without a doc_id stay."""
     found = near_duplicates(docs, doc_col=doc_col, text_col=text_col)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(stage(gone, "gone"), F.col(f"`{doc_col}`") == F.col("__gone"), "left_anti")
+    name = fresh(docs, "__gone")
+    gone = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias(name)), "gone")
+    return docs.join(gone, F.col(f"`{doc_col}`") == F.col(name), "left_anti")
