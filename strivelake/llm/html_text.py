@@ -48,11 +48,17 @@ NAMES = {"nav", "navbar", "navigation", "menu", "menubar", "sidebar", "aside", "
          "notices", "notification", "alert", "banner", "popup", "modal", "overlay", "newsletter",
          "subscribe", "subscription", "promo", "promotion", "sponsor", "sponsored", "sponsors",
          "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adbox",
-         "adsense", "adslot", "social", "share", "sharing", "related", "recommended", "comment",
+         "adsense", "adslot", "adsbygoogle", "adunit", "adcontainer", "adwrap", "social", "share", "sharing", "related", "recommended", "comment",
          "comments", "commentlist", "disqus", "respond", "reply", "replies", "login", "signup",
          "search", "searchbox", "pagination", "pager", "widget", "widgets", "toolbar", "hidden",
          "outbrain", "taboola", "tags", "skip", "copyright", "legal", "disclaimer"}
 HEADERS = {"header", "masthead", "hero"}
+# A header with one of these names, or inside an article, is the article's: its headings stay.
+OWN_HEADERS = {"article", "entry", "post", "story", "content", "page"}
+ASIDE_ARTICLES = {"comment", "comments", "reply", "ad", "ads", "advert", "advertisement", "promo",
+                  "sponsored", "related", "teaser"}
+# Layout classes such as has-sidebar speak of another element.
+LAYOUT = {"has", "with", "no", "without"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CORE = {"html", "body", "main", "article"}
 # A start tag closes these open elements up to the given limits.
@@ -83,16 +89,20 @@ class _Block:
 
 
 def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
-    words = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
-    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", words)
-    return {w for w in re.split(r"[^a-z]+", words.lower()) if w}
+    found = set()
+    for value in " ".join(v or "" for k, v in attrs if k in ("class", "id")).split():
+        parts = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()) if w]
+        if parts and parts[0] not in LAYOUT:
+            found.update(parts)
+    return found
 
 
 class _Page(HTMLParser):
     """Blocks of a page in order, without the silent elements."""
 
-    def __init__(self) -> None:
+    def __init__(self, silent_tags: set[str] = SILENT) -> None:
         super().__init__(convert_charrefs=True)
+        self.silent_tags = silent_tags
         self.top = _Element("", None, False, False)
         self.open = [self.top]
         self.blocks: list[_Block] = []
@@ -116,15 +126,15 @@ class _Page(HTMLParser):
         names = _names(attrs)
         in_article = any(e.tag in ("article", "main") for e in self.open)
         heading_only = parent.heading_only
-        silent = parent.silent or tag in SILENT
+        silent = parent.silent or tag in self.silent_tags
         if not silent and tag not in CORE:
             style = re.sub(r"\s", "", values.get("style") or "").lower()
             silent = (bool(names & NAMES) or (values.get("role") or "").lower() in ROLES
                       or "hidden" in values or (values.get("aria-hidden") or "") == "true"
                       or "display:none" in style or "visibility:hidden" in style)
             if not silent and (tag == "header" or names & HEADERS):
-                silent, heading_only = not in_article, True
-        elif not silent and tag == "article" and names & {"comment", "comments", "reply"}:
+                silent, heading_only = not (in_article or names & OWN_HEADERS), True
+        elif not silent and tag == "article" and names & ASIDE_ARTICLES:
             silent = True
         self.open.append(_Element(tag, parent, silent, heading_only))
         self.links += tag == "a"
@@ -221,18 +231,22 @@ def _around(blocks: list[_Block]) -> _Element:
     return box
 
 
-def extract_text(html: str | None) -> str:
-    """The article text of a page: blocks joined by a blank line."""
-    page = _Page()
-    page.feed(html or "")
+def _blocks(html: str, silent_tags: set[str]) -> list[_Block]:
+    page = _Page(silent_tags)
+    page.feed(html)
     page.close()
-    blocks = []
     for b in page.blocks:
         b.text = SPACE.sub(" ", "".join(b.parts)).strip()
-        if b.text and (b.heading or not b.element.heading_only):
-            blocks.append(b)
+    return [b for b in page.blocks if b.text and (b.heading or not b.element.heading_only)]
+
+
+def extract_text(html: str | None) -> str:
+    """The article text of a page: blocks joined by a blank line."""
+    blocks = _blocks(html or "", SILENT)
     if not blocks:
-        return ""
+        blocks = _blocks(html or "", SILENT - {"form"})
+        if not any(b.heading for b in blocks):  # else a form around the whole page
+            return ""
     ratios = _ratios(blocks)
     weight = sum(len(b.text) for b in blocks)
     bar = KEEP_SHARE * sum(r * len(b.text) for r, b in zip(ratios, blocks)) / weight
