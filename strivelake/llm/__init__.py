@@ -1 +1,10 @@
-"""Operators for large training-data pipelines; nothing else in the library imports them."""
+"""Operators for large training-data pipelines; nothing else in the library imports them.
+
+Functions that run inside tasks are shipped by value, so executors need not have this
+package installed.
+"""
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
