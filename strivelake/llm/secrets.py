@@ -52,17 +52,19 @@ CODE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 def matches(text: Column, pattern: str) -> Column:
     """array of (match, start): all matches and their code-point offsets."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern)
-    walk = F.aggregate(
-        F.sequence(F.lit(1), F.size(found)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.get(pieces, i - 1)) + F.length(F.get(found, i - 1))).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + F.length(F.get(pieces, i - 1)))).alias("starts")),
-        lambda acc: acc["starts"])
-    return F.when(F.size(found) > 0, F.arrays_zip(found.alias("match"), walk.alias("start"))) \
-        .otherwise(F.array().cast("array<struct<match:string,start:int>>"))
+    # a one-element array binds matches and pieces, so the text is searched and cut once
+    cut = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+                           F.split(text, pattern).alias("pieces")))
+
+    def starts(b: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        both = F.arrays_zip(b["found"].alias("m"), F.slice(b["pieces"], 1, F.size(b["found"])).alias("p"))
+        return F.aggregate(both, none, lambda acc, x: F.struct(
+            (acc["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
+            F.concat(acc["starts"], F.array(acc["at"] + F.length(x["p"]))).alias("starts")),
+            lambda acc: acc["starts"])
+
+    return F.transform(cut, lambda b: F.arrays_zip(b["found"].alias("match"), starts(b).alias("start")))[0]
 
 
 def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -101,27 +103,30 @@ def random_tokens(tokens: DataFrame, *, false_discovery: float = FALSE_DISCOVERY
             .when(match.rlike(r"^(?:[A-Z2-7]+=*|[a-z2-7]+=*)$"), 32).otherwise(64))
     plain = F.translate(F.rtrim(F.translate(match, "=", " ")), "-_", "+/")
     value = F.expr(f"instr('{CODE}', c) - 1")
-    chars = (tokens.select("match", size.alias("size"), F.posexplode(F.split(plain, "")).alias("i", "c"))
+    # hashed and cut before the explode: a character row carries the hash of its token only
+    chars = (tokens.select(F.xxhash64("match").alias("token"), size.alias("size"),
+                           F.split(plain, "").alias("characters"))
+             .select("token", "size", F.posexplode("characters").alias("i", "c"))
              .filter(F.col("c") != "").withColumn("v", value)
              .withColumn("v", F.when(F.col("size") == 64, F.col("v"))
                          .when(F.col("c").between("0", "9"), F.col("v") - 52)
                          .otherwise(F.col("v") % 26 + F.when(F.col("size") == 16, 10).otherwise(0))))
-    by_token = W.partitionBy("match").orderBy("i")
+    by_token = W.partitionBy("token").orderBy("i")
     steps = (chars.withColumn("before", F.lag("v").over(by_token))
              .withColumn("high", (F.col("v") * 2 >= F.col("size")).cast("int"))
              .withColumn("turn", (F.col("high") != F.lag("high").over(by_token)).cast("int")))
-    whole = steps.groupBy("match", "size").agg(
+    whole = steps.groupBy("token", "size").agg(
         F.count("*").alias("n"), F.sum("high").alias("n_high"), F.sum("turn").alias("turns"),
         F.avg("v").alias("mean"), F.var_pop("v").alias("var"),
         F.sum(F.col("v") * F.col("before")).alias("lag_sum"),
         F.sum(F.when(F.col("before").isNotNull(), F.col("v") + F.col("before"))).alias("lag_both"))
-    squares = (chars.groupBy("match", "v").agg(F.count("*").alias("k"))
-               .groupBy("match").agg(F.sum(F.col("k") * F.col("k")).alias("squares")))
+    squares = (chars.groupBy("token", "v").agg(F.count("*").alias("k"))
+               .groupBy("token").agg(F.sum(F.col("k") * F.col("k")).alias("squares")))
     n, s = F.col("n").cast("double"), F.col("size").cast("double")
     low = n - F.col("n_high")
     text_squares = (F.when(F.col("size") == 16, TEXT_SQUARES[16])
                     .when(F.col("size") == 32, TEXT_SQUARES[32]).otherwise(TEXT_SQUARES[64]))
-    stat = (whole.join(squares, "match")
+    stat = (whole.join(squares, "token")
             .withColumn("x2", F.col("squares") * s / n - n)
             .withColumn("excess", (n - 1) * (s * text_squares - 1))
             .withColumn("text_mean", s - 1 + F.col("excess"))
@@ -139,7 +144,7 @@ def random_tokens(tokens: DataFrame, *, false_discovery: float = FALSE_DISCOVERY
     # -ln of the normal tail, to a few percent and never above it
     stat = stat.withColumn("log_p", F.when(F.col("z_text") <= 0, 0.0).otherwise(
         F.least(z * z / 2 + F.log(1 + 1.2533 * z) + 0.5, F.lit(MAX_LOG_P))))
-    stat = stage(stat.select("match", "n", "size", "log_p", "z_uniform", "z_runs", "z_serial",
+    stat = stage(stat.select("token", "n", "size", "log_p", "z_uniform", "z_runs", "z_serial",
                              F.floor(F.col("log_p") * BINS / MAX_LOG_P).alias("bin")), "secret-tests")
     # Benjamini-Hochberg on the bin edges: reject bins whose edge p <= q * rejected / all
     bins = stat.groupBy("bin").agg(F.count("*").alias("k"))
@@ -151,9 +156,11 @@ def random_tokens(tokens: DataFrame, *, false_discovery: float = FALSE_DISCOVERY
            .agg(F.min("bin").alias("cut")))
     cut = stage(cut, "secret-cut").first()["cut"]  # one number
     if cut is None:
-        return stat.limit(0).select("match")
-    return stat.filter((F.col("bin") >= cut) & (F.abs("z_uniform") < 4) & (F.abs("z_runs") < 3)
-                       & (F.abs("z_serial") < 3)).select("match")
+        return tokens.limit(0).select("match")
+    random = stat.filter((F.col("bin") >= cut) & (F.abs("z_uniform") < 4) & (F.abs("z_runs") < 3)
+                         & (F.abs("z_serial") < 3)).select("token")
+    return (tokens.select("match", F.xxhash64("match").alias("token"))
+            .join(random, "token", "left_semi").select("match"))
 
 
 def scan_secrets(docs: DataFrame, *, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
