@@ -15,10 +15,11 @@ registers are likelier the more similar two sets are.
    of larger, smaller and equal registers; pairs whose estimate is far below the threshold
    (``SLACK``, over 7 standard errors) stop here. The others are verified on the full sets.
 4. Verified links give components (smallest reachable doc_id).
-5. Buckets that still hold several components are finished exactly: all pairs between
-   different components of the bucket (never within one) are estimated and verified, and
-   the components are built again. So a large group of copies costs one link each, and no
-   link between texts that meet in a bucket is lost.
+5. Buckets that still hold several components are finished exactly: pairs between different
+   components of the bucket (never within one) are estimated and verified unless their
+   shared shingles cannot suffice (``_across_components``), and the components are built
+   again. So a large group of copies costs one link each, and no link between texts that
+   meet in a bucket is lost.
 
 Defined results: null, empty or blank texts have an empty set and link with nothing; a text
 of one word is one shingle; rows that share a doc_id are one document (their union set); rows
@@ -132,6 +133,15 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "shingles"])
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
+        ids = np.repeat(batch.column(0).cast(pa.int64()).to_numpy(), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.array(np.concatenate(sets).astype(np.int64) if sets else ids)],
+            names=["doc_id", "shingle"])
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity_udf(a, b, n_a, n_b):
     import pandas as pd
@@ -198,6 +208,49 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _several_parts(member: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold more than one component."""
+    mixed = (member.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+             .filter("lo < hi").select("bucket"))
+    return member.join(mixed, "bucket")
+
+
+def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and may still be linked.
+
+    A document's shingles that no other document around the same bucket centre has cannot be
+    common to any pair there. With s = all its other shingles, a pair has at most min(s, s')
+    in common, which bounds its similarity; a document with s < 0.8 n links with nothing. So
+    the many edited copies of a text that are not near each other go without being compared
+    shingle by shingle. Within a bucket only pairs outside its largest component are looked
+    at, with the bound inside the join.
+    """
+    member = (buckets.join(label, "doc_id", "left")
+              .select("bucket", "a", "doc_id", F.coalesce("component_id", "doc_id").alias("part")))
+    member = stage(_several_parts(member), "mixed-buckets")
+    texts = source.join(member.select("doc_id").distinct(), "doc_id", "left_semi")
+    held = stage(texts.mapInArrow(_shingle_rows, "doc_id long, shingle long").distinct(), "mixed-shingles")
+    near = member.select("a", "doc_id").distinct().join(held, "doc_id")
+    lone = (near.groupBy("a", "shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+            .filter(F.col("doc_id") == F.col("last")).groupBy("a", "doc_id").agg(F.count("*").alias("lone")))
+    sizes = near.groupBy("a", "doc_id").agg(F.count("*").alias("n")).join(lone, ["a", "doc_id"], "left") \
+        .select("a", "doc_id", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("s"))
+    percent = round(100 * THRESHOLD)
+    member = stage(_several_parts(member.join(
+        sizes.filter(100 * F.col("s") >= percent * F.col("n")), ["a", "doc_id"])), "mixed-buckets")
+    major = (member.groupBy("bucket", "part").agg(F.count("*").alias("k")).groupBy("bucket")
+             .agg(F.max(F.struct("k", "part")).alias("m")).select("bucket", F.col("m.part").alias("major")))
+    member = stage(member.join(major, "bucket"), "mixed-buckets")
+    x, y = member.filter("part <> major").alias("x"), member.alias("y")
+    common = F.least("x.s", "y.s")
+    return (x.join(y, (F.col("x.bucket") == F.col("y.bucket"))
+                   & ((F.col("y.part") == F.col("y.major")) | (F.col("x.part") < F.col("y.part")))
+                   & (F.col("x.doc_id") != F.col("x.a")) & (F.col("y.doc_id") != F.col("y.a"))
+                   & (100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)))
+            .select(F.least("x.doc_id", "y.doc_id").alias("a"),
+                    F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per document."""
     python_batches(docs.sparkSession)
@@ -225,23 +278,7 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
         F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
     links = _verified(stars, reps, source, "stars")
     label = components(links)
-    # buckets with several components left: pairs between components, not yet tried
-    member = (buckets.join(label, "doc_id", "left")
-              .select("bucket", "a", "doc_id",
-                      F.coalesce("component_id", "doc_id").alias("part")))
-    mixed = member.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")) \
-        .filter("lo < hi").select("bucket")
-    member = stage(member.join(mixed, "bucket"), "mixed-buckets")
-    parts = member.select("bucket", "part").distinct()
-    meet = (parts.alias("x").join(parts.alias("y"), "bucket")
-            .filter("x.part < y.part")
-            .select("bucket", F.col("x.part").alias("p"), F.col("y.part").alias("q")))
-    rest = (meet.join(member.select("bucket", F.col("part").alias("p"), F.col("doc_id").alias("x"),
-                                    F.col("a").alias("centre")), ["bucket", "p"])
-            .join(member.select("bucket", F.col("part").alias("q"), F.col("doc_id").alias("y")),
-                  ["bucket", "q"])
-            .filter((F.col("x") != F.col("centre")) & (F.col("y") != F.col("centre")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    rest = _across_components(buckets, label, source)
     more = _verified(rest, reps, source, "rest")
     if not more.isEmpty():
         label = components(links.union(more))
