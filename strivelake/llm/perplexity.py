@@ -1,47 +1,62 @@
 """Operator 6: quality classifier by n-gram perplexity.
 
-An interpolated modified Kneser-Ney model of order ``ORDER`` over characters folded to 64
-symbols (letters lower-cased, digits alike, white space alike, other letters hashed to 20
-symbols), trained on the trusted texts but for one in ``FOLDS``, which calibrate. Counts are combined per batch and per task, then by
-code over the cluster; discounts, continuation counts and back-off weights come from joins of
-the count tables, sharded by n-gram or context code. Every document gets its perplexity; the
-thresholds are, per language, two quantiles: text less predictable than nearly all held-out
-trusted texts (symbol noise, random strings) or more predictable than nearly all trusted
-texts (one phrase over and over) is rejected.
-
-The counts grow with the corpus, but the model has at most 64 ** ORDER n-grams whatever the
-input (``ORDER`` 4: 16.8 million, a 64 MB table of floats), a proven bound; so the last join,
-n-grams of documents with their probabilities, runs inside the tasks: each Python worker reads
-the sharded model from the shared folder once. The per-document n-grams are never shuffled.
-Nothing but eight counts of counts per order passes through the driver.
-
-Defined results: null, empty texts have no perplexity and are not kept; a language (or null)
-without held-out trusted texts takes the quantiles over all languages; without any held-out
-trusted text no document is kept; a document is trusted once however often its label repeats; rows that
-repeat are scored alike; extra columns pass through; empty tables give an empty result.
+An interpolated modified Kneser-Ney model of order ``WORD_ORDER`` over words, trained on the
+trusted texts but for one in ``FOLDS``, which calibrate. A word is a run of letters or of
+digits (lower-cased), any other visible character, or one character of a script written
+without spaces; words are 64-bit hashes, so nothing folds them together and the n-grams grow
+with the texts. Below the unigrams stands a spelling model: Kneser-Ney of order ``ORDER`` over
+the characters (64 symbols) of the different training words, which tells an unknown name from
+a random string.
+
+Scoring is a chain of joins: every document gives (document, n-gram, count), joined with the
+n-grams seen, sharded by n-gram, the back-off weights, sharded by context, and the
+probabilities of the shorter n-grams; logarithms are summed per document in fixed point, so
+the sums do not depend on their order. Only the spelling model, at most 64 ** ORDER
+probabilities whatever the input, is read by every Python worker, for each different word
+once. Frequent n-grams are split by Spark's skew join; counts are combined before a shuffle.
+
+Every document gets its perplexity per word; the thresholds are, per language, two quantiles:
+text less predictable than nearly all held-out trusted texts (symbol noise, random strings,
+words out of order) or more predictable than nearly all trusted texts (one phrase over and
+over) is rejected. Nothing but four counts of counts per order passes through the driver.
+
+Defined results: null, empty and blank texts have no perplexity and are not kept; a language
+(or null) with fewer than two held-out trusted texts takes the quantiles over all languages;
+without any held-out trusted text no document is kept; a document is trusted once however often its label
+repeats; rows that repeat are scored alike; extra columns pass through; empty tables give an
+empty result.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.dataset as ds
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strivelake.llm.common import python_batches, stage
 from strivelake.session import scratch_path
 
+WORD_ORDER = 3
 ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
 LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.995
 ACCURACY = 10_000
 FOLDS = 5
+SLICE_CHARS = 1 << 20            # characters that are cut into words at a time
+FIXED = 1 << 20                  # logarithms are summed in units of 1 / FIXED
+# Thai, Lao, Myanmar, Khmer, kana and Han: every character counts as a word.
+NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W\d_{NO_SPACES}]+|\d+|\S")
 
 
 def _fold_table() -> np.ndarray:
@@ -66,6 +81,10 @@ def _fold_table() -> np.ndarray:
 
 
 _FOLD = _fold_table()
+# ln of the number of (lower-case) characters that share a symbol
+_LN_SIZE = np.log(np.maximum(np.bincount(
+    [_FOLD[c] for c in range(0x250) if chr(c).lower() == chr(c)], minlength=SYMBOLS)
+    + np.where(np.arange(SYMBOLS) >= 44, (0x110000 - 0x250) / 20, 0), 1))
 
 
 def symbols(text: str) -> np.ndarray:
@@ -166,17 +185,153 @@ def log_probability(text: str | None, table: np.ndarray) -> float:
     return float(table[found].sum(dtype=np.float64))
 
 
-def with_perplexity(docs: DataFrame, folder: str, *, text_col: str = "text",
-                    out: str = "perplexity") -> DataFrame:
-    """``docs`` plus the perplexity per character under the model (null for empty texts)."""
+def spelling(word: str, table: np.ndarray) -> float:
+    """ln probability of a word, space behind it included, under the spelling model."""
+    return log_probability(word + " ", table) - float(_LN_SIZE[symbols(word)].sum())
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text.lower()) if text else []
+
+
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``SLICE_CHARS`` characters, so long texts fit a worker."""
+    start = chars = 0
+    for k, text in enumerate(texts):
+        chars += len(text or "")
+        if chars >= SLICE_CHARS:
+            yield start, k + 1
+            start, chars = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _names(order: int) -> list[str]:
+    return [f"w{k}" for k in range(order)]
+
+
+def word_grams(texts: DataFrame, order: int = WORD_ORDER) -> DataFrame:
+    """(key, w0, w1, ..., n): the n-grams of every text, hashes of their words and counts;
+    ``texts``: (key, text). A start mark stands ``order - 1`` times before the first word."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for start, end in _slices(texts):
+                flat, sizes = [], []
+                for text in texts[start:end]:
+                    found = words(text)
+                    sizes.append(len(found))
+                    if found:
+                        flat += [""] * (order - 1)
+                        flat += found
+                if not flat:
+                    continue
+                ids, distinct = pd.factorize(np.array(flat, dtype=object))
+                hashed = pd.util.hash_array(distinct, categorize=False)[ids]
+                at = np.flatnonzero(ids != 0)  # the start mark comes first
+                doc = np.repeat(np.arange(start, end, dtype=np.uint64), sizes)
+                mixed = doc
+                for k in range(order):
+                    mixed = (mixed ^ hashed[at - k]) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed ^= mixed >> np.uint64(29)
+                _, one, n = np.unique(mixed, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[doc[one]])]
+                    + [pa.array(hashed[at[one] - (order - 1 - k)].view(np.int64)) for k in range(order)]
+                    + [pa.array(n.astype(np.int64))], names=["key", *_names(order), "n"])
+
+    fields = ", ".join(f"{w} long" for w in _names(order))
+    return texts.mapInArrow(cut, f"key long, {fields}, n long")
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(w, word): the different words of (key, text) and their hashes."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list({w for text in batch.column(1).to_pylist() for w in words(text)})
+            if found:
+                hashed = pd.util.hash_array(np.array(found, dtype=object), categorize=False)
+                yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(found)],
+                                                 names=["w", "word"])
+
+    return texts.mapInArrow(cut, "w long, word string").groupBy("w").agg(F.min("word").alias("word"))
+
+
+def train_words(texts: DataFrame, order: int = WORD_ORDER) -> list[tuple[DataFrame, DataFrame]]:
+    """Per order, from 1: (n-gram, p) discounted probabilities of the n-grams seen and
+    (context, g) back-off weights of the contexts seen (of the empty context for order 1)."""
+    names = _names(order)
+    level = stage(word_grams(texts, order).groupBy(*names).agg(F.sum("n").alias("c")), "lm-counts")
+    model = []
+    for k in range(order, 0, -1):
+        d = discounts(level)
+        gram = names[order - k:]
+        context = gram[:-1]
+        kinds = [F.count(F.when(F.col("c") == 1, 1)) * d[0], F.count(F.when(F.col("c") == 2, 1)) * d[1],
+                 F.count(F.when(F.col("c") > 2, 1)) * d[2]]
+        total = level.groupBy(*context).agg(
+            F.sum("c").alias("total"), (reduce(lambda x, y: x + y, kinds) / F.sum("c")).alias("g"))
+        take = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+        with_total = level.join(total, context) if context else level.join(F.broadcast(total), F.lit(True))
+        seen = stage(with_total.select(*gram, ((F.col("c") - take) / F.col("total")).alias("p")), "lm-seen")
+        model.insert(0, (seen, stage(total.select(*context, "g"), "lm-back")))
+        # continuation counts: by how many different words is the shorter n-gram preceded
+        if k > 1:
+            level = stage(level.groupBy(*gram[1:]).agg(F.count("*").alias("c")), "lm-counts")
+    return model
+
+
+def with_log_p(grams: DataFrame, model: list[tuple[DataFrame, DataFrame]], spelled: DataFrame,
+               names: list[str]) -> DataFrame:
+    """``grams`` plus prob, the interpolated probability of their n-gram (columns ``names``).
+
+    ``spelled``: (w, base), the spelling probability of every word that occurs.
+    """
+    k = len(names)
+    seen, back = model[k - 1]
+    if k == 1:
+        lower = spelled.withColumnRenamed("w", names[0]).withColumnRenamed("base", "lower")
+        rows = grams.join(seen, names, "left").join(F.broadcast(back), F.lit(True), "left")  # one row
+    else:
+        shorter = stage(with_log_p(grams.select(*names[1:]).distinct(), model, spelled, names[1:]), "lm-lower")
+        lower = shorter.withColumnRenamed("prob", "lower")
+        rows = grams.join(seen, names, "left").join(back, names[:-1], "left")
+    prob = F.coalesce("p", F.lit(0.0)) + F.coalesce("g", F.lit(1.0)) * F.col("lower")
+    return rows.join(lower, names[1:] or names).select(*grams.columns, prob.alias("prob"))
+
+
+def word_perplexity(texts: DataFrame, trusted: DataFrame, order: int = WORD_ORDER) -> DataFrame:
+    """(key, perplexity) of every text with a word, under the model of the trusted texts;
+    both: (key, text). Texts of one key are alike."""
+    spark = texts.sparkSession
+    model = train_words(trusted, order)
+    folder = train(vocabulary(trusted).select(F.concat("word", F.lit(" ")).alias("text")),
+                   scratch_path(spark, "lm-model"))
+
     @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = load_model(folder)
-        for texts in batches:
-            yield pd.Series([np.exp(-log_probability(t, table) / len(t)) if t else None for t in texts],
-                            dtype="float64")
+        for found in batches:
+            yield pd.Series([np.exp(max(spelling(w, table), -700.0)) for w in found], dtype="float64")
+
+    spelled = stage(vocabulary(texts).select("w", spell("word").alias("base")), "lm-spelled")
+    grams = with_log_p(word_grams(texts, order), model, spelled, _names(order))
+    fixed = F.round(F.log("prob") * F.col("n") * FIXED).cast("long")
+    return (grams.groupBy("key").agg(F.sum(fixed).alias("log_p"), F.sum("n").alias("n"))
+            .select("key", F.exp(-F.col("log_p") / FIXED / F.col("n")).alias("perplexity")))
+
 
-    return docs.withColumn(out, score(F.col(f"`{text_col}`")))
+def _upper_cut(value: Column, high: float) -> Column:
+    """The quantile ``high`` of the values. Fewer than 1 / (1 - high) of them do not show it, their
+    largest is too low: there the upper prediction limit of ln value counts where it is higher
+    (Student's t about the median, with the scale that the upper quartile gives)."""
+    n = F.count(value).cast("double")
+    middle, upper, top = (F.percentile_approx(value, q, ACCURACY) for q in (0.5, 0.75, high))
+    z, free = NormalDist().inv_cdf(high), F.greatest(n - 1, F.lit(1.0))
+    t = z + (z ** 3 + z) / 4 / free + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96 / free ** 2
+    scale = F.log(upper / middle) / NormalDist().inv_cdf(0.75)
+    limit = middle * F.exp(t * scale * F.sqrt(1 + 1 / F.greatest(n, F.lit(1.0))))
+    return F.when((n < 1 / (1 - high)) & (n > 1), F.greatest(top, limit)).otherwise(top)
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_col: str = "doc_id",
@@ -192,22 +347,24 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_col: str = "doc_id"
     ids = stage(trusted_ids.select(F.col("doc_id").alias("__id"), F.lit(True).alias("trusted")).distinct(),
                 "lm-trusted")
     known = docs.select(F.col(doc_col).alias("doc_id"), F.col(lang_col).alias("lang"),
-                        F.col(text_col).alias("text"))
-    texts = known.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+                        F.col(text_col).alias("text"),
+                        F.xxhash64(F.col(doc_col), F.col(text_col)).alias("key"))
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
-    folder = train(texts.filter(~held_out), scratch_path(spark, "lm-model"))
-    scored = stage(with_perplexity(known, folder).select("doc_id", "lang", "perplexity"), "lm-scores")
+    trained = known.join(ids, F.col("doc_id") == F.col("__id"), "left_semi").filter(~held_out)
+    scores = stage(word_perplexity(known.select("key", "text"), trained.select("key", "text")), "lm-scores")
+    scored = known.drop("text").join(scores, "key", "left")
     scored = stage(scored.join(ids, F.col("doc_id") == F.col("__id"), "left").select(
         "doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "perplexity"), "lm-scores")
     sample = scored.filter("trusted and perplexity is not null")
     cut = F.struct(
         F.percentile_approx("perplexity", low, ACCURACY).alias("low"),
-        F.percentile_approx(F.when(held_out, F.col("perplexity")), high, ACCURACY).alias("high"))
+        _upper_cut(F.when(held_out, F.col("perplexity")), high).alias("high"),
+        F.count(F.when(held_out, 1)).alias("n"))
     by_lang = sample.groupBy(F.col("lang").alias("_lang")).agg(cut.alias("cut"))
     every = sample.agg(cut.alias("all_cut"))
     both = (scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .join(F.broadcast(every), F.lit(True), "left")  # one row
-            .withColumn("cut", F.when(F.col("cut.high").isNotNull(), F.col("cut"))
+            .withColumn("cut", F.when(F.col("cut.n") > 1, F.col("cut"))
                         .otherwise(F.col("all_cut"))))
     return both.select("doc_id", "lang", "trusted", "perplexity", "cut.low", "cut.high", F.coalesce(
         F.col("perplexity").between(F.col("cut.low"), F.col("cut.high")), F.lit(False)).alias("kept"))

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -75,3 +76,62 @@ def test_edges(spark):
     assert all(r.perplexity is None and not r.kept for r in got if r.doc_id in (2, 3))
     assert p.classify(docs.limit(0), docs.select("doc_id")).count() == 0
     assert not any(r.kept for r in p.classify(docs, docs.select("doc_id").limit(0)).collect())
+
+
+def word_model(texts, order):
+    """The word model by the book, over word tuples; the spelling base is passed in."""
+    levels = {order: Counter()}
+    for t in texts:
+        w = [""] * (order - 1) + p.words(t)
+        levels[order].update(tuple(w[k:k + order]) for k in range(len(w) - order + 1))
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+
+    def rates(counts):
+        n = Counter(min(c, 5) for c in counts.values())
+        if not all(n[k] for k in (1, 2, 3, 4)):
+            return [0.5, 0.75, 0.9]
+        y = n[1] / (n[1] + 2 * n[2])
+        return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
+
+    def prob(g, base):
+        if not g:
+            return base
+        counts, d = levels[len(g)], rates(levels[len(g)])
+        after = [c for h, c in counts.items() if h[:-1] == g[:-1]]
+        if not after:
+            return prob(g[1:], base)
+        c, taken = counts[g], sum(d[min(x, 3) - 1] for x in after)
+        return ((c - d[min(c, 3) - 1] if c else 0) + taken * prob(g[1:], base)) / sum(after)
+    return prob
+
+
+def test_joins_equal_the_word_formulas(spark):
+    texts = ["the cat sat on the mat, the cat ran", "a dog ran to the mat", "dogs and cats: 12 of them!"] * 3
+    asked = ["the cat sat", "zebra the cat the cat the cat", "\u732b\u304c", "Dogs AND xqzt \u00e9t\u00e9"]
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "key long, text string")
+    got = {r.key: r.perplexity for r in p.word_perplexity(frame(asked + ["", "  ", None]), frame(texts)).collect()}
+    vocab = sorted({w for t in texts for w in p.words(t)})
+    table = p.load_model(p.train(spark.createDataFrame([(w + " ",) for w in vocab], "text string"),
+                                 scratch_path(spark, "lm-test")))
+    prob, n = word_model(texts, p.WORD_ORDER), p.WORD_ORDER
+    assert set(got) == set(range(len(asked)))
+    for key, text in enumerate(asked):
+        w = [""] * (n - 1) + p.words(text)
+        log = [math.log(prob(tuple(w[k - n + 1:k + 1]), math.exp(p.spelling(w[k], table)))) for k in range(n - 1, len(w))]
+        assert math.isclose(got[key], math.exp(-sum(log) / len(log)), rel_tol=1e-3)
+
+
+def test_words_out_of_order_and_other_scripts_are_less_predictable(spark):
+    rng = random.Random(3)
+    parts = [["the", "a", "this"], ["old", "cold", "green"], ["farmer", "teacher", "river"], ["slowly", "never"],
+             ["found", "crossed", "watched"], ["every", "no"], ["bridge", "letter", "garden"]]
+    clean = [" ".join(rng.choice(q) for _ in range(8) for q in parts) for _ in range(60)]
+    mixed = [" ".join(rng.sample(t.split(), 56)) for t in clean[40:]]
+    han = "\u5c71\u6cb3\u7530\u6728"
+    docs = clean + mixed + [han * 10, "\u5de5" * 40]
+    df = spark.createDataFrame(list(enumerate(docs)), "key long, text string")
+    trusted = spark.createDataFrame(list(enumerate(clean[:40] + [han * 5])), "key long, text string")
+    got = {r.key: r.perplexity for r in p.word_perplexity(df, trusted).collect()}
+    assert min(got[60 + k] for k in range(20)) > 1.5 * max(got[40 + k] for k in range(20))
+    assert got[81] > 10 * got[80]
