@@ -109,7 +109,8 @@ def random_tokens(tokens: DataFrame, *, false_discovery: float = FALSE_DISCOVERY
              .select("token", "size", F.posexplode("characters").alias("i", "c"))
              .filter(F.col("c") != "").withColumn("v", value)
              .withColumn("v", F.when(F.col("size") == 64, F.col("v"))
-                         .when(F.col("c").between("0", "9"), F.col("v") - 52)
+                         .when(F.col("c").between("0", "9"),  # base32: 2-7 stand for 26..31
+                               F.col("v") - 52 + F.when(F.col("size") == 32, 24).otherwise(0))
                          .otherwise(F.col("v") % 26 + F.when(F.col("size") == 16, 10).otherwise(0))))
     by_token = W.partitionBy("token").orderBy("i")
     steps = (chars.withColumn("before", F.lag("v").over(by_token))

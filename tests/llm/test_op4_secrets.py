@@ -44,3 +44,17 @@ def test_battery_tells_random_tokens_from_text(spark):
     found = {r.match for r in s.random_tokens(tokens).collect()}
     assert len(found & set(rand)) >= 0.9 * len(set(rand))
     assert not found & set(text)
+
+
+def test_battery_finds_base32_tokens_of_all_lengths(spark):
+    rng = random.Random(7)
+    sizes = (32, 56, 80, 104, 128, 200)
+    rand = {"".join(rng.choices(a, k=n)): n for n in sizes for k in range(50)
+            for a in [s.CODE[:26] + "234567" if k % 2 else s.CODE[26:52] + "234567"]}
+    words = ["GOVERNMENTRESPONSIBILITYINTERNATIONAL" * k for k in (1, 2)] + ["A" * 40, "ABCDEFGH" * 5]
+    tokens = spark.createDataFrame([(t,) for t in [*rand, *words]], "match string")
+    found = {r.match for r in s.random_tokens(tokens).collect()}
+    assert not found & set(words)
+    for n in sizes:
+        mine = {t for t, size in rand.items() if size == n}
+        assert len(found & mine) >= (0.5 if n == 32 else 0.9) * len(mine), n
