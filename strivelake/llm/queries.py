@@ -13,7 +13,7 @@ from strivelake.llm.perplexity import classify
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
-from strivelake.llm.tool_calls import calls_of_turns, link_calls, schema_table
+from strivelake.llm.tool_calls import calls_of_turns, chat_events, link_calls, schema_table
 from strivelake.llm.warc import round_trip
 
 
@@ -66,6 +66,10 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_calls(calls, results, schema_table(spark))
 
 
+def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_events(read_table(spark, sf_dir, "conversations"), schema_table(spark))
+
+
 def op9_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ TRAINING_QUERIES = {
     "op6_perplexity": op6_perplexity,
     "op7_mixing": op7_mixing,
     "op8_tool_calls": op8_tool_calls,
+    "op8_chat_events": op8_chat_events,
     "op9_setsketch": op9_setsketch,
     "op10_html_text": op10_html_text,
 }

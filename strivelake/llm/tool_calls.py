@@ -13,8 +13,12 @@ DataFrame functions only; no window or list over a conversation, which may hold
 all rows. Events are ordered by (conv_id, level, turn), with level = 2 * depth (+ 1 for
 results) as a column instead of a global rank.
 
-Defined results: calls or results that repeat an identifier count once (the smallest turn,
-then text); a result without a call is an ``orphan`` at level 1; a parent that does not exist
+``chat_events`` adds every turn as a message with its role and text, so system turns, first
+prompts and other roles stay; messages are ordered by turn.
+
+Defined results: of calls or results that repeat an identifier the first (smallest turn, then
+text) is linked, those that differ from it in more than the turn follow with status
+``duplicate``, level null; a result without a call is an ``orphan`` at level 1; a parent that does not exist
 makes the call a root with error ``unknown parent``; calls in or behind a cycle have level
 null and error ``cycle``; arguments that are null, empty, not JSON or not an object have
 error ``arguments``; an unknown tool has error ``unknown tool``; rows without conversation or
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from strivelake.llm.common import stage
 
 KEY = ["conv_id", "call_id"]
+ROLES = ["system", "user", "assistant", "tool"]
 
 
 def json_type(variant: Column) -> Column:
@@ -45,10 +50,15 @@ def canonical(text: Column) -> Column:
     return F.to_json(F.try_parse_json(text))
 
 
-def _once(rows: DataFrame, values: list[str]) -> DataFrame:
-    """One row per identifier: the smallest by ``values``."""
+def _once(rows: DataFrame, values: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The first row per identifier (smallest turn, then ``values``) and the further rows that
+    differ from it in ``values``, each once."""
     known = rows.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    return known.groupBy(*KEY).agg(F.min(F.struct(*values)).alias("_v")).select(*KEY, "_v.*")
+    variants = stage(known.groupBy(*KEY, *values).agg(F.min("turn").alias("turn")), name)
+    whole = F.struct("turn", *values)
+    first = stage(variants.groupBy(*KEY).agg(F.min(whole).alias("_v")), name)
+    more = variants.join(first, KEY).filter(~whole.eqNullSafe(F.col("_v"))).drop("_v")
+    return first.select(*KEY, "_v.*"), more
 
 
 def depths(calls: DataFrame) -> DataFrame:
@@ -98,6 +108,19 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
             .groupBy(*KEY).agg(F.array_sort(F.collect_set("error")).alias("errors")))
 
 
+def _call_json() -> Column:
+    # to_json leaves null fields out; struct fields are named in sorted order
+    return canonical(F.to_json(F.struct(
+        F.coalesce(canonical(F.col("arguments")), F.lit("null")).alias("arguments"),
+        F.col("call_id").alias("id"), F.col("name").alias("name"), F.col("parent_id").alias("parent"),
+        F.lit("call").alias("type"))))
+
+
+def _result_json() -> Column:
+    return canonical(F.to_json(F.struct(F.col("content").alias("content"), F.col("call_id").alias("id"),
+                                        F.lit("result").alias("type"))))
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per event: conv_id, call_id, kind (call, result), level, turn, status, valid,
     errors and json.
@@ -105,8 +128,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     ``calls``: conv_id, turn, call_id, parent_id, name, arguments (JSON text);
     ``results``: conv_id, turn, call_id, content.
     """
-    calls = stage(_once(calls, ["turn", "name", "arguments", "parent_id"]), "calls")
-    results = stage(_once(results, ["turn", "content"]), "results")
+    calls, more_calls = _once(calls, ["name", "arguments", "parent_id"], "calls")
+    results, more_results = _once(results, ["content"], "results")
     order = depths(calls)
     known = calls.join(order, KEY).join(argument_errors(calls, schemas), KEY, "left")
     errors = F.array_compact(F.concat(
@@ -120,25 +143,46 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     has_call, has_result = F.col("call_turn").isNotNull() | F.col("errors").isNotNull(), F.col("has_result")
     status = (F.when(~has_call, "orphan").when(has_result.isNull(), "unanswered").otherwise("linked"))
     no_errors = F.coalesce("errors", F.array().cast("array<string>"))
-    # to_json leaves null fields out; struct fields are named in sorted order
     call = F.struct(
         F.lit("call").alias("kind"), (2 * F.col("depth")).alias("level"), F.col("call_turn").alias("turn"),
-        canonical(F.to_json(F.struct(
-            F.coalesce(canonical(F.col("arguments")), F.lit("null")).alias("arguments"),
-            F.col("call_id").alias("id"), F.col("name").alias("name"), F.col("parent_id").alias("parent"),
-            F.lit("call").alias("type")))).alias("json"))
+        _call_json().alias("json"))
     result = F.struct(
         F.lit("result").alias("kind"),
         F.when(~has_call, 1).otherwise(2 * F.col("depth") + 1).alias("level"),
-        F.col("result_turn").alias("turn"),
-        canonical(F.to_json(F.struct(F.col("content").alias("content"), F.col("call_id").alias("id"),
-                                     F.lit("result").alias("type")))).alias("json"))
+        F.col("result_turn").alias("turn"), _result_json().alias("json"))
     events = F.array_compact(F.array(F.when(has_call, call), F.when(has_result, result)))
-    return (both.select(*KEY, status.alias("status"), no_errors.alias("errors"),
-                        F.explode(events).alias("e"))
-            .select(*KEY, "e.kind", "e.level", "e.turn", "status",
-                    ((F.size("errors") == 0) & (F.col("status") != "orphan")).alias("valid"),
-                    "errors", "e.json"))
+    linked = (both.select(*KEY, status.alias("status"), no_errors.alias("errors"),
+                          F.explode(events).alias("e"))
+              .select(*KEY, "e.kind", "e.level", "e.turn", "status",
+                      ((F.size("errors") == 0) & (F.col("status") != "orphan")).alias("valid"),
+                      "errors", "e.json"))
+
+    def again(more: DataFrame, kind: str, json: Column) -> DataFrame:
+        return more.select(
+            *KEY, F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("level"), "turn",
+            F.lit("duplicate").alias("status"), F.lit(False).alias("valid"),
+            F.array(F.lit("duplicate")).alias("errors"), json.alias("json"))
+
+    return (linked.unionByName(again(more_calls, "call", _call_json()))
+            .unionByName(again(more_results, "result", _result_json())))
+
+
+def message_events(turns: DataFrame) -> DataFrame:
+    """Every turn as an event of kind message, in the columns of ``link_calls`` (call_id and
+    level null): the role and the text are in json; a role outside ``ROLES`` has error ``role``."""
+    errors = F.array_compact(F.array(F.when(~F.coalesce(F.col("role").isin(ROLES), F.lit(False)), F.lit("role"))))
+    return turns.select(
+        "conv_id", F.lit(None).cast("string").alias("call_id"), F.lit("message").alias("kind"),
+        F.lit(None).cast("int").alias("level"), "turn", F.lit("message").alias("status"),
+        (F.size(errors) == 0).alias("valid"), errors.alias("errors"),
+        canonical(F.to_json(F.struct(F.col("text").alias("content"), F.col("role").alias("role"),
+                                     F.lit("message").alias("type")))).alias("json"))
+
+
+def chat_events(turns: DataFrame, schemas: DataFrame) -> DataFrame:
+    """All of the table: every turn as a message, beside the calls and results in the turns."""
+    calls, results = calls_of_turns(turns)
+    return link_calls(calls, results, schemas).unionByName(message_events(turns))
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

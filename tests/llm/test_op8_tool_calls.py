@@ -2,7 +2,7 @@ import json
 
 from conftest import SF_SMALL
 from strivelake.llm import tool_calls as t
-from strivelake.llm.queries import op8_tool_calls
+from strivelake.llm.queries import op8_chat_events, op8_tool_calls
 
 TYPES = {str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null", list: "array", dict: "object"}
 
@@ -88,3 +88,27 @@ def test_edges(spark):
         assert json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == text
     assert t.link_calls(calls.limit(0), results.limit(0), t.schema_table(spark)).count() == 0
     assert {v[1] for v in found(t.link_calls(calls.limit(0), results, t.schema_table(spark))).values()} == {"orphan"}
+
+
+def test_every_turn_is_an_event(spark):
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    got = op8_chat_events(spark, SF_SMALL)
+    said = sorted((r.conv_id, r.turn, *(json.loads(r.json).get(k) for k in ("role", "content")))
+                  for r in got.filter("kind = 'message'").collect())
+    assert said == sorted((r.conv_id, r.turn, r.role, r.text) for r in turns.collect())
+    assert got.filter("kind <> 'message'").count() == op8_tool_calls(spark, SF_SMALL).count()
+    odd = spark.createDataFrame([(1, 0, None, "a"), (None, 1, "narrator", None)],
+                                "conv_id long, turn long, role string, text string")
+    kept = t.chat_events(odd, t.schema_table(spark)).collect()
+    assert sorted(r.json for r in kept) == ['{"content":"a","type":"message"}', '{"role":"narrator","type":"message"}']
+    assert [r.errors for r in kept] == [["role"], ["role"]]
+
+
+def test_repeated_identifiers_are_marked(spark):
+    calls = spark.createDataFrame([(1, 0, "a", None, "rank", "{}"), (1, 3, "a", None, "rank", '{"extra":"x"}'),
+                                   (1, 4, "a", None, "rank", "{}")],
+                                  "conv_id long, turn long, call_id string, parent_id string, name string, arguments string")
+    results = spark.createDataFrame([(1, 1, "a", "one"), (1, 2, "a", "two")],
+                                    "conv_id long, turn long, call_id string, content string")
+    got = {(r.kind, r.turn): r.status for r in t.link_calls(calls, results, t.schema_table(spark)).collect()}
+    assert got == {("call", 0): "linked", ("result", 1): "linked", ("call", 3): "duplicate", ("result", 2): "duplicate"}
