@@ -78,3 +78,16 @@ def test_window_minima(spark):
     df = spark.createDataFrame([([5, 3, 3, 9, 1],), ([7],), ([2, 1],)], "h array<long>")
     got = [sorted(r[0]) for r in df.select(ld.window_minima(df.h, 3)).collect()]
     assert got == [[2, 4], [0], [1]]
+
+
+def test_source_is_found_behind_edited_copies(spark):
+    run = [f"Sentence number {k} of the passage has its own several words. " for k in range(8)]
+    edited = "".join(u if k % 2 else f"Changed line {k} here instead of it. " for k, u in enumerate(run))
+    part = "Begin here. " + "".join(run[2:4]) + "Something else follows at this place. "
+    rows = [(1, edited), (2, part), (3, "Opening of three. " + "".join(run) + "Close."),
+            (4, "Opening of four. " + "".join(run) + "Other close.")]
+    got = {r.doc_id: r.text for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(rows[:3]) | {4: "Opening of four. Other close."}
+    many = "".join(f"w{k}. " for k in range(80))  # windows of many short units
+    docs = spark.createDataFrame([(1, many), (2, "Other. " + many + "End.")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in ld.dedup_lines(docs).collect()} == {1: many, 2: "Other. End."}
