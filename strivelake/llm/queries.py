@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strivelake.llm.common import read_table
 from strivelake.llm.decontaminate import decontaminate
+from strivelake.llm.hard_negatives import mine_hard_negatives
 from strivelake.llm.html_text import extract_pages
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
@@ -13,6 +14,7 @@ from strivelake.llm.perplexity import classify
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
+from strivelake.llm.spelling import spelling_variants
 from strivelake.llm.tool_calls import calls_of_turns, chat_events, link_calls, schema_table
 from strivelake.llm.warc import round_trip
 
@@ -78,6 +80,16 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 TRAINING_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
@@ -90,5 +102,37 @@ TRAINING_QUERIES = {
     "op8_chat_events": op8_chat_events,
     "op9_setsketch": op9_setsketch,
     "op10_html_text": op10_html_text,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+# Every anchor against every row; the operator itself never makes these pairs.
+OP11_SQL = """
+WITH points AS (
+    SELECT row_number() OVER () AS uid, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.uid, a.vec_id AS anchor_id, b.uid AS other, b.vec_id, a.label = b.label AS alike,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM points a JOIN points b ON a.uid <> b.uid
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT * FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id, other) <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score,
+           n.vec_id AS negative_id, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.uid, p.other ORDER BY n.score DESC, n.vec_id, n.other) AS rank
+    FROM positives p JOIN scored n
+      ON p.uid = n.uid AND NOT n.alike
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": OP11_SQL}
