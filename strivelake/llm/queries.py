@@ -10,6 +10,7 @@ from strivelake.llm.hard_negatives import mine_hard_negatives
 from strivelake.llm.html_text import extract_pages
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
+from strivelake.llm.packing import pack_documents
 from strivelake.llm.perplexity import classify
 from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
@@ -86,6 +87,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_table(spark, sf_dir, "documents"))
 
@@ -103,6 +108,7 @@ TRAINING_QUERIES = {
     "op9_setsketch": op9_setsketch,
     "op10_html_text": op10_html_text,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_packing": op12_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
