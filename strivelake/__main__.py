@@ -55,7 +55,8 @@ def job_ref(spark, args) -> int:
 def job_silver(spark, args) -> int:
     from strivelake.plans.pipelines import silver_job
     from strivelake.sources.tables import read_table
-    acts, enriched = silver_job(spark, read_table(spark, args.bronze), read_table(spark, args.rh),
+    from strivelake.streaming.merge import load_state
+    acts, enriched = silver_job(spark, load_state(spark, args.bronze), read_table(spark, args.rh),
                                 spark.read.parquet(args.routes), args.out,
                                 only_employee=args.only_employee, strict=args.strict,
                                 table_format=args.table_format)

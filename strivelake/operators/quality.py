@@ -8,6 +8,8 @@ with the names of the rules it breaks.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +94,66 @@ def failed_rows(df: DataFrame, now: dt.datetime) -> DataFrame:
                       "end_date", "activity_type"))
 
 
+# ------------------------------------------------------------------ gate in front of a load
+BROKEN = "broken_checks"
+GATE_REQUIRED = ("id", "employee_id", "start_date", "end_date", "activity_type", "created_at")
+
+
+class QualityStop(RuntimeError):
+    """Too large a share of a batch breaks the checks; nothing of the batch was written."""
+
+
+def broken_checks(now: dt.datetime, required: tuple[str, ...] = GATE_REQUIRED) -> Column:
+    """Names of the row checks (Q-2, Q-4..Q-8) that a change row with ISO text breaks, in order.
+
+    A delete carries the last image of a row that may have been bad all along: only its id counts.
+    """
+    moments = {c: parse_ts(c).cast("timestamp_ntz") for c in ("start_date", "end_date", "created_at")}
+    conds = {f"missing({c})": moments.get(c, F.col(c)).isNull() for c in required}
+    conds["negative(distance_m)"] = F.col("distance_m") < 0
+    start, end = moments["start_date"], moments["end_date"]
+    limit = F.lit(now).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    conds |= {"end_before_start": end < start, "duration_not_positive": end <= start,
+              "blank_activity_type": F.trim("activity_type") == "", "start_in_far_future": start > limit}
+    delete = F.col("op") == "d"
+    tags = [F.when(F.coalesce(cond, F.lit(False)) & (F.lit(name == "missing(id)") | ~delete), F.lit(name))
+            for name, cond in conds.items()]
+    return F.filter(F.array(*tags), lambda x: x.isNotNull())
+
+
+@dataclass(frozen=True)
+class Gate:
+    """Row checks in front of a load: rows that break one go to ``sink(rows, batch_id)``.
+
+    A batch in which more than ``stop_share`` of the rows fail raises :class:`QualityStop` before
+    anything is written. The counts are taken over the persisted batch.
+    """
+    sink: Callable[[DataFrame, int], None]
+    now: dt.datetime
+    stop_share: float = 1.0
+
+    def check(self, changes: DataFrame) -> DataFrame:
+        return changes.withColumn(BROKEN, broken_checks(self.now))
+
+    def passed(self, checked: DataFrame) -> DataFrame:
+        return checked.filter(F.size(BROKEN) == 0).drop(BROKEN)
+
+    def divert(self, checked: DataFrame, batch_id: int) -> int:
+        """Stop or write the failing rows; returns their number."""
+        counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size(BROKEN) > 0).alias("bad")).first()
+        if counts["bad"] > self.stop_share * counts["n"]:
+            raise QualityStop(f"batch {batch_id}: {counts['bad']} of {counts['n']} rows break the checks")
+        self.sink(checked.filter(F.size(BROKEN) > 0), batch_id)
+        return counts["bad"]
+
+
+def quarantine_folder(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink of a gate: one sub-folder per batch, rewritten by a retry."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={int(batch_id)}")
+    return write
+
+
 def distance_plausibility(activities: DataFrame) -> DataFrame:
     """F-20: activities whose distance does not fit the sport (none expected, missing, out of range)."""
     expected, lo, hi = expected_distance_range("activity_type")

@@ -25,6 +25,7 @@ from strivelake.sources.fixtures import sport_sheet
 from strivelake.sources.reference import (
     declared_sports, read_reference, sanitize_columns,
 )
+from strivelake.sources.state import StatePolicy, read_state
 from strivelake.sources.tables import read_table, write_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -84,7 +85,7 @@ def src_cdc_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = pipelines.run_again(spark, run)
     if again.batches != 0:
         raise AssertionError(f"empty run executed {again.batches} batch(es)")
-    return read_table(spark, run.table)
+    return read_state(spark, run.table)
 
 
 @query("src_reference_load")
@@ -98,13 +99,11 @@ def src_reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_state_scan")
 def src_state_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-5: a version per log batch; a scan returns the newest one."""
-    i = Inputs(spark, sf_dir)
-    path = scratch_path(spark, "state") + "/bronze"
-    write_table(cdc.initial_state(_latest(i, 0)), path)
-    for b in (1, 2):
-        write_table(cdc.merge_state(read_table(spark, path), _latest(i, b)), path)
-    return read_table(spark, path)
+    """S-5: a scan of the state while changes are pending: only the first batch is folded, the
+    other two lie beside the base with their delete markers."""
+    run = pipelines.incremental_bronze(spark, Inputs(spark, sf_dir),
+                                       policy=StatePolicy(fold_share=float("inf")))
+    return read_state(spark, run.table)
 
 
 @query("src_export_readback")
@@ -183,7 +182,7 @@ def job_ref_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-1/C-1: three availableNow runs, one per log file batch; the final state."""
     run = pipelines.incremental_bronze(spark, Inputs(spark, sf_dir))
-    return read_table(spark, run.table)
+    return read_state(spark, run.table)
 
 
 @query("stream_reset_replay")
@@ -191,7 +190,7 @@ def stream_reset_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-3/K-5: after three incremental runs, a fresh checkpoint + table replays everything."""
     run = pipelines.incremental_bronze(spark, Inputs(spark, sf_dir))
     replay = pipelines.replay(spark, run)
-    return read_table(spark, replay.table)
+    return read_state(spark, replay.table)
 
 
 @query("stream_notifications")
@@ -271,17 +270,19 @@ def cdc_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_merge_state")
 def cdc_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M-3/J-4: state from batch 0 merged with the latest changes of batches 1 and 2."""
+    """M-3/J-4: state of batch 0 merged with the latest changes of batches 1 and 2."""
     i = Inputs(spark, sf_dir)
-    return cdc.merge_state(cdc.initial_state(_latest(i, 0)), _latest(i, 1, 2))
+    return cdc.merge_state(cdc.to_state_rows(_latest(i, 0)), _latest(i, 1, 2))
 
 
-@query("cdc_merge_state_broadcast")
-def cdc_merge_state_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M-3 batch by batch; whether a side is broadcast is left to the planner."""
+@query("cdc_merge_state_stepwise")
+def cdc_merge_state_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-3 batch by batch, the newest batch first: delete markers keep older changes out."""
     i = Inputs(spark, sf_dir)
-    return cdc.merge_state(cdc.merge_state(cdc.initial_state(_latest(i, 0)), _latest(i, 1)),
-                           _latest(i, 2))
+    state = cdc.to_state_rows(_latest(i, 2))
+    for b in (0, 1):
+        state = cdc.fold_changes(state, _latest(i, b))
+    return cdc.live_rows(state)
 
 
 @query("cdc_merge_anti_union")

@@ -254,29 +254,11 @@ SELECT {ROW_COLS}, op AS last_op, last_event_ts_ms, kafka_partition, kafka_offse
 
 latest_cte("f_latest_all", None)
 latest_cte("f_latest_b0", (0,))
-latest_cte("f_latest_b1", (1,))
-latest_cte("f_latest_b2", (2,))
 latest_cte("f_latest_b12", (1, 2))
 cte("f_state_all", f"SELECT {STATE_COLS} FROM f_latest_all WHERE last_op <> 'd'", "f_latest_all")
 cte("f_state_b0", f"SELECT {STATE_COLS} FROM f_latest_b0 WHERE last_op <> 'd'", "f_latest_b0")
 
 
-def merged_cte(name: str, target: str, latest: str) -> None:
-    """One MERGE: an older change of the same partition loses against the stored row."""
-    cols = ", ".join(f"CASE WHEN applies THEN s_{c} ELSE t_{c} END AS {c}" for c in STATE_COLS.split(", "))
-    sides = ", ".join(f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in STATE_COLS.split(", "))
-    cte(name, f"""
-SELECT {cols} FROM (
-  SELECT {sides}, s.id IS NOT NULL AND (t.id IS NULL OR s.kafka_partition <> t.kafka_partition
-                                        OR s.kafka_offset >= t.kafka_offset) AS applies
-  FROM {target} t FULL OUTER JOIN {latest} s ON t.id = s.id)
-WHERE CASE WHEN applies THEN s_last_op <> 'd' ELSE t_id IS NOT NULL END""", target, latest)
-
-
-# the state after the three batches, one after the other, and after batch 0 and the other two at once
-merged_cte("f_state_b01", "f_state_b0", "f_latest_b1")
-merged_cte("f_state_steps", "f_state_b01", "f_latest_b2")
-merged_cte("f_state_two", "f_state_b0", "f_latest_b12")
 cte("f_state_unguarded", f"""
 SELECT {STATE_COLS} FROM f_state_b0 WHERE id NOT IN (SELECT id FROM f_latest_b12)
 UNION ALL SELECT {STATE_COLS} FROM f_latest_b12 WHERE last_op <> 'd'""", "f_state_b0", "f_latest_b12")
@@ -321,7 +303,7 @@ SELECT employee_id, CAST(year(ts) AS INTEGER) AS activity_year, count(*) AS phys
 FROM (SELECT employee_id, {parse('start_date')} AS ts FROM f_activities WHERE {parse('start_date')} IS NULL)
 WHERE ts IS NOT NULL GROUP BY employee_id, CAST(year(ts) AS INTEGER)""", "f_activities")
 years_cte("f_years_bad", "f_by_year_bad", FIXTURE_AS_OF)
-cte("f_e2e_acts", f"SELECT {ROW_COLS} FROM f_state_steps", "f_state_steps")
+cte("f_e2e_acts", f"SELECT {ROW_COLS} FROM f_state_all", "f_state_all")
 cte("f_by_year_e2e", f"""
 SELECT employee_id, CAST(year(ts) AS INTEGER) AS activity_year, count(*) AS physical_activities_count_year
 FROM (SELECT employee_id, {parse('start_date')} AS ts FROM f_e2e_acts)
@@ -348,11 +330,11 @@ SELECT CAST(user_id % 4 AS INTEGER) AS kafka_partition, count(*) AS records,
   min(event_id) AS min_offset, max(event_id) AS max_offset,
   CAST(count_if(event_id % 101 = 0) AS BIGINT) AS null_values
 FROM events GROUP BY CAST(user_id % 4 AS INTEGER)""")
-for _k, _state in {"src_cdc_empty_batch": "f_state_steps", "stream_incremental_merge": "f_state_steps",
-                   "cdc_merge_state_broadcast": "f_state_steps", "src_state_scan": "f_state_steps",
-                   "stream_reset_replay": "f_state_all", "cdc_initial_load": "f_state_all",
-                   "cdc_merge_state": "f_state_two", "cdc_merge_anti_union": "f_state_unguarded"}.items():
-    oracle(_k, f"SELECT * FROM {_state}", _state)
+# the newest change of every key of the whole log, in whatever batches and order it was merged
+for _k in ("src_cdc_empty_batch", "stream_incremental_merge", "src_state_scan", "stream_reset_replay",
+           "cdc_initial_load", "cdc_merge_state", "cdc_merge_state_stepwise"):
+    oracle(_k, "SELECT * FROM f_state_all", "f_state_all")
+oracle("cdc_merge_anti_union", "SELECT * FROM f_state_unguarded", "f_state_unguarded")
 oracle("job_ref_rh", "SELECT * FROM f_employees", "f_employees")
 oracle("job_ref_sport", "SELECT * FROM f_sport", "f_sport")
 oracle("job_export_stored_gold", "SELECT * FROM f_gold", "f_gold")

@@ -21,7 +21,7 @@ from strivelake.sources.changes import write_log_files
 from strivelake.sources.export import export_sorted
 from strivelake.sources.reference import read_reference
 from strivelake.sources.tables import default_format, read_table, write_table
-from strivelake.streaming.merge import MergeRun, reset_and_replay, run_incremental_merge
+from strivelake.streaming.merge import MergeRun, load_state, reset_and_replay, run_incremental_merge
 from strivelake.streaming.notifications import parquet_sink, run_notifications
 
 
@@ -35,14 +35,16 @@ class BronzeRun:
     runs: list[MergeRun]
 
 
-def incremental_bronze(spark: SparkSession, i: Inputs, batches=(0, 1, 2)) -> BronzeRun:
-    """Append each log batch to the log folder and run one availableNow merge after each."""
+def incremental_bronze(spark: SparkSession, i: Inputs, batches=(0, 1, 2), **kw) -> BronzeRun:
+    """Append each log batch to the log folder and run one availableNow merge after each.
+
+    ``kw`` goes to the merge (policy, gate)."""
     base = scratch_path(spark, "bronze")
     run = BronzeRun(base=base, log=f"{base}/log", table=f"{base}/state",
                     checkpoint=f"{base}/_checkpoint", runs=[])
     for b in batches:
         write_log_files(i.log_batch(b), run.log)
-        run.runs.append(run_incremental_merge(spark, run.log, run.table, run.checkpoint))
+        run.runs.append(run_incremental_merge(spark, run.log, run.table, run.checkpoint, **kw))
     return run
 
 
@@ -160,7 +162,7 @@ def notification_run(spark: SparkSession, i: Inputs) -> tuple[DataFrame, DataFra
 def end_to_end(spark: SparkSession, i: Inputs, rules: Rules, as_of: dt.date) -> DataFrame:
     """Change log -> streaming bronze -> silver -> gold, through written tables."""
     run = incremental_bronze(spark, i)
-    bronze = read_table(spark, run.table)
+    bronze = load_state(spark, run.table)
     acts, rh = silver_job(spark, bronze, i.employees, i.routes, f"{run.base}/lake")
     gold_path = f"{run.base}/lake/gold"
     gold_job(spark, acts, rh, i.sport_ref, rules, as_of, out=gold_path).unpersist()

@@ -1,144 +1,18 @@
-"""S-5 / K-1: tables written as versions, without a table format on the class path.
+"""K-1 / S-7: tables that a job replaces as a whole, with Spark's own writers.
 
-A table folder holds ``v=<n>/`` data folders and a small append-only ``_versions`` Parquet
-log. A version is listed only after its data write has finished, so a reader never sees a
-partial version, and rewriting the same version (a retried micro-batch) is harmless. A version
-is either the whole table, or the hash buckets of the key that a micro-batch touched: then
-the other buckets are those of earlier versions, and their files are never rewritten.
-With Delta on the class path, ``write_table(..., fmt="delta")`` overwrites a Delta table.
-
-Only "path not found" counts as an empty log; any other failure to read it is raised, so a
-damaged log can never pass for a table that does not exist yet. All paths go through Spark.
+Delta tables when Delta is on the class path (atomic overwrite), Parquet folders otherwise. The
+current state of the change log has its own layout (:mod:`strivelake.sources.state`).
 """
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
-
-VERSIONS = "_versions"
-BUCKET = "_bucket"
-LOG_SCHEMA = "version long, bucket int, buckets int, row_count long, writer string, schema string"
-
-
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/v={int(version)}"
 
 
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def list_versions(spark: SparkSession, path: str) -> DataFrame:
-    """The version log: one row per committed version and bucket (null: whole table)."""
-    log = f"{path.rstrip('/')}/{VERSIONS}"
-    try:
-        rows = spark.read.schema(LOG_SCHEMA).parquet(log)
-    except AnalysisException as error:
-        if is_missing(error):
-            return spark.createDataFrame([], LOG_SCHEMA)
-        raise
-    bad = F.raise_error(F.lit(f"damaged version log {log}")).cast("long")
-    return rows.withColumn("version", F.when(F.col("version").isNull(), bad).otherwise(F.col("version")))
-
-
-def latest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
-    """Newest committed version (strictly below ``below`` when given), or None."""
-    v = list_versions(spark, path)
-    if below is not None:
-        v = v.filter(F.col("version") < F.lit(int(below)))
-    return v.agg(F.max("version").alias("m")).first()["m"]
-
-
-def holds_data(spark: SparkSession, path: str, except_version: int) -> bool:
-    """Whether the folder has Parquet files outside ``v=<except_version>`` (a listing only)."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").load(path).select("path"))
-    except AnalysisException as error:
-        if is_missing(error):
-            return False
-        raise
-    return not files.filter(~F.col("path").contains(f"/v={int(except_version)}/")).isEmpty()
-
-
-def foreign_versions(spark: SparkSession, path: str, version: int, writer: str) -> bool:
-    """Whether the table has versions at or above ``version`` that ``writer`` did not write."""
-    return not list_versions(spark, path).filter(
-        (F.col("version") >= F.lit(int(version))) & ~F.col("writer").eqNullSafe(F.lit(writer))).isEmpty()
-
-
-def _commit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    (spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(f"{path.rstrip('/')}/{VERSIONS}"))
-
-
-def write_version(df: DataFrame, path: str, version: int, *, writer: str | None = None) -> str:
-    """Overwrite ``v=<version>`` with the whole table and then record it as committed."""
-    out = version_path(path, version)
-    df.write.mode("overwrite").parquet(out)
-    _commit(df.sparkSession, path, [(int(version), None, None, None, writer, df.schema.json())])
-    return out
-
-
-def _with_bucket(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField(BUCKET, IntegerType())])
-
-
-def bucket_of(key: str, buckets: int):
-    return F.pmod(F.xxhash64(key), F.lit(int(buckets))).cast("int")
-
-
-def write_buckets(df: DataFrame, path: str, version: int, *, key: str, buckets: int,
-                  touched: list[int], writer: str | None = None) -> str:
-    """Overwrite ``v=<version>`` with the rows of the ``touched`` buckets and commit them."""
-    spark, out = df.sparkSession, version_path(path, version)
-    (df.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
-    found = spark.read.schema(_with_bucket(df.schema)).parquet(out)
-    counts = {r[BUCKET]: r["count"] for r in found.groupBy(BUCKET).count().collect()}
-    _commit(spark, path, [(int(version), b, int(buckets), counts.get(b, 0), writer, df.schema.json())
-                          for b in sorted(touched)])
-    return out
-
-
-def current_buckets(spark: SparkSession, path: str, below: int | None = None) -> list:
-    """(bucket, version, row_count, buckets, schema) of the newest version of every bucket."""
-    log = list_versions(spark, path).filter(F.col("bucket").isNotNull())
-    if below is not None:
-        log = log.filter(F.col("version") < F.lit(int(below)))
-    newest = log.groupBy("bucket").agg(F.max(F.struct("version", "row_count", "buckets", "schema")).alias("n"))
-    return newest.select("bucket", "n.*").collect()  # one row per bucket
-
-
-def read_buckets(spark: SparkSession, rows: list, path: str, only: list[int] | None = None) -> DataFrame:
-    """The given buckets (rows of ``current_buckets``), without the bucket column."""
-    schema = StructType.fromJson(json.loads(max(rows, key=lambda r: r["version"])["schema"]))
-    wanted = [r for r in rows if r["row_count"] and (only is None or r["bucket"] in set(only))]
-    out = spark.createDataFrame([], schema)
-    for version in sorted({r["version"] for r in wanted}):
-        mine = [r["bucket"] for r in wanted if r["version"] == version]
-        part = (spark.read.schema(_with_bucket(schema))
-                .parquet(version_path(path, version)).filter(F.col(BUCKET).isin(mine)).drop(BUCKET))
-        out = out.unionByName(part)
-    return out
-
-
-def write_table(df: DataFrame, path: str, *, version: int | None = None,
-                fmt: str = "parquet") -> str:
-    """K-1: full replace. Parquet: a new committed version (next number by default)."""
-    if fmt == "delta":
-        (df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(path))
-        return path
-    if version is None:
-        last = latest_version(df.sparkSession, path)
-        version = 0 if last is None else last + 1
-    return write_version(df, path, version)
-
-
 def delta_available() -> bool:
     try:
         import delta.tables  # noqa: F401
@@ -158,25 +32,25 @@ def _is_delta(spark: SparkSession, path: str) -> bool:
     return DeltaTable.isDeltaTable(spark, path)
 
 
-def read_table(spark: SparkSession, path: str, *, fmt: str | None = None,
-               version: int | None = None) -> DataFrame:
-    """S-5: the newest committed version of a table (or a given one).
-
-    ``fmt=None`` reads a Delta table when the folder is one, else the versioned Parquet layout.
-    """
-    if fmt is None:
-        fmt = "delta" if version is None and _is_delta(spark, path) else "parquet"
+def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> str:
+    """K-1: full replace; the new rows may have another schema. ``df`` must not read ``path``."""
+    writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
-        return spark.read.format("delta").load(path)
-    if version is None:
-        version = latest_version(spark, path)
-        if version is None:
-            raise FileNotFoundError(f"no committed version under {path}")
-    whole = list_versions(spark, path).filter((F.col("version") == version) & F.col("bucket").isNull())
-    if not whole.isEmpty():
-        return spark.read.parquet(version_path(path, version))
-    return read_buckets(spark, current_buckets(spark, path, below=version + 1), path)
+        writer = writer.option("overwriteSchema", "true")
+    writer.save(path)
+    return path
+
+
+def read_table(spark: SparkSession, path: str, *, fmt: str | None = None) -> DataFrame:
+    """The rows of a table: Delta when the folder is one, else Parquet."""
+    return spark.read.format(fmt or ("delta" if _is_delta(spark, path) else "parquet")).load(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return latest_version(spark, path) is not None
+    try:
+        read_table(spark, path)
+    except AnalysisException as error:
+        if is_missing(error):
+            return False
+        raise
+    return True

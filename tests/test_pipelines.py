@@ -6,7 +6,7 @@ from strivelake.plans import pipelines
 from strivelake.plans.inputs import Inputs
 from strivelake.rules import FIXTURE_RULES
 from strivelake.sources import fixtures
-from strivelake.sources.tables import latest_version, read_table, write_table
+from strivelake.sources.tables import read_table, table_exists, write_table
 
 from conftest import SF_SMALL
 
@@ -29,8 +29,8 @@ def test_silver_one_employee_mode_writes_elsewhere(spark, tmp_dir):
     acts = i.activities.withColumn("last_op", i.activities.id.cast("string"))
     _, enriched = pipelines.silver_job(spark, acts, i.employees, i.routes, tmp_dir, only_employee=7)
     assert [r.employee_id for r in enriched.collect()] == [7]
-    assert latest_version(spark, f"{tmp_dir}/only_employee=7/silver/rh_enriched") == 0
-    assert latest_version(spark, f"{tmp_dir}/silver/rh_enriched") is None
+    assert table_exists(spark, f"{tmp_dir}/only_employee=7/silver/rh_enriched")
+    assert not table_exists(spark, f"{tmp_dir}/silver/rh_enriched")
     with pytest.raises(ValueError, match="not found"):
         pipelines.silver_job(spark, acts, i.employees, i.routes, tmp_dir, only_employee=10 ** 9)
 
@@ -41,10 +41,11 @@ def test_gold_job_checks_before_writing_and_export(spark, tmp_dir):
     g = pipelines.gold_job(spark, i.activities, i.enriched, i.sport_ref, FIXTURE_RULES, AS_OF, out=out)
     n = g.count()
     g.unpersist()
+    files = read_table(spark, out).inputFiles()
     dup = i.enriched.unionByName(i.enriched.limit(1))
     with pytest.raises(ValueError, match="duplicate"):
         pipelines.gold_job(spark, i.activities, dup, i.sport_ref, FIXTURE_RULES, AS_OF, out=out)
-    assert latest_version(spark, out) == 0                      # the failed run wrote nothing
+    assert read_table(spark, out).inputFiles() == files         # the failed run wrote nothing
     path = pipelines.export_job(spark, out, f"{tmp_dir}/export")
     back = spark.read.parquet(path)
     assert back.count() == n
