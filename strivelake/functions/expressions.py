@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,20 @@ DISTANCE_RANGES = (
 DEFAULT_DISTANCE_RANGE = (1_000, 20_000)
 
 
+# Sentences of the notifications.
+MESSAGE_RUN = "Bravo {name} ! Tu viens de courir {km} km en {minutes} min ! Quelle énergie ! 🔥🏅"
+MESSAGE_HIKE = "Magnifique {name} ! Une randonnée de {km} km terminée en {minutes} min ! 🌄"
+MESSAGE_DISTANCE = "Bravo {name} ! Tu viens de finir ton activité de {label} ({km} km) en {minutes} min ! 🔥"
+MESSAGE_OTHER = "Bravo {name}, tu viens de finir ton activité de {label} qui t'a pris {minutes} min ! 🔥"
+
+
+def sentence(text: str, fill: dict[str, Column]) -> Column:
+    """The text with its {placeholders} replaced by columns (null when one of them is null)."""
+    parts = string.Formatter().parse(text)
+    return F.concat(*[p for literal, name, _, _ in parts
+                      for p in ([F.lit(literal)] if literal else []) + ([fill[name]] if name else [])])
+
+
 def map_literal(mapping: dict) -> Column:
     """A literal MAP built from a small fixed dict (folded into the plan)."""
     items = []
@@ -195,22 +211,11 @@ def message_text(full_name: Column, sport: Column, minutes: Column,
     sport = F.coalesce(sport, F.lit("sport"))
     has_distance = F.coalesce(distance_m != F.lit(0), F.lit(False))
     km = km_label(distance_m)
-    mins = minutes.cast("string")
-    label = sport_label(sport)
-    body = (
-        F.when((sport == F.lit("Runing")) & has_distance,
-               F.concat(F.lit("Bravo "), full_name, F.lit(" ! Tu viens de courir "), km,
-                        F.lit(" km en "), mins, F.lit(" min ! Quelle énergie ! 🔥🏅")))
-        .when((sport == F.lit("Randonnée")) & has_distance,
-              F.concat(F.lit("Magnifique "), full_name, F.lit(" ! Une randonnée de "), km,
-                       F.lit(" km terminée en "), mins, F.lit(" min ! 🌄")))
-        .when(has_distance,
-              F.concat(F.lit("Bravo "), full_name, F.lit(" ! Tu viens de finir ton activité de "),
-                       label, F.lit(" ("), km, F.lit(" km) en "), mins, F.lit(" min ! 🔥")))
-        .otherwise(
-            F.concat(F.lit("Bravo "), full_name, F.lit(", tu viens de finir ton activité de "),
-                     label, F.lit(" qui t'a pris "), mins, F.lit(" min ! 🔥")))
-    )
+    fill = {"name": full_name, "km": km, "minutes": minutes.cast("string"), "label": sport_label(sport)}
+    body = (F.when((sport == F.lit("Runing")) & has_distance, sentence(MESSAGE_RUN, fill))
+            .when((sport == F.lit("Randonnée")) & has_distance, sentence(MESSAGE_HIKE, fill))
+            .when(has_distance, sentence(MESSAGE_DISTANCE, fill))
+            .otherwise(sentence(MESSAGE_OTHER, fill)))
     suffix = F.when(F.coalesce(comment != F.lit(""), F.lit(False)),
                     F.concat(F.lit(' ("'), comment, F.lit('")'))).otherwise(F.lit(""))
     return F.concat(body, suffix)

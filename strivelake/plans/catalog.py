@@ -19,7 +19,7 @@ from strivelake.plans import pipelines
 from strivelake.plans.inputs import Inputs
 from strivelake.rules import FIXTURE_AS_OF, FIXTURE_RULES
 from strivelake.session import scratch_path
-from strivelake.sources.changes import read_changes, write_log_files
+from strivelake.sources.changes import read_changes, saved_offsets, write_log_files
 from strivelake.sources.export import export_sorted, read_export
 from strivelake.sources.fixtures import sport_sheet
 from strivelake.sources.reference import (
@@ -27,6 +27,9 @@ from strivelake.sources.reference import (
 )
 from strivelake.sources.state import StatePolicy, read_state
 from strivelake.sources.tables import read_table, write_table
+from strivelake.streaming.gold_view import GoldView
+from strivelake.streaming.merge import run_incremental_merge
+from strivelake.streaming.progress import ProgressLog, read_progress
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -205,6 +208,84 @@ def stream_notification_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.notification_run(spark, Inputs(spark, sf_dir))[1]
 
 
+GATE_NOW = dt.datetime(2024, 1, 29)
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    folder = scratch_path(spark, "quarantine")
+    gate = quality.Gate(quality.quarantine_folder(folder), GATE_NOW)
+    run = pipelines.incremental_bronze(spark, Inputs(spark, sf_dir), gate=gate)
+    return read_state(spark, run.table), spark.read.parquet(folder).drop("batch")
+
+
+@query("stream_gated_state")
+def stream_gated_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-1..Q-8 in front of the load: the state of the changes that pass the row checks."""
+    return _gated(spark, sf_dir)[0]
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes that the gate set aside, with the checks they break."""
+    rows = _gated(spark, sf_dir)[1]
+    return rows.withColumn(quality.BROKEN, F.array_join(quality.BROKEN, ","))
+
+
+@query("stream_gold_view")
+def stream_gold_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-4/A-1 maintained by the changes of three merged batches."""
+    i = Inputs(spark, sf_dir)
+    view = GoldView(scratch_path(spark, "goldview"), i.enriched, i.sport_ref, FIXTURE_RULES, FIXTURE_AS_OF)
+    pipelines.incremental_bronze(spark, i, watch=view.apply)
+    return view.read(spark)
+
+
+@query("stream_activity_counts")
+def stream_activity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1 as the sum of the +1/-1 of every merged batch."""
+    i = Inputs(spark, sf_dir)
+    view = GoldView(scratch_path(spark, "goldview"), i.enriched, i.sport_ref, FIXTURE_RULES, FIXTURE_AS_OF)
+    pipelines.incremental_bronze(spark, i, watch=view.apply)
+    return view.counts(spark)
+
+
+@query("stream_from_saved_offsets")
+def stream_from_saved_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1: a new run over the whole log that starts at the offsets saved after batch 0."""
+    i = Inputs(spark, sf_dir)
+    saved = saved_offsets(cdc.next_offsets(None, cdc.partition_max_offsets(_changes(i, 0))))
+    base = scratch_path(spark, "offsets")
+    write_log_files(i.log, f"{base}/log")
+    run_incremental_merge(spark, f"{base}/log", f"{base}/state", f"{base}/ck", starting_offsets=saved)
+    return read_state(spark, f"{base}/state")
+
+
+@query("stream_progress_totals")
+def stream_progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-7: what three runs read, by the progress rows that outlive them."""
+    folder = scratch_path(spark, "progress")
+    pipelines.incremental_bronze(spark, Inputs(spark, sf_dir), progress=ProgressLog(folder))
+    rows = read_progress(spark, folder).filter("input_rows > 0")
+    return rows.agg(F.countDistinct("run_id").alias("runs"), F.sum("input_rows").alias("records"))
+
+
+@query("stream_notifications_once")
+def stream_notifications_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2 over a log that repeats records, in a batch and in the next one: one message a create."""
+    i = Inputs(spark, sf_dir)
+    messages, _ = pipelines.notification_run(
+        spark, i, log_batch=i.repeated_batch, once_within="1 day",
+        keep=("kafka_partition", "id", "employee_id", "event_ts_ms"))
+    return messages
+
+
+@query("stream_names_at_event")
+def stream_names_at_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-5 at the event's time: the log of names is read anew for every batch."""
+    i = Inputs(spark, sf_dir)
+    return pipelines.notification_run(spark, i, names=lambda: i.names_log)[0]
+
+
 # ============================================================ projections / filters
 @query("cdc_parse_envelopes")
 def cdc_parse_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +366,20 @@ def cdc_merge_state_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.live_rows(state)
 
 
+@query("cdc_merge_moved_keys")
+def cdc_merge_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-1/M-3 for keys that move between partitions: batches folded by the source's time."""
+    i = Inputs(spark, sf_dir)
+    state = None
+    for b in (0, 1, 2):
+        moved = (_changes(i, b).withColumn("kafka_partition", ((F.col("id") + F.col("kafka_offset") % 3) % 4).cast("int"))
+                 .withColumn("kafka_offset", F.col("kafka_offset") % 997))
+        latest = cdc.latest_per_key(moved, order=cdc.SOURCE_ORDER)
+        state = cdc.to_state_rows(latest) if state is None else \
+            cdc.fold_changes(state, latest, order=cdc.SOURCE_ORDER)
+    return cdc.live_rows(state)
+
+
 @query("cdc_merge_anti_union")
 def cdc_merge_anti_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M-3 without the ordering guard (anti join + union form)."""
@@ -346,12 +441,12 @@ def gold_sport_flag_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gold_activity_count_join")
 def gold_activity_count_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-3 as gold does it: the counts of an employee as one map, looked up behind the explode."""
     i = Inputs(spark, sf_dir)
-    by_year = gold.activities_by_year(i.activities)
-    return (_spine(i).join(by_year, ["employee_id", "activity_year"], "left")
-            .select("employee_id", "activity_year",
-                    F.coalesce("physical_activities_count_year", F.lit(0).cast("long"))
-                    .alias("physical_activities_count_year")))
+    spine = gold.counted_spine(i.enriched.select("employee_id"), gold.activities_by_year(i.activities),
+                               FIXTURE_AS_OF)
+    return spine.withColumn("physical_activities_count_year",
+                            F.coalesce("physical_activities_count_year", F.lit(0).cast("long")))
 
 
 @query("notify_with_names")

@@ -63,3 +63,12 @@ class Inputs:
     @property
     def log(self) -> DataFrame:
         return self.change_log.drop("batch")
+
+    def repeated_batch(self, batch: int) -> DataFrame:
+        """A log batch as an at-least-once capture delivers it: some records come again."""
+        return fixtures.repeated_batch(self.change_log, batch)
+
+    @cached_property
+    def names_log(self) -> DataFrame:
+        """Name changes with the time from which they hold."""
+        return fixtures.names_log(self.names)

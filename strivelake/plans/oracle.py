@@ -295,7 +295,7 @@ END || CASE WHEN coalesce({comment} <> '', false) THEN ' ("' || {comment} || '")
 FULL_NAME = (f"coalesce({strip('n.\"Prénom\"')}, 'Un') || ' ' || "
              f"coalesce({strip('n.\"Nom\"')}, 'collègue')")
 cte("f_creates", f"""
-SELECT kafka_partition, kafka_offset, {ROW_COLS} FROM f_changes WHERE op = 'c'""", "f_changes")
+SELECT kafka_partition, kafka_offset, last_event_ts_ms, {ROW_COLS} FROM f_changes WHERE op = 'c'""", "f_changes")
 
 # ---------------------------------------------------------------- by-year variants
 cte("f_by_year_bad", f"""
@@ -335,6 +335,48 @@ for _k in ("src_cdc_empty_batch", "stream_incremental_merge", "src_state_scan",
            "cdc_initial_load", "cdc_merge_state", "cdc_merge_state_stepwise"):
     oracle(_k, "SELECT * FROM f_state_all", "f_state_all")
 oracle("cdc_merge_anti_union", "SELECT * FROM f_state_unguarded", "f_state_unguarded")
+# the gate: deletes pass, the other rows need a start that parses and lies before GATE_NOW + 1 day
+cte("f_gate", f"""
+SELECT *, CASE WHEN op = 'd' THEN '' WHEN event_start IS NULL THEN 'missing(start_date)'
+               WHEN event_start > TIMESTAMP '2024-01-30 00:00:00' THEN 'start_in_far_future' ELSE '' END AS broken_checks
+FROM (SELECT *, {parse('start_date')} AS event_start FROM f_changes)""", "f_changes")
+oracle("stream_quarantine", f"SELECT {CHANGE_COLS}, broken_checks FROM f_gate WHERE broken_checks <> ''", "f_gate")
+
+
+def newest_sql(source: str, order: str, where: str = "true") -> str:
+    return f"""
+SELECT {STATE_COLS} FROM (
+  SELECT *, op AS last_op, row_number() OVER (PARTITION BY id ORDER BY {order} DESC) AS rn
+  FROM {source} WHERE {where}) WHERE rn = 1 AND last_op <> 'd'"""
+
+
+oracle("stream_gated_state", newest_sql("f_gate", "kafka_offset", "broken_checks = ''"), "f_gate")
+oracle("stream_from_saved_offsets", newest_sql(
+    "f_changes c JOIN (SELECT kafka_partition AS p, max(kafka_offset) AS seen FROM f_changes WHERE batch = 0 GROUP BY 1) s"
+    " ON c.kafka_partition = s.p", "kafka_offset", "kafka_offset > seen"), "f_changes")
+# offsets and partitions as the moved log has them; the true order is that of the events
+cte("f_moved", f"""
+SELECT op, {ROW_COLS}, last_event_ts_ms, CAST((id + kafka_offset % 3) % 4 AS INTEGER) AS kafka_partition,
+  kafka_offset % 997 AS kafka_offset, kafka_offset AS event_id FROM f_changes""", "f_changes")
+oracle("cdc_merge_moved_keys", newest_sql("f_moved", "event_id"), "f_moved")
+oracle("stream_activity_counts", "SELECT * FROM f_by_year_e2e", "f_by_year_e2e")
+oracle("stream_gold_view", "SELECT * FROM f_gold_e2e", "f_gold_e2e")
+oracle("stream_progress_totals", "SELECT CAST(3 AS BIGINT) AS runs, count(*) AS records FROM events")
+oracle("stream_notifications_once", f"""
+SELECT c.kafka_partition, c.id, c.employee_id, c.last_event_ts_ms AS event_ts_ms,
+  {message_sql(FULL_NAME, 'c.activity_type', duration_sql('c.start_date', 'c.end_date'),
+               'c.distance_m', 'c.comment')} AS message
+FROM f_creates c LEFT JOIN f_names n ON n.employee_id = c.employee_id
+WHERE {duration_sql('c.start_date', 'c.end_date')} IS NOT NULL""", "f_creates", "f_names")
+NAME_AT = (f"CASE WHEN n.employee_id IS NULL OR (c.employee_id % 5 = 0 AND c.last_event_ts_ms < 1704844800000) "
+           f"THEN 'Un collègue' WHEN c.employee_id % 3 = 0 AND c.last_event_ts_ms >= 1705276800000 "
+           f"THEN 'R' || c.employee_id || ' ' || {strip('n.\"Nom\"')} ELSE {FULL_NAME} END")
+oracle("stream_names_at_event", f"""
+SELECT c.kafka_partition, c.kafka_offset, c.id, c.employee_id,
+  {message_sql('(' + NAME_AT + ')', 'c.activity_type', duration_sql('c.start_date', 'c.end_date'),
+               'c.distance_m', 'c.comment')} AS message
+FROM f_creates c LEFT JOIN f_names n ON n.employee_id = c.employee_id
+WHERE {duration_sql('c.start_date', 'c.end_date')} IS NOT NULL""", "f_creates", "f_names")
 oracle("job_ref_rh", "SELECT * FROM f_employees", "f_employees")
 oracle("job_ref_sport", "SELECT * FROM f_sport", "f_sport")
 oracle("job_export_stored_gold", "SELECT * FROM f_gold", "f_gold")
@@ -366,7 +408,7 @@ FROM f_employees""", "f_employees")
 oracle("silver_activities", f"SELECT {ROW_COLS} FROM f_state_all", "f_state_all")
 oracle("silver_one_employee", "SELECT * FROM f_activities WHERE employee_id = 7", "f_activities")
 oracle("gold_activities_by_year", "SELECT * FROM f_by_year", "f_by_year")
-oracle("notify_creates", "SELECT * FROM f_creates", "f_creates")
+oracle("notify_creates", f"SELECT kafka_partition, kafka_offset, {ROW_COLS} FROM f_creates", "f_creates")
 oracle("ref_declared_sports", f"""
 SELECT employee_id, {strip('"Pratique_dun_sport"')} AS "Pratique_dun_sport" FROM f_sport
 WHERE "Pratique_dun_sport" IS NOT NULL AND {strip('"Pratique_dun_sport"')} <> ''""", "f_sport")

@@ -22,7 +22,7 @@ from strivelake.sources.export import export_sorted
 from strivelake.sources.reference import read_reference
 from strivelake.sources.tables import default_format, read_table, write_table
 from strivelake.streaming.merge import MergeRun, load_state, reset_and_replay, run_incremental_merge
-from strivelake.streaming.notifications import parquet_sink, run_notifications
+from strivelake.streaming.notifications import notify_once, parquet_sink
 
 
 # ------------------------------------------------------------------ C-1 bronze
@@ -146,14 +146,16 @@ def export_job(spark: SparkSession, gold_path: str, out: str, *, single_file: bo
 
 
 # ------------------------------------------------------------------ notifications
-def notification_run(spark: SparkSession, i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """(messages, rejects) of the notification stream, read back from its sink folders."""
+def notification_run(spark: SparkSession, i: Inputs, *, log_batch=None, names=None,
+                     **kw) -> tuple[DataFrame, DataFrame]:
+    """(messages, rejects) of the notification stream, read back from its sink folders.
+
+    One run per log batch with the same checkpoint; ``kw`` goes to the query."""
     base = scratch_path(spark, "notify")
     log, sink_dir, ckpt = f"{base}/log", f"{base}/messages", f"{base}/_checkpoint"
     for b in (0, 1, 2):
-        write_log_files(i.log_batch(b), log)
-        q = run_notifications(spark, log, i.names, parquet_sink(sink_dir, f"{base}/rejects"), ckpt)
-        q.awaitTermination()
+        write_log_files((log_batch or i.log_batch)(b), log)
+        notify_once(spark, log, names or i.names, parquet_sink(sink_dir, f"{base}/rejects"), ckpt, **kw)
     return (spark.read.parquet(sink_dir).drop("batch"),
             spark.read.parquet(f"{base}/rejects").drop("batch"))
 

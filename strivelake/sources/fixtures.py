@@ -187,5 +187,30 @@ def log_batch(log: DataFrame, batch: int) -> DataFrame:
     return log.filter(F.col("batch") == batch).drop("batch")
 
 
+def repeated_batch(log: DataFrame, batch: int) -> DataFrame:
+    """The batch, every 7th record of it again, and every 5th record of the batch before; repeats
+    have offsets of their own, far behind the first deliveries."""
+    again = [(F.col("batch") == batch) & (F.col("offset") % 7 == 0),
+             (F.col("batch") == batch - 1) & (F.col("offset") % 5 == 0)]
+    out = log.filter(F.col("batch") == batch)
+    for k, which in enumerate(again, 1):
+        out = out.unionByName(log.filter(which).withColumn("offset", F.col("offset") + k * 10**9))
+    return out.drop("batch")
+
+
+RENAMED_FROM = 1705276800000    # 2024-01-15 UTC
+HIRED_FROM = 1704844800000      # 2024-01-10 UTC
+
+
+def names_log(names: DataFrame) -> DataFrame:
+    """The names sheet with valid_from_ms: keys % 5 = 0 only from HIRED_FROM, keys % 3 = 0 have
+    another first name from RENAMED_FROM."""
+    k = F.col("employee_id")
+    first = names.withColumn("valid_from_ms", F.when(k % 5 == 0, F.lit(HIRED_FROM)).otherwise(F.lit(0)).cast("long"))
+    renamed = (names.filter(k % 3 == 0).withColumn("Prénom", F.concat(F.lit("R"), k.cast("string")))
+               .withColumn("valid_from_ms", F.lit(RENAMED_FROM).cast("long")))
+    return first.unionByName(renamed)
+
+
 __all__ = ["activities", "employee_sheet", "names_sheet", "sport_sheet", "routes",
            "change_log", "log_batch", "table", "ACTIVITY_COLUMNS"]

@@ -16,6 +16,7 @@ a single batch, nor a replay be hidden under newer versions.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strivelake.operators.cdc import (
-    initial_state, latest_per_key, live_rows, op_histogram, parse_changes, to_state_rows,
+    fold_changes, initial_state, latest_per_key, live_rows, op_histogram, parse_changes, to_state_rows,
 )
 from strivelake.operators.quality import Gate
 from strivelake.sources.changes import read_changes
@@ -31,9 +32,13 @@ from strivelake.sources.state import (
     StatePolicy, append_changes, fold, foreign_versions, holds_data, layout, needs_fold, read_state,
 )
 from strivelake.sources.tables import default_format
+from strivelake.streaming.progress import ProgressLog
 
 KNOWN_OPS = ("c", "r", "u", "d")
 
+# Called with the live rows of a batch's keys before and after it, and the batch id.
+Watch = Callable[[DataFrame, DataFrame, int], None]
+
 
 @dataclass
 class MergeRun:
@@ -76,10 +81,12 @@ def load_state(spark: SparkSession, table: str) -> DataFrame:
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
                 fmt: str = "parquet", writer: str | None = None,
-                policy: StatePolicy = StatePolicy(), gate: Gate | None = None) -> dict:
+                policy: StatePolicy = StatePolicy(), gate: Gate | None = None,
+                watch: Watch | None = None) -> dict:
     """The foreachBatch body: parse, keep the latest event per id, append, fold when due.
 
-    ``writer`` identifies the checkpoint. Returns the batch counters: events_read, ids_touched,
+    ``watch`` maintains what is derived from the state; it runs before the batch is listed, so a
+    retry runs it again (Parquet state only). ``writer`` identifies the checkpoint. Returns the batch counters: events_read, ids_touched,
     by_op (changes per operation, deletes included), and quarantined when a gate stands in front.
     """
     seen = Observation("events")
@@ -111,6 +118,11 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
             raise RuntimeError(f"{table} holds data but no committed version below {batch_id}")
         if first and initial_state(latest).isEmpty():
             raise ValueError("first load of the state table: no upsert event")
+        if watch is not None:
+            rows = to_state_rows(latest)
+            stored_rows = rows.limit(0) if first else read_state(spark, table, below=batch_id, markers=True)
+            before = stored_rows.join(latest.select("id"), "id", "left_semi").select(*rows.columns)
+            watch(live_rows(before), live_rows(fold_changes(before, rows)), batch_id)
         append_changes(to_state_rows(latest), table, batch_id, writer)
         if needs_fold(layout(spark, table, below=batch_id + 1), policy):
             metrics["live_rows"] = fold(spark, table, batch_id, writer, policy)
@@ -129,25 +141,35 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
 def run_incremental_merge(spark: SparkSession, source: str, table: str, checkpoint: str, *,
                           fmt: str = "parquet", options: dict | None = None,
                           table_format: str | None = None, policy: StatePolicy = StatePolicy(),
-                          gate: Gate | None = None) -> MergeRun:
+                          gate: Gate | None = None, watch: Watch | None = None,
+                          progress: ProgressLog | None = None,
+                          starting_offsets: dict | None = None) -> MergeRun:
     """One run: everything new in the log since the checkpoint, then stop.
 
-    ``fmt`` is the log source (parquet/json folder, log_offsets or kafka); ``table_format`` is
-    ``delta`` when Delta is on the class path (default), else the bucketed Parquet state.
+    ``fmt`` is the log source (parquet/json folder or kafka); ``table_format`` is ``delta`` when
+    Delta is on the class path (default), else the bucketed Parquet state. A first run may start
+    from saved offsets; ``progress`` keeps Spark's counters of every batch.
     """
     metrics: list = []
     table_fmt = table_format or default_format()
 
     def body(df: DataFrame, batch_id: int) -> None:
         metrics.append(merge_batch(spark, df, batch_id, table, table_fmt,
-                                   checkpoint_id(spark, checkpoint), policy, gate))
+                                   checkpoint_id(spark, checkpoint), policy, gate, watch))
 
-    log = read_changes(spark, source, fmt=fmt, options=options)
+    log = read_changes(spark, source, fmt=fmt, options=options, starting_offsets=starting_offsets)
+    if progress is not None:
+        spark.streams.addListener(progress)
     q = (log.writeStream.foreachBatch(body)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:
+        if progress is not None:
+            progress.flush(spark, q.runId)
+            spark.streams.removeListener(progress)
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise q.exception()
     if metrics and metrics[-1]["ids_touched"] and "live_rows" not in metrics[-1]:
