@@ -1,22 +1,28 @@
-"""Operator 5: line deduplication by windows of units.
+"""Operator 5: line deduplication by winnowing.
 
 A text is cut into units: its lines, cut again at sentence ends, so a passage pasted inside
-a line is seen too. From every unit on, and back from every unit, the shortest window of units
-that holds ``MIN_RUN`` characters is hashed; every unit of a run of ``MIN_RUN`` characters lies
-in such a window inside the run. A window that occurred before (by doc_id, then position) is
-deleted from the later document. The key is the whole window, so its first occurrence is a
-source of all of it, whatever stands around it there or wherever its units occur alone.
-
-A unit counts with its characters without outer white space plus one, so windows do not
-depend on how units are separated. DataFrame functions only. Work is linear in the windows: a
-passage that is in a third of all documents joins each of them once with its first occurrence,
-never with each other; minima and counts are combined before the shuffle.
+a line is seen too. The units are hashed, and in every window of ``WINDOW`` consecutive unit
+hashes the smallest one is selected (the rightmost of equals): any repeated run of at least
+``WINDOW`` units has a fingerprint in common with its original. Units of ``LONG_UNIT``
+characters are selected as well, so every run of ``MIN_RUN`` characters, however few units
+it has, is guaranteed to share one.
+
+Fingerprints are joined to first occurrences only (by doc_id, then position), which gives
+alignments (later document, earlier document, shift). The first occurrence of a unit alone may stand
+in another context (a frequent line, an edited copy), so a fingerprint is joined in context:
+with the first place of it and the unit in front, with the first place of it and the unit
+behind, and, if it is a run by itself, with its own first place. Along each alignment the match
+is extended both ways, unit by unit. Repeated units that form runs of at least ``MIN_RUN``
+characters are deleted from the later document.
+
+DataFrame functions only. Work is linear in the selected fingerprints: a passage that is in
+a third of all documents joins each of them once with its first occurrence, never with each
+other; minima and counts are combined before the shuffle.
 
 Defined results: null stays null and empty stays empty; a document wholly repeated from an
 earlier one keeps its row with an empty text; rows alike in doc_id and text are one document
 (both rows stay whole, or lose the same runs); a null doc_id sorts first; a run repeated
-within one text loses its later occurrence; the parts of sentences at both ends of a passage
-that starts and ends inside sentences stay; extra columns pass through, whatever their names.
+within one text loses its later occurrence; extra columns pass through, whatever their names.
 """
 from __future__ import annotations
 
@@ -28,7 +34,7 @@ from strivelake.llm.common import fresh, stage
 
 WINDOW = 3
 MIN_RUN = 150                            # characters of a run worth deleting (about 25 words)
-FAST = 6                                 # units of a window that are added up without a loop
+LONG_UNIT = MIN_RUN // (WINDOW - 1)      # a run of fewer units than a window has one as long
 # Zero-width cuts behind a line feed and behind the space that follows a sentence end.
 UNIT_CUT = r"(?<=\n)|(?<=[.!?…] )"
 
@@ -51,73 +57,78 @@ def window_minima(hashes: Column, window: int = WINDOW) -> Column:
 
 
 def unit_table(docs: DataFrame, text_col: str, doc_col: str) -> DataFrame:
-    """(key, doc_id, h, size): unit hashes and sizes of each distinct (doc_id, text)."""
+    """(key, doc_id, h, size): unit hashes and lengths of each distinct (doc_id, text)."""
     cut = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("_text")).filter(
         F.length("_text") > 0)
     cut = cut.select(F.xxhash64("doc_id", "_text").alias("key"), "doc_id",
                      units(F.col("_text")).alias("_units"))
     return cut.select("key", "doc_id",
                       F.transform("_units", lambda u: F.xxhash64(F.btrim(u, F.lit(" \n")))).alias("h"),
-                      F.transform("_units", lambda u: F.length(F.btrim(u, F.lit(" \n"))) + 1).alias("size"))
-
-
-def window_sizes(sizes: Column, min_run: int = MIN_RUN) -> Column:
-    """Units of the shortest window from each unit on that holds ``min_run``; null: none does."""
-    def loop(start: Column) -> Column:
-        none = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("units"))
-        return F.aggregate(F.slice(sizes, start + 1, min_run), none, lambda acc, s: F.struct(
-            (acc["chars"] + F.when(acc["chars"] < min_run, s).otherwise(0)).alias("chars"),
-            (acc["units"] + F.when(acc["chars"] < min_run, 1).otherwise(0)).alias("units")),
-            lambda acc: F.when(acc["chars"] >= min_run, acc["units"]))
+                      F.transform("_units", lambda u: F.length(u)).alias("size"))
 
-    def shortest(size: Column, start: Column) -> Column:
-        found, chars = F.when(size >= min_run, 1), size
-        for k in range(1, FAST):
-            chars = chars + F.get(sizes, start + k)
-            found = found.when(chars >= min_run, k + 1)
-        return found.otherwise(loop(start))
 
-    return F.transform(sizes, shortest)
+def _pair(left: Column, right: Column) -> Column:
+    """A key of two units side by side; null at the ends of a text."""
+    return F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(left, right))
 
 
-def windows(table: DataFrame, *, min_run: int = MIN_RUN) -> DataFrame:
-    """(hash, doc_id, key, start, end): the shortest windows from each unit on and back from it."""
-    on = table.select("key", "doc_id", "h", window_sizes(F.col("size"), min_run).alias("on"),
-                      F.reverse(window_sizes(F.reverse("size"), min_run)).alias("back"))
-    forward = F.transform("on", lambda n, i: F.struct(i.alias("start"), (i + n).alias("end")))
-    backward = F.transform("back", lambda n, i: F.struct((i - n + 1).alias("start"), (i + 1).alias("end")))
-    forward = F.filter(forward, lambda w: w["end"].isNotNull())
-    backward = F.filter(backward, lambda w: w["start"].isNotNull()  # not forward already
-                        & ~F.coalesce(F.get("on", w["start"]) == w["end"] - w["start"], F.lit(False)))
-    return (on.select("key", "doc_id", "h", F.explode(F.concat(forward, backward)).alias("w"))
-            .select(F.xxhash64(F.slice("h", F.col("w.start") + 1, F.col("w.end") - F.col("w.start"))).alias("hash"),
-                    "doc_id", "key", "w.start", "w.end"))
+def fingerprints(table: DataFrame, *, window: int = WINDOW) -> DataFrame:
+    """(hash, doc_id, key, pos, before, after, size): selected units, and their keys with the unit
+    in front and behind."""
+    long_units = F.filter(F.sequence(F.lit(0), F.size("h") - 1),
+                          lambda i: F.get("size", i) >= LONG_UNIT)
+    picked = F.array_union(window_minima(F.col("h"), window), long_units)
+    h = lambda shift: F.get("h", F.col("pos") + shift)
+    return (table.select("key", "doc_id", "h", "size", F.explode(picked).alias("pos"))
+            .select(h(0).alias("hash"), "doc_id", "key", "pos", _pair(h(-1), h(0)).alias("before"),
+                    _pair(h(0), h(1)).alias("after"), F.get("size", F.col("pos")).alias("size")))
 
 
-def repeated_windows(found: DataFrame) -> DataFrame:
-    """(key, start, end): windows that occurred before.
+def alignments(prints: DataFrame) -> DataFrame:
+    """(key, first_key, shift): distinct alignments of a document with an earlier place.
 
     Hashes that occur once are dropped by a plain count before anything wider is kept; the
-    windows are taken twice, as they are larger on disk than the units they come from.
+    fingerprints are taken twice, as they are larger on disk than the units they come from.
+    Every occurrence meets one place for each of its contexts, found by a minimum.
     """
-    again = stage(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
+    again = stage(prints.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
                   "line-repeats")
-    repeats = stage(found.join(again, "hash"), "line-repeats")
-    first = stage(repeats.groupBy("hash").agg(F.min(F.struct("doc_id", "key", "start")).alias("f"))
-                  .select("hash", F.col("f.key").alias("first_key"), F.col("f.start").alias("first_start")),
+    alone = F.when(F.col("size") >= MIN_RUN, F.col("hash"))
+    contexts = F.filter(F.array(alone, "before", "after"), lambda c: c.isNotNull())
+    places = stage(prints.join(again, "hash").select("doc_id", "key", "pos", F.explode(contexts).alias("context")),
+                   "line-places")
+    first = places.groupBy("context").agg(
+        F.min(F.struct("doc_id", "key", "pos")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    first = stage(first.select("context", F.col("f.key").alias("first_key"), F.col("f.pos").alias("first_pos")),
                   "line-first")
-    return (repeats.join(first, "hash")
-            .filter((F.col("key") != F.col("first_key")) | (F.col("start") != F.col("first_start")))
-            .select("key", "start", "end"))
-
-
-def repeated_units(ranges: DataFrame) -> DataFrame:
-    """(key, runs: array of (start, end)): the unit ranges, end exclusive, joined where they
-    overlap or touch."""
-    matched = ranges.select("key", F.explode(F.sequence("start", F.col("end") - 1)).alias("pos")).distinct()
+    later = places.join(first, "context").filter(
+        (F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
+    return later.select("key", "first_key", (F.col("pos") - F.col("first_pos")).alias("shift")).distinct()
+
+
+def repeated_units(table: DataFrame, lines: DataFrame, *, min_run: int = MIN_RUN) -> DataFrame:
+    """(key, runs: array of (start, end)): unit ranges, end exclusive, of the repeated runs of
+    at least ``min_run`` characters."""
+    mine = table.select("key", "h", "size")
+    other = table.select(F.col("key").alias("first_key"), F.col("h").alias("first_h"))
+    # within one text only the later occurrence goes (shift > 0)
+    both = (lines.filter((F.col("key") != F.col("first_key")) | (F.col("shift") > 0))
+            .join(mine, "key").join(other, "first_key"))
+    low = F.greatest(F.col("shift"), F.lit(0))
+    count = F.least(F.size("h"), F.size("first_h") + F.col("shift")) - low
+    side_by_side = F.arrays_zip(
+        F.slice("h", low + 1, count).alias("a"),
+        F.slice("first_h", low - F.col("shift") + 1, count).alias("b"),
+        F.slice("size", low + 1, count).alias("size"))
+    matched = (both.select("key", low.alias("low"), F.posexplode(side_by_side).alias("i", "u"))
+               .filter("u.a = u.b")
+               .select("key", (F.col("low") + F.col("i")).alias("pos"), F.col("u.size").alias("size"))
+               .distinct())
     by_doc = W.partitionBy("key").orderBy("pos")
     return (matched.withColumn("run", F.col("pos") - F.row_number().over(by_doc))
-            .groupBy("key", "run").agg(F.min("pos").alias("start"), (F.max("pos") + 1).alias("end"))
+            .groupBy("key", "run").agg(F.sum("size").alias("chars"), F.min("pos").alias("start"),
+                                       (F.max("pos") + 1).alias("end"))
+            .filter(F.col("chars") >= min_run)
             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs")))
 
 
@@ -136,8 +147,9 @@ def dedup_lines(docs: DataFrame, *, text_col: str = "text", doc_col: str = "doc_
     """``docs`` with later repeated runs cut from the text; with ``removed_col`` also the unit
     ranges (start, end) that went (null: none)."""
     table = stage(unit_table(docs, text_col, doc_col), "lines")
+    lines = stage(alignments(fingerprints(table)), "line-alignments")
     key, runs = fresh(docs, "__key"), fresh(docs, "__runs")
-    removed = stage(repeated_units(repeated_windows(windows(table))).withColumnRenamed("key", key)
+    removed = stage(repeated_units(table, lines).withColumnRenamed("key", key)
                     .withColumnRenamed("runs", runs), "lines-removed")
     text = F.col(f"`{text_col}`")
     out = [F.when(F.col(runs).isNull(), text).otherwise(without_runs(text, F.col(runs))).alias(c)
