@@ -100,10 +100,14 @@ def mix(docs: DataFrame, *, weights: DataFrame | None = None, doc_col: str = "do
         text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS,
         shard_words: int = SHARD_WORDS, seed: str = SEED) -> DataFrame:
     """doc_id, size, source, source_size, target, taken (words the mix takes, repeats counted)."""
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
+    # rows without an id are told apart by their text, rows that share a draw are ordered by it
+    text_key = F.hex(F.xxhash64(F.col("_text")))
+    key = F.concat(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(
+        F.col("doc_id").cast("string"), F.concat(F.lit("null "), text_key)))), text_key)
     sized = stage(docs.select(F.col(doc_col).alias("doc_id"), F.col(source_col).alias("source"),
-                              space_word_count(F.col(text_col)).alias("size"))
-                  .withColumn("draw", key), "mix-sizes")
+                              F.col(text_col).alias("_text"))
+                  .select("doc_id", "source", space_word_count(F.col("_text")).alias("size"),
+                          key.alias("draw")), "mix-sizes")
     sources = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size"),
                                                 F.count("*").alias("n_docs")), "mix-sources")
     wanted = targets(sources.select("source", "source_size"),
@@ -128,7 +132,7 @@ def mix(docs: DataFrame, *, weights: DataFrame | None = None, doc_col: str = "do
         .withColumnRenamed("blocks", "seats"), ["source"], [F.col("shard")])
     words = F.least(F.col("quota") * block_words, F.col("shard_size") * MAX_PASSES)
     given = stage(given.select("source", "shard", "shard_size", words.alias("words")), "mix-shards")
-    in_shard = (W.partitionBy("source", "shard").orderBy("draw", "doc_id")
+    in_shard = (W.partitionBy("source", "shard").orderBy("draw", "doc_id", "size")
                 .rowsBetween(W.unboundedPreceding, -1))
     drawn = placed.drop("blocks").withColumn("before", F.coalesce(
         F.sum("size").over(in_shard), F.lit(0)))

@@ -2,6 +2,8 @@ from collections import defaultdict
 from fractions import Fraction
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
 from strivelake.llm import mixing as m
 from strivelake.llm.queries import op7_mixing
 
@@ -54,6 +56,14 @@ def test_edges_and_many_shards(spark):
     assert [(r.size, r.taken) for r in empty] == [(0, 0), (0, 0)]
 
 
+def test_rows_without_an_id_and_repeated_ids_rerun_alike(spark):
+    rows = [(None if k % 2 else 7, "w " * (k % 37), "s") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted((r.size, str(r.doc_id), r.taken) for r in m.mix(d, shard_words=500).collect())
+            for d in (docs, docs.orderBy(F.rand(1)).repartition(5))]
+    assert runs[0] == runs[1] and len({t for *_, t in runs[0]}) > 3
+
+
 def test_sainte_lague_is_the_highest_quotients(spark):
     votes = {"a": 53.0, "b": 24.0, "c": 23.0, "d": 0.0, "e": 23.0}
     for seats in (0, 1, 7, 100):
