@@ -16,7 +16,7 @@ from strivelake.llm.quality import with_quality
 from strivelake.llm.secrets import KINDS, scan_secrets, span_text
 from strivelake.llm.setsketch import near_duplicates
 from strivelake.llm.spelling import spelling_variants
-from strivelake.llm.tool_calls import calls_of_turns, chat_events, link_calls, schema_table
+from strivelake.llm.tool_calls import chat_events, schema_table
 from strivelake.llm.warc import round_trip
 
 
@@ -65,11 +65,6 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = calls_of_turns(read_table(spark, sf_dir, "conversations"))
-    return link_calls(calls, results, schema_table(spark))
-
-
-def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_events(read_table(spark, sf_dir, "conversations"), schema_table(spark))
 
 
@@ -104,7 +99,6 @@ TRAINING_QUERIES = {
     "op6_perplexity": op6_perplexity,
     "op7_mixing": op7_mixing,
     "op8_tool_calls": op8_tool_calls,
-    "op8_chat_events": op8_chat_events,
     "op9_setsketch": op9_setsketch,
     "op10_html_text": op10_html_text,
     "op11_hard_negatives": op11_hard_negatives,

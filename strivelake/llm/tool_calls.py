@@ -179,10 +179,21 @@ def message_events(turns: DataFrame) -> DataFrame:
                                      F.lit("message").alias("type")))).alias("json"))
 
 
+# Within a turn the message stands first, then its call, then its result.
+KINDS = ["message", "call", "result"]
+
+
 def chat_events(turns: DataFrame, schemas: DataFrame) -> DataFrame:
-    """All of the table: every turn as a message, beside the calls and results in the turns."""
+    """All of the table: every turn as a message, with the calls and results in the turns.
+
+    ``place`` orders the events of a conversation (null for a turn without a number): 3 * turn
+    plus the kind's place in ``KINDS``. A call stands in the turn that makes it and its result
+    in a later one, so calls come before their results and parents before their children.
+    """
     calls, results = calls_of_turns(turns)
-    return link_calls(calls, results, schemas).unionByName(message_events(turns))
+    events = link_calls(calls, results, schemas).unionByName(message_events(turns))
+    kind = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1
+    return events.withColumn("place", (3 * F.col("turn") + kind).cast("long"))
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

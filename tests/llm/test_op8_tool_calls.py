@@ -2,7 +2,7 @@ import json
 
 from conftest import SF_SMALL
 from strivelake.llm import tool_calls as t
-from strivelake.llm.queries import op8_chat_events, op8_tool_calls
+from strivelake.llm.queries import op8_tool_calls
 
 TYPES = {str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null", list: "array", dict: "object"}
 
@@ -65,7 +65,17 @@ def test_query_matches_brute_force(spark):
     calls, results = t.calls_of_turns(spark.read.parquet(f"{SF_SMALL}/conversations.parquet"))
     want = plain({(r.conv_id, r.call_id): (r.name, r.parent_id, r.arguments) for r in calls.collect()},
                  {(r.conv_id, r.call_id): r.content for r in results.collect()})
-    assert found(op8_tool_calls(spark, SF_SMALL)) == want and len(want) > 20
+    got = op8_tool_calls(spark, SF_SMALL)
+    assert found(got.filter("kind <> 'message'")) == want and len(want) > 20
+    place = {(r.conv_id, r.call_id, r.kind): r.place for r in got.collect()}
+    for (conv, call, kind), at in place.items():
+        if kind == "result" and (conv, call, "call") in place:
+            assert place[conv, call, "call"] < at
+    parents = {(r.conv_id, r.call_id): r.parent_id for r in calls.collect()}
+    for (conv, call), parent in parents.items():
+        if parent is not None and (conv, parent) in parents:
+            assert place[conv, parent, "result"] < place[conv, call, "call"] if (conv, parent, "result") in place \
+                else place[conv, parent, "call"] < place[conv, call, "call"]
 
 
 def test_edges(spark):
@@ -92,11 +102,12 @@ def test_edges(spark):
 
 def test_every_turn_is_an_event(spark):
     turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
-    got = op8_chat_events(spark, SF_SMALL)
+    got = op8_tool_calls(spark, SF_SMALL)
     said = sorted((r.conv_id, r.turn, *(json.loads(r.json).get(k) for k in ("role", "content")))
                   for r in got.filter("kind = 'message'").collect())
     assert said == sorted((r.conv_id, r.turn, r.role, r.text) for r in turns.collect())
-    assert got.filter("kind <> 'message'").count() == op8_tool_calls(spark, SF_SMALL).count()
+    places = [(r.conv_id, r.place) for r in got.select("conv_id", "place").collect()]
+    assert len(set(places)) == len(places) > turns.count()      # a total order in every conversation
     odd = spark.createDataFrame([(1, 0, None, "a"), (None, 1, "narrator", None)],
                                 "conv_id long, turn long, role string, text string")
     kept = t.chat_events(odd, t.schema_table(spark)).collect()
