@@ -15,15 +15,16 @@ registers are likelier the more similar two sets are.
    of larger, smaller and equal registers; pairs whose estimate is far below the threshold
    (``SLACK``, over 7 standard errors) stop here. The others are verified on the full sets.
 4. Verified links give components (smallest reachable doc_id).
-5. Buckets that still hold several components are finished exactly: pairs between different
-   components of the bucket (never within one) are estimated and verified unless their
-   shared shingles cannot suffice (``_across_components``), and the components are built
-   again. So a large group of copies costs one link each, and no link between texts that
-   meet in a bucket is lost.
+5. The documents of buckets that still hold several components are joined across components
+   on the rarest shingles of their sets (prefix filter, ``_across_components``), estimated and
+   verified, and the components are built again. So a large group of copies costs one link
+   each, edited copies that are not near each other meet nobody, and no link between texts
+   that meet in a bucket is lost.
 
 Defined results: null, empty or blank texts have an empty set and link with nothing; a text
-of one word is one shingle; rows that share a doc_id are one document (their union set); rows
-without a doc_id are dropped as they cannot be named; extra columns are ignored.
+of one word is one shingle; rows that share a doc_id are compared row by row, are one component
+and one result row, and n_shingles is that of the largest; rows without a doc_id are dropped as
+they cannot be named; extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -34,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +49,7 @@ LIMIT = 254
 SHINGLE = 2
 THRESHOLD = 0.8
 SLACK = 0.2
+IN_COMMON = 4          # rarest shingles that documents of two components must share
 
 # Odd multipliers of the register hash functions (fixed by the seed). Shingle hashes are
 # uniform 64-bit values, and multiplying by an odd number permutes them.
@@ -136,10 +139,11 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
-        ids = np.repeat(batch.column(0).cast(pa.int64()).to_numpy(), [len(x) for x in sets])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(np.concatenate(sets).astype(np.int64) if sets else ids)],
-            names=["doc_id", "shingle"])
+        n = np.array([len(x) for x in sets], dtype=np.int64)
+        ids, parts = (np.repeat(batch.column(c).cast(pa.int64()).to_numpy(), n) for c in (0, 2))
+        shingles = np.concatenate(sets).view(np.int64) if sets else ids
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, parts, np.repeat(n, n), shingles)],
+                                         names=["doc_id", "part", "n", "shingle"])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -216,39 +220,39 @@ def _several_parts(member: DataFrame) -> DataFrame:
 
 
 def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and may still be linked.
-
-    A document's shingles that no other document around the same bucket centre has cannot be
-    common to any pair there. With s = all its other shingles, a pair has at most min(s, s')
-    in common, which bounds its similarity; a document with s < 0.8 n links with nothing. So
-    the many edited copies of a text that are not near each other go without being compared
-    shingle by shingle. Within a bucket only pairs outside its largest component are looked
-    at, with the bound inside the join.
+    """Pairs (a, b) of different components, met in a bucket, that may still be linked.
+
+    No pair is made within a bucket. The documents of buckets with several components are joined
+    on the rarest shingles of their sets (prefix filter): of two sets of similarity t, ordered
+    alike, the first n - ceil(t n) + k shingles of either have k in common (k = ``IN_COMMON``, or
+    all that a small set must share), and behind the first of them there must be enough left of
+    both. The order puts shingles of one component first: they can be
+    common to no pair here. So edited copies, whose own edits fill that prefix, meet nobody.
     """
-    member = (buckets.join(label, "doc_id", "left")
-              .select("bucket", "a", "doc_id", F.coalesce("component_id", "doc_id").alias("part")))
-    member = stage(_several_parts(member), "mixed-buckets")
-    texts = source.join(member.select("doc_id").distinct(), "doc_id", "left_semi")
-    held = stage(texts.mapInArrow(_shingle_rows, "doc_id long, shingle long").distinct(), "mixed-shingles")
-    near = member.select("a", "doc_id").distinct().join(held, "doc_id")
-    lone = (near.groupBy("a", "shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-            .filter(F.col("doc_id") == F.col("last")).groupBy("a", "doc_id").agg(F.count("*").alias("lone")))
-    sizes = near.groupBy("a", "doc_id").agg(F.count("*").alias("n")).join(lone, ["a", "doc_id"], "left") \
-        .select("a", "doc_id", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("s"))
+    member = _several_parts(buckets.join(label, "doc_id", "left").select(
+        "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("part")))
+    member = stage(member.select("doc_id", "part").distinct(), "mixed-documents")
+    texts = source.join(member, "doc_id").select("doc_id", "text", "part")
+    held = stage(texts.mapInArrow(_shingle_rows, "doc_id long, part long, n long, shingle long"), "mixed-shingles")
+    across = (held.groupBy("shingle").agg(F.count("*").alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+              .filter("lo < hi").select("shingle", "df"))
+    by_doc = W.partitionBy("doc_id")
     percent = round(100 * THRESHOLD)
-    member = stage(_several_parts(member.join(
-        sizes.filter(100 * F.col("s") >= percent * F.col("n")), ["a", "doc_id"])), "mixed-buckets")
-    major = (member.groupBy("bucket", "part").agg(F.count("*").alias("k")).groupBy("bucket")
-             .agg(F.max(F.struct("k", "part")).alias("m")).select("bucket", F.col("m.part").alias("major")))
-    member = stage(member.join(major, "bucket"), "mixed-buckets")
-    x, y = member.filter("part <> major").alias("x"), member.alias("y")
-    common = F.least("x.s", "y.s")
-    return (x.join(y, (F.col("x.bucket") == F.col("y.bucket"))
-                   & ((F.col("y.part") == F.col("y.major")) | (F.col("x.part") < F.col("y.part")))
-                   & (F.col("x.doc_id") != F.col("x.a")) & (F.col("y.doc_id") != F.col("y.a"))
-                   & (100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)))
-            .select(F.least("x.doc_id", "y.doc_id").alias("a"),
-                    F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
+    least = F.ceil(F.col("n") * percent / 100)                     # shingles in common with any partner
+    first = (held.join(across, "shingle")
+             .withColumn("place", F.col("n") - F.count("*").over(by_doc)
+                         + F.row_number().over(by_doc.orderBy("df", "shingle")))
+             .withColumn("need", F.least(F.lit(IN_COMMON), least))
+             .filter(F.col("place") <= F.col("n") - least + F.col("need")))
+    first = stage(first.select("shingle", "doc_id", "part", "n", "place", "need"), "mixed-prefixes")
+    x, y = first.alias("x"), first.alias("y")
+    most = (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+            + F.least("x.need", "y.need"))
+    return (x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part"))
+                   & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)))
+            .groupBy(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+            .agg(F.count("*").alias("met"), F.min(F.least("x.need", "y.need")).alias("need"))
+            .filter("met >= need").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
