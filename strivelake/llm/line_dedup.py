@@ -1,17 +1,17 @@
 """Operator 5: line deduplication by winnowing.
 
 A text is cut into units: its lines, cut again at sentence ends, so a passage pasted inside
-a line is seen too. The units are hashed, and in every window of ``WINDOW`` consecutive unit
-hashes the smallest one is selected (the rightmost of equals): any repeated run of at least
-``WINDOW`` units has a fingerprint in common with its original. Units of ``LONG_UNIT``
-characters are selected as well, so every run of ``MIN_RUN`` characters, however few units
-it has, is guaranteed to share one.
+a line is seen too. Units are hashed, and so are pairs of neighbouring units; in every window of
+``WINDOW`` consecutive pair hashes the smallest one is selected (the rightmost of equals). The
+pairs around a unit of ``LONG_UNIT`` characters are selected as well, and a unit of ``MIN_RUN``
+characters by itself. So every repeated run of ``MIN_RUN`` characters, however few units it has,
+is guaranteed to share a fingerprint with its original: it is one such unit, or two units of
+which one is long, or holds a window of pairs.
 
 Fingerprints are joined to first occurrences only (by doc_id, then position), which gives
-alignments (later document, earlier document, shift). The first occurrence of a unit alone may stand
-in another context (a frequent line, an edited copy), so a fingerprint is joined in context:
-with the first place of it and the unit in front, with the first place of it and the unit
-behind, and, if it is a run by itself, with its own first place. Along each alignment the match
+alignments (later document, earlier document, shift). A pair stands in the context of the run; a
+unit alone (a frequent line, a sentence of an edited copy) would lead to any place that has it.
+Along each alignment the match
 is extended both ways, unit by unit. Repeated units that form runs of at least ``MIN_RUN``
 characters are deleted from the later document.
 
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from strivelake.llm.common import fresh, stage
 
-WINDOW = 3
+WINDOW = 2
 MIN_RUN = 150                            # characters of a run worth deleting (about 25 words)
-LONG_UNIT = MIN_RUN // (WINDOW - 1)      # a run of fewer units than a window has one as long
+LONG_UNIT = MIN_RUN // WINDOW            # a run of fewer pairs than a window has a unit as long
 # Zero-width cuts behind a line feed and behind the space that follows a sentence end.
 UNIT_CUT = r"(?<=\n)|(?<=[.!?…] )"
 
@@ -46,6 +46,10 @@ def units(text: Column) -> Column:
 
 def window_minima(hashes: Column, window: int = WINDOW) -> Column:
     """Positions of the (rightmost) smallest hash of every window of consecutive hashes."""
+    if window == 2:      # smaller than the hash behind, or not larger than the one in front
+        return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda p: (F.size(hashes) == 1)
+                        | F.coalesce(F.get(hashes, p) < F.get(hashes, p + 1), F.lit(False))
+                        | F.coalesce(F.get(hashes, p) <= F.get(hashes, p - 1), F.lit(False)))
     n = F.size(hashes)
     starts = F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1)))
 
@@ -67,21 +71,21 @@ def unit_table(docs: DataFrame, text_col: str, doc_col: str) -> DataFrame:
                       F.transform("_units", lambda u: F.length(u)).alias("size"))
 
 
-def _pair(left: Column, right: Column) -> Column:
-    """A key of two units side by side; null at the ends of a text."""
-    return F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(left, right))
-
-
 def fingerprints(table: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """(hash, doc_id, key, pos, before, after, size): selected units, and their keys with the unit
-    in front and behind."""
-    long_units = F.filter(F.sequence(F.lit(0), F.size("h") - 1),
-                          lambda i: F.get("size", i) >= LONG_UNIT)
-    picked = F.array_union(window_minima(F.col("h"), window), long_units)
-    h = lambda shift: F.get("h", F.col("pos") + shift)
-    return (table.select("key", "doc_id", "h", "size", F.explode(picked).alias("pos"))
-            .select(h(0).alias("hash"), "doc_id", "key", "pos", _pair(h(-1), h(0)).alias("before"),
-                    _pair(h(0), h(1)).alias("after"), F.get("size", F.col("pos")).alias("size")))
+    """(hash, doc_id, key, pos): selected pairs of units (pos: the first one) and long units."""
+    n = F.size("h")
+    pairs = F.when(n > 1, F.zip_with(F.slice("h", 1, n - 1), F.slice("h", 2, n - 1),
+                                     lambda a, b: F.xxhash64(a, b)))
+    cut = table.select("key", "doc_id", "h", "size", pairs.alias("pair"))
+    long_pairs = F.filter(F.sequence(F.lit(0), F.size("pair") - 1),
+                          lambda p: (F.get("size", p) >= LONG_UNIT) | (F.get("size", p + 1) >= LONG_UNIT))
+    picked = F.when(F.col("pair").isNotNull(), F.array_union(window_minima(F.col("pair"), window), long_pairs))
+    alone = F.filter(F.sequence(F.lit(0), n - 1), lambda p: F.get("size", p) >= MIN_RUN)
+    both = F.concat(
+        F.transform(F.coalesce(picked, F.array().cast("array<int>")),
+                    lambda p: F.struct(F.get("pair", p).alias("hash"), p.alias("pos"))),
+        F.transform(alone, lambda p: F.struct(F.get("h", p).alias("hash"), p.alias("pos"))))
+    return cut.select("doc_id", "key", F.explode(both).alias("f")).select("f.hash", "doc_id", "key", "f.pos")
 
 
 def alignments(prints: DataFrame) -> DataFrame:
@@ -89,19 +93,15 @@ def alignments(prints: DataFrame) -> DataFrame:
 
     Hashes that occur once are dropped by a plain count before anything wider is kept; the
     fingerprints are taken twice, as they are larger on disk than the units they come from.
-    Every occurrence meets one place for each of its contexts, found by a minimum.
+    Every occurrence meets one place, found by a minimum.
     """
     again = stage(prints.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
                   "line-repeats")
-    alone = F.when(F.col("size") >= MIN_RUN, F.col("hash"))
-    contexts = F.filter(F.array(alone, "before", "after"), lambda c: c.isNotNull())
-    places = stage(prints.join(again, "hash").select("doc_id", "key", "pos", F.explode(contexts).alias("context")),
-                   "line-places")
-    first = places.groupBy("context").agg(
-        F.min(F.struct("doc_id", "key", "pos")).alias("f"), F.count("*").alias("n")).filter("n > 1")
-    first = stage(first.select("context", F.col("f.key").alias("first_key"), F.col("f.pos").alias("first_pos")),
+    places = stage(prints.join(again, "hash"), "line-places")
+    first = stage(places.groupBy("hash").agg(F.min(F.struct("doc_id", "key", "pos")).alias("f"))
+                  .select("hash", F.col("f.key").alias("first_key"), F.col("f.pos").alias("first_pos")),
                   "line-first")
-    later = places.join(first, "context").filter(
+    later = places.join(first, "hash").filter(
         (F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
     return later.select("key", "first_key", (F.col("pos") - F.col("first_pos")).alias("shift")).distinct()
 

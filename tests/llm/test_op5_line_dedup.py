@@ -78,6 +78,8 @@ def test_window_minima(spark):
     df = spark.createDataFrame([([5, 3, 3, 9, 1],), ([7],), ([2, 1],)], "h array<long>")
     got = [sorted(r[0]) for r in df.select(ld.window_minima(df.h, 3)).collect()]
     assert got == [[2, 4], [0], [1]]
+    two = [sorted(r[0]) for r in df.select(ld.window_minima(df.h, 2)).collect()]
+    assert two == [[1, 2, 4], [0], [1]]
 
 
 def test_source_is_found_behind_edited_copies(spark):
