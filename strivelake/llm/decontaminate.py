@@ -18,6 +18,8 @@ Defined results: null or empty texts have no words and no hits; rows that share
 are one document (hits of any of them count, the longest gives n_words); items without
 words or without item_id never match; items that repeat count once; extra columns are
 ignored. An empty documents table gives an empty result; an empty benchmark no hits.
+
+Rows without a doc_id count as one document, in which nothing is found: they stay whole.
 """
 from __future__ import annotations
 
