@@ -25,7 +25,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                           read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("long").alias("n_near"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

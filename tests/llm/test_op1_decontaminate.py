@@ -1,3 +1,6 @@
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -39,9 +42,53 @@ def test_edges(spark):
 
 def test_proximity_in_any_order(spark):
     docs = spark.createDataFrame([(1, "gamma x beta y alpha"), (2, "gamma " + "x " * 60 + "alpha beta"),
-                                  (3, "alpha beta")], "doc_id long, text string")
+                                  (3, "alpha beta"), (4, "x " * 45 + "beta gamma " + "x " * 17 + "alpha"),
+                                  (5, "x " * 45 + "beta gamma " + "x " * 18 + "alpha"),
+                                  (None, "beta alpha gamma")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     words = d.item_words(items)
     index = d.build_index(docs)
-    assert {r.doc_id for r in d.proximity_matches(index, words, reach=10).collect()} == {1}
-    assert index.postings.filter(F.col("term") == d.term_key(F.lit("x"))).count() == 61
+    found = d.proximity_matches(index, words).join(index.lengths, "doc").collect()
+    assert {r.doc_id for r in found} == {1, 4, None} and {r.pos for r in found if r.doc_id == 4} == {45}
+    assert index.postings.filter(F.col("term") == d.term_key(F.lit("x"))).count() == 61 + 62 + 63
+    with pytest.raises(ValueError):
+        d.proximity_matches(index, words, reach=33)
+
+
+def near_items(docs, items, terms=3, reach=20, window=10):
+    """{doc_id: ids of the items a window of which has its rarest terms in `reach` words}"""
+    split = {k: brute.WORD.findall(brute.ascii_lower(t)) for k, t in docs}
+    count = Counter(w for ws in split.values() for w in ws)
+    probes = {}
+    for item, text in items:
+        w = brute.WORD.findall(brute.ascii_lower(text))
+        size = min(window, len(w))
+        for k in range(len(w) - size + 1 if w else 0):
+            order = sorted(range(k, k + size), key=lambda p: (count[w[p]], p))
+            probes.setdefault(frozenset(list(dict.fromkeys(w[p] for p in order))[:terms]), set()).add(item)
+    return {k: set().union(*(probes[p] for p in probes if any(
+        p <= set(ws[at:at + reach]) for at in range(len(ws)) if ws[at] in p))) for k, ws in split.items()}
+
+
+def test_proximity_matches_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    want = near_items(docs, items)
+    got = {r.doc_id: set(r.near_items) for r in d.decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id string, text string")).collect()}
+    assert got == {k: set(map(str, v)) for k, v in want.items()} and any(want.values())
+
+
+def test_rows_without_or_with_a_shared_id(spark):
+    ten = "a1 b2 c3 d4 e5 f6 g7 h8 i9 j0 k1"
+    items = spark.createDataFrame([(1, ten)], "item_id long, text string")
+    halves = [(None, "a1 b2 c3 d4 e5 x x x x x x"), (None, "x x x x x f6 g7 h8 i9 j0 k1"),
+              (5, "a1 b2 c3 d4 e5 x x x x x x"), (5, "x x x x x f6 g7 h8 i9 j0 k1")]
+    docs = spark.createDataFrame(halves + [(6, "clean")], "doc_id long, text string")
+    assert {v[1] for v in rows(d.decontaminate(docs, items)).values()} == {0}
+    assert d.clean_documents(docs, items).count() == 5
+    dirty = spark.createDataFrame(halves + [(None, ten), (7, ten), (7, "clean")], docs.schema)
+    assert rows(d.decontaminate(dirty, items)) == {None: (11, 11, 1), 5: (11, 0, 0), 7: (11, 11, 1)}
+    kept = d.clean_documents(dirty, items)
+    assert kept.count() == 5 and {(r.doc_id, r.text) for r in kept.collect()} == {*halves, (7, "clean")}
