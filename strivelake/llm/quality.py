@@ -4,7 +4,9 @@ Every rule looks at a document and votes good (+1), bad (-1) or abstains (0). Th
 are labels of an unseen class (good / junk): expectation maximisation over the counts of
 vote patterns estimates, for either class, how often each rule gives each vote, and with
 them the posterior probability that a document is good. A document is kept when that
-probability reaches a half.
+probability reaches a half. No rate is fixed: a rule that often votes bad where the others
+vote good is found out and outvoted. A weak Dirichlet prior (``PRIOR``, in documents) only
+fills in for votes that a small table lacks.
 
 The sufficient statistic of EM is the number of documents per vote pattern, at most
 3 ** len(RULES) rows at any input size; Spark counts the patterns over all documents and
@@ -17,6 +19,7 @@ through untouched, whatever their names; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -33,18 +36,25 @@ GRAM = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 KEEP_AT = 0.5
+RULES = ("word_length", "symbols", "letters", "capitals", "dup_lines", "repeats", "line_ends",
+         "vocabulary", "plain_words", "symbol_lines")
 # Rules whose bad votes mark the first guess of EM; the others only take part in it.
-SEED_RULES = ("symbols", "letters", "capitals", "dup_lines", "repeats", "vocabulary")
-DETECTS = 0.95
-FALSE_ALARMS = 0.002
+SEED_RULES = ("symbols", "letters", "capitals", "dup_lines", "repeats", "vocabulary",
+              "plain_words", "symbol_lines")
+# Prior votes bad, abstain, good of a rule, in documents, for good documents and for junk.
+PRIOR = ((1.0, 4.0, 15.0), (1.0, 1.0, 1.0))
 
 _LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SPACES = b" \t\n\x0b\x0c\r"
+# Letters, perhaps joined by hyphens or apostrophes, with the punctuation of a sentence around them.
+_PLAIN = re.compile(rb"(?<![^\s])[\"'(]*[A-Za-z\x80-\xff]+(?:[-'][A-Za-z\x80-\xff]+)*[.,;:!?\"')]*(?![^\s])")
+_ANY_SYMBOL = re.compile(rb"[#*$%&|<>]")
 
 FEATURES = T.StructType([T.StructField(n, T.LongType()) for n in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes",
-    "n_letters", "n_capitals", "n_lines", "n_ended_lines", "n_distinct")])
+    "n_letters", "n_capitals", "n_lines", "n_ended_lines", "n_distinct", "n_plain",
+    "n_symbol_lines")])
 
 
 def repeated_words(words: list[bytes], gram: int = GRAM) -> int:
@@ -72,7 +82,8 @@ def text_features(text: str | None) -> tuple[int, ...]:
             len(lines) - len(set(lines)), repeated_words(words), len(solid),
             len(solid) - len(solid.translate(None, _LETTERS)),
             len(solid) - len(solid.translate(None, _CAPITALS)),
-            len(lines), sum(x.rstrip()[-1:] in b".!?:\"'" for x in lines), len(set(words)))
+            len(lines), sum(x.rstrip()[-1:] in b".!?:\"'" for x in lines), len(set(words)),
+            len(_PLAIN.findall(raw)), sum(_ANY_SYMBOL.search(x) is not None for x in lines))
 
 
 @F.pandas_udf(FEATURES)
@@ -94,6 +105,7 @@ def rules(f: Callable[[str], Column]) -> dict[str, Column]:
     letters, capitals = share("n_letters", "n_bytes"), share("n_capitals", "n_letters")
     dup, ended = share("n_dup_lines", "n_lines"), share("n_ended_lines", "n_lines")
     repeats, distinct = share("n_repeat_words", "n_words"), share("n_distinct", "n_words")
+    plain, marked = share("n_plain", "n_words"), share("n_symbol_lines", "n_lines")
     return {
         "word_length": vote(word_length.between(3, 7), (word_length > 25) | (word_length < 1.5)),
         "symbols": vote(symbols < 0.02, symbols > 0.15),
@@ -103,6 +115,8 @@ def rules(f: Callable[[str], Column]) -> dict[str, Column]:
         "repeats": vote(repeats < 0.02, repeats > 0.2),
         "line_ends": vote(ended > 0.6, (ended < 0.2) & (n > 200)),
         "vocabulary": vote((distinct > 0.4) & (n >= 30), (distinct < 0.1) & (n >= 30)),
+        "plain_words": vote(plain > 0.9, (plain < 0.7) & (n >= 10)),
+        "symbol_lines": vote(marked < 0.05, (marked > 0.3) & (n >= 10)),
     }
 
 
@@ -117,33 +131,25 @@ def pattern_votes(codes: np.ndarray, n_rules: int) -> np.ndarray:
     return (codes[:, None] // 3 ** np.arange(n_rules)) % 3  # 0 bad, 1 abstain, 2 good
 
 
-def fit_votes(codes: np.ndarray, counts: np.ndarray, names: list[str], *, rounds: int = 200,
-              smooth: float = 0.05, tolerance: float = 1e-9) -> np.ndarray:
+def fit_votes(codes: np.ndarray, counts: np.ndarray, names: list[str], *, rounds: int = 500,
+              prior: tuple = PRIOR, tolerance: float = 1e-9) -> np.ndarray:
     """EM over the vote patterns; P(good) for each pattern.
 
-    Junk is a mixture: class 0 is good, and every seed rule has a junk class of its own (the
-    junk that this rule detects), because different kinds of junk look fine to most rules.
-    ``table[c, j, v]`` is P(rule j votes v | class c), v 0 bad, 1 abstain, 2 good. Start: the
-    first bad vote of a seed rule names the class. So that classes keep their meaning, a
-    class's own rule detects at least ``DETECTS`` of it and gives at most ``FALSE_ALARMS`` of
-    good documents a bad vote; all other probabilities and the class sizes are free.
+    ``table[c, j, v]`` is P(rule j votes v | class c), c 0 good and 1 junk, v 0 bad, 1 abstain,
+    2 good. The first guess takes a document with a bad vote of a seed rule for probable junk;
+    from there every rate and the class sizes are estimated from the counts.
     """
     votes = pattern_votes(codes, len(names))
     hot = (votes[:, :, None] == np.arange(3)[None, None, :]).astype(float)
-    seeds = [names.index(r) for r in SEED_RULES]
-    member = np.zeros((len(codes), 1 + len(seeds)))
-    bad = votes[:, seeds] == 0
-    member[np.arange(len(codes)), np.where(bad.any(axis=1), 1 + bad.argmax(axis=1), 0)] = 1.0
-    weight = counts.astype(float)
+    seeds = [names.index(r) for r in SEED_RULES if r in names]
+    junk = np.where((votes[:, seeds] == 0).any(axis=1), 0.9, 0.1)
+    member = np.stack([1 - junk, junk], axis=1)
+    weight, pseudo = counts.astype(float), np.array(prior)[:, None, :]
     for _ in range(rounds):
         share = member * weight[:, None]
-        table = np.einsum("pc,pjv->cjv", share, hot) + smooth
+        table = np.einsum("pc,pjv->cjv", share, hot) + pseudo
         table /= table.sum(axis=2, keepdims=True)
-        for c, j in enumerate(seeds, start=1):
-            _at_least(table[c, j], 0, DETECTS)
-            _at_most(table[0, j], 0, FALSE_ALARMS)
-        size = np.log(share.sum(axis=0) + smooth)
-        fit = size + np.einsum("pjv,cjv->pc", hot, np.log(table))
+        fit = np.log(share.sum(axis=0) + 1) + np.einsum("pjv,cjv->pc", hot, np.log(table))
         new = np.exp(fit - fit.max(axis=1, keepdims=True))
         new /= new.sum(axis=1, keepdims=True)
         moved = np.abs(new - member).max(initial=0)
@@ -153,16 +159,17 @@ def fit_votes(codes: np.ndarray, counts: np.ndarray, names: list[str], *, rounds
     return member[:, 0]
 
 
-def _at_least(p: np.ndarray, k: int, low: float) -> None:
-    if p[k] < low:
-        p *= (1 - low) / (1 - p[k])
-        p[k] = low
+def pattern_p_good(patterns: DataFrame, code: str) -> list[tuple[int, float]]:
+    """(pattern, P(good)) by EM over the counts of the patterns in column ``code``."""
+    found = patterns.groupBy(F.col(code).alias("code")).agg(F.count("*").alias("n")).orderBy("code").collect()
+    codes = np.array([r.code for r in found], dtype=np.int64)
+    p = fit_votes(codes, np.array([r.n for r in found]), list(RULES))
+    return list(zip(codes.tolist(), p.tolist()))
 
 
-def _at_most(p: np.ndarray, k: int, high: float) -> None:
-    if p[k] > high:
-        p *= (1 - high) / (1 - p[k])
-        p[k] = high
+def base_failed(f: Callable[[str], Column]) -> Column:
+    return (f("n_words") < MIN_WORDS) | (
+        100 * f("n_repeat_words") > MAX_REPEAT_PERCENT * f("n_words"))
 
 
 def with_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KEEP_AT,
@@ -180,24 +187,33 @@ def with_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KE
     stored = stage(docs.withColumn(feature, features_udf(F.col(text_col)))
                    .withColumn(code, pattern_code(list(votes.values())))
                    .select(*own, feature, code), "quality")
-    found = stored.groupBy(F.col(code).alias("code")).agg(F.count("*").alias("n")).collect()
-    codes = np.array([r.code for r in found], dtype=np.int64)
-    p = fit_votes(codes, np.array([r.n for r in found]), list(votes))
     table = docs.sparkSession.createDataFrame(
-        list(zip(codes.tolist(), p.tolist())), f"`{code}` int, `{p_good}` double")
-    base_failed = (f("n_words") < MIN_WORDS) | (
-        100 * f("n_repeat_words") > MAX_REPEAT_PERCENT * f("n_words"))
+        pattern_p_good(stored, code), f"`{code}` int, `{p_good}` double")
     given = [(F.floor(F.col(code) / 3 ** j) % 3 - 1).cast("int").alias(k)
              for j, k in enumerate(votes)]
     return (stored.join(F.broadcast(table), code)  # at most 3 ** len(rules) rows
             .select(*own, F.struct(
                 *[f(c).alias(c) for c in FEATURES.names], F.struct(*given).alias("votes"),
-                base_failed.alias("base_failed"), F.col(p_good).alias("p_good"),
-                (~base_failed & (F.col(p_good) >= keep_at)).alias("kept")).alias(out)))
+                base_failed(f).alias("base_failed"), F.col(p_good).alias("p_good"),
+                (~base_failed(f) & (F.col(p_good) >= keep_at)).alias("kept")).alias(out)))
+
+
+def filter_quality(docs: DataFrame, *, text_col: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
+    """The documents that the rules keep, columns as they were.
 
+    The verdict depends on the vote pattern and the base rule alone, so the texts are read
+    twice (patterns, then the filter) and no second copy of them is written.
+    """
+    python_batches(docs.sparkSession)
+    feature, code, p_good = (fresh(docs, f"__quality_{x}") for x in ("features", "code", "p"))
+
+    def f(name: str) -> Column:
+        return F.col(f"{feature}.{name}")
 
-def filter_quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """The documents that the rules keep, columns as they were."""
-    verdict = fresh(docs, "__quality")
-    return (with_quality(docs, text_col=text_col, out=verdict)
-            .filter(F.col(f"{verdict}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    seen = (docs.withColumn(feature, features_udf(F.col(f"`{text_col}`")))
+            .withColumn(code, pattern_code(list(rules(f).values()))))
+    good = docs.sparkSession.createDataFrame(
+        [(c,) for c, p in pattern_p_good(seen, code) if p >= keep_at], f"`{p_good}` int")
+    return (seen.filter(~base_failed(f))
+            .join(F.broadcast(good), F.col(code) == F.col(p_good), "left_semi")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
