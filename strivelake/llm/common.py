@@ -1,6 +1,9 @@
 """Small helpers shared by the training-data operators."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +30,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end: write what is derived from them before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table of this job, in whichever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII text takes the fast path."""
     return (F.when(F.length(text) == F.octet_length(text), F.lower(text))

@@ -1,7 +1,11 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 import corpus_pipeline as c
 from conftest import SF_SMALL
 from llm import brute
 from llm.test_op5_line_dedup import units
+from strivelake.llm.common import scratch_scope, stage
 
 
 def test_stages_against_brute_force(spark):
@@ -30,6 +34,15 @@ def test_stages_against_brute_force(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, rows))
 
 
+def test_staged_tables_go_with_their_scope(spark):
+    with scratch_scope(spark):
+        kept = stage(spark.range(5).toDF("n"), "scoped")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert kept.count() == 5 and spark.read.parquet(path).count() == 5
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
 def test_empty_and_odd_rows_pass_every_stage(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, size long, taken string"
     prose = "The old lighthouse stood on a cliff, and every evening its keeper climbed the narrow stairs. " * 2
