@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strivelake.llm.common import fresh, read_table, stage
-from strivelake.llm.decontaminate import decontaminate
+from strivelake.llm.common import delete_folder, fresh, read_table, scratch_scope, stage
+from strivelake.llm.decontaminate import clean_documents
 from strivelake.llm.line_dedup import dedup_lines
 from strivelake.llm.mixing import mix
 from strivelake.llm.quality import filter_quality
 from strivelake.llm.setsketch import keep_representatives
+from strivelake.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    name = fresh(docs, "__dirty")
-    dirty = stage(found.filter("contaminated").select(F.col("doc_id").alias(name)), "dirty")
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    """Documents without any window of a benchmark item; decided by each row's own text."""
+    return clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +71,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages; what a stage staged, and the table it read, go when its result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            found = step(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before is not None:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
