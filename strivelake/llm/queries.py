@@ -136,4 +136,39 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 FROM negatives WHERE rank <= 3
 """
 
-ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": OP11_SQL}
+# Distinct sets that share a shingle are compared; the smallest doc_id spreads along the links.
+OP9_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) > 1 THEN list_transform(
+               range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END)) AS s
+    FROM words
+), classes AS (
+    SELECT s, len(s) AS n, min(doc_id) AS class FROM sets WHERE len(s) > 0 GROUP BY s
+), members AS (
+    SELECT class, n, unnest(s) AS shingle FROM classes
+), pairs AS (
+    SELECT a.class AS x, b.class AS y
+    FROM members a JOIN members b
+      ON a.shingle = b.shingle AND a.class < b.class AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+    GROUP BY a.class, b.class, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+    SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+), reached AS (
+    SELECT class, class AS root FROM classes
+    UNION
+    SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.class WHERE r.root < l.y
+), roots AS (
+    SELECT class, min(root) AS root FROM reached GROUP BY class
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       coalesce(r.root, s.doc_id) AS component_id, coalesce(r.root, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN classes c ON c.s = s.s LEFT JOIN roots r ON r.class = c.class
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_setsketch": OP9_SQL, "op11_hard_negatives": OP11_SQL}
