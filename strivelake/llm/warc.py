@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import zlib
 from collections.abc import Iterator
@@ -191,27 +192,41 @@ def _unpack(stream: _Stream, at: int) -> tuple[bytes, int]:
     return b"".join(out), pos - len(unpacker.unused_data)
 
 
-def _record_at(stream: _Stream, at: int) -> tuple[dict, int]:
+def _rows_at(stream: _Stream, at: int, starts: tuple[bytes, ...]) -> tuple[list[dict], int]:
+    """The record at ``at``, or what can be read of a member there, and its end."""
     start = stream.get(at, 7)
-    if start[:3] == GZIP_MAGIC:
+    if start[:3] == GZIP_MAGIC and GZIP_MAGIC in starts:
         whole, end = _unpack(stream, at)
-        record, used = _parse(lambda s, n: whole[s:s + n])
-        if used != len(whole):
-            raise ValueError("member holds more than a record")
-        return record, end
+        place = {"start": at, "end": end}
+        try:
+            record, used = _parse(lambda s, n: whole[s:s + n])
+            if used == len(whole):
+                return [{"kind": "record", **place, **record}], end
+            failed = None
+        except ValueError as reason:
+            failed = reason
+        # several records, or a damaged one before others: read on by version lines
+        rows = list(salvage(io.BytesIO(whole), (VERSION,)))
+        if failed and all(r["kind"] == "gap" for r in rows):
+            raise failed
+        for r in rows:
+            if r["kind"] == "gap":
+                r["reason"] = f"bytes {r['start']} to {r['end']} of a member: {r['reason']}"
+            r.update(place)
+        return rows, end
     if start == VERSION:
         record, used = _parse(lambda s, n: stream.get(at + s, n))
-        return record, at + used
+        return [{"kind": "record", "start": at, "end": at + used, **record}], at + used
     raise ValueError("neither a member nor a version line")
 
 
-def _next_start(stream: _Stream, at: int) -> int | None:
+def _next_start(stream: _Stream, at: int, starts: tuple[bytes, ...]) -> int | None:
     """The next place at or behind ``at`` that may start a record."""
     while True:
         window = stream.get(at, READ_BYTES)
         if not window:
             return None
-        found = [k for k in (window.find(GZIP_MAGIC), window.find(VERSION)) if k >= 0]
+        found = [k for k in map(window.find, starts) if k >= 0]
         if found:
             return at + min(found)
         if len(window) < READ_BYTES:
@@ -219,19 +234,24 @@ def _next_start(stream: _Stream, at: int) -> int | None:
         at += len(window) - len(VERSION) + 1
 
 
-def salvage(source) -> Iterator[dict]:
-    """Records and gaps of an archive, in order; ``source`` has read(n)."""
+def salvage(source, starts: tuple[bytes, ...] = (GZIP_MAGIC, VERSION)) -> Iterator[dict]:
+    """Records and gaps of an archive, in order; ``source`` has read(n).
+
+    Records of one gzip member have the member's place; a damaged stretch inside a member
+    that holds a valid record is a gap at that place, its bytes in the member named by the
+    reason. A member is unpacked whole.
+    """
     stream, at, gap, reason = _Stream(source), 0, None, ""
     while True:
         stream.drop(at if gap is None else max(gap, at - 1))
         if not stream.get(at, 1):
             break
         try:
-            record, end = _record_at(stream, at)
+            rows, end = _rows_at(stream, at, starts)
         except ValueError as failed:
             if gap is None:
                 gap, reason = at, str(failed)
-            jump = _next_start(stream, at + 1)
+            jump = _next_start(stream, at + 1, starts)
             if jump is None:
                 break
             at = jump
@@ -239,7 +259,7 @@ def salvage(source) -> Iterator[dict]:
         if gap is not None:
             yield {"kind": "gap", "start": gap, "end": at, "reason": reason}
             gap = None
-        yield {"kind": "record", "start": at, "end": end, **record}
+        yield from rows
         at = end
     if gap is not None:
         while chunk := stream.get(at, READ_BYTES):

@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import io
 import random
@@ -71,3 +72,28 @@ def test_reader_over_files(spark):
     assert made.agg({"records": "sum"}).first()[0] == 60 and made.count() > 3
     got = w.read_archives(w.archive_list(spark, folder).filter("archive like '%.warc.gz'"))
     assert {bytes(r.payload).decode() for r in got.collect()} == {f"<p>{k}</p>" * 50 for k in range(60)}
+
+
+def one_record(text):
+    block = text.encode()
+    return (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:{len(block)}>\r\n"
+            f"WARC-Block-Digest: sha1:{w.digest32(block)}\r\nContent-Length: {len(block)}\r\n\r\n").encode() \
+        + block + b"\r\n\r\n"
+
+
+def test_several_records_in_a_member():
+    texts = ["a", "bb", "ccc", "dddd", "eeeee"]
+    parts = [one_record(x) for x in texts]
+    member = gzip.compress(b"".join(parts))
+    out = list(w.salvage(io.BytesIO(member + gzip.compress(parts[0]))))
+    assert [r["payload"].decode() for r in out] == [*texts, "a"]
+    assert {(r["start"], r["end"]) for r in out[:5]} == {(0, len(member))} and out[5]["start"] == len(member)
+    for bad in range(5):  # one damaged record in the member: the others come back
+        broken = [p.replace(texts[k].encode() + b"\r\n\r\n", b"?" * len(texts[k]) + b"\r\n\r\n") if k == bad else p
+                  for k, p in enumerate(parts)]
+        out = list(w.salvage(io.BytesIO(gzip.compress(b"".join(broken)))))
+        assert [r["payload"].decode() for r in out if r["kind"] == "record"] == texts[:bad] + texts[bad + 1:]
+        gaps = [r for r in out if r["kind"] == "gap"]
+        assert len(gaps) == 1 and "digest differs" in gaps[0]["reason"]
+    only = list(w.salvage(io.BytesIO(gzip.compress(b"no record in here"))))
+    assert [r["kind"] for r in only] == ["gap"]
