@@ -300,7 +300,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
     reading failed at its start.
     """
     python_batches(archives.sparkSession, rows=500)
-    return archives.select("archive").repartition("archive").mapInArrow(_read_batches, READ_SCHEMA)
+    # a list of paths is tiny: without a number of its own AQE would give it to one task
+    tasks = max(1, archives.count())
+    return (archives.select("archive").repartition(tasks, "archive")
+            .mapInArrow(_read_batches, READ_SCHEMA))
 
 
 def archive_list(spark: SparkSession, folder: str) -> DataFrame:
