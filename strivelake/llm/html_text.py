@@ -5,9 +5,12 @@ its root-to-leaf tag path. For every path the text length and the punctuation of
 are aggregated; text per block times punctuation per block is the path's ratio - high for the
 path of paragraphs, low for menus and labels. Ratios are smoothed over neighbouring blocks,
 fused with the block's own ratio, and paths above a share of the page's text-weighted mean
-are content. The article is the smallest element around all content blocks (or the ``article``
-or ``main`` element around it); its headings, short paragraphs and list items come with it,
-so the threshold decides where the article is, not which of its sentences are long enough.
+are content. A page with an ``article`` or ``main`` element names its article: that is the
+smallest such element around the content. On any other page the ratios choose: from the root,
+the walk goes down into the child of the highest ratio for as long as the other children stay
+under a share of it (a title, a menu, comments of a line or two), so plain ``div``s without a
+class are told apart. Headings, short paragraphs and list items of the article come with it:
+the threshold decides where the article is, not which of its sentences are long enough.
 Elements that are never article text (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles, hidden parts, reader comments) are recognised by tag, role, class
 or id and left out everywhere.
@@ -69,6 +72,8 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 SPACE = re.compile(r"\s+")
 KEEP_SHARE = 0.2       # of the text-weighted mean ratio
+SAME_SHARE = 0.4       # of the best sibling's ratio: an element above it is a part of the article too
+PARAGRAPHS = {"p", "blockquote", "pre"}
 LINK_SHARE = 0.75      # blocks with more link text and no sentence are menus
 
 
@@ -231,6 +236,62 @@ def _around(blocks: list[_Block]) -> _Element:
     return box
 
 
+def _by_ratio(content: list[tuple[_Block, float]]) -> tuple[_Element, set[int], bool]:
+    """The element that the ratios choose, the ids of its children that are content, and whether
+    other boxes among its children are left out; ``content``: blocks and their ratios."""
+    weight: dict[int, float] = defaultdict(float)
+    chars: dict[int, int] = defaultdict(int)
+    kids: dict[int, dict[int, _Element]] = defaultdict(dict)
+    for b, r in content:
+        e = b.element
+        while e:
+            weight[id(e)] += len(b.text) * math.expm1(r)
+            chars[id(e)] += len(b.text)
+            if e.parent:
+                kids[id(e.parent)][id(e)] = e
+            e = e.parent
+    box = content[0][0].element
+    while box.parent:
+        box = box.parent
+    while True:
+        below = kids[id(box)]
+        ratio = {k: weight[k] / chars[k] for k in below}
+        inner = [k for k in below if kids[k]]
+        own = any(e.tag in PARAGRAPHS and not kids[k] for k, e in below.items())
+        if not below or (own and box.tag not in ("", "html", "body")):
+            return box, set(below), False
+        best = max(inner or below, key=lambda k: (weight[k], ratio[k]))
+        bar = SAME_SHARE * ratio[best]
+        alike = {k for k in below if ratio[k] >= bar}
+        if len(alike) > 1 or (len(below) > 1 and best not in inner):
+            return box, alike if best in inner else set(below), best in inner
+        box = below[best]
+
+
+def _chosen(blocks: list[_Block], content: list[tuple[_Block, float]]) -> list[_Block]:
+    """The blocks of the article that the ratios choose, its title included."""
+    box, alike, split = _by_ratio(content)
+    if box.parent and box.tag not in ("body", "html", "section", "div"):
+        box, split = box.parent, False
+    out = []
+    for b in blocks:
+        e, child = b.element, None
+        while e is not box and e.parent:
+            e, child = e.parent, e
+        if e is box and not (split and child and id(child) not in alike and child.tag not in HEADINGS):
+            out.append(b)
+    if out and not any(b.element.tag == "h1" for b in out):  # the title may stand in a box of its own
+        titles = [b for b in blocks[:blocks.index(out[0])] if b.element.tag == "h1"]
+        out = titles[-1:] + out
+    return out
+
+
+def _within(e: _Element, box: _Element) -> bool:
+    while e is not box and e.parent:
+        e = e.parent
+    return e is box
+
+
 def _blocks(html: str, silent_tags: set[str]) -> list[_Block]:
     page = _Page(silent_tags)
     page.feed(html)
@@ -254,22 +315,16 @@ def extract_text(html: str | None) -> str:
     def menu_like(b: _Block) -> bool:
         return b.link_chars > LINK_SHARE * len(b.text) and not re.search(r"[.!?]", b.text)
 
-    framed = [b for b in blocks if re.search(r"(^|/)(article|main)(/|$)", b.element.path)]
-    pool = framed or blocks
-    inside = {id(b) for b in pool}
-    content = [b for b, r in zip(blocks, ratios)
-               if r >= bar and id(b) in inside and not menu_like(b)]
-    if not content:
-        content = [b for b in pool if not menu_like(b)] or pool
-    box = _around(content)
-    out = []
-    for b in blocks:
-        e = b.element
-        while e is not box and e.parent:
-            e = e.parent
-        if e is box and not (menu_like(b) and not b.heading):
-            out.append(b.text)
-    return "\n\n".join(out)
+    framed = {id(b) for b in blocks if re.search(r"(^|/)(article|main)(/|$)", b.element.path)}
+    pool = [(b, r) for b, r in zip(blocks, ratios) if not framed or id(b) in framed]
+    content = ([x for x in pool if x[1] >= bar and not menu_like(x[0])]
+               or [x for x in pool if not menu_like(x[0])] or pool)
+    if framed:
+        box = _around([b for b, _ in content])
+        found = [b for b in blocks if _within(b.element, box)]
+    else:
+        found = _chosen(blocks, content)
+    return "\n\n".join(b.text for b in found if b.heading or not menu_like(b))
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

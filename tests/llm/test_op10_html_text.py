@@ -2,6 +2,7 @@ import html
 import re
 
 from conftest import SF_SMALL
+from strivelake.llm import html_text
 from strivelake.llm.html_text import extract_pages, extract_text
 from strivelake.llm.queries import op10_html_text
 
@@ -45,3 +46,31 @@ def test_edges(spark):
     got = {r.page_id: r.text for r in extract_pages(pages).collect()}
     assert got == dict(enumerate(cases.values()))
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+PARAGRAPHS = ["The river rose in the night, slowly at first; by dawn, as the old people had said, it stood at the door.",
+              "Nobody slept. The boats, tied to the fence, knocked against each other, and the dogs, wet and tired, would not stop.",
+              "When the water fell, three days later, the garden was gone, the road too, and the letters lay in the mud."]
+MENU = "<div><ul><li><a href=a>Home</a></li><li><a href=b>About</a></li><li><a href=c>Press</a></li></ul></div>"
+COMMENTS = "<div>" + "".join(f"<div><div>Reader {k}</div><div>So true, thanks</div></div>" for k in range(40)) + "</div>"
+
+
+def test_ratios_find_the_article_among_plain_divs(monkeypatch):
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f"<body><div><h1>After the flood</h1></div>{MENU}<div>{body}</div>{COMMENTS}<div>Made by us.</div></body>"
+    assert extract_text(page) == "\n\n".join(["After the flood", *PARAGRAPHS])
+    parts = "".join(f"<div><h2>Part {k}</h2><p>{p}</p><p>{p}</p></div>" for k, p in enumerate(PARAGRAPHS))
+    page = f"<body>{MENU}<div>{parts}</div>{COMMENTS}</body>"
+    assert extract_text(page) == "\n\n".join(x for k, p in enumerate(PARAGRAPHS) for x in (f"Part {k}", p, p))
+    monkeypatch.setattr(html_text, "_ratios", lambda blocks: [1.0] * len(blocks))
+    assert "So true" in extract_text(page)
+
+
+def test_pages_without_names(spark):
+    pages = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/pages.parquet").collect()
+    same = 0
+    for p in pages:
+        plain = re.sub(r"\s(class|id|role|style)=(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", p.html or "")
+        plain = re.sub(r"<(/?)(article|main|nav|aside|header|footer|section)\b", r"<\1div", plain)
+        same += extract_text(plain) == extract_text(p.html)
+    assert same >= 0.75 * len(pages)
