@@ -107,6 +107,76 @@ TRAINING_QUERIES = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 
+# Every stretch of a window's length against every window; rarest terms of a window within 20 words.
+OP1_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS uid, doc_id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS iid, item_id, w FROM (
+        SELECT DISTINCT item_id, text, list_filter(regexp_split_to_array(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+        FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+), windows AS (
+    SELECT iid, item_id, start, w[start:start + 9] AS g
+    FROM (SELECT iid, item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS start
+          FROM items WHERE len(w) > 0)
+), sizes AS (
+    SELECT DISTINCT len(g) AS k FROM windows
+), stretches AS (
+    SELECT uid, pos, k, w[pos:pos + k - 1] AS g
+    FROM (SELECT uid, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM docs, sizes)
+), hits AS (
+    SELECT DISTINCT s.uid, s.pos, s.k, x.item_id FROM stretches s JOIN windows x ON s.g = x.g
+), hit_words AS (
+    SELECT uid, count(DISTINCT word_pos) AS n
+    FROM (SELECT uid, unnest(range(pos, pos + k)) AS word_pos FROM hits) GROUP BY uid
+), words AS (
+    SELECT uid, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs
+), counts AS (
+    SELECT word, count(*) AS c FROM words GROUP BY word
+), terms AS (
+    SELECT iid, start, word, min(ipos) AS ipos
+    FROM (SELECT iid, start, unnest(g) AS word, generate_subscripts(g, 1) AS ipos FROM windows)
+    GROUP BY iid, start, word
+), rarest AS (
+    SELECT t.iid, t.start, t.word FROM terms t LEFT JOIN counts USING (word)
+    QUALIFY row_number() OVER (PARTITION BY t.iid, t.start ORDER BY coalesce(c, 0), ipos) <= 3
+), probes AS (
+    SELECT row_number() OVER () AS probe, iid, g
+    FROM (SELECT DISTINCT iid, g FROM (SELECT iid, list(word ORDER BY word) AS g FROM rarest GROUP BY iid, start))
+), places AS (
+    SELECT p.probe, p.iid, len(p.g) AS need, d.uid, d.word, d.pos
+    FROM (SELECT probe, iid, g, unnest(g) AS word FROM probes) p JOIN words d USING (word)
+    WINDOW pair AS (PARTITION BY p.probe, d.uid)
+    QUALIFY min(d.word) OVER pair <> max(d.word) OVER pair OR len(p.g) = 1
+), near AS (
+    SELECT DISTINCT uid, iid FROM (
+        SELECT a.uid, a.iid FROM places a JOIN places b
+          ON a.probe = b.probe AND a.uid = b.uid AND b.pos BETWEEN a.pos AND a.pos + 19
+        GROUP BY a.probe, a.iid, a.uid, a.pos, a.need HAVING count(DISTINCT b.word) = a.need)
+), found AS (
+    SELECT uid, item_id, true AS exact FROM hits
+    UNION SELECT n.uid, i.item_id, false FROM near n JOIN items i USING (iid)
+), named AS (
+    SELECT d.doc_id, count(DISTINCT CASE WHEN exact THEN item_id END) AS n_items,
+           coalesce(string_agg(DISTINCT CASE WHEN exact THEN CAST(item_id AS VARCHAR) END, ','
+                    ORDER BY CASE WHEN exact THEN CAST(item_id AS VARCHAR) END), '') AS ids,
+           count(DISTINCT item_id) AS n_near
+    FROM found JOIN docs d USING (uid) GROUP BY d.doc_id
+), lengths AS (
+    SELECT d.doc_id, max(len(d.w)) AS n_words, coalesce(max(h.n), 0) AS n_hit
+    FROM docs d LEFT JOIN hit_words h USING (uid) GROUP BY d.doc_id
+)
+SELECT l.doc_id, CAST(l.n_words AS BIGINT) AS n_words, CAST(l.n_hit AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
+       l.n_hit > 0 AS contaminated, CAST(coalesce(n.n_near, 0) AS BIGINT) AS n_near
+FROM lengths l LEFT JOIN named n ON l.doc_id IS NOT DISTINCT FROM n.doc_id
+"""
+
 # Every anchor against every row; the operator itself never makes these pairs.
 OP11_SQL = """
 WITH points AS (
@@ -171,4 +241,4 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
 FROM sets s LEFT JOIN classes c ON c.s = s.s LEFT JOIN roots r ON r.class = c.class
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_setsketch": OP9_SQL, "op11_hard_negatives": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op9_setsketch": OP9_SQL, "op11_hard_negatives": OP11_SQL}
