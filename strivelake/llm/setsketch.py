@@ -8,9 +8,10 @@ registers are likelier the more similar two sets are.
 
 1. Documents with equal sets collapse to one representative (the smallest doc_id).
 2. ``ROWS`` registers at a time form a band; representatives that agree on a band meet in a
-   bucket. Each links to the bucket's centre, not to all others: the member that shares most
-   buckets with other documents (an original rather than one of its edited copies). With 56
-   bands of 6 a pair of similarity 0.8 fails to meet in any with probability below 5e-8.
+   bucket. A bucket's centre is the member that shares most buckets with other documents (an
+   original rather than one of its edited copies); each document is a candidate with the best
+   of its centres, not with all others. With 56 bands of 6 a pair of similarity 0.8 fails to
+   meet in any with probability below 5e-8.
 3. A candidate pair's similarity is estimated jointly by maximum likelihood from the numbers
    of larger, smaller and equal registers; pairs whose estimate is far below the threshold
    (``SLACK``, over 7 standard errors) stop here. The others are verified on the full sets.
@@ -260,25 +261,28 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     python_batches(docs.sparkSession)
     source = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")).filter(
         F.col("doc_id").isNotNull())
-    every = stage(source.mapInArrow(_sketch_batches, SKETCH), "sketches")
-    first = every.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    owner = stage(every.filter("n_shingles > 0").join(first, "set_key").select("doc_id", "rep"),
-                  "owners")
-    reps = every.filter("n_shingles > 0").join(
-        owner.filter(F.col("doc_id") == F.col("rep")).select("doc_id").distinct(), "doc_id",
-        "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch")
-    reps = stage(reps, "reps")
+    every = stage(source.mapInArrow(_sketch_batches, SKETCH)
+                  .withColumn("row", F.monotonically_increasing_id()), "sketches")
+    some = every.filter("n_shingles > 0")
+    first = stage(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("m"))
+                  .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.row").alias("row")), "firsts")
+    owner = stage(some.join(first.select("set_key", "rep"), "set_key").select("doc_id", "rep"), "owners")
+    # one row per representative; only row numbers are shuffled, not sketches
+    chosen = stage(first.groupBy("rep").agg(F.min("row").alias("row")).select("row"), "rep-rows")
+    reps = stage(every.join(chosen, "row", "left_semi").select("doc_id", "n_shingles", "sketch"), "reps")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
         k, F.col("sketch").substr(k * ROWS + 1, F.lit(ROWS))))
     met = reps.select("doc_id", F.explode(bands).alias("bucket"))
     shared = stage(met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     buckets = stage(met.join(shared, "bucket"), "buckets")
-    score = buckets.groupBy("doc_id").agg(F.sum("n").alias("score"))
-    scored = buckets.join(score, "doc_id")
-    centre = stage(scored.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m"))
-                   .select("bucket", (-F.col("m.c")).alias("a")), "centres")
-    buckets = stage(buckets.join(centre, "bucket").select("bucket", "doc_id", "a"), "buckets")
-    stars = buckets.filter(F.col("a") != F.col("doc_id")).select(
+    # at most BANDS buckets a document
+    scored = buckets.groupBy("doc_id").agg(F.collect_list("bucket").alias("held"), F.sum("n").alias("score"))
+    centre = stage(scored.select("doc_id", "score", F.explode("held").alias("bucket")).groupBy("bucket")
+                   .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m")), "centres")
+    # every document against the most connected of its centres; what that leaves apart meets below
+    best = (buckets.select("bucket", "doc_id").join(centre, "bucket")
+            .groupBy("doc_id").agg(F.max("m").alias("m")).select("doc_id", (-F.col("m.c")).alias("a")))
+    stars = best.filter(F.col("a") != F.col("doc_id")).select(
         F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
     links = _verified(stars, reps, source, "stars")
     label = components(links)
