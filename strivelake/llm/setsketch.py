@@ -10,7 +10,7 @@ registers are likelier the more similar two sets are.
 2. ``ROWS`` registers at a time form a band; representatives that agree on a band meet in a
    bucket. A bucket's centre is the member that shares most buckets with other documents (an
    original rather than one of its edited copies); each document is a candidate with the best
-   of its centres, not with all others. With 56 bands of 6 a pair of similarity 0.8 fails to
+   of its centres, then with those of another component, not with all others. With 56 bands of 6 a pair of similarity 0.8 fails to
    meet in any with probability below 5e-8.
 3. A candidate pair's similarity is estimated jointly by maximum likelihood from the numbers
    of larger, smaller and equal registers; pairs whose estimate is far below the threshold
@@ -279,13 +279,24 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     scored = buckets.groupBy("doc_id").agg(F.collect_list("bucket").alias("held"), F.sum("n").alias("score"))
     centre = stage(scored.select("doc_id", "score", F.explode("held").alias("bucket")).groupBy("bucket")
                    .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m")), "centres")
-    # every document against the most connected of its centres; what that leaves apart meets below
+    # every document against the most connected of its centres
     best = (buckets.select("bucket", "doc_id").join(centre, "bucket")
             .groupBy("doc_id").agg(F.max("m").alias("m")).select("doc_id", (-F.col("m.c")).alias("a")))
-    stars = best.filter(F.col("a") != F.col("doc_id")).select(
-        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+    stars = stage(best.filter(F.col("a") != F.col("doc_id")).select(
+        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct(), "stars")
     links = _verified(stars, reps, source, "stars")
     label = components(links)
+    # the other centres, where they are of another component still
+    part = F.coalesce("component_id", "doc_id").alias("part")
+    centred = (centre.select("bucket", (-F.col("m.c")).alias("doc_id")).join(label, "doc_id", "left")
+               .select("bucket", F.col("doc_id").alias("a"), part.alias("a_part")))
+    members = buckets.select("bucket", "doc_id").join(label, "doc_id", "left").select("bucket", "doc_id", part)
+    others = (members.join(centred, (members["bucket"] == centred["bucket"]) & (F.col("part") != F.col("a_part")))
+              .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct())
+    second = _verified(others.join(stars, ["a", "b"], "left_anti"), reps, source, "others")
+    if not second.isEmpty():
+        links = stage(links.union(second), "links")
+        label = components(links)
     rest = _across_components(buckets, label, source)
     more = _verified(rest, reps, source, "rest")
     if not more.isEmpty():
