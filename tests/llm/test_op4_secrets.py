@@ -58,3 +58,16 @@ def test_battery_finds_base32_tokens_of_all_lengths(spark):
     for n in sizes:
         mine = {t for t, size in rand.items() if size == n}
         assert len(found & mine) >= (0.5 if n == 32 else 0.9) * len(mine), n
+
+
+def test_query_counts_spans_of_every_kind(spark, tmp_path):
+    key, run = "AKIA" + "ABCDEFGH01234567", "0123456789abcdef01234567"
+    texts = [key, run, f"{run} {key}", f"{key} token=abcdef", f"secret: abcdef, Password='x1y2z3', {key}-{run} {run}", None]
+    (spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+     .write.parquet(str(tmp_path / "documents.parquet")))
+    got = {r.doc_id: r for r in op4_secret_scan(spark, str(tmp_path)).collect()}
+    assert [(r.n_assign, r.n_access, r.n_hex) for _, r in sorted(got.items())] == [
+        (0, 1, 0), (0, 0, 1), (0, 1, 1), (1, 1, 0), (2, 1, 2), (0, 0, 0)]
+    for k, text in enumerate(texts):
+        want = ",".join(f"{s.KINDS[kind]}:{a}:{b}" for a, kind, b in brute.base_secrets(text))
+        assert got[k].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
