@@ -50,7 +50,6 @@ LIMIT = 254
 SHINGLE = 2
 THRESHOLD = 0.8
 SLACK = 0.2
-IN_COMMON = 4          # rarest shingles that documents of two components must share
 
 # Odd multipliers of the register hash functions (fixed by the seed). Shingle hashes are
 # uniform 64-bit values, and multiplying by an odd number permutes them.
@@ -225,10 +224,11 @@ def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame)
 
     No pair is made within a bucket. The documents of buckets with several components are joined
     on the rarest shingles of their sets (prefix filter): of two sets of similarity t, ordered
-    alike, the first n - ceil(t n) + k shingles of either have k in common (k = ``IN_COMMON``, or
-    all that a small set must share), and behind the first of them there must be enough left of
-    both. The order puts shingles of one component first: they can be
-    common to no pair here. So edited copies, whose own edits fill that prefix, meet nobody.
+    alike, the first n - ceil(t n) + 1 shingles of either have one in common, and behind the first
+    of them there must be enough left of both. The order puts shingles of one component first:
+    they can be common to no pair here. So edited copies, whose own edits fill that prefix, meet
+    nobody. A longer prefix with several in common would reach into the shingles that all copies of
+    a large group share, and join its outliers with the whole group.
     """
     member = _several_parts(buckets.join(label, "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("part")))
@@ -243,17 +243,19 @@ def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame)
     first = (held.join(across, "shingle")
              .withColumn("place", F.col("n") - F.count("*").over(by_doc)
                          + F.row_number().over(by_doc.orderBy("df", "shingle")))
-             .withColumn("need", F.least(F.lit(IN_COMMON), least))
-             .filter(F.col("place") <= F.col("n") - least + F.col("need")))
-    first = stage(first.select("shingle", "doc_id", "part", "n", "place", "need"), "mixed-prefixes")
+             .filter(F.col("place") <= F.col("n") - least + 1))
+    first = stage(first.select("shingle", "doc_id", "part", "n", "place"), "mixed-prefixes")
+    return _meetings(first).distinct()
+
+
+def _meetings(first: DataFrame) -> DataFrame:
+    """(a, b) of different components, once for each shingle of both prefixes (shingle, doc_id,
+    part, n, place) behind which enough is left of both."""
     x, y = first.alias("x"), first.alias("y")
-    most = (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-            + F.least("x.need", "y.need"))
+    most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1
     return (x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part"))
-                   & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)))
-            .groupBy(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-            .agg(F.count("*").alias("met"), F.min(F.least("x.need", "y.need")).alias("need"))
-            .filter("met >= need").select("a", "b"))
+                   & (100 * most >= round(100 * THRESHOLD) * (F.col("x.n") + F.col("y.n") - most)))
+            .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,3 +57,37 @@ def test_components_of_a_chain(spark):
     pairs = [(k, k + 1) for k in range(50)] + [(200, 100), (100, 300)]
     got = {r.doc_id: r.component_id for r in s.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(51)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_outliers_of_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
+    """Copies with few edits are one component; outliers just below the threshold stay alone, and
+    two that are near each other or near another copy are still linked."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(148)]  # 147 shingles
+
+    def edited(n, tag):
+        out = list(base)
+        for i in rng.sample(range(1, 147, 3), n):  # each edit replaces two shingles
+            out[i] = f"{tag}-{i}"
+        return out
+
+    docs = [(0, base)] + [(1 + k, edited(1 + k % 4, f"c{k}")) for k in range(120)]
+    docs += [(500 + k, edited(9, f"o{k}")) for k in range(30)]
+    docs.append((900, [*docs[-1][1][:-1], "end"]))     # near the outlier 529 only
+    copy = docs[4][1]                                  # four edits, and some more of its own: near that copy only
+    docs.append((901, [f"m-{i}" if i in (20, 41, 62, 83, 104, 125) and w == f"w{i}" else w for i, w in enumerate(copy)]))
+    docs = [(i, " ".join(w)) for i, w in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(s.near_duplicates(df)) == brute.near_components(docs)
+    # one bucket with all: the rows of the join across components
+    label = spark.createDataFrame([(i, c) for i, (_, c) in brute.near_components(docs).items() if i < 900],
+                                  "doc_id long, component_id long")
+    buckets = spark.createDataFrame([(i, 0) for i, _ in docs], "doc_id long, bucket long")
+    tables, stage = {}, s.stage
+    monkeypatch.setattr(s, "stage", lambda table, name: tables.setdefault(name, stage(table, name)))
+    pairs = s._across_components(buckets, label, df)
+    near = {(a, b) for k, (a, x) in enumerate(docs) for b, y in docs[k + 1:]
+            if 100 * len(brute.shingles(x) & brute.shingles(y)) >= 80 * len(brute.shingles(x) | brute.shingles(y))}
+    apart = {(a, b) for a, b in near if {a, b} & {900, 901}}
+    assert {(r.a, r.b) for r in pairs.collect()} >= apart and apart
+    assert s._meetings(tables["mixed-prefixes"]).count() < 2 * len(docs)
