@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strivelake.llm.common import fresh, python_batches, stage
+from strivelake.llm.common import fresh, python_batches, sized, stage
 
 ROWS, BANDS = 6, 56
 REGISTERS = ROWS * BANDS
@@ -146,58 +146,62 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                          names=["doc_id", "part", "n", "shingle"])
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity_udf(a, b, n_a, n_b):
-    import pandas as pd
-    out = []
-    for s in range(0, len(a), 256):
-        x = np.frombuffer(b"".join(a[s:s + 256]), dtype=np.uint8).reshape(-1, REGISTERS)
-        y = np.frombuffer(b"".join(b[s:s + 256]), dtype=np.uint8).reshape(-1, REGISTERS)
-        out.append(joint_similarity(x, y, n_a[s:s + 256].to_numpy(), n_b[s:s + 256].to_numpy()))
-    return pd.Series(np.concatenate(out) if out else np.empty(0))
+def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the rows (a, b, n_a, n_b, s_a, s_b) whose estimate is not far below the threshold."""
+    for batch in batches:
+        n_a, n_b = (batch.column(c).to_numpy() for c in (2, 3))
+        s_a, s_b = (batch.column(c).to_pylist() for c in (4, 5))
+        near = np.zeros(batch.num_rows, dtype=bool)
+        for s in range(0, len(near), 256):
+            e = s + 256
+            x, y = (np.frombuffer(b"".join(z[s:e]), dtype=np.uint8).reshape(-1, REGISTERS) for z in (s_a, s_b))
+            near[s:e] = joint_similarity(x, y, n_a[s:e], n_b[s:e]) >= THRESHOLD - SLACK
+        yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
-@F.pandas_udf(T.BooleanType())
-def linked_udf(a, b):
-    import pandas as pd
+def _linked(x: bytes, y: bytes) -> bool:
+    p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return common > 0 and 100 * common >= round(100 * THRESHOLD) * (len(p) + len(q) - common)
 
-    def linked(x: bytes, y: bytes) -> bool:
-        p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-        common = len(np.intersect1d(p, q, assume_unique=True))
-        return common > 0 and 100 * common >= round(100 * THRESHOLD) * (len(p) + len(q) - common)
 
-    return pd.Series([linked(x, y) for x, y in zip(a, b)], dtype=bool)
+def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the rows (a, b, s_a, s_b) whose sets are linked."""
+    for batch in batches:
+        sets = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        yield batch.select(["a", "b"]).filter(pa.array([_linked(x, y) for x, y in sets], pa.bool_()))
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) that are linked: joint estimate first, then the full sets."""
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, name: str, rows: int) -> DataFrame:
+    """The pairs (a, b) that are linked: joint estimate first, then the full sets. ``rows``: documents."""
     def side(x: str) -> DataFrame:
         return sketches.select(F.col("doc_id").alias(x), F.col("sketch").alias(f"s_{x}"),
                                F.col("n_shingles").alias(f"n_{x}"))
 
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter((F.col("n_a") >= (THRESHOLD - 1e-9) * F.col("n_b"))
-                    & (F.col("n_b") >= (THRESHOLD - 1e-9) * F.col("n_a")))
-            .withColumn("estimate", similarity_udf("s_a", "s_b", "n_a", "n_b")))
-    near = stage(near.filter(F.col("estimate") >= THRESHOLD - SLACK).select("a", "b"),
-                 f"near-{name}")
+                    & (F.col("n_b") >= (THRESHOLD - 1e-9) * F.col("n_a"))))
+    near = sized(near.select("a", "b", "n_a", "n_b", "s_a", "s_b"), rows)  # a Python run for each task, not partition
+    near = stage(near.mapInArrow(_near_batches, "a long, b long"), f"near-{name}")
     wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    texts = sized(docs.join(wanted, "doc_id", "left_semi"), rows)
     sets = stage(texts.mapInArrow(_set_batches, "doc_id long, shingles binary"), f"sets-{name}")
-    return stage(near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
-                 .filter(linked_udf("s_a", "s_b")).select("a", "b"), f"links-{name}")
+    both = (near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
+            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b"))
+    both = sized(both.select("a", "b", "s_a", "s_b"), rows)
+    return stage(both.mapInArrow(_linked_batches, "a long, b long"), f"links-{name}")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(doc_id, component_id): smallest id reachable over the links (a, b), for linked ids.
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
+    """(doc_id, component_id): smallest id reachable over the links (a, b), for linked ids
+    (``rows`` at most, if known).
 
     Every round takes the smallest label among the neighbours, then the label of the label;
     both steps are joins, staged, until nothing changes.
     """
-    edges = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    label = stage(edges.groupBy(F.col("a").alias("doc_id"))
-                  .agg(F.least(F.min("b"), F.first("a")).alias("component_id")), "labels")
+    edges = stage(sized(links.select("a", "b").union(links.select("b", "a")).distinct(), rows), "edges")
+    label = stage(sized(edges.groupBy(F.col("a").alias("doc_id"))
+                  .agg(F.least(F.min("b"), F.first("a")).alias("component_id")), rows), "labels")
     while True:
         across = (edges.join(label.withColumnRenamed("doc_id", "b"), "b")
                   .groupBy(F.col("a").alias("doc_id")).agg(F.min("component_id").alias("near")))
@@ -205,8 +209,8 @@ def components(links: DataFrame) -> DataFrame:
             "doc_id", F.col("component_id").alias("old"),
             F.least("component_id", "near").alias("via"))
         jump = label.select(F.col("doc_id").alias("via"), F.col("component_id").alias("far"))
-        step = stage(lower.join(jump, "via", "left").select(
-            "doc_id", "old", F.least("via", "far").alias("component_id")), "labels")
+        step = stage(sized(lower.join(jump, "via", "left").select(
+            "doc_id", "old", F.least("via", "far").alias("component_id")), rows), "labels")
         label = step.select("doc_id", "component_id")
         if step.filter(F.col("old") != F.col("component_id")).isEmpty():
             return label
@@ -219,7 +223,7 @@ def _several_parts(member: DataFrame) -> DataFrame:
     return member.join(mixed, "bucket")
 
 
-def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame) -> DataFrame:
+def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame, rows: int | None = None) -> DataFrame:
     """Pairs (a, b) of different components, met in a bucket, that may still be linked.
 
     No pair is made within a bucket. The documents of buckets with several components are joined
@@ -232,8 +236,8 @@ def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame)
     """
     member = _several_parts(buckets.join(label, "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("component_id", "doc_id").alias("part")))
-    member = stage(member.select("doc_id", "part").distinct(), "mixed-documents")
-    texts = source.join(member, "doc_id").select("doc_id", "text", "part")
+    member = stage(sized(member.select("doc_id", "part").distinct(), rows), "mixed-documents")
+    texts = sized(source.join(member, "doc_id").select("doc_id", "text", "part"), rows)
     held = stage(texts.mapInArrow(_shingle_rows, "doc_id long, part long, n long, shingle long"), "mixed-shingles")
     across = (held.groupBy("shingle").agg(F.count("*").alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi"))
               .filter("lo < hi").select("shingle", "df"))
@@ -244,7 +248,7 @@ def _across_components(buckets: DataFrame, label: DataFrame, source: DataFrame)
              .withColumn("place", F.col("n") - F.count("*").over(by_doc)
                          + F.row_number().over(by_doc.orderBy("df", "shingle")))
              .filter(F.col("place") <= F.col("n") - least + 1))
-    first = stage(first.select("shingle", "doc_id", "part", "n", "place"), "mixed-prefixes")
+    first = stage(sized(first.select("shingle", "doc_id", "part", "n", "place"), rows), "mixed-prefixes")
     return _meetings(first).distinct()
 
 
@@ -265,29 +269,31 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
         F.col("doc_id").isNotNull())
     every = stage(source.mapInArrow(_sketch_batches, SKETCH)
                   .withColumn("row", F.monotonically_increasing_id()), "sketches")
+    rows = every.count()
     some = every.filter("n_shingles > 0")
-    first = stage(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("m"))
-                  .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.row").alias("row")), "firsts")
-    owner = stage(some.join(first.select("set_key", "rep"), "set_key").select("doc_id", "rep"), "owners")
+    first = stage(sized(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("m"))
+                  .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.row").alias("row")), rows), "firsts")
+    owner = stage(sized(some.join(first.select("set_key", "rep"), "set_key").select("doc_id", "rep"), rows), "owners")
     # one row per representative; only row numbers are shuffled, not sketches
-    chosen = stage(first.groupBy("rep").agg(F.min("row").alias("row")).select("row"), "rep-rows")
-    reps = stage(every.join(chosen, "row", "left_semi").select("doc_id", "n_shingles", "sketch"), "reps")
+    chosen = stage(sized(first.groupBy("rep").agg(F.min("row").alias("row")).select("row"), rows), "rep-rows")
+    reps = stage(sized(every.join(chosen, "row", "left_semi").select("doc_id", "n_shingles", "sketch"), rows), "reps")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
         k, F.col("sketch").substr(k * ROWS + 1, F.lit(ROWS))))
     met = reps.select("doc_id", F.explode(bands).alias("bucket"))
-    shared = stage(met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    buckets = stage(met.join(shared, "bucket"), "buckets")
+    shared = stage(sized(met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), rows), "shared")
+    buckets = stage(sized(met.join(shared, "bucket"), rows), "buckets")
     # at most BANDS buckets a document
     scored = buckets.groupBy("doc_id").agg(F.collect_list("bucket").alias("held"), F.sum("n").alias("score"))
-    centre = stage(scored.select("doc_id", "score", F.explode("held").alias("bucket")).groupBy("bucket")
-                   .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m")), "centres")
+    centre = stage(sized(scored.select("doc_id", "score", F.explode("held").alias("bucket")).groupBy("bucket")
+                   .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("c"))).alias("m")), rows), "centres")
     # every document against the most connected of its centres
     best = (buckets.select("bucket", "doc_id").join(centre, "bucket")
             .groupBy("doc_id").agg(F.max("m").alias("m")).select("doc_id", (-F.col("m.c")).alias("a")))
-    stars = stage(best.filter(F.col("a") != F.col("doc_id")).select(
-        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct(), "stars")
-    links = _verified(stars, reps, source, "stars")
-    label = components(links)
+    # no pair comes twice: a centre other than the document ranks above it
+    stars = stage(sized(best.filter(F.col("a") != F.col("doc_id")).select(
+        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")), rows), "stars")
+    links = _verified(stars, reps, source, "stars", rows)
+    label = components(links, rows)
     # the other centres, where they are of another component still
     part = F.coalesce("component_id", "doc_id").alias("part")
     centred = (centre.select("bucket", (-F.col("m.c")).alias("doc_id")).join(label, "doc_id", "left")
@@ -295,19 +301,19 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     members = buckets.select("bucket", "doc_id").join(label, "doc_id", "left").select("bucket", "doc_id", part)
     others = (members.join(centred, (members["bucket"] == centred["bucket"]) & (F.col("part") != F.col("a_part")))
               .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct())
-    second = _verified(others.join(stars, ["a", "b"], "left_anti"), reps, source, "others")
+    second = _verified(others.join(stars, ["a", "b"], "left_anti"), reps, source, "others", rows)
     if not second.isEmpty():
-        links = stage(links.union(second), "links")
-        label = components(links)
-    rest = _across_components(buckets, label, source)
-    more = _verified(rest, reps, source, "rest")
+        links = stage(sized(links.union(second), rows), "links")
+        label = components(links, rows)
+    rest = _across_components(buckets, label, source, rows)
+    more = _verified(rest, reps, source, "rest", rows)
     if not more.isEmpty():
-        label = components(links.union(more))
+        label = components(links.union(more), rows)
     named = owner.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("component_id"))
     named = named.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     sizes = every.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    return (sizes.join(named, "doc_id", "left")
+    return (sized(sizes.join(named, "doc_id", "left"), rows)
             .select("doc_id", "n_shingles",
                     F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))

@@ -91,3 +91,27 @@ def test_outliers_of_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
     apart = {(a, b) for a, b in near if {a, b} & {900, 901}}
     assert {(r.a, r.b) for r in pairs.collect()} >= apart and apart
     assert s._meetings(tables["mixed-prefixes"]).count() < 2 * len(docs)
+
+
+def test_small_tables_are_not_spread_over_the_partitions_of_a_shuffle(spark, monkeypatch):
+    """Every table behind the sketches is written, and pairs are compared, in as many tasks as its documents need."""
+    docs = [(k, " ".join(f"w{(k // 3 * 50 + i) % 997}" for i in range(40))) for k in range(150)]
+    files, stage, coalesced = {}, s.stage, "spark.sql.adaptive.coalescePartitions.enabled"
+
+    def counted(table, name):
+        out = stage(table, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(s, "stage", counted)
+    before = {k: spark.conf.get(k) for k in (coalesced, "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set(coalesced, "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        result = s.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+        assert found(result) == brute.near_components(docs)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"firsts", "owners", "near-stars", "links-stars", "labels"} <= files.keys()
+    assert {n for n, k in files.items() if k > 1} <= {"sketches"}
