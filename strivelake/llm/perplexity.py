@@ -8,17 +8,21 @@ with the texts. Below the unigrams stands a spelling model: Kneser-Ney of order
 the characters (64 symbols) of the different training words, which tells an unknown name from
 a random string.
 
-Scoring is a chain of joins: every document gives (document, n-gram, count), joined with the
-n-grams seen, sharded by n-gram, the back-off weights, sharded by context, and the
-probabilities of the shorter n-grams; logarithms are summed per document in fixed point, so
-the sums do not depend on their order. Only the spelling model, at most 64 ** ORDER
-probabilities whatever the input, is read by every Python worker, for each different word
-once. Frequent n-grams are split by Spark's skew join; counts are combined before a shuffle.
+The logarithm of a probability is a sum of weights: ln P(c | a b) is that of (b, c) plus the
+back-off of (a, b), plus ln(1 + (count - discount) / (taken * P(c | b))) if the 3-gram was seen;
+likewise below. So a text's score is one join of its n-grams with the weights and a sum. The
+n-grams are dealt by the hash of the middle word to at most ``ROUNDS`` rounds, which read the
+texts again and leave nothing on disk but sums per text: the n-grams of all texts are several
+times larger than the texts. In a round they travel as arrays, dealt to shards by their ids;
+weights are whole numbers, so the sums do not depend on their order. Only the spelling model, at
+most 64 ** ORDER probabilities whatever the input, is read by every Python worker, for each
+different word once. A text counts an n-gram once, with its number, before the shuffle.
 
 Every document gets its perplexity per word; the thresholds are, per language, two quantiles:
 text less predictable than nearly all held-out trusted texts (symbol noise, random strings,
 words out of order) or more predictable than nearly all trusted texts (one phrase over and
-over) is rejected. Nothing but four counts of counts per order passes through the driver.
+over) is rejected. Nothing but four counts of counts
+per order and round and the length of all texts passes through the driver.
 
 Defined results: null, empty and blank texts have no perplexity and are not kept; a language
 (or null) with fewer than two held-out trusted texts takes the quantiles over all languages;
@@ -30,7 +34,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -42,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strivelake.llm.common import python_batches, stage
+from strivelake.llm.common import BROADCAST_ROWS, delete_folder, freed_shuffles, python_batches, scratch_scope, stage
 from strivelake.session import scratch_path
 
 WORD_ORDER = 3
@@ -53,7 +56,16 @@ LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.995
 ACCURACY = 10_000
 FOLDS = 5
 SLICE_CHARS = 1 << 20            # characters that are cut into words at a time
-FIXED = 1 << 20                  # logarithms are summed in units of 1 / FIXED
+FIXED = 1 << 28                  # logarithms are summed in units of 1 / FIXED
+ROUNDS = 8                       # most rounds in which the n-grams are dealt
+ROUND_CHARS = 1 << 24            # a round of its own pays for this many characters
+SHARD_CHARS = 1 << 21            # characters whose n-grams of a round meet in one task
+TOLD_WORDS = 1 << 20             # words that a task remembers to have returned
+CHUNK_ROWS = 1 << 18             # weights that are dealt to shards at a time
+WORDS = ["w0", "w1", "w2"]
+TURN = 21                        # the id of an n-gram is its words' hashes, turned by this many bits and xor-ed
+# stands before a text; tell ids of contexts and of 2-grams from those of 3-grams and words
+START, CONTEXT, EVENT = (np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x6A09E667F3BCC909, 0x3C6EF372FE94F82B))
 # Thai, Lao, Myanmar, Khmer, kana and Han: every character counts as a word.
 NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 WORD = re.compile(rf"[^\W\d_{NO_SPACES}]+|\d+|\S")
@@ -102,13 +114,37 @@ def codes(text: str | None, order: int = ORDER) -> np.ndarray:
     return out
 
 
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``SLICE_CHARS`` characters, so long texts fit a worker."""
+    start = chars = 0
+    for k, text in enumerate(texts):
+        chars += len(text or "")
+        if chars >= SLICE_CHARS:
+            yield start, k + 1
+            start, chars = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _spaced(texts: list[str], order: int) -> tuple[str, np.ndarray, np.ndarray]:
+    """The texts in one string, white space before each; where it begins, and which characters are the texts' own."""
+    sizes = np.array([len(t) + order - 1 for t in texts], dtype=np.int64)
+    start = np.cumsum(sizes) - sizes
+    own = np.ones(int(sizes.sum()), dtype=bool)
+    for k in range(order - 1):
+        own[start + k] = False
+    space = " " * (order - 1)
+    return space + space.join(texts), start, own
+
+
 def count_codes(texts: DataFrame, *, text_col: str = "text") -> DataFrame:
     """(code, c): n-gram counts over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [codes(t) for t in batch.column(0).to_pylist() if t]
-            if parts:
-                code, n = np.unique(np.concatenate(parts), return_counts=True)
+            found = [t for t in batch.column(0).to_pylist() if t]
+            for first, last in _slices(found):
+                text, _, own = _spaced(found[first:last], ORDER)
+                code, n = np.unique(codes(text)[own], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "c"])
 
@@ -116,16 +152,23 @@ def count_codes(texts: DataFrame, *, text_col: str = "text") -> DataFrame:
             .groupBy("code").agg(F.sum("c").alias("c")))
 
 
-def discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more."""
-    row = counts.agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n = [0, *row]
+def _discounts(counts: list[int]) -> list[float]:
+    """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more, from the counts of counts 1 to 4."""
+    n = [0, *counts]
     if not all(n[1:]):
         return [0.5, 0.75, 0.9]  # too little text for counts of counts
     y = n[1] / (n[1] + 2 * n[2])
     return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
 
 
+def _counts_of_counts(counts: DataFrame) -> list[int]:
+    return [*counts.agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()]
+
+
+def discounts(counts: DataFrame) -> list[float]:
+    return _discounts(_counts_of_counts(counts))
+
+
 def train(trusted: DataFrame, folder: str, *, text_col: str = "text", order: int = ORDER) -> str:
     """Write the model: (order, code, p) discounted probabilities of the n-grams seen and
     (order, code, g) back-off weights of the contexts seen. Returns ``folder``."""
@@ -190,134 +233,329 @@ def spelling(word: str, table: np.ndarray) -> float:
     return log_probability(word + " ", table) - float(_LN_SIZE[symbols(word)].sum())
 
 
-def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+def spellings(found: list[str], table: np.ndarray) -> np.ndarray:
+    """``spelling`` of every word."""
+    text, start, own = _spaced([w + " " for w in found], ORDER)
+    s = symbols(text)
+    own_ln = np.where(own, table[codes(text)], 0).astype(np.float64)
+    return np.add.reduceat(own_ln - np.where(s > 0, _LN_SIZE[s], 0), start) if len(start) else np.zeros(0)
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``SLICE_CHARS`` characters, so long texts fit a worker."""
-    start = chars = 0
-    for k, text in enumerate(texts):
-        chars += len(text or "")
-        if chars >= SLICE_CHARS:
-            yield start, k + 1
-            start, chars = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _names(order: int) -> list[str]:
-    return [f"w{k}" for k in range(order)]
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text.lower()) if text else []
 
 
-def word_grams(texts: DataFrame, order: int = WORD_ORDER) -> DataFrame:
-    """(key, w0, w1, ..., n): the n-grams of every text, hashes of their words and counts;
-    ``texts``: (key, text). A start mark stands ``order - 1`` times before the first word."""
+def _rotated(h: np.ndarray) -> np.ndarray:
+    return h << np.uint64(TURN) | h >> np.uint64(64 - TURN)
+
+
+def _code_points() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: 0 white space, 1 letter, 2 digit, 3 a word by itself; and a random number."""
+    every = "".join(map(chr, range(0x110000)))
+    kind = np.full(0x110000, 3, dtype=np.uint8)
+    for k, runs in ((0, r"\s+"), (1, rf"[^\W\d_{NO_SPACES}]+"), (2, r"\d+")):
+        for run in re.finditer(runs, every):
+            kind[run.start():run.end()] = k
+    value = np.random.Generator(np.random.PCG64(6)).integers(1, 1 << 63, 0x110000, dtype=np.uint64)
+    return kind, np.where(kind == 0, np.uint64(0), value)
+
+
+_POINTS: list[np.ndarray] = []
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
+    """Of every word of ``words(text)``, in order: the text's number, the word's hash, its start and
+    end in the lower-cased texts, joined by line feeds, which come last."""
+    if not _POINTS:
+        _POINTS.extend(_code_points())
+    low = [t.lower() if t else "" for t in texts]
+    joined = "\n".join(low) + "\n"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kind = _POINTS[0][points]
+    alone = kind == 3
+    change = kind[1:] != kind[:-1]
+    start = np.flatnonzero((kind != 0) & (alone | np.concatenate([[True], change])))
+    end = np.flatnonzero((kind != 0) & (alone | np.concatenate([change, [True]]))) + 1
+    if not len(start):
+        return *(np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)), joined
+    sizes = np.diff(start, append=len(points))
+    longest = int((end - start).max())
+    at = np.minimum(np.arange(start[0], len(points)) - np.repeat(start, sizes), longest - 1)  # place in the word
+    power = np.full(longest, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    h = np.add.reduceat(_POINTS[1][points[start[0]:]] * power[at], start - start[0])
+    for shift in (32, 29):
+        h = (h ^ h >> np.uint64(shift)) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    ends = np.cumsum([len(t) + 1 for t in low])
+    return np.searchsorted(ends, start, side="right"), h, start, end, joined
+
+
+def _with_context(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words one and two before each word; a start mark stands twice before a text."""
+    before = np.concatenate([[START], h[:-1]])
+    before[np.concatenate([[True], doc[1:] != doc[:-1]])] = START
+    second = np.concatenate([[START], before[:-1]])
+    second[np.concatenate([[True], doc[1:] != doc[:-1]])] = START
+    return before, second
+
+
+def _signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
+
+
+def word_grams(texts: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
+    """(w0, w1, w2, n): the 3-grams of the texts whose middle word belongs to the round;
+    ``texts``: (key, text). Counts are combined within a slice of texts."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for start, end in _slices(texts):
-                flat, sizes = [], []
-                for text in texts[start:end]:
-                    found = words(text)
-                    sizes.append(len(found))
-                    if found:
-                        flat += [""] * (order - 1)
-                        flat += found
-                if not flat:
+            texts = batch.column(1).to_pylist()
+            for first, last in _slices(texts):
+                doc, w2, *_ = word_hashes(texts[first:last])
+                if not len(doc):
                     continue
-                ids, distinct = pd.factorize(np.array(flat, dtype=object))
-                hashed = pd.util.hash_array(distinct, categorize=False)[ids]
-                at = np.flatnonzero(ids != 0)  # the start mark comes first
-                doc = np.repeat(np.arange(start, end, dtype=np.uint64), sizes)
-                mixed = doc
-                for k in range(order):
-                    mixed = (mixed ^ hashed[at - k]) * np.uint64(0x9E3779B97F4A7C15)
-                    mixed ^= mixed >> np.uint64(29)
-                _, one, n = np.unique(mixed, return_index=True, return_counts=True)
+                w1, w0 = _with_context(doc, w2)
+                mine = w1 % np.uint64(rounds) == turn
+                w0, w1, w2 = w0[mine], w1[mine], w2[mine]
+                _, one, n = np.unique(_rotated(_rotated(w0) ^ w1) ^ w2, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[doc[one]])]
-                    + [pa.array(hashed[at[one] - (order - 1 - k)].view(np.int64)) for k in range(order)]
-                    + [pa.array(n.astype(np.int64))], names=["key", *_names(order), "n"])
+                    [_signed(w[one]) for w in (w0, w1, w2)] + [pa.array(n.astype(np.int64))], names=[*WORDS, "n"])
 
-    fields = ", ".join(f"{w} long" for w in _names(order))
-    return texts.mapInArrow(cut, f"key long, {fields}, n long")
+    return texts.mapInArrow(cut, "w0 long, w1 long, w2 long, n long")
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """(w, word): the different words of (key, text) and their hashes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            found = list({w for text in batch.column(1).to_pylist() for w in words(text)})
-            if found:
-                hashed = pd.util.hash_array(np.array(found, dtype=object), categorize=False)
-                yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(found)],
-                                                 names=["w", "word"])
+            texts = batch.column(1).to_pylist()
+            for first, last in _slices(texts):
+                _, h, start, end, joined = word_hashes(texts[first:last])
+                h, one = np.unique(h, return_index=True)
+                new = ~np.isin(h, told, assume_unique=True)
+                h, one = h[new], one[new]
+                told = np.concatenate([told, h]) if len(told) < TOLD_WORDS else h
+                if len(h):
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(h), pa.array([joined[a:b] for a, b in zip(start[one], end[one], strict=True)])],
+                        names=["w", "word"])
 
     return texts.mapInArrow(cut, "w long, word string").groupBy("w").agg(F.min("word").alias("word"))
 
 
-def train_words(texts: DataFrame, order: int = WORD_ORDER) -> list[tuple[DataFrame, DataFrame]]:
-    """Per order, from 1: (n-gram, p) discounted probabilities of the n-grams seen and
-    (context, g) back-off weights of the contexts seen (of the empty context for order 1)."""
-    names = _names(order)
-    level = stage(word_grams(texts, order).groupBy(*names).agg(F.sum("n").alias("c")), "lm-counts")
-    model = []
-    for k in range(order, 0, -1):
-        d = discounts(level)
-        gram = names[order - k:]
-        context = gram[:-1]
-        kinds = [F.count(F.when(F.col("c") == 1, 1)) * d[0], F.count(F.when(F.col("c") == 2, 1)) * d[1],
-                 F.count(F.when(F.col("c") > 2, 1)) * d[2]]
-        total = level.groupBy(*context).agg(
-            F.sum("c").alias("total"), (reduce(lambda x, y: x + y, kinds) / F.sum("c")).alias("g"))
-        take = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        with_total = level.join(total, context) if context else level.join(F.broadcast(total), F.lit(True))
-        seen = stage(with_total.select(*gram, ((F.col("c") - take) / F.col("total")).alias("p")), "lm-seen")
-        model.insert(0, (seen, stage(total.select(*context, "g"), "lm-back")))
-        # continuation counts: by how many different words is the shorter n-gram preceded
-        if k > 1:
-            level = stage(level.groupBy(*gram[1:]).agg(F.count("*").alias("c")), "lm-counts")
-    return model
+CHUNK = "shard int, kind int, key array<long>, id array<long>, n array<long>"
 
 
-def with_log_p(grams: DataFrame, model: list[tuple[DataFrame, DataFrame]], spelled: DataFrame,
-               names: list[str]) -> DataFrame:
-    """``grams`` plus prob, the interpolated probability of their n-gram (columns ``names``).
+def _chunks(kind: int, key: np.ndarray, ids: np.ndarray, n: np.ndarray, shards: int) -> pa.RecordBatch:
+    """One row per shard, with its entries; ``key`` may be empty. Entries keep their order."""
+    shard = (ids >> np.uint64(8)) % np.uint64(shards)
+    order = np.argsort(shard, kind="stable")
+    sizes = np.bincount(shard.astype(np.int64), minlength=shards)
+    used = np.flatnonzero(sizes)
+    ends = np.concatenate([[0], np.cumsum(sizes[used])]).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(ends), v) for v in (_signed(ids[order]), pa.array(n[order]))]
+    keys = pa.ListArray.from_arrays(pa.array(ends if len(key) else ends * 0), pa.array(key[order] if len(key) else key))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), kind, dtype=np.int32)), keys, *lists],
+        names=["shard", "kind", "key", "id", "n"])
 
-    ``spelled``: (w, base), the spelling probability of every word that occurs.
-    """
-    k = len(names)
-    seen, back = model[k - 1]
-    if k == 1:
-        lower = spelled.withColumnRenamed("w", names[0]).withColumnRenamed("base", "lower")
-        rows = grams.join(seen, names, "left").join(F.broadcast(back), F.lit(True), "left")  # one row
-    else:
-        shorter = stage(with_log_p(grams.select(*names[1:]).distinct(), model, spelled, names[1:]), "lm-lower")
-        lower = shorter.withColumnRenamed("prob", "lower")
-        rows = grams.join(seen, names, "left").join(back, names[:-1], "left")
-    prob = F.coalesce("p", F.lit(0.0)) + F.coalesce("g", F.lit(1.0)) * F.col("lower")
-    return rows.join(lower, names[1:] or names).select(*grams.columns, prob.alias("prob"))
-
-
-def word_perplexity(texts: DataFrame, trusted: DataFrame, order: int = WORD_ORDER) -> DataFrame:
+
+def text_chunks(texts: DataFrame, shards: int, turn: int | None = None, rounds: int = 1) -> DataFrame:
+    """The n-grams that the score of a text adds up, as chunks of (key, id, n). In a round: 3-grams,
+    their contexts and 2-grams; in the round None: words, where the context of the first word
+    and the last word, which is no context, stand apart and cancel out in the sum of n."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for first, last in _slices(texts):
+                doc, w2, *_ = word_hashes(texts[first:last])
+                if not len(doc):
+                    continue
+                w1, w0 = _with_context(doc, w2)
+                if turn is None:
+                    ends = np.flatnonzero(np.concatenate([doc[1:] != doc[:-1], [True]]))
+                    ids = np.concatenate([w2, np.full(len(ends), START ^ CONTEXT), w2[ends] ^ CONTEXT])
+                    doc = np.concatenate([doc, doc[ends], doc[ends]])
+                    n = np.concatenate([np.ones(len(w2)), np.ones(len(ends)), -np.ones(len(ends))]).astype(np.int64)
+                else:
+                    mine = w1 % np.uint64(rounds) == turn
+                    w0, w1, w2, doc = w0[mine], w1[mine], w2[mine], np.tile(doc[mine], 3)
+                    context = _rotated(w0) ^ w1
+                    ids = np.concatenate([_rotated(context) ^ w2, context ^ CONTEXT, _rotated(w1) ^ w2 ^ EVENT])
+                    n = np.ones(len(ids), dtype=np.int64)
+                if not len(ids):
+                    continue
+                order = np.lexsort((ids, doc))
+                ids, doc, n = ids[order], doc[order], n[order]
+                one = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (doc[1:] != doc[:-1])]))
+                yield _chunks(1, keys[first + doc[one]].astype(np.int64), ids[one], np.add.reduceat(n, one), shards)
+
+    return texts.mapInArrow(cut, CHUNK)
+
+
+def weight_chunks(weights: DataFrame, shards: int) -> DataFrame:
+    """(id, weight) as chunks."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= CHUNK_ROWS:
+                yield joined(held)
+                held, rows = [], 0
+        if rows:
+            yield joined(held)
+
+    def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ids, weight = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in (0, 1))
+        return _chunks(0, np.zeros(0, dtype=np.int64), ids.view(np.uint64), weight, shards)
+
+    return weights.select("id", "weight").mapInArrow(pack, CHUNK)
+
+
+def add_weights(texts: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
+    """(key, log_p, n): the weights of the n-grams that have one and the numbers of all, per text.
+
+    A join by shard of the ids, one task each: the weights come first, chunks of texts stream past."""
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, table = [], None
+        for batch in batches:
+            kinds = batch.column(1).to_numpy()
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in batch.columns[2:]]
+            out = []
+            for row in range(batch.num_rows):
+                key, ids, n = (v[o[row]:o[row + 1]] for o, v in lists)
+                if kinds[row] == 0:
+                    held.append((ids.copy(), n.copy()))
+                    continue
+                if table is None:
+                    found = [np.concatenate([h[k] for h in held]) if held else np.zeros(0, dtype=np.int64)
+                             for k in (0, 1)]
+                    order = np.argsort(found[0])
+                    table = found[0][order], found[1][order]
+                weight = np.zeros(len(ids), dtype=np.int64)
+                if len(table[0]):
+                    at = np.minimum(np.searchsorted(table[0], ids), len(table[0]) - 1)
+                    weight = np.where(table[0][at] == ids, table[1][at], 0) * n
+                one = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                out.append((key[one], np.add.reduceat(weight, one), np.add.reduceat(n, one)))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([x[k] for x in out])) for k in range(3)], names=["key", "log_p", "n"])
+
+    rows = texts.unionByName(weights).repartitionById(shards, "shard").sortWithinPartitions("kind")
+    return (rows.mapInArrow(look_up, "key long, log_p long, n long")
+            .groupBy("key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n")))
+
+
+def _less(d: list[float]) -> Column:
+    """The count less its discount."""
+    return F.col("c") - F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+
+def _contexts(level: DataFrame, *context: str) -> DataFrame:
+    """(context, total, k0, k1, k2): the sum of the counts behind a context and how many are 1, 2, more."""
+    return level.groupBy(*context).agg(
+        F.sum("c").alias("total"), F.count(F.when(F.col("c") == 1, 1)).alias("k0"),
+        F.count(F.when(F.col("c") == 2, 1)).alias("k1"), F.count(F.when(F.col("c") > 2, 1)).alias("k2"))
+
+
+def _taken(d: list[float]) -> Column:
+    return F.col("k0") * d[0] + F.col("k1") * d[1] + F.col("k2") * d[2]
+
+
+def _turned(h: Column) -> Column:
+    return F.shiftleft(h, TURN).bitwiseOR(F.shiftrightunsigned(h, 64 - TURN))
+
+
+def _fixed(x: Column) -> Column:
+    return F.round(x * FIXED).cast("long")
+
+
+def word_perplexity(texts: DataFrame, trusted: DataFrame, rounds: int | None = None) -> DataFrame:
     """(key, perplexity) of every text with a word, under the model of the trusted texts;
     both: (key, text). Texts of one key are alike."""
     spark = texts.sparkSession
-    model = train_words(trusted, order)
-    folder = train(vocabulary(trusted).select(F.concat("word", F.lit(" ")).alias("text")),
-                   scratch_path(spark, "lm-model"))
-
-    @F.pandas_udf(T.DoubleType())
-    def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = load_model(folder)
-        for found in batches:
-            yield pd.Series([np.exp(max(spelling(w, table), -700.0)) for w in found], dtype="float64")
-
-    spelled = stage(vocabulary(texts).select("w", spell("word").alias("base")), "lm-spelled")
-    grams = with_log_p(word_grams(texts, order), model, spelled, _names(order))
-    fixed = F.round(F.log("prob") * F.col("n") * FIXED).cast("long")
-    return (grams.groupBy("key").agg(F.sum(fixed).alias("log_p"), F.sum("n").alias("n"))
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    rounds = rounds or min(ROUNDS, 1 + size // ROUND_CHARS)
+    shards = max(4, -(-size // (rounds * SHARD_CHARS)))
+    kept = {name: scratch_path(spark, f"lm-{name}") for name in ("first", "contexts", "parts")}
+
+    def grams(turn: int) -> tuple[DataFrame, DataFrame]:
+        three = stage(word_grams(trusted, turn, rounds).groupBy(*WORDS).agg(F.sum("n").alias("c")), "lm-three")
+        # continuation counts: by how many different words is the shorter n-gram preceded
+        return three, stage(three.groupBy("w1", "w2").agg(F.count("*").alias("c")), "lm-two")
+
+    # the discounts need all counts of an order before the first probability
+    seen = {3: [0] * 4, 2: [0] * 4}
+    for turn in range(rounds):
+        with scratch_scope(spark):
+            three, two = grams(turn)
+            for order, level in ((3, three), (2, two)):
+                seen[order] = [a + b for a, b in zip(seen[order], _counts_of_counts(level), strict=True)]
+            two.groupBy(F.col("w2").alias("w")).agg(F.count("*").alias("c")).write.mode("append").parquet(kept["first"])
+            _contexts(two, F.col("w1").alias("w")).write.mode("append").parquet(kept["contexts"])
+    d3, d2 = _discounts(seen[3]), _discounts(seen[2])
+
+    with scratch_scope(spark):
+        folder = train(vocabulary(trusted).select(F.concat("word", F.lit(" ")).alias("text")),
+                       scratch_path(spark, "lm-model"))
+
+        @F.pandas_udf(T.DoubleType())
+        def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            table = load_model(folder)
+            for found in batches:
+                yield pd.Series(np.exp(np.maximum(spellings(found.to_list(), table), -700.0)))
+
+        start = spark.range(1).select(F.lit(int(START.view(np.int64))).alias("w"), F.lit(1.0).alias("base"))
+        spelled = vocabulary(texts).select("w", spell("word").alias("base")).unionByName(start)
+        one = stage(spark.read.schema("w long, c long").parquet(kept["first"]).groupBy("w").agg(F.sum("c").alias("c")),
+                    "lm-one")
+        d1 = discounts(one)
+        every = F.broadcast(_contexts(one).select((F.coalesce(_taken(d1) / F.col("total"), F.lit(1.0))).alias("g0"),
+                                                  F.col("total").alias("total0")))  # one row
+        contexts = spark.read.schema("w long, total long, k0 long, k1 long, k2 long").parquet(kept["contexts"])
+        p = F.coalesce(_less(d1) / F.col("total0"), F.lit(0.0)) + F.col("g0") * F.col("base")
+        found = (spelled.join(one, "w", "left").join(every, F.lit(True))
+                 .join(contexts.select("w", (_taken(d2) / F.col("total")).alias("g")), "w", "left")
+                 .select("w", p.alias("p"), F.coalesce("g", F.lit(1.0)).alias("g")))
+        path = scratch_path(spark, "lm-words")
+        found.write.parquet(path)
+    known = spark.read.schema(found.schema).parquet(path)
+
+    def add(turn: int | None, weights: DataFrame) -> None:
+        found = add_weights(text_chunks(texts, shards, turn, rounds), weight_chunks(weights, shards), shards)
+        n = F.col("n") if turn is None else F.lit(0).cast("long")  # only words count as words
+        found.select("key", "log_p", n.alias("n")).write.mode("append").parquet(kept["parts"])
+
+    context = lambda a, b: _turned(F.col(a)).bitwiseXOR(F.col(b))
+    mark = lambda h, m: h.bitwiseXOR(F.lit(int(m.view(np.int64))))
+    add(None, known.select(F.col("w").alias("id"), (_fixed(F.log("p")) + _fixed(F.log("g"))).alias("weight")).unionByName(
+        known.filter("g <> 1").select(mark(F.col("w"), CONTEXT).alias("id"), _fixed(F.log("g")).alias("weight"))))
+    for turn in range(rounds):
+        with scratch_scope(spark):
+            three, two = grams(turn)
+            behind = contexts.select(F.col("w").alias("w1"), "total", _taken(d2).alias("taken"))
+            two = stage(
+                two.join(behind, "w1").join(known.select(F.col("w").alias("w2"), "p"), "w2").select(
+                    "w1", "w2", ((_less(d2) + F.col("taken") * F.col("p")) / F.col("total")).alias("lower"),
+                    F.log1p(_less(d2) / (F.col("taken") * F.col("p"))).alias("weight")), "lm-two")
+            behind = stage(_contexts(three, "w0", "w1").select("w0", "w1", "total", _taken(d3).alias("taken")), "lm-behind")
+            ratio = F.log1p(_less(d3) / (F.col("taken") * F.col("lower")))
+            weights = three.join(behind, ["w0", "w1"]).join(two.drop("weight"), ["w1", "w2"]).select(
+                _turned(context("w0", "w1")).bitwiseXOR(F.col("w2")).alias("id"), _fixed(ratio).alias("weight"))
+            weights = weights.unionByName(behind.select(
+                mark(context("w0", "w1"), CONTEXT).alias("id"), _fixed(F.log(F.col("taken") / F.col("total"))).alias("weight")))
+            weights = weights.unionByName(two.select(
+                mark(context("w1", "w2"), EVENT).alias("id"), _fixed(F.col("weight")).alias("weight")))
+            add(turn, weights)
+    for path in (kept["first"], kept["contexts"], path, folder):
+        delete_folder(spark, path)
+    return (spark.read.schema("key long, log_p long, n long").parquet(kept["parts"])
+            .groupBy("key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
             .select("key", F.exp(-F.col("log_p") / FIXED / F.col("n")).alias("perplexity")))
 
 
@@ -346,12 +584,18 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_col: str = "doc_id"
     python_batches(spark)
     ids = stage(trusted_ids.select(F.col("doc_id").alias("__id"), F.lit(True).alias("trusted")).distinct(),
                 "lm-trusted")
+    few = ids.count() <= BROADCAST_ROWS
     known = docs.select(F.col(doc_col).alias("doc_id"), F.col(lang_col).alias("lang"),
                         F.col(text_col).alias("text"),
                         F.xxhash64(F.col(doc_col), F.col(text_col)).alias("key"))
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
-    trained = known.join(ids, F.col("doc_id") == F.col("__id"), "left_semi").filter(~held_out)
-    scores = stage(word_perplexity(known.select("key", "text"), trained.select("key", "text")), "lm-scores")
+    trained = known.filter(~held_out).join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("__id"),
+                                           "left_semi").select("key", "text")
+    with freed_shuffles(spark), scratch_scope(spark):
+        if not few:
+            trained = stage(trained, "lm-trained")  # every round reads the texts
+        scores = word_perplexity(known.select("key", "text"), trained)
+    scores = stage(scores, "lm-scores")
     scored = known.drop("text").join(scores, "key", "left")
     scored = stage(scored.join(ids, F.col("doc_id") == F.col("__id"), "left").select(
         "doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "perplexity"), "lm-scores")

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -6,7 +7,7 @@ import numpy as np
 
 from conftest import SF_SMALL
 from strivelake.llm import perplexity as p
-from strivelake.session import scratch_path
+from strivelake.session import checkpoint_root, scratch_path
 
 
 def plain_model(texts, order):
@@ -135,3 +136,33 @@ def test_words_out_of_order_and_other_scripts_are_less_predictable(spark):
     got = {r.key: r.perplexity for r in p.word_perplexity(df, trusted).collect()}
     assert min(got[60 + k] for k in range(20)) > 1.5 * max(got[40 + k] for k in range(20))
     assert got[81] > 10 * got[80]
+
+
+def test_words_of_joined_texts_are_the_words_of_each():
+    rng = random.Random(5)
+    some = "aB9 \n\t_-.\u00c9\u0130\u00df\u00b2\u0663\u4e2d\u3042\u0e01\U0001f600\u00a0\x1c\u0301"
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(40))) for _ in range(200)] + [None, "", " ", "x"]
+    doc, h, start, end, joined = p.word_hashes(texts)
+    cut = [(int(d), joined[a:b]) for d, a, b in zip(doc, start, end)]
+    assert cut == [(k, w) for k, t in enumerate(texts) for w in p.words(t)]
+    hashes = dict(zip([w for _, w in cut], h))
+    assert all(hashes[w] == x for (_, w), x in zip(cut, h)) and len(set(hashes.values())) == len(hashes)
+    table = np.log(np.random.default_rng(1).random(p.SYMBOLS ** p.ORDER))
+    found = sorted(hashes)
+    assert np.allclose(p.spellings(found, table), [p.spelling(w, table) for w in found])
+    assert len(p.spellings([], table)) == 0
+
+
+def test_rounds_share_the_ngrams_out_and_leave_none_on_disk(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(80)) for _ in range(30)]
+    df = spark.createDataFrame([*enumerate(texts), (90, None), (91, ""), (0, texts[0])], "key long, text string")
+    trusted = df.filter("key % 3 = 0")
+    dealt = [p.word_grams(df, k, 3).count() for k in range(3)]
+    assert sum(dealt) == p.word_grams(df).count() > max(dealt) > 0
+    folder = f"{checkpoint_root(spark).removeprefix('file:')}/strivelake"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with p.freed_shuffles(spark), p.scratch_scope(spark):
+        got = [{r.key: r.perplexity for r in p.word_perplexity(df, trusted, rounds=n).collect()} for n in (1, 3)]
+    assert got[0] == got[1] and set(got[0]) == set(range(30))
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} <= {"lm-parts"}
