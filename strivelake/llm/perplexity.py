@@ -235,10 +235,12 @@ def spelling(word: str, table: np.ndarray) -> float:
 
 def spellings(found: list[str], table: np.ndarray) -> np.ndarray:
     """``spelling`` of every word."""
+    if not found:
+        return np.zeros(0)
     text, start, own = _spaced([w + " " for w in found], ORDER)
     s = symbols(text)
     own_ln = np.where(own, table[codes(text)], 0).astype(np.float64)
-    return np.add.reduceat(own_ln - np.where(s > 0, _LN_SIZE[s], 0), start) if len(start) else np.zeros(0)
+    return np.add.reduceat(own_ln - np.where(s > 0, _LN_SIZE[s], 0), start)
 
 
 def words(text: str | None) -> list[str]:
@@ -263,6 +265,18 @@ def _code_points() -> tuple[np.ndarray, np.ndarray]:
 _POINTS: list[np.ndarray] = []
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse modulo 2 ** 64."""
+    if n > SLICE_CHARS * 2 or len(_POINTS) == 2:
+        base = 0x9E3779B97F4A7C15
+        found = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, SLICE_CHARS * 2) - 1, x, dtype=np.uint64)]))
+                 for x in (base, pow(base, -1, 1 << 64))]
+        if n > SLICE_CHARS * 2:
+            return found[0], found[1]  # a very long text
+        _POINTS.extend(found)
+    return _POINTS[2][:n], _POINTS[3]
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
     """Of every word of ``words(text)``, in order: the text's number, the word's hash, its start and
     end in the lower-cased texts, joined by line feeds, which come last."""
@@ -278,13 +292,10 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     end = np.flatnonzero((kind != 0) & (alone | np.concatenate([change, [True]]))) + 1
     if not len(start):
         return *(np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)), joined
-    sizes = np.diff(start, append=len(points))
-    longest = int((end - start).max())
-    at = np.minimum(np.arange(start[0], len(points)) - np.repeat(start, sizes), longest - 1)  # place in the word
-    power = np.full(longest, 0x9E3779B97F4A7C15, dtype=np.uint64)
-    power[0] = 1
-    power = np.cumprod(power)
-    h = np.add.reduceat(_POINTS[1][points[start[0]:]] * power[at], start - start[0])
+    power, inverse = _powers(len(points))
+    total = np.cumsum(_POINTS[1][points] * power)  # white space has the value 0
+    h = total[end - 1] * inverse[start]
+    h[1:] -= total[end[:-1] - 1] * inverse[start[1:]]
     for shift in (32, 29):
         h = (h ^ h >> np.uint64(shift)) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
@@ -484,16 +495,17 @@ def word_perplexity(texts: DataFrame, trusted: DataFrame, rounds: int | None = N
     shards = max(4, -(-size // (rounds * SHARD_CHARS)))
     kept = {name: scratch_path(spark, f"lm-{name}") for name in ("first", "contexts", "parts")}
 
-    def grams(turn: int) -> tuple[DataFrame, DataFrame]:
+    def grams(turn: int, rounds: int) -> tuple[DataFrame, DataFrame]:
         three = stage(word_grams(trusted, turn, rounds).groupBy(*WORDS).agg(F.sum("n").alias("c")), "lm-three")
         # continuation counts: by how many different words is the shorter n-gram preceded
         return three, stage(three.groupBy("w1", "w2").agg(F.count("*").alias("c")), "lm-two")
 
     # the discounts need all counts of an order before the first probability
     seen = {3: [0] * 4, 2: [0] * 4}
-    for turn in range(rounds):
+    few = max(1, rounds // 4)  # nothing but the counts is on disk here
+    for turn in range(few):
         with scratch_scope(spark):
-            three, two = grams(turn)
+            three, two = grams(turn, few)
             for order, level in ((3, three), (2, two)):
                 seen[order] = [a + b for a, b in zip(seen[order], _counts_of_counts(level), strict=True)]
             two.groupBy(F.col("w2").alias("w")).agg(F.count("*").alias("c")).write.mode("append").parquet(kept["first"])
@@ -537,15 +549,17 @@ def word_perplexity(texts: DataFrame, trusted: DataFrame, rounds: int | None = N
         known.filter("g <> 1").select(mark(F.col("w"), CONTEXT).alias("id"), _fixed(F.log("g")).alias("weight"))))
     for turn in range(rounds):
         with scratch_scope(spark):
-            three, two = grams(turn)
+            three, two = grams(turn, rounds)
             behind = contexts.select(F.col("w").alias("w1"), "total", _taken(d2).alias("taken"))
             two = stage(
-                two.join(behind, "w1").join(known.select(F.col("w").alias("w2"), "p"), "w2").select(
+                two.join(behind.hint("shuffle_hash"), "w1")
+                .join(known.select(F.col("w").alias("w2"), "p").hint("shuffle_hash"), "w2").select(
                     "w1", "w2", ((_less(d2) + F.col("taken") * F.col("p")) / F.col("total")).alias("lower"),
                     F.log1p(_less(d2) / (F.col("taken") * F.col("p"))).alias("weight")), "lm-two")
             behind = stage(_contexts(three, "w0", "w1").select("w0", "w1", "total", _taken(d3).alias("taken")), "lm-behind")
             ratio = F.log1p(_less(d3) / (F.col("taken") * F.col("lower")))
-            weights = three.join(behind, ["w0", "w1"]).join(two.drop("weight"), ["w1", "w2"]).select(
+            weights = three.join(behind.hint("shuffle_hash"), ["w0", "w1"]).join(
+                two.drop("weight").hint("shuffle_hash"), ["w1", "w2"]).select(
                 _turned(context("w0", "w1")).bitwiseXOR(F.col("w2")).alias("id"), _fixed(ratio).alias("weight"))
             weights = weights.unionByName(behind.select(
                 mark(context("w0", "w1"), CONTEXT).alias("id"), _fixed(F.log(F.col("taken") / F.col("total"))).alias("weight")))
