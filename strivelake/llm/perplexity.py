@@ -45,7 +45,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strivelake.llm.common import BROADCAST_ROWS, delete_folder, freed_shuffles, python_batches, scratch_scope, stage
+from strivelake.llm.common import (BROADCAST_ROWS, delete_folder, freed_shuffles, python_batches, scratch_scope, sized,
+                                   stage)
 from strivelake.session import scratch_path
 
 WORD_ORDER = 3
@@ -59,9 +60,10 @@ SLICE_CHARS = 1 << 20            # characters that are cut into words at a time
 FIXED = 1 << 28                  # logarithms are summed in units of 1 / FIXED
 ROUNDS = 8                       # most rounds in which the n-grams are dealt
 ROUND_CHARS = 1 << 24            # a round of its own pays for this many characters
-SHARD_CHARS = 1 << 21            # characters whose n-grams of a round meet in one task
+SHARDS, SHARD_CHARS = 12, 1 << 24  # least number of tasks; characters whose n-grams of a round meet in one
+PARTS = 2                        # parts of the texts that a round looks up one after the other
 TOLD_WORDS = 1 << 20             # words that a task remembers to have returned
-CHUNK_ROWS = 1 << 18             # weights that are dealt to shards at a time
+CHUNK_ROWS = 1 << 18             # rows that are dealt to shards at a time
 WORDS = ["w0", "w1", "w2"]
 TURN = 21                        # the id of an n-gram is its words' hashes, turned by this many bits and xor-ed
 # stands before a text; tell ids of contexts and of 2-grams from those of 3-grams and words
@@ -316,9 +318,84 @@ def _signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
-def word_grams(texts: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
-    """(w0, w1, w2, n): the 3-grams of the texts whose middle word belongs to the round;
-    ``texts``: (key, text). Counts are combined within a slice of texts."""
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries by their ids, and where in that order each different id begins."""
+    order = np.argsort(ids)
+    ids = ids[order]
+    return order, np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, dtype=np.int64)
+
+
+def _shard(ids: np.ndarray, shards: int) -> np.ndarray:
+    return (ids >> np.uint64(8) & np.uint64(0xFFFFFFFF)).astype(np.uint32) % np.uint32(shards)
+
+
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _rotated(first) ^ second
+
+
+# columns of numbers as bytes: they are copied, not taken apart, on their way
+CHUNK = "shard int, kind int, a binary, b binary, c binary, d binary"
+LONG, UNSIGNED, REAL, COUNT = (np.dtype(t) for t in (np.int64, np.uint64, np.float64, np.int32))
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = (ends * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1,
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _rows(kind: int, shard: np.ndarray, columns: list[pa.Array]) -> pa.RecordBatch:
+    empty = pa.array([b""] * len(shard), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shard.astype(np.int32)), pa.array(np.full(len(shard), kind, dtype=np.int32)), *columns,
+         *[empty] * (4 - len(columns))], names=["shard", "kind", "a", "b", "c", "d"])
+
+
+def _by_shard(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The entries by shard, otherwise in their order; the shards that have some; the ends of theirs."""
+    small = shard.astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard
+    sizes = np.bincount(shard)
+    used = np.flatnonzero(sizes)
+    return np.argsort(small, kind="stable"), used, np.concatenate([[0], np.cumsum(sizes[used])])
+
+
+def _chunks(kind: int, shard: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """One row per shard, with its entries."""
+    order, used, ends = _by_shard(shard)
+    return _rows(kind, used, [_blobs(c[order], ends) for c in columns])
+
+
+def _text_chunks(kind: int, shard: np.ndarray, key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """One row per shard: ids, keys of the texts that they belong to and the number of each one's ids."""
+    order, used, ends = _by_shard(shard)
+    key, shard = key[order], shard[order]
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])]))
+    runs = np.diff(np.append(start, len(key))).astype(COUNT)
+    parts = np.searchsorted(start, ends)
+    return _rows(kind, used, [_blobs(ids[order], ends), _blobs(key[start], parts), _blobs(runs, parts)])
+
+
+def _entries(batches: Iterator[pa.RecordBatch], *types: np.dtype) -> Iterator[tuple]:
+    """(shard, kind, a, b, ...) of every chunk."""
+    for batch in batches:
+        shard, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for row in range(batch.num_rows):
+            yield shard[row], kind[row], *[np.frombuffer(batch.column(2 + k)[row].as_buffer(), dtype=t)
+                                           for k, t in enumerate(types)]
+
+
+def _joined(parts: list[tuple[np.ndarray, ...]], *types: np.dtype) -> list[np.ndarray]:
+    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, dtype=t) for k, t in enumerate(types)]
+
+
+def _gathered(chunks: DataFrame, shards: int) -> DataFrame:
+    """The chunks of a shard in one task, in the order of their kinds."""
+    return chunks.repartitionById(shards, "shard").sortWithinPartitions("kind")
+
+
+def gram_chunks(texts: DataFrame, turn: int, rounds: int, shards: int, *, by_context: bool) -> DataFrame:
+    """(w0, w1, w2, n), as chunks: the 3-grams of the texts whose middle word belongs to the round, dealt by
+    (w0, w1) or by (w1, w2); ``texts``: (key, text). Counts are combined within a slice of texts."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -327,87 +404,130 @@ def word_grams(texts: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
                 if not len(doc):
                     continue
                 w1, w0 = _with_context(doc, w2)
-                mine = w1 % np.uint64(rounds) == turn
+                mine = np.flatnonzero(w1 % np.uint64(rounds) == turn)
+                if not len(mine):
+                    continue
                 w0, w1, w2 = w0[mine], w1[mine], w2[mine]
-                _, one, n = np.unique(_rotated(_rotated(w0) ^ w1) ^ w2, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(w[one]) for w in (w0, w1, w2)] + [pa.array(n.astype(np.int64))], names=[*WORDS, "n"])
+                order, start = _distinct(_pair(_pair(w0, w1), w2))
+                w0, w1, w2 = (w[order[start]] for w in (w0, w1, w2))
+                shard = _shard(_pair(w0, w1) if by_context else _pair(w1, w2), shards)
+                yield _chunks(0, shard, w0, w1, w2, np.diff(np.append(start, len(order))).astype(COUNT))
+
+    return texts.mapInArrow(cut, CHUNK)
 
-    return texts.mapInArrow(cut, "w0 long, w1 long, w2 long, n long")
 
+def word_grams(texts: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
+    """(w0, w1, w2, n): what ``gram_chunks`` deals out, a row each."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, *columns in _entries(batches, LONG, LONG, LONG, COUNT):
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(LONG)) for c in columns], names=[*WORDS, "n"])
+
+    return gram_chunks(texts, turn, rounds, 1, by_context=False).mapInArrow(
+        unpack, "w0 long, w1 long, w2 long, n long")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    """(w0, w1, w2, c, id): the different 3-grams of a task, by id, and how often they occur."""
+    w0, w1, w2, n = _joined([e[2:] for e in _entries(batches, UNSIGNED, UNSIGNED, UNSIGNED, COUNT)],
+                            UNSIGNED, UNSIGNED, UNSIGNED, COUNT)
+    if not len(w0):
+        return w0, w1, w2, n.astype(LONG), w0
+    ids = _pair(_pair(w0, w1), w2)
+    order, start = _distinct(ids)
+    c = np.add.reduceat(n[order].astype(LONG), start)
+    one = order[start]
+    return w0[one], w1[one], w2[one], c, ids[one]
+
+
+PAIRS = "level int, turn int, w1 long, w2 long, c long"
+
+
+def count_pairs(grams: DataFrame, rounds: int, shards: int) -> DataFrame:
+    """Of 3-grams dealt by (w1, w2): (2, round, w1, w2, c) per 2-gram, c the different words before it (its
+    continuation count); (3, null, k, null, c): in this task c 3-grams occur k times, for k to 4."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, w1, w2, c, _ = _counted(batches)
+        if not len(w1):
+            return
+        seen = np.bincount(np.minimum(c, 5), minlength=6)[1:5]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([3] * 4, pa.int32()), pa.array([None] * 4, pa.int32()), pa.array([1, 2, 3, 4], pa.int64()),
+             pa.array([None] * 4, pa.int64()), pa.array(seen.astype(LONG))], names=["level", "turn", "w1", "w2", "c"])
+        order, start = _distinct(_pair(w1, w2))
+        c = np.diff(np.append(start, len(order)))
+        w1, w2 = w1[order[start]], w2[order[start]]
+        order = np.argsort(w1)  # neighbours that are alike take less disk
+        for k in range(0, len(order), CHUNK_ROWS):
+            at = order[k:k + CHUNK_ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), 2, dtype=np.int32)), pa.array((w1[at] % np.uint64(rounds)).astype(np.int32)),
+                 _signed(w1[at]), _signed(w2[at]), pa.array(c[at].astype(LONG))], names=["level", "turn", "w1", "w2", "c"])
+
+    return grams.repartitionById(shards, "shard").mapInArrow(count, PAIRS)
+
+
+def vocabulary(texts: DataFrame, model: str | None = None) -> DataFrame:
+    """(w, word): the different words of (key, text) and their hashes; with a spelling model
+    (w, base): their probabilities instead."""
+    name, kind = ("word", "string") if model is None else ("base", "double")
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """(w, word): the different words of (key, text) and their hashes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for first, last in _slices(texts):
                 _, h, start, end, joined = word_hashes(texts[first:last])
-                h, one = np.unique(h, return_index=True)
-                new = ~np.isin(h, told, assume_unique=True)
-                h, one = h[new], one[new]
-                told = np.concatenate([told, h]) if len(told) < TOLD_WORDS else h
-                if len(h):
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(h), pa.array([joined[a:b] for a, b in zip(start[one], end[one], strict=True)])],
-                        names=["w", "word"])
-
-    return texts.mapInArrow(cut, "w long, word string").groupBy("w").agg(F.min("word").alias("word"))
-
-
-CHUNK = "shard int, kind int, key array<long>, id array<long>, n array<long>"
-
+                order, one = _distinct(h)
+                one = order[one]
+                h = h[one]
+                if len(told):
+                    new = told[np.minimum(np.searchsorted(told, h), len(told) - 1)] != h
+                    h, one = h[new], one[new]
+                if not len(h):
+                    continue
+                told = np.sort(np.concatenate([told, h])) if len(told) < TOLD_WORDS else h
+                found = [joined[a:b] for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([_signed(h), pa.array(
+                    found if model is None else np.exp(np.maximum(spellings(found, load_model(model)), -700.0)))],
+                    names=["w", name])
 
-def _chunks(kind: int, key: np.ndarray, ids: np.ndarray, n: np.ndarray, shards: int) -> pa.RecordBatch:
-    """One row per shard, with its entries; ``key`` may be empty. Entries keep their order."""
-    shard = (ids >> np.uint64(8)) % np.uint64(shards)
-    order = np.argsort(shard, kind="stable")
-    sizes = np.bincount(shard.astype(np.int64), minlength=shards)
-    used = np.flatnonzero(sizes)
-    ends = np.concatenate([[0], np.cumsum(sizes[used])]).astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(ends), v) for v in (_signed(ids[order]), pa.array(n[order]))]
-    keys = pa.ListArray.from_arrays(pa.array(ends if len(key) else ends * 0), pa.array(key[order] if len(key) else key))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), kind, dtype=np.int32)), keys, *lists],
-        names=["shard", "kind", "key", "id", "n"])
+    return texts.mapInArrow(cut, f"w long, {name} {kind}").groupBy("w").agg(F.min(name).alias(name))
 
 
 def text_chunks(texts: DataFrame, shards: int, turn: int | None = None, rounds: int = 1) -> DataFrame:
-    """The n-grams that the score of a text adds up, as chunks of (key, id, n). In a round: 3-grams,
-    their contexts and 2-grams; in the round None: words, where the context of the first word
-    and the last word, which is no context, stand apart and cancel out in the sum of n."""
+    """The n-grams that the score of a text adds up, as chunks. In a round: 3-grams and 2-grams, dealt by
+    (w1, w2), and contexts, by (w0, w1); in the round None: words, which count (kind 1), and the context
+    of the first word and the last word, which is no context."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False).astype(LONG), batch.column(1).to_pylist()
             for first, last in _slices(texts):
                 doc, w2, *_ = word_hashes(texts[first:last])
                 if not len(doc):
                     continue
-                w1, w0 = _with_context(doc, w2)
+                key = keys[first + doc]
                 if turn is None:
+                    yield _text_chunks(1, _shard(w2, shards), key, w2)
                     ends = np.flatnonzero(np.concatenate([doc[1:] != doc[:-1], [True]]))
-                    ids = np.concatenate([w2, np.full(len(ends), START ^ CONTEXT), w2[ends] ^ CONTEXT])
-                    doc = np.concatenate([doc, doc[ends], doc[ends]])
-                    n = np.concatenate([np.ones(len(w2)), np.ones(len(ends)), -np.ones(len(ends))]).astype(np.int64)
-                else:
-                    mine = w1 % np.uint64(rounds) == turn
-                    w0, w1, w2, doc = w0[mine], w1[mine], w2[mine], np.tile(doc[mine], 3)
-                    context = _rotated(w0) ^ w1
-                    ids = np.concatenate([_rotated(context) ^ w2, context ^ CONTEXT, _rotated(w1) ^ w2 ^ EVENT])
-                    n = np.ones(len(ids), dtype=np.int64)
-                if not len(ids):
+                    ids = np.stack([np.full(len(ends), START), w2[ends]], axis=1).ravel()
+                    yield _text_chunks(2, _shard(ids, shards), np.repeat(key[ends], 2), ids ^ CONTEXT)
+                    continue
+                w1, w0 = _with_context(doc, w2)
+                mine = np.flatnonzero(w1 % np.uint64(rounds) == turn)
+                if not len(mine):
                     continue
-                order = np.lexsort((ids, doc))
-                ids, doc, n = ids[order], doc[order], n[order]
-                one = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (doc[1:] != doc[:-1])]))
-                yield _chunks(1, keys[first + doc[one]].astype(np.int64), ids[one], np.add.reduceat(n, one), shards)
+                w0, w1, w2, key = w0[mine], w1[mine], w2[mine], key[mine]
+                context, pair = _pair(w0, w1), _pair(w1, w2)
+                dealt = _shard(pair, shards)
+                ids = np.stack([_pair(context, w2), pair ^ EVENT, context ^ CONTEXT], axis=1).ravel()
+                yield _text_chunks(2, np.stack([dealt, dealt, _shard(context, shards)], axis=1).ravel(),
+                                   np.repeat(key, 3), ids)
 
     return texts.mapInArrow(cut, CHUNK)
 
 
-def weight_chunks(weights: DataFrame, shards: int) -> DataFrame:
-    """(id, weight) as chunks."""
+def packed(rows: DataFrame, kind: int, shards: int) -> DataFrame:
+    """Rows of an id, by which they are dealt, and numbers as chunks; ids of a word as a context are dealt as the word."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -421,45 +541,123 @@ def weight_chunks(weights: DataFrame, shards: int) -> DataFrame:
             yield joined(held)
 
     def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        ids, weight = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in (0, 1))
-        return _chunks(0, np.zeros(0, dtype=np.int64), ids.view(np.uint64), weight, shards)
-
-    return weights.select("id", "weight").mapInArrow(pack, CHUNK)
+        dealt, *columns = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held])
+                           for k in range(held[0].num_columns))
+        return _chunks(kind, _shard(dealt.view(UNSIGNED), shards), *columns)
+
+    return rows.mapInArrow(pack, CHUNK)
+
+
+def context_chunks(grams: DataFrame, d: list[float], shards: int) -> DataFrame:
+    """Of 3-grams dealt by (w0, w1), chunks dealt by (w1, w2) of kind 1: (id, 2-gram, the count less its discount
+    by what is taken in its context); dealt by the context, of kind 2: (id, back-off)."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w0, w1, w2, c, ids = _counted(batches)
+        if not len(ids):
+            return
+        context = _pair(w0, w1)
+        order, start = _distinct(context)
+        size = np.diff(np.append(start, len(order)))
+        at = np.minimum(c[order], 3)
+        taken = sum(np.add.reduceat((at == k + 1).astype(LONG), start) * d[k] for k in range(3))
+        total = np.add.reduceat(c[order], start)
+        ratio = (c[order] - np.array(d)[at - 1]) / np.repeat(taken, size)
+        pair, ids, found = _pair(w1, w2)[order], ids[order], context[order[start]]
+        for k in range(0, len(ids), CHUNK_ROWS):
+            part = slice(k, k + CHUNK_ROWS)
+            yield _chunks(1, _shard(pair[part], shards), ids[part], pair[part], ratio[part])
+        yield _chunks(2, _shard(found, shards), found ^ CONTEXT, _whole(np.log(taken / total)))
+
+    return grams.repartitionById(shards, "shard").mapInArrow(weigh, CHUNK)
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.floor(x * FIXED + 0.5).astype(LONG)
+
+
+class Finder:
+    """The values of 64-bit ids, which are spread evenly: an id is looked for from where its first bits begin."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(ids)
+        self.ids, self.values = np.append(ids[order], ~np.uint64(0)), np.append(values[order], values.dtype.type(0))
+        bits = len(ids).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        sizes = np.bincount((self.ids[:-1] >> self.shift).astype(LONG), minlength=1 << bits)
+        self.starts = (np.cumsum(sizes) - sizes).astype(np.int32)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """The value of each id, 0 where there is none."""
+        at = self.starts[wanted >> self.shift]
+        found = self.ids[at]
+        less = np.flatnonzero(found < wanted)
+        while len(less):
+            at[less] += 1
+            found[less] = self.ids[at[less]]
+            less = less[found[less] < wanted[less]]
+        return np.where(found == wanted, self.values[at], 0)
+
+
+def weight_chunks(grams: DataFrame, pairs: DataFrame, shards: int) -> DataFrame:
+    """(id, weight), as chunks, of the 3-grams and contexts of ``context_chunks`` and of the 2-grams;
+    ``pairs``: (2-gram, its probability, weight) as chunks of kind 0."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lower = [], None
+        for shard, kind, *columns in _entries(batches, UNSIGNED, LONG, LONG):
+            if kind == 0:
+                held.append((columns[0], columns[1].view(REAL), columns[2]))
+                yield out(shard, columns[0] ^ EVENT, columns[2])
+            elif kind == 1:
+                lower = lower or Finder(*_joined(held, UNSIGNED, REAL, LONG)[:2])
+                ids, pair, ratio = columns[0], columns[1].view(UNSIGNED), columns[2].view(REAL)
+                yield out(shard, ids, _whole(np.log1p(ratio / lower(pair))))
+            else:
+                yield out(shard, *columns[:2])
+
+    def out(shard: int, ids: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+        ends = np.array([0, len(ids)])
+        return _rows(0, np.array([shard]), [_blobs(ids, ends), _blobs(weight, ends)])
+
+    return _gathered(grams.unionByName(pairs), shards).mapInArrow(weigh, CHUNK)
 
 
 def add_weights(texts: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
-    """(key, log_p, n): the weights of the n-grams that have one and the numbers of all, per text.
+    """(key, log_p, n): the weights of the n-grams that have one and the number of the words, per text.
 
-    A join by shard of the ids, one task each: the weights come first, chunks of texts stream past."""
+    A join by shard of the ids, one task each: the weights come first, chunks of texts stream past; then
+    the sums of a text meet in one task."""
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, table = [], None
-        for batch in batches:
-            kinds = batch.column(1).to_numpy()
-            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in batch.columns[2:]]
-            out = []
-            for row in range(batch.num_rows):
-                key, ids, n = (v[o[row]:o[row + 1]] for o, v in lists)
-                if kinds[row] == 0:
-                    held.append((ids.copy(), n.copy()))
-                    continue
-                if table is None:
-                    found = [np.concatenate([h[k] for h in held]) if held else np.zeros(0, dtype=np.int64)
-                             for k in (0, 1)]
-                    order = np.argsort(found[0])
-                    table = found[0][order], found[1][order]
-                weight = np.zeros(len(ids), dtype=np.int64)
-                if len(table[0]):
-                    at = np.minimum(np.searchsorted(table[0], ids), len(table[0]) - 1)
-                    weight = np.where(table[0][at] == ids, table[1][at], 0) * n
-                one = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                out.append((key[one], np.add.reduceat(weight, one), np.add.reduceat(n, one)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[k] for x in out])) for k in range(3)], names=["key", "log_p", "n"])
+        held, find, out, rows = [], None, [], 0
+        for _, kind, ids, second, runs in _entries(batches, UNSIGNED, LONG, COUNT):
+            if kind == 0:
+                held.append((ids, second))
+                continue
+            if find is None:
+                find = Finder(*_joined(held, UNSIGNED, LONG))
+                held = []
+            start = np.cumsum(runs) - runs
+            out.append((second.copy(), np.add.reduceat(find(ids), start), runs.astype(LONG) * int(kind == 1)))
+            rows += len(second)
+            if rows >= CHUNK_ROWS:
+                yield deal(out)
+                out, rows = [], 0
+        if out:
+            yield deal(out)
 
-    rows = texts.unionByName(weights).repartitionById(shards, "shard").sortWithinPartitions("kind")
-    return (rows.mapInArrow(look_up, "key long, log_p long, n long")
-            .groupBy("key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n")))
+    def deal(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        key, *sums = _joined(out, LONG, LONG, LONG)
+        return _chunks(0, _shard(_rotated(key.view(UNSIGNED)), shards), key, *sums)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, log_p, n = _joined([e[2:] for e in _entries(batches, LONG, LONG, LONG)], LONG, LONG, LONG)
+        if len(key):
+            order, start = _distinct(key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key[order[start]], *(np.add.reduceat(x[order], start) for x in (log_p, n)))],
+                names=["key", "log_p", "n"])
+
+    sums = _gathered(texts.unionByName(weights), shards).mapInArrow(look_up, CHUNK)
+    return sums.repartitionById(shards, "shard").mapInArrow(add, "key long, log_p long, n long")
 
 
 def _less(d: list[float]) -> Column:
@@ -490,84 +688,77 @@ def word_perplexity(texts: DataFrame, trusted: DataFrame, rounds: int | None = N
     """(key, perplexity) of every text with a word, under the model of the trusted texts;
     both: (key, text). Texts of one key are alike."""
     spark = texts.sparkSession
-    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    size, rows = texts.agg(F.sum(F.length("text")), F.count("*")).first()
+    size = size or 0
     rounds = rounds or min(ROUNDS, 1 + size // ROUND_CHARS)
-    shards = max(4, -(-size // (rounds * SHARD_CHARS)))
-    kept = {name: scratch_path(spark, f"lm-{name}") for name in ("first", "contexts", "parts")}
+    shards = max(SHARDS, -(-size // (rounds * SHARD_CHARS)))
+    parts = min(PARTS, rounds)
+    texts, trusted = sized(texts, rows), sized(trusted, rows)
+    kept = {name: scratch_path(spark, f"lm-{name}") for name in ("pairs", "behind", "last", "parts")}
 
-    def grams(turn: int, rounds: int) -> tuple[DataFrame, DataFrame]:
-        three = stage(word_grams(trusted, turn, rounds).groupBy(*WORDS).agg(F.sum("n").alias("c")), "lm-three")
-        # continuation counts: by how many different words is the shorter n-gram preceded
-        return three, stage(three.groupBy("w1", "w2").agg(F.count("*").alias("c")), "lm-two")
+    def add(part: int, of: int, turn: int | None, weights: DataFrame) -> None:
+        some = texts.filter(F.pmod("key", F.lit(of)) == part) if of > 1 else texts
+        (add_weights(text_chunks(some, shards, turn, rounds), weights, shards)
+         .write.mode("append").parquet(kept["parts"]))
 
     # the discounts need all counts of an order before the first probability
-    seen = {3: [0] * 4, 2: [0] * 4}
-    few = max(1, rounds // 4)  # nothing but the counts is on disk here
+    few = max(1, rounds // 2)
     for turn in range(few):
-        with scratch_scope(spark):
-            three, two = grams(turn, few)
-            for order, level in ((3, three), (2, two)):
-                seen[order] = [a + b for a, b in zip(seen[order], _counts_of_counts(level), strict=True)]
-            two.groupBy(F.col("w2").alias("w")).agg(F.count("*").alias("c")).write.mode("append").parquet(kept["first"])
-            _contexts(two, F.col("w1").alias("w")).write.mode("append").parquet(kept["contexts"])
-    d3, d2 = _discounts(seen[3]), _discounts(seen[2])
+        (count_pairs(gram_chunks(trusted, turn, few, shards, by_context=False), rounds, shards)
+         .write.mode("append").parquet(kept["pairs"]))
+    counts = spark.read.schema(PAIRS).parquet(kept["pairs"])
+    pairs = counts.filter("level = 2")
+    three = {r.w1: r.c for r in counts.filter("level = 3").groupBy("w1").agg(F.sum("c").alias("c")).collect()}
+    d3, d2 = _discounts([three.get(k, 0) for k in (1, 2, 3, 4)]), discounts(pairs)
 
     with scratch_scope(spark):
         folder = train(vocabulary(trusted).select(F.concat("word", F.lit(" ")).alias("text")),
                        scratch_path(spark, "lm-model"))
-
-        @F.pandas_udf(T.DoubleType())
-        def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            table = load_model(folder)
-            for found in batches:
-                yield pd.Series(np.exp(np.maximum(spellings(found.to_list(), table), -700.0)))
-
         start = spark.range(1).select(F.lit(int(START.view(np.int64))).alias("w"), F.lit(1.0).alias("base"))
-        spelled = vocabulary(texts).select("w", spell("word").alias("base")).unionByName(start)
-        one = stage(spark.read.schema("w long, c long").parquet(kept["first"]).groupBy("w").agg(F.sum("c").alias("c")),
-                    "lm-one")
+        one = stage(pairs.groupBy(F.col("w2").alias("w")).agg(F.count("*").alias("c")), "lm-one")
+        contexts = stage(_contexts(pairs, F.col("w1").alias("w")), "lm-contexts")
         d1 = discounts(one)
         every = F.broadcast(_contexts(one).select((F.coalesce(_taken(d1) / F.col("total"), F.lit(1.0))).alias("g0"),
                                                   F.col("total").alias("total0")))  # one row
-        contexts = spark.read.schema("w long, total long, k0 long, k1 long, k2 long").parquet(kept["contexts"])
         p = F.coalesce(_less(d1) / F.col("total0"), F.lit(0.0)) + F.col("g0") * F.col("base")
-        found = (spelled.join(one, "w", "left").join(every, F.lit(True))
-                 .join(contexts.select("w", (_taken(d2) / F.col("total")).alias("g")), "w", "left")
-                 .select("w", p.alias("p"), F.coalesce("g", F.lit(1.0)).alias("g")))
-        path = scratch_path(spark, "lm-words")
-        found.write.parquet(path)
-    known = spark.read.schema(found.schema).parquet(path)
-
-    def add(turn: int | None, weights: DataFrame) -> None:
-        found = add_weights(text_chunks(texts, shards, turn, rounds), weight_chunks(weights, shards), shards)
-        n = F.col("n") if turn is None else F.lit(0).cast("long")  # only words count as words
-        found.select("key", "log_p", n.alias("n")).write.mode("append").parquet(kept["parts"])
-
-    context = lambda a, b: _turned(F.col(a)).bitwiseXOR(F.col(b))
-    mark = lambda h, m: h.bitwiseXOR(F.lit(int(m.view(np.int64))))
-    add(None, known.select(F.col("w").alias("id"), (_fixed(F.log("p")) + _fixed(F.log("g"))).alias("weight")).unionByName(
-        known.filter("g <> 1").select(mark(F.col("w"), CONTEXT).alias("id"), _fixed(F.log("g")).alias("weight"))))
+        known = stage(
+            vocabulary(texts, folder).unionByName(start).join(one, "w", "left").join(every, F.lit(True))
+            .join(contexts, "w", "left").select(
+                "w", p.alias("p"), F.coalesce(_taken(d2) / F.col("total"), F.lit(1.0)).alias("g"),
+                "total", _taken(d2).alias("taken"), F.col("c").isNotNull().alias("seen")), "lm-words")
+        delete_folder(spark, folder)
+
+        with scratch_scope(spark):
+            back = _fixed(F.log("g"))
+            sign = F.when(F.col("w") == F.lit(int(START.view(np.int64))), 1).otherwise(-1)
+            context = F.col("w").bitwiseXOR(F.lit(int(CONTEXT.view(np.int64))))
+            weights = stage(
+                packed(known.select("w", F.col("w").alias("id"), (_fixed(F.log("p")) + back).alias("weight")).unionByName(
+                    known.filter("g <> 1").select("w", context.alias("id"), (sign * back).alias("weight"))), 0, shards),
+                "lm-weights")
+            for part in range(rounds):
+                add(part, rounds, None, weights)
+        # what the rounds need of the words
+        known.filter("total is not null").select(F.col("w").alias("w1"), "total", "taken").write.parquet(kept["behind"])
+        known.filter("seen").select(F.col("w").alias("w2"), "p").write.parquet(kept["last"])
+
+    behind = spark.read.schema("w1 long, total long, taken double").parquet(kept["behind"])
+    last = spark.read.schema("w2 long, p double").parquet(kept["last"])
+    pair = _turned(F.col("w1")).bitwiseXOR(F.col("w2"))
     for turn in range(rounds):
         with scratch_scope(spark):
-            three, two = grams(turn, rounds)
-            behind = contexts.select(F.col("w").alias("w1"), "total", _taken(d2).alias("taken"))
-            two = stage(
-                two.join(behind.hint("shuffle_hash"), "w1")
-                .join(known.select(F.col("w").alias("w2"), "p").hint("shuffle_hash"), "w2").select(
-                    "w1", "w2", ((_less(d2) + F.col("taken") * F.col("p")) / F.col("total")).alias("lower"),
-                    F.log1p(_less(d2) / (F.col("taken") * F.col("p"))).alias("weight")), "lm-two")
-            behind = stage(_contexts(three, "w0", "w1").select("w0", "w1", "total", _taken(d3).alias("taken")), "lm-behind")
-            ratio = F.log1p(_less(d3) / (F.col("taken") * F.col("lower")))
-            weights = three.join(behind.hint("shuffle_hash"), ["w0", "w1"]).join(
-                two.drop("weight").hint("shuffle_hash"), ["w1", "w2"]).select(
-                _turned(context("w0", "w1")).bitwiseXOR(F.col("w2")).alias("id"), _fixed(ratio).alias("weight"))
-            weights = weights.unionByName(behind.select(
-                mark(context("w0", "w1"), CONTEXT).alias("id"), _fixed(F.log(F.col("taken") / F.col("total"))).alias("weight")))
-            weights = weights.unionByName(two.select(
-                mark(context("w1", "w2"), EVENT).alias("id"), _fixed(F.col("weight")).alias("weight")))
-            add(turn, weights)
-    for path in (kept["first"], kept["contexts"], path, folder):
-        delete_folder(spark, path)
+            lower = pairs.filter(F.col("turn") == turn).join(behind.hint("shuffle_hash"), "w1").join(
+                last.hint("shuffle_hash"), "w2").select(
+                pair.alias("dealt"), pair.alias("id"),
+                ((_less(d2) + F.col("taken") * F.col("p")) / F.col("total")).alias("lower"),
+                _fixed(F.log1p(_less(d2) / (F.col("taken") * F.col("p")))).alias("weight"))
+            lower = stage(packed(lower, 0, shards), "lm-lower")
+            grams = context_chunks(gram_chunks(trusted, turn, rounds, shards, by_context=True), d3, shards)
+            weights = stage(weight_chunks(grams, lower, shards), "lm-weights")
+            for part in range(parts):
+                add(part, parts, turn, weights)
+    for name in ("pairs", "behind", "last"):
+        delete_folder(spark, kept[name])
     return (spark.read.schema("key long, log_p long, n long").parquet(kept["parts"])
             .groupBy("key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
             .select("key", F.exp(-F.col("log_p") / FIXED / F.col("n")).alias("perplexity")))
