@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strivelake.llm.common import (BROADCAST_ROWS, delete_folder, freed_shuffles, python_batches, scratch_scope, sized,
-                                   stage)
+                                   stage, worker_memory)
 from strivelake.session import scratch_path
 
 WORD_ORDER = 3
@@ -56,12 +56,13 @@ SYMBOLS = 1 << BITS
 LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.995
 ACCURACY = 10_000
 FOLDS = 5
-SLICE_CHARS = 1 << 20            # characters that are cut into words at a time
+SLICE_CHARS = 1 << 20            # characters whose n-grams are counted or dealt at a time
+CACHE_CHARS = 1 << 17            # characters that are cut into words at a time
 FIXED = 1 << 28                  # logarithms are summed in units of 1 / FIXED
 ROUNDS = 8                       # most rounds in which the n-grams are dealt
 ROUND_CHARS = 1 << 24            # a round of its own pays for this many characters
 SHARDS, SHARD_CHARS = 12, 1 << 24  # least number of tasks; characters whose n-grams of a round meet in one
-PARTS = 2                        # parts of the texts that a round looks up one after the other
+PARTS = 3                        # parts of the texts that a round looks up one after the other
 TOLD_WORDS = 1 << 20             # words that a task remembers to have returned
 CHUNK_ROWS = 1 << 18             # rows that are dealt to shards at a time
 WORDS = ["w0", "w1", "w2"]
@@ -116,12 +117,12 @@ def codes(text: str | None, order: int = ORDER) -> np.ndarray:
     return out
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``SLICE_CHARS`` characters, so long texts fit a worker."""
+def _slices(texts: list[str | None], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about so many characters, so long texts fit a worker."""
     start = chars = 0
     for k, text in enumerate(texts):
         chars += len(text or "")
-        if chars >= SLICE_CHARS:
+        if chars >= most:
             yield start, k + 1
             start, chars = k + 1, 0
     if start < len(texts):
@@ -196,12 +197,10 @@ def train(trusted: DataFrame, folder: str, *, text_col: str = "text", order: int
     return folder
 
 
-_LOADED: dict[str, np.ndarray] = {}
-
-
 def load_model(folder: str, order: int = ORDER) -> np.ndarray:
     """ln p(symbol | context) of every n-gram code (float32), once per Python worker."""
-    if folder not in _LOADED:
+    memory = worker_memory()
+    if memory.get("lm-folder") != folder:
         store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
         parts = [f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet")]
         table = ds.dataset(parts, filesystem=store, format="parquet").to_table() if parts else None
@@ -220,9 +219,8 @@ def load_model(folder: str, order: int = ORDER) -> np.ndarray:
                 p[code[rows]] += prob[rows].astype(np.float32)
         else:
             p = np.tile(p, SYMBOLS ** (order - 1))
-        _LOADED.clear()
-        _LOADED[folder] = np.log(np.maximum(p, 1e-12))
-    return _LOADED[folder]
+        memory["lm-folder"], memory["lm-table"] = folder, np.log(np.maximum(p, 1e-12))
+    return memory["lm-table"]
 
 
 def log_probability(text: str | None, table: np.ndarray) -> float:
@@ -264,45 +262,51 @@ def _code_points() -> tuple[np.ndarray, np.ndarray]:
     return kind, np.where(kind == 0, np.uint64(0), value)
 
 
-_POINTS: list[np.ndarray] = []
+def _powers(n: int) -> list[np.ndarray]:
+    """The first powers of an odd number and of its inverse modulo 2 ** 64."""
+    base = 0x9E3779B97F4A7C15
+    return [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, dtype=np.uint64)]))
+            for x in (base, pow(base, -1, 1 << 64))]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of an odd number and of its inverse modulo 2 ** 64."""
-    if n > SLICE_CHARS * 2 or len(_POINTS) == 2:
-        base = 0x9E3779B97F4A7C15
-        found = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, SLICE_CHARS * 2) - 1, x, dtype=np.uint64)]))
-                 for x in (base, pow(base, -1, 1 << 64))]
-        if n > SLICE_CHARS * 2:
-            return found[0], found[1]  # a very long text
-        _POINTS.extend(found)
-    return _POINTS[2][:n], _POINTS[3]
+def _tables(n: int) -> tuple[np.ndarray, ...]:
+    """Kind and number of every code point; powers for texts of n characters. Made once per Python worker."""
+    memory = worker_memory()
+    if "lm-points" not in memory:
+        memory["lm-points"] = (*_code_points(), *_powers(CACHE_CHARS * 2))
+    kind, value, power, inverse = memory["lm-points"]
+    return kind, value, *(_powers(n) if n > len(power) else (power, inverse))  # a very long text
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
     """Of every word of ``words(text)``, in order: the text's number, the word's hash, its start and
     end in the lower-cased texts, joined by line feeds, which come last."""
-    if not _POINTS:
-        _POINTS.extend(_code_points())
     low = [t.lower() if t else "" for t in texts]
     joined = "\n".join(low) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kind = _POINTS[0][points]
+    kinds, value, power, inverse = _tables(len(points))
+    kind = kinds[points]
     alone = kind == 3
     change = kind[1:] != kind[:-1]
     start = np.flatnonzero((kind != 0) & (alone | np.concatenate([[True], change])))
     end = np.flatnonzero((kind != 0) & (alone | np.concatenate([change, [True]]))) + 1
     if not len(start):
         return *(np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)), joined
-    power, inverse = _powers(len(points))
-    total = np.cumsum(_POINTS[1][points] * power)  # white space has the value 0
+    total = np.cumsum(value[points] * power[:len(points)])  # white space has the value 0
     h = total[end - 1] * inverse[start]
     h[1:] -= total[end[:-1] - 1] * inverse[start[1:]]
     for shift in (32, 29):
         h = (h ^ h >> np.uint64(shift)) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
-    ends = np.cumsum([len(t) + 1 for t in low])
-    return np.searchsorted(ends, start, side="right"), h, start, end, joined
+    upto = np.searchsorted(start, np.cumsum([len(t) + 1 for t in low]))
+    return np.repeat(np.arange(len(low)), np.diff(upto, prepend=0)), h, start, end, joined
+
+
+def _hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The text's number and the hash of every word of ``word_hashes``."""
+    found = [(first + doc, h) for first, last in _slices(texts, CACHE_CHARS)
+             for doc, h, *_ in [word_hashes(texts[first:last])]]
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def _with_context(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -400,7 +404,7 @@ def gram_chunks(texts: DataFrame, turn: int, rounds: int, shards: int, *, by_con
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for first, last in _slices(texts):
-                doc, w2, *_ = word_hashes(texts[first:last])
+                doc, w2 = _hashed(texts[first:last])
                 if not len(doc):
                     continue
                 w1, w0 = _with_context(doc, w2)
@@ -502,7 +506,7 @@ def text_chunks(texts: DataFrame, shards: int, turn: int | None = None, rounds:
         for batch in batches:
             keys, texts = batch.column(0).to_numpy(zero_copy_only=False).astype(LONG), batch.column(1).to_pylist()
             for first, last in _slices(texts):
-                doc, w2, *_ = word_hashes(texts[first:last])
+                doc, w2 = _hashed(texts[first:last])
                 if not len(doc):
                     continue
                 key = keys[first + doc]
@@ -702,7 +706,7 @@ def word_perplexity(texts: DataFrame, trusted: DataFrame, rounds: int | None = N
          .write.mode("append").parquet(kept["parts"]))
 
     # the discounts need all counts of an order before the first probability
-    few = max(1, rounds // 2)
+    few = max(1, rounds * 3 // 8)  # there is little else on disk yet
     for turn in range(few):
         (count_pairs(gram_chunks(trusted, turn, few, shards, by_context=False), rounds, shards)
          .write.mode("append").parquet(kept["pairs"]))

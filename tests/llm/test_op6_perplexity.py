@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from conftest import SF_SMALL
 from strivelake.llm import perplexity as p
@@ -166,3 +167,34 @@ def test_rounds_share_the_ngrams_out_and_leave_none_on_disk(spark):
         got = [{r.key: r.perplexity for r in p.word_perplexity(df, trusted, rounds=n).collect()} for n in (1, 3)]
     assert got[0] == got[1] and set(got[0]) == set(range(30))
     assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} <= {"lm-parts"}
+
+
+def test_workers_keep_their_tables_between_tasks(spark):
+    def made(batches):
+        for batch in batches:
+            del batch
+        before = set(p.worker_memory())
+        p.word_hashes(["a b"])
+        yield pa.RecordBatch.from_pydict({"id": [-1 if "lm-points" in before else -2]})
+
+    df = spark.range(64, numPartitions=32)
+    found = [[r.id for r in df.mapInArrow(made, "id long").collect() if r.id < 0] for _ in range(2)][1]
+    assert len(found) == 32 and -1 in found
+
+
+def test_chunks_bring_every_number_to_its_shard_and_are_found_again():
+    rng = np.random.default_rng(7)
+    ids = rng.integers(1, 1 << 63, 5000, dtype=np.uint64)
+    ids[:9] = [0, 1, 2, 3, 1 << 63, (1 << 64) - 1, (1 << 64) - 2, 1 << 8, 1 << 40]
+    weight = rng.integers(-1 << 40, 1 << 40, 5000)
+    shards = 7
+    parts = list(p._entries([p._chunks(0, p._shard(ids, shards), ids, weight)], p.UNSIGNED, p.LONG))
+    assert sum(len(a) for _, _, a, _ in parts) == 5000
+    assert all((p._shard(a, shards) == s).all() for s, _, a, _ in parts)
+    find = p.Finder(*p._joined([x[2:] for x in parts], p.UNSIGNED, p.LONG))
+    assert (find(ids) == weight).all() and not find(ids[20:] ^ np.uint64(1 << 62)).any()
+    assert not p.Finder(ids[:0], weight[:0])(ids).any()
+    key = np.repeat(np.arange(50), 100)
+    for shard, kind, a, k, n in p._entries([p._text_chunks(2, p._shard(ids, shards), key, ids)], p.UNSIGNED, p.LONG, p.COUNT):
+        assert kind == 2 and sorted(a.tolist()) == sorted(ids[p._shard(ids, shards) == shard].tolist())
+        assert (np.repeat(k, n) == key[p._shard(ids, shards) == shard]).all()
