@@ -12,17 +12,18 @@ The logarithm of a probability is a sum of weights: ln P(c | a b) is that of (b,
 back-off of (a, b), plus ln(1 + (count - discount) / (taken * P(c | b))) if the 3-gram was seen;
 likewise below. So a text's score is one join of its n-grams with the weights and a sum. The
 n-grams are dealt by the hash of the middle word to at most ``ROUNDS`` rounds, which read the
-texts again and leave nothing on disk but sums per text: the n-grams of all texts are several
-times larger than the texts. In a round they travel as arrays, dealt to shards by their ids;
+texts again, in ``PARTS`` parts, and leave nothing on disk but sums per text: the n-grams of all
+texts are several times larger than the texts. In a round they travel as bytes, dealt to shards
+by the hash of two words, so that 3-grams meet their contexts and then the shorter n-grams;
 weights are whole numbers, so the sums do not depend on their order. Only the spelling model, at
-most 64 ** ORDER probabilities whatever the input, is read by every Python worker, for each
-different word once. A text counts an n-gram once, with its number, before the shuffle.
+most 64 ** ORDER probabilities whatever the input, is read by every Python worker. The 2-grams
+of the trusted texts, with their counts, are the only n-grams that stay on disk for all rounds.
 
 Every document gets its perplexity per word; the thresholds are, per language, two quantiles:
 text less predictable than nearly all held-out trusted texts (symbol noise, random strings,
 words out of order) or more predictable than nearly all trusted texts (one phrase over and
-over) is rejected. Nothing but four counts of counts
-per order and round and the length of all texts passes through the driver.
+over) is rejected. Nothing but four counts of counts per order and the number and length of all
+texts passes through the driver.
 
 Defined results: null, empty and blank texts have no perplexity and are not kept; a language
 (or null) with fewer than two held-out trusted texts takes the quantiles over all languages;
@@ -37,13 +38,11 @@ from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.dataset as ds
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strivelake.llm.common import (BROADCAST_ROWS, delete_folder, freed_shuffles, python_batches, scratch_scope, sized,
                                    stage, worker_memory)
